@@ -53,7 +53,7 @@ def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(
-                    F.lit(0).cast("long").alias("o"),
+                    F.lit(-1).cast("long").alias("o"),
                     F.concat(F.lit("CH"), code, F.lit("20240102")).alias("line"),
                 ),
                 F.struct(
