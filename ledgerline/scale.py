@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 # Settings a user may put on the session; the values here apply when they are unset.
 BROADCAST_BYTES = ("spark.ledgerline.broadcastBytes", 64 * 1024 * 1024)
 HOT_SHARE = ("spark.ledgerline.hotKeyShare", 0.001)
+HOT_ROWS = ("spark.ledgerline.hotKeyRows", 100_000)
 SALTS = ("spark.ledgerline.salts", 64)
 
 _SALT = "__salt"
@@ -69,20 +70,16 @@ class Staged:
     metrics: Mapping[str, Any] = field(default_factory=dict)
 
 
-def _value_bytes(name: str, kind: T.DataType) -> Column:
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(F.col(name)), F.lit(0)).cast("long") + 24
-    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(F.struct(F.col(name)))
-        return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") * 2 + 64
-    return F.lit(16).cast("long")
-
-
 def row_bytes(df: DataFrame) -> Column:
-    """Upper estimate of the memory one row needs in a hash table."""
+    """Upper estimate of the memory one row of plain columns needs in a hash table."""
     total = F.lit(48).cast("long")
     for f in df.schema.fields:
-        total = total + _value_bytes(f.name, f.dataType)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 24
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            raise TypeError(f"only tables of plain columns are staged, not {f.name}")
+        else:
+            total = total + 16
     return total
 
 
@@ -115,19 +112,20 @@ def broadcast_if_small(staged: Staged) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> Staged:
-    """Key values that hold more than a fixed share of the rows of ``df``.
+    """Key values that hold more than a fixed share of the rows of ``df``, NULL included.
 
-    The result has at most 1/share rows whatever the size of ``df``, and the count behind it is
-    combined map-side, so a hot key never travels as rows.
+    The result has at most 1/share rows whatever the size of ``df``. The count behind it is combined
+    map-side, so a hot key never travels as rows, and only counts worth a second look are written.
     """
-    share = setting(df.sparkSession, HOT_SHARE)
-    counts = stage(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")),
-        "key-counts",
-        total=F.sum("__n"),
+    spark = df.sparkSession
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    seen = Observation()
+    heavy = counts.observe(seen, F.sum("__n").alias("total")).filter(
+        F.col("__n") >= F.lit(setting(spark, HOT_ROWS))
     )
-    floor = (counts.metrics["total"] or 0) * share
-    return stage(counts.df.filter(F.col("__n") > F.lit(floor)).select(*keys), "hot-keys")
+    staged = stage(heavy, "key-counts")
+    floor = (seen.get["total"] or 0) * setting(spark, HOT_SHARE)
+    return stage(staged.df.filter(F.col("__n") > F.lit(floor)).select(*keys), "hot-keys")
 
 
 def skew_join(left: DataFrame, right: Staged, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -142,8 +140,11 @@ def skew_join(left: DataFrame, right: Staged, keys: Sequence[str], how: str = "l
     keys = list(keys)
     if is_small(right):
         return left.join(F.broadcast(right.df), keys, how)
+    found = hot_keys(left, keys)
+    if not found.rows:
+        return left.join(right.df, keys, how)
     salts = setting(left.sparkSession, SALTS)
-    hot = F.broadcast(hot_keys(left, keys).df.withColumn(_HOT, F.lit(True)))
+    hot = F.broadcast(found.df.withColumn(_HOT, F.lit(True)))
 
     def marked(side: DataFrame) -> DataFrame:
         same = [side[k].eqNullSafe(hot[k]) for k in keys]

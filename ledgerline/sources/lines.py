@@ -47,7 +47,10 @@ def _missing(error: AnalysisException) -> bool:
 def list_files(
     spark: SparkSession, mask: str, path: str, *, recursive: bool = False
 ) -> DataFrame:
-    """Files that match: ``src``, ``name``, ``bytes``. No match gives no rows. No content is read."""
+    """Files that match: ``src``, ``name``, ``bytes``. No match gives no rows. No content is read.
+
+    Like every Spark file scan this leaves out empty files, and names that start with ``_`` or ``.``.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     try:
         files = reader.load(source_path(mask, path))

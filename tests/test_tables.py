@@ -1,0 +1,283 @@
+"""Identifier merge, delivery report and skew-safe joins, against plain simulations."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators import deliveries, idmap, merging
+from ledgerline.plans.deliveries import exceptions_report
+from ledgerline.plans.merge import COMMITTED, NOT_COMMITTED, merge_ids
+from ledgerline.scale import HOT_ROWS, hot_keys, skew_join, stage
+from ledgerline.sinks.versions import read_version, write_version
+
+MAP = "seq long, old_id string, new_id string"
+
+
+@pytest.fixture()
+def shuffled(spark):
+    """No broadcast at all, and every key with a few rows counts as hot."""
+    names = {
+        "spark.ledgerline.broadcastBytes": "0",
+        "spark.ledgerline.hotKeyRows": "3",
+        "spark.ledgerline.salts": "4",
+    }
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def entries(spark, *rows):
+    return spark.createDataFrame(list(rows), MAP)
+
+
+def resolved(spark, rows, **options):
+    frame = idmap.resolve_id_map(entries(spark, *rows), **options).df
+    return {r["old_id"]: r["final_id"] for r in frame.collect()}
+
+
+def follow(rows, start):
+    """What a row with id ``start`` ends as, by going through the entries one by one."""
+    now = start
+    for _, old, new in sorted(rows):
+        if now is not None and old == now:
+            now = new
+    return now
+
+
+def test_chains_duplicates_and_order(spark):
+    rows = [(1, "a", "b"), (2, "b", "c"), (3, "c", "a"), (4, "a", "z"), (5, "d", "e")]
+    assert resolved(spark, rows) == {"a": "z", "b": "z", "c": "z", "d": "e"}
+    assert resolved(spark, [(2, "a", "b"), (1, "b", "c")]) == {"a": "b", "b": "c"}
+    assert resolved(spark, [(1, "a", "b"), (2, "b", "a")]) == {"a": "a", "b": "a"}
+    assert resolved(spark, [(1, "a", None), (2, None, "x"), (3, "b", "a"), (4, "a", "q")]) == {
+        "a": None, "b": "q",
+    }
+
+
+def test_long_chain_takes_few_rounds(spark):
+    rows = [(i, f"n{i}", f"n{i + 1}") for i in range(300)]
+    got = resolved(spark, rows)
+    assert set(got.values()) == {"n300"} and len(got) == 300
+
+
+@pytest.mark.parametrize("per_bucket", [5, 1 << 20])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_maps_equal_the_simulation(spark, per_bucket, seed):
+    rng = random.Random(seed)
+    ids = [f"i{n}" for n in range(12)]
+    pick = lambda: "hot" if rng.random() < 0.3 else rng.choice(ids)
+    seqs = rng.sample(range(10000), 90)
+    rows = []
+    for seq in seqs:
+        old, new = pick(), rng.choice([pick(), pick(), pick(), None])
+        if old != new:
+            rows.append((seq, old, new))
+    got = resolved(spark, rows, rows_per_bucket=per_bucket)
+    assert got == {old: follow(rows, old) for _, old, _ in rows}
+
+
+def test_random_map_without_broadcast(spark, shuffled):
+    rng = random.Random(5)
+    rows = [(s, f"i{rng.randrange(4)}", f"i{rng.randrange(4, 9)}") for s in range(40)]
+    rows += [(s, f"i{rng.randrange(4, 9)}", f"i{rng.randrange(4)}") for s in range(40, 80)]
+    assert resolved(spark, rows, rows_per_bucket=7) == {o: follow(rows, o) for _, o, _ in rows}
+
+
+def test_bad_maps_are_refused(spark):
+    with pytest.raises(ValueError, match="itself"):
+        resolved(spark, [(1, "a", "A")])
+    with pytest.raises(ValueError, match="share one seq"):
+        resolved(spark, [(1, "a", "b"), (1, "c", "d")])
+    with pytest.raises(ValueError, match="without seq"):
+        resolved(spark, [(None, "a", "b")])
+    assert resolved(spark, [(1, "a", "a"), (2, "a", "b")], allow_self=True) == {"a": "b"}
+    assert resolved(spark, []) == {}
+
+
+def merge_inputs(spark):
+    def keyed(*rows):
+        return spark.createDataFrame(list(rows), "note string, GUID string")
+
+    daily = spark.createDataFrame(
+        [("A", 1.0, 1), ("a", 0.0, 2), ("a", None, 3), ("x", 0.0, 4), ("N", -2.0, 5), (None, 0.0, 6)],
+        "GUID string, Balance double, day int",
+    )
+    trades = keyed(("t1", "A"), ("t2", "X"), ("t3", "n"), ("t4", None), ("t5", "b"))
+    return dict(trades=trades, daily=daily, archive=trades, holdings=trades)
+
+
+MERGE_MAP = [(1, "a", "B"), (2, "b", "c"), (3, "N", None)]
+
+
+def rows_of(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_merge(spark, request, broadcast):
+    if not broadcast:
+        request.getfixturevalue("shuffled")
+    done = merge_ids(**merge_inputs(spark), id_map=entries(spark, *MERGE_MAP))
+    moved = [("t1", "c"), ("t2", "X"), ("t3", None), ("t4", None), ("t5", "c")]
+    assert rows_of(done.trades) == sorted(moved, key=str) == rows_of(done.archive)
+    assert done.trades.columns == ["note", "GUID"]
+    assert rows_of(done.daily) == sorted(
+        [("c", 1.0, 1), ("a", None, 3), ("x", 0.0, 4), (None, -2.0, 5), (None, 0.0, 6)], key=str
+    )
+    assert rows_of(done.holdings) == [("t2", "X"), ("t4", None)]
+    assert done.result == NOT_COMMITTED and done.version is None and done.map_entries == 3
+    assert {tuple(r) for r in done.audit.collect()} == {
+        ("trades", 3, 5, 3, 0, 5),
+        ("daily_process", 3, 6, 2, 1, 5),
+        ("archive", 3, 5, 3, 0, 5),
+        ("holdings", 3, 5, 0, 3, 2),
+    }
+
+
+def test_second_merge_changes_nothing(spark):
+    first = merge_ids(**merge_inputs(spark), id_map=entries(spark, *MERGE_MAP))
+    again = merge_ids(
+        first.trades, first.daily, first.archive, first.holdings, entries(spark, *MERGE_MAP)
+    )
+    assert rows_of(again.trades) == rows_of(first.trades)
+    assert rows_of(again.holdings) == rows_of(first.holdings)
+
+
+def test_commit_publishes_all_tables_or_none(spark, tmp_path):
+    out = str(tmp_path / "merged")
+    assert read_version(spark, out) == {}
+    with pytest.raises(ValueError):
+        merge_ids(**merge_inputs(spark), id_map=entries(spark, *MERGE_MAP), commit=True)
+    done = merge_ids(
+        **merge_inputs(spark), id_map=entries(spark, *MERGE_MAP), commit=True, out=out
+    )
+    assert done.result == COMMITTED
+    assert {k: v.count() for k, v in read_version(spark, out).items()} == {
+        "trades": 5, "daily": 5, "archive": 5, "holdings": 2,
+    }
+    broken = spark.range(3).withColumn("x", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        write_version({"trades": spark.range(1), "daily": broken}, out)
+    assert read_version(spark, out)["trades"].count() == 5
+    later = write_version({"trades": spark.range(2)}, out)
+    assert read_version(spark, out)["trades"].count() == 2
+    assert set(read_version(spark, out, done.version)) == {"trades", "daily", "archive", "holdings"}
+    assert later != done.version
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_skew_join_equals_plain_join(spark, shuffled, how):
+    left = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else cast(id % 50 as string) end k",
+        "id v",
+    ).repartition(6)
+    right = spark.createDataFrame([("hot", 1), ("3", 2), ("3", 3), (None, 4)], "k string, w int")
+    got = skew_join(left, stage(right, "right"), ["k"], how)
+    expected = left.join(right, ["k"], how)
+    assert got.columns == expected.columns
+    assert rows_of(got) == rows_of(expected)
+
+
+def test_hot_keys_are_spread(spark, shuffled):
+    left = spark.range(4000).selectExpr("if(id % 2 = 0, 'hot', cast(id as string)) k").repartition(8)
+    assert [r["k"] for r in hot_keys(left, ["k"]).df.collect()] == ["hot"]
+    spark.conf.set(HOT_ROWS[0], 1_000_000)
+    assert hot_keys(left, ["k"]).rows == 0
+
+
+# Delivery report
+
+D = dt.datetime
+AS_OF = dt.date(2024, 1, 10)  # a Wednesday
+
+
+def report_inputs(spark):
+    brokers = spark.createDataFrame(
+        [(1, "b1"), (2, "b2"), (3, None), (4, "b4"), (5, "b1")], "PrimaryGUID int, BrokerName string"
+    )
+    accounts = spark.createDataFrame(
+        [
+            (10, 1, D(2024, 1, 9)), (11, 1, D(2024, 1, 8)), (12, 2, D(2024, 1, 9, 5)),
+            (13, 3, D(2024, 1, 9)), (14, 4, D(2024, 1, 7, 23)), (15, 5, D(2024, 1, 9)), (16, 2, None),
+        ],
+        "AccountGUID int, ForeignGUID int, LastProcessed timestamp",
+    )
+    users = spark.createDataFrame(
+        [(1, 7), (2, 8), (3, 7), (4, 7), (5, 9)], "PrimaryGUID int, ForeignGUID int"
+    )
+    customers = spark.createDataFrame(
+        [(7, "c7"), (8, "c8"), (9, "c7")], "PrimaryGUID int, CompanyName string"
+    )
+    daily = spark.createDataFrame(
+        [
+            (10, D(2024, 1, 8)), (10, D(2024, 1, 8)), (15, D(2024, 1, 9)), (12, D(2024, 1, 8, 3)),
+            (13, D(2024, 1, 8)), (14, D(2024, 1, 8)), (12, D(2024, 1, 6)),
+        ],
+        "AccountGUID int, DateOfData timestamp",
+    )
+    return brokers, accounts, users, customers, daily
+
+
+def plain_report(spark, inputs, dates, by_day):
+    """The report by the direct chain of joins."""
+    for name, frame in zip(("b", "a", "u", "c", "dp"), inputs):
+        frame.createOrReplaceTempView(f"plain_{name}")
+    listed = ", ".join(f"(date '{d}')" for d in dates)
+    moment = "to_date(dp.DateOfData)" if by_day else "dp.DateOfData"
+    return spark.sql(f"""
+      with dates(d) as (values {listed}),
+      broker_data as (
+        select BrokerName brokerage, CompanyName customer, AccountGUID from plain_b b
+        join plain_a a on b.PrimaryGUID = a.ForeignGUID join plain_u u on a.ForeignGUID = u.PrimaryGUID
+        join plain_c c on u.ForeignGUID = c.PrimaryGUID
+        where LastProcessed >= (select min(d) from dates)),
+      expected as (select distinct brokerage, customer, d from broker_data cross join dates),
+      processed as (select distinct e.brokerage, e.customer, e.d from expected e
+        join broker_data x on e.brokerage = x.brokerage and e.customer = x.customer
+        join plain_dp dp on dp.AccountGUID = x.AccountGUID and {moment} = e.d)
+      select * from expected except select * from processed""")
+
+
+@pytest.mark.parametrize("by_day", [False, True])
+def test_report_equals_the_direct_joins(spark, by_day):
+    inputs = report_inputs(spark)
+    got = exceptions_report(*inputs, AS_OF, 4, "s", by_day=by_day)
+    assert got.columns == ["ProcessServer", "BrokerName", "BusinessDate", "CompanyName"]
+    dates = [dt.date(2024, 1, 8), dt.date(2024, 1, 9)]
+    expected = plain_report(spark, inputs, dates, by_day)
+    rows = got.select("BrokerName", "CompanyName", "BusinessDate").collect()
+    assert sorted(map(tuple, rows), key=str) == rows_of(expected)
+    missing = {(r["BrokerName"], r["BusinessDate"].day) for r in rows}
+    assert (None, 8) in missing and ("b1", 8) not in missing and ("b1", 9) not in missing
+    assert (("b2", 8) in missing) is not by_day
+
+
+def test_report_is_sorted_and_empty_without_dates(spark):
+    inputs = report_inputs(spark)
+    rows = exceptions_report(*inputs, AS_OF, 4).collect()
+    keys = [(r["BusinessDate"], r["BrokerName"] or "") for r in rows]
+    assert keys == sorted(keys)
+    assert exceptions_report(*inputs, dt.date(2024, 1, 8), 2).count() == 0
+    assert exceptions_report(*inputs, AS_OF, 0).count() == 0
+
+
+def test_active_since_widens_the_expected_pairs(spark):
+    inputs = report_inputs(spark)
+    narrow = exceptions_report(*inputs, AS_OF, 4).filter("BrokerName = 'b4'").count()
+    wide = exceptions_report(*inputs, AS_OF, 4, active_since=dt.date(2024, 1, 1))
+    assert narrow == 0 and wide.filter("BrokerName = 'b4'").count() == 1
+
+
+def test_report_on_dates_and_wall_clock_times(spark):
+    brokers, accounts, users, customers, daily = report_inputs(spark)
+    for kind in ("date", "timestamp_ntz"):
+        typed = daily.withColumn("DateOfData", F.col("DateOfData").cast(kind))
+        seen = accounts.withColumn("LastProcessed", F.col("LastProcessed").cast(kind))
+        got = deliveries.processed_deliveries(
+            brokers, seen, users, customers, typed, [dt.date(2024, 1, 8), dt.date(2024, 1, 9)]
+        )
+        assert ("b1", "c7", dt.date(2024, 1, 9)) in {tuple(r) for r in got.collect()}
