@@ -119,11 +119,18 @@ def collapse_whitespace(text: Column) -> Column:
 
 
 def text_lines(text: Column, unicode_breaks: bool = False) -> Column:
-    """Array of the lines of a whole text; a final line end adds no empty line."""
-    parts = F.split(text, _WIDE_LINE_END if unicode_breaks else _LINE_END, -1)
-    count = F.size(parts)
-    closed = F.element_at(parts, -1) == ""
-    return F.when(closed, F.slice(parts, 1, count - 1)).otherwise(parts)
+    """Array of the lines of a whole text; a final line end adds no empty line.
+
+    A text without carriage returns, the common case, is split at line feeds without a pattern.
+    """
+    pattern = _WIDE_LINE_END if unicode_breaks else _LINE_END
+    by_pattern = F.split(F.regexp_replace(text, rf"(?:{pattern})\z", ""), pattern, -1)
+    lines = F.when(text == "", F.array().cast("array<string>"))
+    if unicode_breaks:
+        return lines.otherwise(by_pattern)
+    body = F.when(text.endswith("\n"), F.substring(text, F.lit(1), F.length(text) - 1))
+    by_feed = F.split(body.otherwise(text), "\n", -1)
+    return lines.when(text.contains("\r"), by_pattern).otherwise(by_feed)
 
 
 def contains_code(line: Column, kind: str, code: str, match: str) -> Column:

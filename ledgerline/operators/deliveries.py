@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.scale import skew_join, stage
+
 PAIR = ("brokerage", "customer")
 
 
@@ -33,6 +35,14 @@ def active_accounts(
     return narrow.filter(F.col("LastProcessed") >= since)
 
 
+def _account_owners(
+    accounts: DataFrame, dates: Sequence[dt.date], active_since: dt.date | None
+) -> DataFrame:
+    return active_accounts(accounts, dates, active_since).select(
+        F.col("AccountGUID").alias("accountguid"), F.col("ForeignGUID").alias("owner")
+    )
+
+
 def broker_customers(brokers: DataFrame, users: DataFrame, customers: DataFrame) -> DataFrame:
     """Broker and customer names by the id that accounts refer to: ``owner``, ``brokerage``,
     ``customer``."""
@@ -62,14 +72,11 @@ def active_broker_accounts(
 ) -> DataFrame:
     """Active accounts with broker and customer name: ``brokerage``, ``customer``, ``accountguid``.
 
-    Spark broadcasts the name tables by their file sizes, or else splits hot brokers at run time.
+    The names are staged, so that they are broadcast if small and hot brokers are spread otherwise.
     """
-    active = active_accounts(accounts, dates, active_since).select(
-        F.col("AccountGUID").alias("accountguid"), F.col("ForeignGUID").alias("owner")
-    )
-    return active.join(broker_customers(brokers, users, customers), "owner").select(
-        *PAIR, "accountguid"
-    )
+    names = stage(broker_customers(brokers, users, customers), "broker-customers")
+    active = _account_owners(accounts, dates, active_since)
+    return skew_join(active, names, ["owner"], "inner").select(*PAIR, "accountguid")
 
 
 def expected_deliveries(
@@ -84,11 +91,7 @@ def expected_deliveries(
 
     Accounts shrink to their distinct owners before any join, and dates come last.
     """
-    owners = (
-        active_accounts(accounts, dates, active_since)
-        .select(F.col("ForeignGUID").alias("owner"))
-        .distinct()
-    )
+    owners = _account_owners(accounts, dates, active_since).select("owner").distinct()
     pairs = (
         owners.join(broker_customers(brokers, users, customers), "owner").select(*PAIR).distinct()
     )
@@ -96,25 +99,8 @@ def expected_deliveries(
     return pairs.select(*PAIR, F.explode(every).alias("business_date"))
 
 
-def processed_deliveries(
-    brokers: DataFrame,
-    accounts: DataFrame,
-    users: DataFrame,
-    customers: DataFrame,
-    daily: DataFrame,
-    dates: Sequence[dt.date],
-    active_since: dt.date | None = None,
-    by_day: bool = False,
-) -> DataFrame:
-    """Expected pairs and dates for which some account of the pair has daily data.
-
-    A date counts if ``DateOfData`` is exactly that midnight, or with ``by_day`` anywhere in the
-    day. Expected rows are all pairs times all dates, so joining them again to the accounts of the
-    same pair only drops pairs with a null name; that is done as a filter. Daily rows shrink to one
-    row per account, holding at most the wanted dates, before they meet the accounts on the same
-    key; the result shrinks to owner and date before names are joined, so no hot account, broker or
-    customer is ever carried row by row.
-    """
+def _days_by_account(daily: DataFrame, dates: Sequence[dt.date], by_day: bool) -> DataFrame:
+    """Wanted dates with daily data: one row per account, ``days`` holding at most all dates."""
     moment = F.col("DateOfData")
     if not dates:
         wanted = F.lit(False)
@@ -125,23 +111,56 @@ def processed_deliveries(
         wanted = (moment >= first) & (moment < beyond) & in_days
     else:
         wanted = moment.isin(*_at(dates, daily, "DateOfData"))
-    per_account = (
+    return (
         daily.filter(wanted)
         .select(F.col("AccountGUID").alias("accountguid"), F.to_date(moment).alias("day"))
         .groupBy("accountguid")
         .agg(F.collect_set("day").alias("days"))
     )
-    active = active_accounts(accounts, dates, active_since).select(
-        F.col("AccountGUID").alias("accountguid"), F.col("ForeignGUID").alias("owner")
+
+
+def _owners_by_account(
+    accounts: DataFrame, dates: Sequence[dt.date], active_since: dt.date | None
+) -> DataFrame:
+    """Owners of the active accounts: one row per account id, so a repeated or null id stays one."""
+    return (
+        _account_owners(accounts, dates, active_since)
+        .groupBy("accountguid")
+        .agg(F.collect_set("owner").alias("owners"))
     )
+
+
+def _named() -> Column:
+    return F.col("brokerage").isNotNull() & F.col("customer").isNotNull()
+
+
+def processed_deliveries(
+    brokers: DataFrame,
+    accounts: DataFrame,
+    users: DataFrame,
+    customers: DataFrame,
+    daily: DataFrame,
+    dates: Sequence[dt.date],
+    active_since: dt.date | None = None,
+    by_day: bool = False,
+) -> DataFrame:
+    """Expected pairs and dates for which some account of the pair has daily data.
+
+    A date counts if ``DateOfData`` is exactly that midnight, or with ``by_day`` anywhere in the
+    day. Expected rows are all pairs times all dates, so joining them again to the accounts of the
+    same pair only drops pairs with a null name; that is done as a filter. Both daily rows and
+    accounts shrink to one row per account id before they meet on it, and the result shrinks to
+    owner and date before names are joined, so no hot account, broker or customer is ever carried
+    row by row.
+    """
+    owners = _owners_by_account(accounts, dates, active_since)
     delivered = (
-        active.join(per_account, "accountguid")
+        owners.join(_days_by_account(daily, dates, by_day), "accountguid")
+        .select(F.explode("owners").alias("owner"), "days")
         .select("owner", F.explode("days").alias("business_date"))
         .distinct()
     )
-    named = broker_customers(brokers, users, customers).filter(
-        F.col("brokerage").isNotNull() & F.col("customer").isNotNull()
-    )
+    named = broker_customers(brokers, users, customers).filter(_named())
     return delivered.join(named, "owner").select(*PAIR, "business_date").distinct()
 
 
@@ -149,3 +168,38 @@ def unprocessed_deliveries(expected: DataFrame, processed: DataFrame) -> DataFra
     """Expected rows that were not processed; nulls count as equal, the result is distinct."""
     columns = [*PAIR, "business_date"]
     return expected.select(*columns).subtract(processed.select(*columns))
+
+
+def missing_deliveries(
+    brokers: DataFrame,
+    accounts: DataFrame,
+    users: DataFrame,
+    customers: DataFrame,
+    daily: DataFrame,
+    dates: Sequence[dt.date],
+    active_since: dt.date | None = None,
+    by_day: bool = False,
+) -> DataFrame:
+    """``expected_deliveries`` without ``processed_deliveries``, in one pass over the accounts.
+
+    Each active account brings the set of dates it has data for; sets (at most all dates) are
+    united per owner and then per pair of names, and what they lack of the dates is missing. A pair
+    with a null name is never processed.
+    """
+    owners = _owners_by_account(accounts, dates, active_since)
+    by_owner = (
+        owners.join(_days_by_account(daily, dates, by_day), "accountguid", "left")
+        .select(F.explode("owners").alias("owner"), "days")
+        .select("owner", F.explode_outer("days").alias("day"))
+        .groupBy("owner")
+        .agg(F.collect_set("day").alias("days"))
+    )
+    by_pair = (
+        by_owner.join(broker_customers(brokers, users, customers), "owner")
+        .select(*PAIR, F.explode_outer("days").alias("day"))
+        .groupBy(*PAIR)
+        .agg(F.collect_set("day").alias("days"))
+    )
+    every = F.array(*[F.lit(d) for d in sorted(dates)]).cast("array<date>")
+    lacking = F.when(_named(), F.array_except(every, F.col("days"))).otherwise(every)
+    return by_pair.select(*PAIR, F.explode(lacking).alias("business_date"))

@@ -18,7 +18,7 @@ from ledgerline.scale import Staged, skew_join, stage
 
 # Entries per group when looking for the next entry; also bounds the group of one hot id.
 ROWS_PER_BUCKET = 1 << 20
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 1024
 
 
 def normal_id(column: Column, kind: T.DataType) -> Column:

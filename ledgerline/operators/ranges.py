@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.scale import Staged, broadcast_if_small, stage
@@ -13,16 +13,21 @@ BUCKET_LINES = 1 << 20
 _BUCKET = "__bucket"
 
 
+def bucket_of(column: str, width: int = BUCKET_LINES) -> Column:
+    """Bucket of a line number."""
+    return F.expr(f"{column} div {int(width)}")
+
+
 def bucketed(lines: DataFrame, width: int = BUCKET_LINES) -> DataFrame:
     """Lines with the bucket of their line number."""
-    return lines.withColumn(_BUCKET, F.floor(F.col("line_no") / F.lit(width)))
+    return lines.withColumn(_BUCKET, bucket_of("line_no", width))
 
 
 def bucketed_ranges(
     ranges: DataFrame, first: str, last: str, name: str, width: int = BUCKET_LINES
 ) -> Staged:
     """Ranges ``first``..``last`` (both included), one row per bucket they touch, staged."""
-    low, high = (F.floor(F.col(c) / F.lit(width)) for c in (first, last))
+    low, high = bucket_of(first, width), bucket_of(last, width)
     spread = ranges.filter(F.col(first) <= F.col(last)).withColumn(
         _BUCKET, F.explode(F.sequence(low, high))
     )

@@ -39,7 +39,8 @@ def search_archive_lines(
 def flat_matches(found: DataFrame) -> DataFrame:
     """One row per match, its parts as plain columns."""
     kept = [c for c in found.columns if c != "matches"]
-    each = found.select(*kept, F.explode("matches").alias("m"))
+    # Never empty, and the outer form keeps Spark from testing that by matching again.
+    each = found.select(*kept, F.explode_outer("matches").alias("m"))
     return each.select(
         *kept,
         F.col("m.value").alias("match_value"),

@@ -15,39 +15,53 @@ def _sizes(header: int, trailer: int) -> tuple[int, int]:
     return header, trailer
 
 
-def section_counts(lines: DataFrame, header: int = 0, trailer: int = 0) -> DataFrame:
+def line_counts(lines: DataFrame) -> DataFrame:
+    """Per source: how many ``lines`` it has."""
+    return lines.groupBy("src").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def section_counts(
+    lines: DataFrame, header: int = 0, trailer: int = 0, counts: DataFrame | None = None
+) -> DataFrame:
     """Per source: ``lines``, and how many of them are ``header``, ``data`` and ``trailer``.
 
-    A source shorter than header plus trailer counts the shared lines in both.
+    A source shorter than header plus trailer counts the shared lines in both. ``counts`` spares
+    counting the lines where that is known.
     """
     head, tail = _sizes(header, trailer)
     n = F.col("lines")
-    return (
-        lines.groupBy("src")
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .select(
-            "src",
-            "lines",
-            F.least(n, F.lit(head).cast("long")).alias("header"),
-            F.greatest(n - head - tail, F.lit(0).cast("long")).alias("data"),
-            F.least(n, F.lit(tail).cast("long")).alias("trailer"),
-        )
+    return (line_counts(lines) if counts is None else counts).select(
+        "src",
+        "lines",
+        F.least(n, F.lit(head).cast("long")).alias("header"),
+        F.greatest(n - head - tail, F.lit(0).cast("long")).alias("data"),
+        F.least(n, F.lit(tail).cast("long")).alias("trailer"),
     )
 
 
 def split_sections(
-    lines: DataFrame, header: int = 0, trailer: int = 0, width: int = BUCKET_LINES
+    lines: DataFrame,
+    header: int = 0,
+    trailer: int = 0,
+    width: int = BUCKET_LINES,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Lines with their ``section``: the first ``header`` lines, the last ``trailer``, the rest.
 
     A count of 0 gives an empty section. A line in header and trailer at once appears in both.
     Only the last lines of a source need its length, so lengths are joined as line ranges.
+    ``counts`` spares counting the lines where that is known.
     """
     head, tail = _sizes(header, trailer)
     in_head = F.col("line_no") <= head
     if tail:
-        lengths = lines.groupBy("src").agg(F.max("line_no").alias("__last"))
-        ends = lengths.withColumn("__first", F.greatest(F.col("__last") - tail + 1, F.lit(1)))
+        lengths = line_counts(lines) if counts is None else counts
+        last = F.col("lines")
+        ends = lengths.select(
+            "src",
+            F.greatest(last - tail + 1, F.lit(1)).alias("__first"),
+            last.alias("__last"),
+        )
         ranges = bucketed_ranges(ends, "__first", "__last", "section-ends", width)
         lines = join_ranges(lines, ranges, "__first", "__last", "left", width)
         in_tail = F.col("__last").isNotNull()

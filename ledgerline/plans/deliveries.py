@@ -34,10 +34,8 @@ def exceptions_report(
     pairs with an account active since the earliest date (or ``active_since``) are expected.
     """
     dates = business_date_list(brokers.sparkSession, as_of, lookback_days, mode, holidays)
-    names = (brokers, accounts, users, customers)
-    missing = ops.unprocessed_deliveries(
-        ops.expected_deliveries(*names, dates, active_since),
-        ops.processed_deliveries(*names, daily, dates, active_since, by_day),
+    missing = ops.missing_deliveries(
+        brokers, accounts, users, customers, daily, dates, active_since, by_day
     )
     return missing.select(
         F.lit(process_server).alias("ProcessServer"),

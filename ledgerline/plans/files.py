@@ -11,7 +11,7 @@ from ledgerline.operators import blocks, masking, search, sections
 from ledgerline.operators.masking import Layout
 from ledgerline.sinks.text import write_lines, write_scanned_lines
 from ledgerline.sources.archives import zip_lines
-from ledgerline.sources.lines import list_files, read_lines, read_numbered_lines
+from ledgerline.sources.lines import read_counted_lines, read_lines, read_numbered_lines
 
 
 def mask_files(
@@ -77,10 +77,9 @@ def extract_customer(lines: DataFrame, code: str, **options) -> Extract:
 def extract_customer_files(
     spark: SparkSession, mask: str, path: str, codes: Sequence[str], out: str, **options
 ) -> DataFrame:
-    """Write each customer's records to ``out/src=.../code=.../`` and return the status."""
-    lines = read_numbered_lines(spark, mask, path, names="name")
-    files = list_files(spark, mask, path).selectExpr("name as src")
-    extract = extract_customers(lines, codes, sources=files, **options)
+    """Write each customer's records below ``out/src=.../code=.../`` and return the status."""
+    read = read_counted_lines(spark, mask, path, names="name")
+    extract = extract_customers(read.lines, codes, sources=read.counts, **options)
     write_lines(extract.export, out, ("src", "code"))
     return extract.status
 
@@ -88,10 +87,11 @@ def extract_customer_files(
 def split_files(
     spark: SparkSession, mask: str, path: str, out: str, header: int = 0, trailer: int = 0
 ) -> DataFrame:
-    """Write the sections of all matching files to ``out/src=.../section=.../``; return counts."""
-    lines = read_numbered_lines(spark, mask, path, names="name")
-    write_lines(sections.split_sections(lines, header, trailer), out, ("src", "section"))
-    return sections.section_counts(lines, header, trailer)
+    """Write the sections of all matching files below ``out/src=.../section=.../``; return counts."""
+    read = read_counted_lines(spark, mask, path, names="name")
+    split = sections.split_sections(read.lines, header, trailer, counts=read.counts)
+    write_lines(split, out, ("src", "section"))
+    return sections.section_counts(read.lines, header, trailer, read.counts)
 
 
 def search_files(spark: SparkSession, mask: str, path: str, pattern: str) -> DataFrame:

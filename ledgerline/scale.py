@@ -26,6 +26,7 @@ HOT_SHARE = ("spark.ledgerline.hotKeyShare", 0.001)
 HOT_ROWS = ("spark.ledgerline.hotKeyRows", 100_000)
 SALTS = ("spark.ledgerline.salts", 64)
 
+_WIDE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 _SALT = "__salt"
 _HOT = "__hot"
 
@@ -69,6 +70,18 @@ class Staged:
     bytes: int
     metrics: Mapping[str, Any] = field(default_factory=dict)
 
+    def narrowed(self, *columns: str) -> Staged:
+        """Some fixed-width columns of the table, with the size they alone have."""
+        df = self.df.select(*columns)
+        return Staged(df, self.rows, self.rows * fixed_row_bytes(df), self.metrics)
+
+
+def fixed_row_bytes(df: DataFrame) -> int:
+    """Upper estimate of the memory one row of fixed-width columns needs in a hash table."""
+    if any(isinstance(f.dataType, _WIDE) for f in df.schema.fields):
+        raise TypeError("a column has no fixed width")
+    return 48 + 16 * len(df.columns)
+
 
 def row_bytes(df: DataFrame) -> Column:
     """Upper estimate of the memory one row of plain columns needs in a hash table."""

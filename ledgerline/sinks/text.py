@@ -1,29 +1,44 @@
-"""Writing lines as text folders, one per source, and reading them back in order."""
+"""Writing lines as text folders, one per source, and reading them back in order.
+
+Below the folder of a source there is one folder per block of its lines, ``block=<number>``, the
+number padded with zeros, and in it one part file. All part files of a source in order of their paths
+hold its lines in order. Blocks bound the work of a task, so a source with most of the lines is
+written by many tasks.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.ranges import BUCKET_LINES, bucket_of
 from ledgerline.sources.lines import number_scanned, pin_splits
 
+_DIGITS = 18
+
+
+def _padded(number: Column) -> Column:
+    return F.lpad(number.cast("string"), _DIGITS, "0")
+
 
-def write_lines(lines: DataFrame, out: str, by: Sequence[str] = ("src",)) -> None:
-    """Write numbered lines to ``out/src=.../``, with one more level per further ``by`` column.
+def write_lines(
+    lines: DataFrame, out: str, by: Sequence[str] = ("src",), width: int = BUCKET_LINES
+) -> None:
+    """Write numbered lines to ``out/src=.../block=.../``, with a folder level per ``by`` column.
 
-    Rows are range-partitioned on the folder columns and ``line_no``, so a source with most of the
-    lines is written by many tasks; its part files in order of their number give the line order.
-    Folder names are escaped by Spark. The input folder is never written to.
+    One shuffle on folder and block, each block ``width`` line numbers long; the lines are computed
+    once, which a range partitioning with its sampling pass would not do. Folder names are escaped
+    by Spark. The input folder is never written to.
     """
-    keys = [*by, "line_no"]
+    folders = [*by, "block"]
     (
-        lines.select(*keys, "line")
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .select(*by, "line")
-        .write.partitionBy(*by)
+        lines.select(*by, _padded(bucket_of("line_no", width)).alias("block"), "line_no", "line")
+        .repartition(*folders)
+        .sortWithinPartitions(*folders, "line_no")
+        .select(*folders, "line")
+        .write.partitionBy(*folders)
         .text(out)
     )
 
@@ -32,39 +47,37 @@ def write_scanned_lines(lines: DataFrame, out: str) -> None:
     """Write lines straight from the tasks that read them, without a shuffle.
 
     Takes ``src``, ``block``, ``pos``, ``line`` of an unnumbered scan. Each input split becomes one
-    part file in ``out/src=.../block=.../``, so order of block is order of lines.
+    part file in ``out/src=.../block=.../``, the block being its first byte.
     """
-    keys = ["src", "block"]
+    folders = ["src", "block"]
     (
-        lines.select(*keys, "pos", "line")
-        .sortWithinPartitions(*keys, "pos")
-        .select(*keys, "line")
-        .write.partitionBy(*keys)
+        lines.select("src", _padded(F.col("block")).alias("block"), "pos", "line")
+        .sortWithinPartitions(*folders, "pos")
+        .select(*folders, "line")
+        .write.partitionBy(*folders)
         .text(out)
     )
 
 
 def read_written_lines(
-    spark: SparkSession, out: str, by: Sequence[str] = ("src",), block: bool = False
+    spark: SparkSession, out: str, by: Sequence[str] = ("src",)
 ) -> DataFrame:
-    """Read a folder of ``write_lines`` (or, with ``block``, ``write_scanned_lines``).
+    """Read a folder of ``write_lines`` or ``write_scanned_lines``.
 
     Gives the ``by`` columns, ``line_no`` counted anew from 1 within them, and ``line``. Like all
     numbering it counts the lines per file split in a pass of its own.
     """
     pin_splits(spark)
-    folders = [*by, "block"] if block else list(by)
-    types = [f"{c} bigint" if c == "block" else f"{c} string" for c in folders]
-    text = spark.read.schema(", ".join(["value string", *types])).text(out)
+    columns = ["value string", *[f"{c} string" for c in by], "block bigint"]
+    text = spark.read.schema(", ".join(columns)).text(out)
     meta = F.col("_metadata")
     scanned = text.select(
-        *folders,
-        F.regexp_extract(meta["file_name"], r"part-(\d+)", 1).cast("long").alias("part"),
+        *by,
+        "block",
         meta["file_path"].alias("f"),
         meta["file_block_start"].alias("split_start"),
         meta["file_block_length"].alias("size"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
     )
-    order = [*(["block"] if block else []), "part", "f", "split_start"]
-    return number_scanned(scanned, by, by, order)
+    return number_scanned(scanned, by, by, ["block", "f", "split_start"]).lines

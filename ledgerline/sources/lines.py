@@ -9,6 +9,7 @@ split its offset, and a second pass adds the position inside the split. Lines ar
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -133,6 +134,14 @@ def pin_splits(spark: SparkSession) -> None:
         spark.conf.set(_PIN, str(spark.sparkContext.defaultParallelism))
 
 
+@dataclass(frozen=True)
+class NumberedLines:
+    """Lines with ordinals, and how many ``lines`` each source has (known from the counting pass)."""
+
+    lines: DataFrame
+    counts: DataFrame
+
+
 def read_numbered_lines(
     spark: SparkSession,
     mask: str,
@@ -151,11 +160,34 @@ def read_numbered_lines(
     instead of numbering wrongly. ``unicode_breaks`` also breaks lines at vertical tab, form feed,
     U+001C to U+001E, U+0085, U+2028 and U+2029.
     """
+    return read_counted_lines(
+        spark,
+        mask,
+        path,
+        recursive=recursive,
+        encoding=encoding,
+        names=names,
+        unicode_breaks=unicode_breaks,
+    ).lines
+
+
+def read_counted_lines(
+    spark: SparkSession,
+    mask: str,
+    path: str,
+    *,
+    recursive: bool = False,
+    encoding: str = "UTF-8",
+    names: str = "path",
+    unicode_breaks: bool = False,
+) -> NumberedLines:
+    """``read_numbered_lines`` together with the line counts, which cost no further pass."""
     pin_splits(spark)
     scanned = _scan(spark, mask, path, recursive, encoding, names)
     if scanned is None:
-        return spark.createDataFrame([], LINES)
-    return number_scanned(scanned, ["src"], ["f"], ["split_start"], unicode_breaks)
+        nothing = spark.createDataFrame([], LINES)
+        return NumberedLines(nothing, spark.createDataFrame([], "src string, lines bigint"))
+    return number_scanned(scanned, ["src"], ["src", "f"], ["split_start"], unicode_breaks)
 
 
 def number_scanned(
@@ -164,36 +196,37 @@ def number_scanned(
     within: Sequence[str],
     order: Sequence[str],
     unicode_breaks: bool = False,
-) -> DataFrame:
+) -> NumberedLines:
     """Number the lines of a scan ``within`` some columns, its splits taken in ``order``.
 
     ``scanned`` has, besides these, ``f``, ``split_start``, ``size`` (the split), ``pos`` and
-    ``line``. The result has the ``keep`` columns, ``line_no`` and ``line``.
+    ``line``. The result has the ``keep`` columns, which are part of ``within``, ``line_no`` and
+    ``line``.
     """
     pieces = F.size(F.split("line", EXTRA_BREAKS, -1)) if unicode_breaks else F.lit(1)
     keyed = scanned.withColumn("split_key", F.xxhash64("f", "split_start", "size"))
-    counts = keyed.groupBy(*dict.fromkeys([*within, *order, "split_key"])).agg(
+    per_split = keyed.groupBy(*dict.fromkeys([*within, *order, "split_key"])).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(pieces.cast("long")).alias("out"),
         F.min("pos").alias("first_pos"),
     )
     before = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    splits = counts.select(
-        "split_key",
-        "n",
-        "first_pos",
-        F.coalesce(F.sum("out").over(before), F.lit(0)).cast("long").alias("offset"),
+    offset = F.coalesce(F.sum("out").over(before), F.lit(0)).cast("long")
+    splits = stage(
+        per_split.select(*keep, "out", "split_key", "n", "first_pos", offset.alias("offset")),
+        "line-counts",
     )
-    staged = stage(splits, "line-counts")
-    if staged.df.groupBy("split_key").count().filter("count > 1").take(1):
+    if splits.df.groupBy("split_key").count().filter("count > 1").take(1):
         raise ValueError("two file splits share one key")
-    joined = keyed.join(broadcast_if_small(staged), "split_key", "left")
+    counts = splits.df.groupBy(*keep).agg(F.sum("out").alias("lines"))
+    placed = splits.narrowed("split_key", "n", "first_pos", "offset")
+    joined = keyed.join(broadcast_if_small(placed), "split_key", "left")
     inside = F.col("pos") - F.col("first_pos")
     sound = (inside >= 0) & (inside < F.col("n"))
     changed = F.raise_error(F.lit("the files were cut differently in two passes")).cast("long")
     if not unicode_breaks:
         number = F.when(sound, F.col("offset") + inside + 1).otherwise(changed)
-        return joined.select(*keep, number.alias("line_no"), "line")
+        return NumberedLines(joined.select(*keep, number.alias("line_no"), "line"), counts)
     # A running sum inside one split; the split size bounds the group.
     earlier = (
         Window.partitionBy("split_key").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -202,11 +235,12 @@ def number_scanned(
         "ahead", F.coalesce(F.sum(F.size("parts")).over(earlier), F.lit(0))
     )
     first = F.when(sound, F.col("offset") + F.col("ahead") + 1).otherwise(changed)
-    return (
+    lines = (
         cut.withColumn("first_no", first)
         .select(*keep, "first_no", F.posexplode("parts").alias("at", "line"))
         .select(*keep, (F.col("first_no") + F.col("at")).alias("line_no"), "line")
     )
+    return NumberedLines(lines, counts)
 
 
 def explode_lines(
@@ -216,6 +250,7 @@ def explode_lines(
 
     Lines end at LF, CR or CRLF; a final line end adds no line and an empty text has none.
     """
+    # The split stays inside the generator: as a column of its own it would also become a filter.
     return table.select(
         F.col(src).cast("string").alias("src"),
         F.posexplode(text_lines(F.col(text), unicode_breaks)).alias("at", "line"),

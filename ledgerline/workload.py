@@ -67,7 +67,7 @@ def lines_from_documents(spark, sf_dir):
 
 @query
 def lines_from_files(spark, sf_dir):
-    lines = read_lines(spark, "*/*.txt", _feed_folder(spark, sf_dir))
+    lines = read_lines(spark, "*/*/*.txt", _feed_folder(spark, sf_dir))
     return lines.select(_source_of(F.col("src")).alias("src"), "line")
 
 
@@ -79,7 +79,7 @@ def lines_numbered(spark, sf_dir):
 @query
 def lines_numbered_per_file(spark, sf_dir):
     """Numbers of each file are 1 to n: their count and sum, added up per source."""
-    lines = read_numbered_lines(spark, "*/*.txt", _feed_folder(spark, sf_dir))
+    lines = read_numbered_lines(spark, "*/*/*.txt", _feed_folder(spark, sf_dir))
     per_file = lines.groupBy("src").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("line_no").alias("total"),
@@ -93,7 +93,7 @@ def lines_numbered_per_file(spark, sf_dir):
 
 @query
 def file_sizes(spark, sf_dir):
-    listed = list_files(spark, "*.txt", _feed_folder(spark, sf_dir) + "/*")
+    listed = list_files(spark, "*.txt", _feed_folder(spark, sf_dir) + "/*/*")
     return listed.groupBy(_source_of(F.col("src")).alias("src")).agg(F.sum("bytes").alias("bytes"))
 
 
@@ -187,18 +187,18 @@ def mask_round_trip(spark, sf_dir):
 def mask_files_in_place(spark, sf_dir):
     """Masked copies written by the reading tasks, without a shuffle, and read back."""
     out = new_shared_path(spark, "masked-files")
-    lines = read_lines(spark, "*/*.txt", _feed_folder(spark, sf_dir))
-    part = F.regexp_extract("src", r"part-(\d+)", 1)
+    lines = read_lines(spark, "*/*/*.txt", _feed_folder(spark, sf_dir))
+    part = F.regexp_extract("src", r"/block=(\d+)/", 1)
     named = lines.withColumn("src", F.concat(_source_of(F.col("src")), F.lit("#"), part))
     write_scanned_lines(masking.mask_fixed(named), out)
-    copies = read_written_lines(spark, out, block=True)
+    copies = read_written_lines(spark, out)
     return copies.select(F.substring_index("src", "#", 1).alias("src"), "line")
 
 
 @query
 def mask_streamed(spark, sf_dir):
     """Files masked by a streaming query that handles all that is there and stops."""
-    lines = stream_lines(spark, _feed_folder(spark, sf_dir) + "/*")
+    lines = stream_lines(spark, _feed_folder(spark, sf_dir) + "/*/*")
     named = lines.withColumn("src", _source_of(F.col("src")))
     out = new_shared_path(spark, "masked-stream")
     writer = mask_stream(named, _layouts(), out, new_shared_path(spark, "stream-state"))

@@ -163,12 +163,16 @@ def test_written_lines_come_back_in_order(spark, tmp_path, parts):
         "if(id % 3 = 0, 'a/b c=%', concat('s', id % 5)) src", "id * 7919 % 20000 line_no",
         "concat('l', id * 7919 % 20000) line",
     )
-    write_lines(lines.repartition(parts), str(tmp_path / "out"))
+    write_lines(lines.repartition(parts), str(tmp_path / "out"), width=3000)
     back = read_written_lines(spark, str(tmp_path / "out"))
     expected = lines.selectExpr(
         "src", "cast(row_number() over (partition by src order by line_no) as bigint) line_no", "line"
     )
     assert back.exceptAll(expected).count() == 0 and back.count() == 20000
+    folder = tmp_path / "out" / "src=s1"
+    joined = "".join(p.read_text() for p in sorted(folder.glob("*/part-*")))
+    wanted = [r["line"] for r in expected.filter("src = 's1'").orderBy("line_no").collect()]
+    assert joined.splitlines() == wanted
 
 
 def test_scanned_lines_are_copied_without_shuffle_and_in_order(spark, settings, tmp_path):
@@ -178,7 +182,7 @@ def test_scanned_lines_are_copied_without_shuffle_and_in_order(spark, settings,
     write(tmp_path / "in", a="\n".join(str(i) for i in range(9000)), b="x\ny")
     lines = read_lines(spark, "*", str(tmp_path / "in"), names="name")
     write_scanned_lines(lines, str(tmp_path / "out"))
-    back = read_written_lines(spark, str(tmp_path / "out"), block=True)
+    back = read_written_lines(spark, str(tmp_path / "out"))
     expected = [("a.txt", i + 1, str(i)) for i in range(9000)]
     assert numbered(back) == sorted([*expected, ("b.txt", 1, "x"), ("b.txt", 2, "y")])
     plan = lines._jdf.queryExecution().executedPlan().toString()
