@@ -23,6 +23,8 @@ AS_OF = dt.date(2001, 7, 28)
 LOOKBACK_DAYS = 7
 DOCUMENTS_PER_ARCHIVE = 250
 _CUSTOMERS_PER_BUCKET = 1 << 16
+# Keeps the parts of the map in order for any number of customers.
+_STEP = 10**15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,13 +128,13 @@ def id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_custkey as seq", "c_custkey as old_id", "c_custkey + 1 as new_id"
         ),
         customer.filter("c_custkey % 10 in (5, 6)").selectExpr(
-            "1000000 - c_custkey as seq", "c_custkey as old_id", "c_custkey + 1 as new_id"
+            f"{_STEP} - c_custkey as seq", "c_custkey as old_id", "c_custkey + 1 as new_id"
         ),
         customer.filter("c_custkey % 10 in (0, 3)").selectExpr(
-            "2000000 + c_custkey as seq", "c_custkey as old_id", "c_custkey + 2 as new_id"
+            f"{2 * _STEP} + c_custkey as seq", "c_custkey as old_id", "c_custkey + 2 as new_id"
         ),
         customer.filter("c_custkey % 100 = 8").selectExpr(
-            "3000000 + c_custkey as seq", "c_custkey as old_id", "cast(null as bigint) as new_id"
+            f"{3 * _STEP} + c_custkey as seq", "c_custkey as old_id", "cast(null as bigint) as new_id"
         ),
     ]
     united = parts[0]

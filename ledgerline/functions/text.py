@@ -73,9 +73,9 @@ def mask_ranges(line: Column, ranges: Iterable[Sequence[int]] = DEFAULT_RANGES)
     return F.concat(*pieces, _slice(line, done))
 
 
-def ranges_text(line: Column, ranges: Iterable[Sequence[int]] = DEFAULT_RANGES) -> Column:
-    """The characters of ``line`` that ``mask_ranges`` looks at."""
-    return F.concat(*[_slice(line, s, e - s + 1) for s, e in merge_ranges(ranges)])
+def ranges_chars(line: Column, ranges: Iterable[Sequence[int]] = DEFAULT_RANGES) -> Column:
+    """How many characters ``mask_ranges`` replaces."""
+    return maskable_chars(F.concat(*[_slice(line, s, e - s + 1) for s, e in merge_ranges(ranges)]))
 
 
 def split_literal(text: Column, delimiter: str) -> Column:
@@ -96,9 +96,41 @@ def _wanted(columns: Iterable[int]) -> list[int]:
     return wanted
 
 
+def _runs(columns: Iterable[int]) -> list[tuple[int, int]]:
+    """Field numbers as runs of neighbours, first and last included."""
+    return merge_ranges((c, c) for c in _wanted(columns))
+
+
+def _cuttable(delimiter: str) -> bool:
+    """Whether fields can be cut out and masked with the delimiters between them in place."""
+    return len(delimiter) == 1 and delimiter not in LETTERS + DIGITS
+
+
+def _cut_fields(line: Column, delimiter: str, columns: Iterable[int]) -> list[tuple[bool, Column]]:
+    """The line in pieces, each with whether it is a run of wanted fields and their delimiters."""
+    pieces: list[tuple[bool, Column]] = []
+    done = F.lit(0)
+    for first, last in _runs(columns):
+        before = F.length(F.substring_index(line, delimiter, first)) if first else F.lit(0)
+        through = F.length(F.substring_index(line, delimiter, last + 1))
+        if first:
+            pieces.append((False, F.substring(line, done + 1, before - done)))
+        pieces.append((True, F.substring(line, before + 1, through - before)))
+        done = through
+    pieces.append((False, F.substring(line, done + 1, F.lit(_TO_END))))
+    return pieces
+
+
 def mask_fields(line: Column, delimiter: str, columns: Iterable[int] = DEFAULT_FIELDS) -> Column:
-    """Mask the 0-based ``columns`` of a literally delimited line; absent fields are ignored."""
+    """Mask the 0-based ``columns`` of a literally delimited line; absent fields are ignored.
+
+    With a usual delimiter only the runs of wanted fields are cut out; one that has letters or
+    digits, or several characters, needs the line split into all its fields.
+    """
     wanted = _wanted(columns)
+    if delimiter and _cuttable(delimiter):
+        pieces = _cut_fields(line, delimiter, wanted)
+        return F.concat(*[mask_text(piece) if masked else piece for masked, piece in pieces])
     fields = F.transform(
         split_literal(line, delimiter),
         lambda value, i: F.when(i.isin(wanted), mask_text(value)).otherwise(value),
@@ -106,11 +138,14 @@ def mask_fields(line: Column, delimiter: str, columns: Iterable[int] = DEFAULT_F
     return F.array_join(fields, delimiter)
 
 
-def fields_text(line: Column, delimiter: str, columns: Iterable[int] = DEFAULT_FIELDS) -> Column:
-    """The characters of ``line`` that ``mask_fields`` looks at."""
+def fields_chars(line: Column, delimiter: str, columns: Iterable[int] = DEFAULT_FIELDS) -> Column:
+    """How many characters ``mask_fields`` replaces."""
     wanted = _wanted(columns)
+    if delimiter and _cuttable(delimiter):
+        pieces = _cut_fields(line, delimiter, wanted)
+        return maskable_chars(F.concat(*[piece for masked, piece in pieces if masked]))
     fields = F.filter(split_literal(line, delimiter), lambda _, i: i.isin(wanted))
-    return F.array_join(fields, "")
+    return maskable_chars(F.array_join(fields, ""))
 
 
 def collapse_whitespace(text: Column) -> Column:

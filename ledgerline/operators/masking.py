@@ -49,10 +49,10 @@ class Layout:
 
     def masked_chars(self, line: Column) -> Column:
         if self.kind == "F":
-            looked_at = tx.ranges_text(line, self.ranges)
+            chars = tx.ranges_chars(line, self.ranges)
         else:
-            looked_at = tx.fields_text(line, self.delimiter, self.columns)
-        return F.when(self.applies(line), tx.maskable_chars(looked_at)).otherwise(F.lit(0))
+            chars = tx.fields_chars(line, self.delimiter, self.columns)
+        return F.when(self.applies(line), chars).otherwise(F.lit(0))
 
 
 def fixed(ranges=tx.DEFAULT_RANGES, row_prefix: str | None = None, src_pattern: str = "") -> Layout:

@@ -160,9 +160,9 @@ missing as (select * from expected except select * from processed)
 _MAP = """
 m as (
  select cast(c_custkey as bigint) seq, c_custkey old_id, c_custkey+1 new_id from customer where c_custkey%10 in (0,1)
- union all select 1000000-c_custkey, c_custkey, c_custkey+1 from customer where c_custkey%10 in (5,6)
- union all select 2000000+c_custkey, c_custkey, c_custkey+2 from customer where c_custkey%10 in (0,3)
- union all select 3000000+c_custkey, c_custkey, cast(null as bigint) from customer where c_custkey%100=8),
+ union all select 1000000000000000-c_custkey, c_custkey, c_custkey+1 from customer where c_custkey%10 in (5,6)
+ union all select 2000000000000000+c_custkey, c_custkey, c_custkey+2 from customer where c_custkey%10 in (0,3)
+ union all select 3000000000000000+c_custkey, c_custkey, cast(null as bigint) from customer where c_custkey%100=8),
 nx as (select a.seq, a.old_id, a.new_id, min(b.seq) nseq from m a left join m b
        on b.old_id = a.new_id and b.seq > a.seq group by a.seq, a.old_id, a.new_id),
 chain as (

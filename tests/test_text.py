@@ -1,6 +1,7 @@
 """Hand-made cases of masking, whitespace and paths."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,36 @@ def test_empty_fields_are_kept(spark):
     assert texts(masking.mask_delimited(lines(spark, "D1,,a,,"), ",", [2])) == ["D1,,X,,"]
 
 
+@pytest.mark.parametrize("delimiter", ["|", ",", "x", "||", "1", "ab"])
+@pytest.mark.parametrize("columns", [(0,), (1, 2), (0, 2, 3, 6), (5, 6, 7, 8), (4,)])
+def test_random_fields_equal_a_plain_split(spark, delimiter, columns):
+    rng = random.Random(f"{delimiter}{columns}")
+    alphabet = ["a", "Z", "7", "é", "-", "", delimiter, delimiter]
+    given = ["".join(rng.choices(alphabet, k=rng.randrange(20))) for _ in range(60)]
+    plain = str.maketrans(
+        tx.LETTERS + tx.DIGITS, "X" * len(tx.LETTERS) + "9" * len(tx.DIGITS)
+    )
+
+    def expected(line):
+        fields = line.split(delimiter)
+        return delimiter.join(
+            f.translate(plain) if i in columns else f for i, f in enumerate(fields)
+        )
+
+    def replaced(line):
+        return sum(
+            c in tx.LETTERS + tx.DIGITS
+            for i, f in enumerate(line.split(delimiter)) if i in columns
+            for c in f
+        )
+
+    frame = lines(spark, *given)
+    got = texts(masking.mask_delimited(frame, delimiter, columns, row_prefix=None))
+    assert got == [expected(line) for line in given]
+    audit = masking.mask_audit(frame, [masking.delimited(delimiter, columns, row_prefix=None)])
+    assert audit.first()["chars_masked"] == sum(map(replaced, given))
+
+
 def test_unknown_structure_and_missing_delimiter_are_errors():
     with pytest.raises(ValueError):
         masking.Layout("X")
