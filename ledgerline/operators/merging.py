@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,27 @@ _HIT = "__hit"
 AUDIT_COLUMNS = ("rows_in", "updated", "deleted", "rows_out")
 
 
-def _matched(table: DataFrame, resolved: Staged, key: str) -> DataFrame:
-    """Table rows with whether their key is an old id, and the id it becomes.
+@dataclass(frozen=True)
+class Matched:
+    """A table joined to a resolved map: its rows with whether the key is an old id, and its final id.
 
     The flag is needed beside the id because an id may become null.
     """
+
+    table: DataFrame
+    rows: DataFrame
+    key: str
+
+    def with_key(self, changes: Column, keep: Column | None = None) -> DataFrame:
+        """The table in its own shape, with the final id as key where ``changes`` holds."""
+        final = F.col(_FINAL).cast(self.table.schema[self.key].dataType)
+        new = F.when(changes, final).otherwise(F.col(self.key)).alias(self.key)
+        kept = self.rows if keep is None else self.rows.filter(keep)
+        return kept.select(*[new if c == self.key else F.col(c) for c in self.table.columns])
+
+
+def match(table: DataFrame, resolved: Staged, key: str = "GUID") -> Matched:
+    """Look up the key of every row; a row without an old id stays."""
     renamed = Staged(
         resolved.df.select(
             F.col("old_id").alias(_ID), F.col("final_id").alias(_FINAL), F.lit(True).alias(_HIT)
@@ -27,24 +45,8 @@ def _matched(table: DataFrame, resolved: Staged, key: str) -> DataFrame:
         resolved.bytes,
     )
     keyed = table.withColumn(_ID, normal_id(F.col(key), table.schema[key].dataType))
-    return skew_join(keyed, renamed, [_ID], "left").withColumn(
-        _HIT, F.coalesce(_HIT, F.lit(False))
-    )
-
-
-def _new_key(table: DataFrame, key: str, changes: Column) -> Column:
-    final = F.col(_FINAL).cast(table.schema[key].dataType)
-    return F.when(changes, final).otherwise(F.col(key)).alias(key)
-
-
-def _shape(table: DataFrame, matched: DataFrame, key: str, changes: Column) -> DataFrame:
-    columns = [_new_key(table, key, changes) if c == key else F.col(c) for c in table.columns]
-    return matched.select(*columns)
-
-
-def repoint(table: DataFrame, resolved: Staged, key: str = "GUID") -> DataFrame:
-    """Replace old ids in ``key`` by their final ids; all other columns pass through."""
-    return _shape(table, _matched(table, resolved, key), key, F.col(_HIT))
+    joined = skew_join(keyed, renamed, [_ID], "left")
+    return Matched(table, joined.withColumn(_HIT, F.coalesce(_HIT, F.lit(False))), key)
 
 
 def _zero(balance: str) -> Column:
@@ -55,27 +57,23 @@ def _not_zero(balance: str) -> Column:
     return F.coalesce(F.col(balance) != 0, F.lit(False))
 
 
-def repoint_balances(
-    table: DataFrame, resolved: Staged, key: str = "GUID", balance: str = "Balance"
-) -> DataFrame:
+def repoint(matched: Matched) -> DataFrame:
+    """Replace old ids by their final ids; all other columns pass through."""
+    return matched.with_key(F.col(_HIT))
+
+
+def repoint_balances(matched: Matched, balance: str = "Balance") -> DataFrame:
     """Re-point rows with a balance, delete old-id rows with balance 0, keep null balances."""
-    matched = _matched(table, resolved, key).filter(~(F.col(_HIT) & _zero(balance)))
-    return _shape(table, matched, key, F.col(_HIT) & _not_zero(balance))
+    hit = F.col(_HIT)
+    return matched.with_key(hit & _not_zero(balance), ~(hit & _zero(balance)))
 
 
-def remove(table: DataFrame, resolved: Staged, key: str = "GUID") -> DataFrame:
+def remove(matched: Matched) -> DataFrame:
     """Delete the rows whose key is an old id."""
-    return _shape(table, _matched(table, resolved, key).filter(~F.col(_HIT)), key, F.lit(False))
+    return matched.with_key(F.lit(False), ~F.col(_HIT))
 
 
-def audit(
-    table: DataFrame,
-    resolved: Staged,
-    name: str,
-    change: str,
-    key: str = "GUID",
-    balance: str = "Balance",
-) -> DataFrame:
+def audit(matched: Matched, name: str, change: str, balance: str = "Balance") -> DataFrame:
     """One row of counts for a table: rows in, updated, deleted, out. Reads key and balance only.
 
     ``change`` is ``repoint``, ``balances`` or ``remove``.
@@ -87,8 +85,7 @@ def audit(
         "balances": (hit & _not_zero(balance), hit & _zero(balance)),
         "remove": (never, hit),
     }[change]
-    needed = [key, balance] if change == "balances" else [key]
-    counted = _matched(table.select(*needed), resolved, key).agg(
+    counted = matched.rows.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(updated).alias("updated"),
         F.count_if(deleted).alias("deleted"),

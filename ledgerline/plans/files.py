@@ -1,4 +1,8 @@
-"""Jobs on text files and archives, from an input mask to results or output folders."""
+"""Jobs on text files and archives, from an input mask to results or output folders.
+
+Outputs are folders per source, named by the path of the file below the input folder; inputs are
+never written to, so a second run sees the same files.
+"""
 
 from __future__ import annotations
 
@@ -28,7 +32,7 @@ def mask_files(
 
     One pass over the files, without a shuffle, writes the copies; the audit is lazy.
     """
-    lines = read_lines(spark, mask, path, recursive=recursive, encoding=encoding, names="name")
+    lines = read_lines(spark, mask, path, recursive=recursive, encoding=encoding, names="relative")
     write_scanned_lines(masking.mask_by_layout(lines, layouts), out)
     return masking.mask_audit(lines, layouts)
 
@@ -78,7 +82,7 @@ def extract_customer_files(
     spark: SparkSession, mask: str, path: str, codes: Sequence[str], out: str, **options
 ) -> DataFrame:
     """Write each customer's records below ``out/src=.../code=.../`` and return the status."""
-    read = read_counted_lines(spark, mask, path, names="name")
+    read = read_counted_lines(spark, mask, path, names="relative")
     extract = extract_customers(read.lines, codes, sources=read.counts, **options)
     write_lines(extract.export, out, ("src", "code"))
     return extract.status
@@ -88,7 +92,7 @@ def split_files(
     spark: SparkSession, mask: str, path: str, out: str, header: int = 0, trailer: int = 0
 ) -> DataFrame:
     """Write the sections of all matching files below ``out/src=.../section=.../``; return counts."""
-    read = read_counted_lines(spark, mask, path, names="name")
+    read = read_counted_lines(spark, mask, path, names="relative")
     split = sections.split_sections(read.lines, header, trailer, counts=read.counts)
     write_lines(split, out, ("src", "section"))
     return sections.section_counts(read.lines, header, trailer, read.counts)

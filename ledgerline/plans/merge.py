@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import idmap, merging
-from ledgerline.scale import Staged
+from ledgerline.operators.merging import Matched
 from ledgerline.sinks.versions import write_version
 
 COMMITTED = "COMMITTED"
@@ -34,26 +35,20 @@ class MergeResult:
     version: str | None = None
 
 
+# How each table changes.
+CHANGES = {
+    "trades": "repoint",
+    "daily_process": "balances",
+    "archive": "repoint",
+    "holdings": "remove",
+}
+
+
 def merge_audit(
-    trades: DataFrame,
-    daily: DataFrame,
-    archive: DataFrame,
-    holdings: DataFrame,
-    resolved: Staged,
-    map_entries: int,
-    key: str = "GUID",
-    balance: str = "Balance",
+    matched: Mapping[str, Matched], map_entries: int, balance: str = "Balance"
 ) -> DataFrame:
     """Counts per table; each table is scanned for its key (and balance) only."""
-    counted = [
-        merging.audit(table, resolved, name, change, key, balance)
-        for name, table, change in (
-            ("trades", trades, "repoint"),
-            ("daily_process", daily, "balances"),
-            ("archive", archive, "repoint"),
-            ("holdings", holdings, "remove"),
-        )
-    ]
+    counted = [merging.audit(m, name, CHANGES[name], balance) for name, m in matched.items()]
     return reduce(DataFrame.unionByName, counted).select(
         "table_name",
         F.lit(map_entries).cast("long").alias("map_entries"),
@@ -85,15 +80,17 @@ def merge_ids(
         raise ValueError("commit needs an output folder")
     entries = idmap.stage_entries(id_map, allow_self)
     resolved = idmap.resolve_entries(entries)
+    matched = {
+        name: merging.match(table, resolved, key)
+        for name, table in zip(CHANGES, (trades, daily, archive, holdings))
+    }
     tables = {
-        "trades": merging.repoint(trades, resolved, key),
-        "daily": merging.repoint_balances(daily, resolved, key, balance),
-        "archive": merging.repoint(archive, resolved, key),
-        "holdings": merging.remove(holdings, resolved, key),
+        "trades": merging.repoint(matched["trades"]),
+        "daily": merging.repoint_balances(matched["daily_process"], balance),
+        "archive": merging.repoint(matched["archive"]),
+        "holdings": merging.remove(matched["holdings"]),
     }
-    counts = merge_audit(
-        trades, daily, archive, holdings, resolved, entries.rows, key, balance
-    )
+    counts = merge_audit(matched, entries.rows, balance)
     version = write_version(tables, out) if commit else None
     return MergeResult(
         **tables,

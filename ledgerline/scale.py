@@ -22,13 +22,12 @@ from pyspark.sql import types as T
 
 # Settings a user may put on the session; the values here apply when they are unset.
 BROADCAST_BYTES = ("spark.ledgerline.broadcastBytes", 64 * 1024 * 1024)
-HOT_SHARE = ("spark.ledgerline.hotKeyShare", 0.001)
-HOT_ROWS = ("spark.ledgerline.hotKeyRows", 100_000)
-SALTS = ("spark.ledgerline.salts", 64)
+HOT_SHARE = ("spark.ledgerline.hotKeyShare", 0.00001)
+HOT_ROWS = ("spark.ledgerline.hotKeyRows", 1_000_000)
 
 _WIDE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 _SALT = "__salt"
-_HOT = "__hot"
+_SALTS = "__salts"
 
 
 def setting(spark: SparkSession, option: tuple[str, Any]) -> Any:
@@ -125,20 +124,23 @@ def broadcast_if_small(staged: Staged) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> Staged:
-    """Key values that hold more than a fixed share of the rows of ``df``, NULL included.
+    """Keys with many rows in ``df``, NULL included, and over how many groups to deal their rows.
 
-    The result has at most 1/share rows whatever the size of ``df``. The count behind it is combined
-    map-side, so a hot key never travels as rows, and only counts worth a second look are written.
+    A key is hot with more than a fixed share of all rows, so there are at most 1/share of them
+    whatever the size of ``df``, and at least ``HOT_ROWS`` rows, which is also the size of a group.
+    The count is combined map-side, so a hot key never travels as rows, and only counts worth a
+    second look are written.
     """
     spark = df.sparkSession
+    group = setting(spark, HOT_ROWS)
+    n = F.col("__n")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     seen = Observation()
-    heavy = counts.observe(seen, F.sum("__n").alias("total")).filter(
-        F.col("__n") >= F.lit(setting(spark, HOT_ROWS))
-    )
+    heavy = counts.observe(seen, F.sum("__n").alias("total")).filter(n >= group)
     staged = stage(heavy, "key-counts")
     floor = (seen.get["total"] or 0) * setting(spark, HOT_SHARE)
-    return stage(staged.df.filter(F.col("__n") > F.lit(floor)).select(*keys), "hot-keys")
+    salts = F.ceil(n / group).cast("int").alias(_SALTS)
+    return stage(staged.df.filter(n > floor).select(*keys, salts), "hot-keys")
 
 
 def skew_join(left: DataFrame, right: Staged, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -146,9 +148,9 @@ def skew_join(left: DataFrame, right: Staged, keys: Sequence[str], how: str = "l
 
     ``how`` is any join type that keeps or drops left rows (inner, left, left_semi, left_anti).
     A right side of proven small size is broadcast and the left side does not move. Otherwise the
-    rows of each hot left key (NULL included) are dealt over ``SALTS`` groups by the id of the task
-    that holds them, which stays the same when a task is retried, and only the right rows of those
-    keys are repeated, once per group.
+    rows of each hot left key (NULL included) are dealt over groups by the id of the task that holds
+    them, which stays the same when a task is retried, and only the right rows of those keys are
+    repeated, once per group.
     """
     keys = list(keys)
     if is_small(right):
@@ -156,19 +158,15 @@ def skew_join(left: DataFrame, right: Staged, keys: Sequence[str], how: str = "l
     found = hot_keys(left, keys)
     if not found.rows:
         return left.join(right.df, keys, how)
-    salts = setting(left.sparkSession, SALTS)
-    hot = F.broadcast(found.df.withColumn(_HOT, F.lit(True)))
+    hot = broadcast_if_small(found)
+    groups = F.coalesce(F.col(_SALTS), F.lit(1))
 
     def marked(side: DataFrame) -> DataFrame:
         same = [side[k].eqNullSafe(hot[k]) for k in keys]
         return side.join(hot, same, "left").drop(*[hot[k] for k in keys])
 
-    salted = marked(left).withColumn(
-        _SALT,
-        F.when(F.col(_HOT), F.spark_partition_id() % F.lit(salts)).otherwise(F.lit(0)),
-    ).drop(_HOT)
-    copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+    salted = marked(left).withColumn(_SALT, F.spark_partition_id() % groups)
+    repeated = marked(right.df).withColumn(_SALT, F.explode(F.sequence(F.lit(0), groups - 1)))
+    return (
+        salted.drop(_SALTS).join(repeated.drop(_SALTS), [*keys, _SALT], how).drop(_SALT)
     )
-    repeated = marked(right.df).withColumn(_SALT, F.explode(copies)).drop(_HOT)
-    return salted.join(repeated, [*keys, _SALT], how).drop(_SALT)

@@ -20,6 +20,7 @@ from ledgerline.scale import broadcast_if_small, stage
 
 LINES = "src string, line_no bigint, line string"
 _SCAN = "src string, block bigint, pos bigint, line string"
+_TO_END = 2147483647
 _PIN = "spark.sql.files.minPartitionNum"
 _PINS = (_PIN, "spark.sql.leafNodeDefaultParallelism")
 
@@ -75,6 +76,25 @@ def _decoded(value: Column, encoding: str) -> Column:
     return F.decode(value.cast("binary"), charset)
 
 
+def _source_name(spark: SparkSession, names: str, folder: str) -> Column:
+    """How a source is called: full ``path``, file ``name``, or path ``relative`` to the folder.
+
+    Plain names repeat if files of several folders are read. A folder given as a wildcard has no
+    relative paths, so full paths stand in for them.
+    """
+    if names == "name":
+        return _decoded_path(F.col("_metadata.file_name"))
+    full = _decoded_path(F.col("_metadata.file_path"))
+    if names == "path":
+        return full
+    if names != "relative":
+        raise ValueError(f"unknown source naming: {names}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(source_path("", folder))
+    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = store.makeQualified(hadoop).toString() + "/"
+    return F.when(full.startswith(base), F.substring(full, len(base) + 1, _TO_END)).otherwise(full)
+
+
 def _scan(
     spark: SparkSession, mask: str, path: str, recursive: bool, encoding: str, names: str
 ) -> DataFrame | None:
@@ -84,8 +104,7 @@ def _scan(
     ``pos`` grows with the line inside one split. It is taken directly on the scan, before any
     filter, so that every pass over the same files sees the same values.
     """
-    if names not in ("path", "name"):
-        raise ValueError(f"unknown source naming: {names}")
+    source = _source_name(spark, names, path)
     reader = spark.read.option("recursiveFileLookup", recursive)
     try:
         text = reader.text(source_path(mask, path))
@@ -96,7 +115,7 @@ def _scan(
     meta = F.col("_metadata")
     return text.select(
         meta["file_path"].alias("f"),
-        _decoded_path(meta[f"file_{names}"]).alias("src"),
+        source.alias("src"),
         meta["file_block_start"].alias("split_start"),
         meta["file_block_length"].alias("size"),
         F.monotonically_increasing_id().alias("pos"),

@@ -376,34 +376,29 @@ def id_map_resolved(spark, sf_dir):
     return idmap.resolve_id_map(fx.id_map(spark, sf_dir)).df
 
 
-def _resolved(spark: SparkSession, sf_dir: str):
-    return idmap.resolve_id_map(fx.id_map(spark, sf_dir))
+def _matched(spark: SparkSession, sf_dir: str, name: str) -> merging.Matched:
+    resolved = idmap.resolve_id_map(fx.id_map(spark, sf_dir))
+    return merging.match(fx.merge_tables(spark, sf_dir)[name], resolved, "guid")
 
 
 @query
 def merge_trades(spark, sf_dir):
-    tables = fx.merge_tables(spark, sf_dir)
-    return merging.repoint(tables["trades"], _resolved(spark, sf_dir), "guid")
+    return merging.repoint(_matched(spark, sf_dir, "trades"))
 
 
 @query
 def merge_daily_process(spark, sf_dir):
-    tables = fx.merge_tables(spark, sf_dir)
-    return merging.repoint_balances(
-        tables["daily"], _resolved(spark, sf_dir), "guid", "balance"
-    )
+    return merging.repoint_balances(_matched(spark, sf_dir, "daily"), "balance")
 
 
 @query
 def merge_archive(spark, sf_dir):
-    tables = fx.merge_tables(spark, sf_dir)
-    return merging.repoint(tables["archive"], _resolved(spark, sf_dir), "guid")
+    return merging.repoint(_matched(spark, sf_dir, "archive"))
 
 
 @query
 def merge_holdings(spark, sf_dir):
-    tables = fx.merge_tables(spark, sf_dir)
-    return merging.remove(tables["holdings"], _resolved(spark, sf_dir), "guid")
+    return merging.remove(_matched(spark, sf_dir, "holdings"))
 
 
 @query

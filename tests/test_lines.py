@@ -138,6 +138,26 @@ def test_equal_names_in_two_folders_are_numbered_apart(spark, tmp_path):
     assert sorted(r["line_no"] for r in frame.collect()) == [1, 1, 2, 2, 3, 3]
 
 
+def test_relative_names_tell_files_of_subfolders_apart(spark, tmp_path):
+    top = tmp_path / "t p" / "t p"
+    for sub in ("x", "y"):
+        os.makedirs(top / sub)
+        write(top / sub, a="1\n2")
+    write(top, a="3")
+    for given in (str(top), f"{top}\\", f"file:{top}"):
+        frame = read_numbered_lines(spark, "*", given, names="relative", recursive=True)
+        assert numbered(frame) == [
+            ("a.txt", 1, "3"), ("x/a.txt", 1, "1"), ("x/a.txt", 2, "2"),
+            ("y/a.txt", 1, "1"), ("y/a.txt", 2, "2"),
+        ]
+    write_scanned_lines(
+        read_lines(spark, "*", str(top), names="relative", recursive=True), str(tmp_path / "out")
+    )
+    assert numbered(read_written_lines(spark, str(tmp_path / "out"))) == numbered(frame)
+    with pytest.raises(ValueError):
+        read_lines(spark, "*", str(top), names="short")
+
+
 def test_lines_of_a_column(spark):
     table = spark.createDataFrame([(1, "a\nb\n"), (2, ""), (3, None), (4, "x\r\n\r\ny")], "id int, t string")
     assert numbered(explode_lines(table, "id", "t")) == [

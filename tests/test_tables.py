@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import deliveries, idmap, merging
+from ledgerline.operators import deliveries, idmap
 from ledgerline.plans.deliveries import exceptions_report
 from ledgerline.plans.merge import COMMITTED, NOT_COMMITTED, merge_ids
 from ledgerline.scale import HOT_ROWS, hot_keys, skew_join, stage
@@ -21,7 +21,6 @@ def shuffled(spark):
     names = {
         "spark.ledgerline.broadcastBytes": "0",
         "spark.ledgerline.hotKeyRows": "3",
-        "spark.ledgerline.salts": "4",
     }
     for name, value in names.items():
         spark.conf.set(name, value)
@@ -184,7 +183,8 @@ def test_skew_join_equals_plain_join(spark, shuffled, how):
 
 def test_hot_keys_are_spread(spark, shuffled):
     left = spark.range(4000).selectExpr("if(id % 2 = 0, 'hot', cast(id as string)) k").repartition(8)
-    assert [r["k"] for r in hot_keys(left, ["k"]).df.collect()] == ["hot"]
+    spark.conf.set(HOT_ROWS[0], 300)
+    assert [tuple(r) for r in hot_keys(left, ["k"]).df.collect()] == [("hot", 7)]
     spark.conf.set(HOT_ROWS[0], 1_000_000)
     assert hot_keys(left, ["k"]).rows == 0
 
@@ -281,3 +281,23 @@ def test_report_on_dates_and_wall_clock_times(spark):
             brokers, seen, users, customers, typed, [dt.date(2024, 1, 8), dt.date(2024, 1, 9)]
         )
         assert ("b1", "c7", dt.date(2024, 1, 9)) in {tuple(r) for r in got.collect()}
+
+
+def test_null_and_repeated_account_ids(spark):
+    brokers, accounts, users, customers, daily = report_inputs(spark)
+    extra = spark.createDataFrame(
+        [(None, 4, D(2024, 1, 9)), (10, 2, D(2024, 1, 9)), (17, None, D(2024, 1, 9))],
+        accounts.schema,
+    )
+    late = spark.createDataFrame([(None, D(2024, 1, 8))], daily.schema)
+    inputs = (brokers, accounts.union(extra), users, customers, daily.union(late))
+    dates = [dt.date(2024, 1, 8), dt.date(2024, 1, 9)]
+    got = exceptions_report(*inputs, AS_OF, 4).select("BrokerName", "CompanyName", "BusinessDate")
+    assert rows_of(got) == rows_of(plain_report(spark, inputs, dates, False))
+    steps = deliveries.unprocessed_deliveries(
+        deliveries.expected_deliveries(*inputs[:4], dates),
+        deliveries.processed_deliveries(*inputs, dates),
+    )
+    assert rows_of(steps) == rows_of(got)
+    active = deliveries.active_broker_accounts(*inputs[:4], dates)
+    assert active.count() == 7
