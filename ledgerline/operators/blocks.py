@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import collapse_whitespace, contains_code
 from ledgerline.operators.ranges import BUCKET_LINES, bucketed_ranges, join_ranges
-from ledgerline.scale import Staged, skew_join, stage
+from ledgerline.scale import Staged, part_of, skew_join, stage
 
 # Line tags, the pattern of the detail rows to keep, the provider name, and the
 # 0-based slices (end excluded) of a detail row.
@@ -39,6 +39,9 @@ HOLDER_COLUMNS = (
 CODE_FIELD = (2, 12)
 
 
+Codes = Sequence[str] | DataFrame | None
+
+
 def _codes(line: Column, kind: str, codes, match: str, field: tuple[int, int]) -> Column:
     """Array of the wanted codes that this line is a header (or trailer) of."""
     if match == "field":
@@ -55,16 +58,23 @@ def _codes(line: Column, kind: str, codes, match: str, field: tuple[int, int]) -
 
 def boundary_lines(
     lines: DataFrame,
-    codes: Sequence[str] | None,
+    codes: Codes,
     match: str = "regex",
     field: tuple[int, int] = CODE_FIELD,
 ) -> DataFrame:
     """Header and trailer lines of the wanted customers: ``src``, ``line_no``, ``kind``, ``code``.
 
     ``match``: ``regex`` takes a code as a pattern anywhere after the tag, so AB also hits ABC;
-    ``literal`` as plain text; ``field`` compares the whole code field, and takes all customers if
-    ``codes`` is None.
+    ``literal`` as plain text; ``field`` compares the whole code field. With ``field`` the codes may
+    also be a table with a column ``code``, of any size, or None for all customers.
     """
+    if isinstance(codes, DataFrame):
+        if match != "field":
+            raise ValueError("a table of codes needs match='field'")
+        wanted = stage(codes.select("code").distinct(), "codes")
+        everyone = boundary_lines(lines, None, match, field)
+        held = skew_join(everyone, wanted, ["code"], "left_semi")
+        return held.select("src", "line_no", "kind", "code")
     if codes is not None:
         codes = list(dict.fromkeys(codes))
     line = F.col("line")
@@ -79,23 +89,23 @@ def boundary_lines(
 
 def block_bounds(
     lines: DataFrame,
-    codes: Sequence[str] | None,
+    codes: Codes,
     match: str = "regex",
     field: tuple[int, int] = CODE_FIELD,
 ) -> DataFrame:
     """Per source and customer with a header: ``start_line`` and ``end_line``.
 
-    ``end_line`` is null if no trailer follows. Stages the boundary lines (one pass over the lines)
-    and the starts, as both are needed more than once.
+    ``end_line`` is null if no trailer follows. Stages the boundary lines (one pass over the lines),
+    as they are needed more than once.
     """
-    marks = stage(boundary_lines(lines, codes, match, field), "boundary-lines").df
-    starts = stage(
-        marks.filter(F.col("kind") == HEADER)
-        .groupBy("src", "code")
-        .agg(F.min("line_no").alias("start_line")),
+    marks = stage(boundary_lines(lines, codes, match, field), "boundary-lines")
+    headers = marks.df.filter(F.col("kind") == HEADER)
+    starts = part_of(
+        marks,
+        headers.groupBy("src", "code").agg(F.min("line_no").alias("start_line")),
         "block-starts",
     )
-    trailers = marks.filter(F.col("kind") == TRAILER).select("src", "code", "line_no")
+    trailers = marks.df.filter(F.col("kind") == TRAILER).select("src", "code", "line_no")
     ends = (
         skew_join(trailers, starts, ["src", "code"], "inner")
         .filter(F.col("line_no") > F.col("start_line"))
@@ -173,16 +183,19 @@ def export_lines(records: DataFrame, bounds: DataFrame, delimiter: str = "|") ->
 
 
 def block_status(
-    sources: DataFrame, bounds: DataFrame, records: DataFrame, codes: Sequence[str]
+    sources: DataFrame, bounds: DataFrame, records: DataFrame, codes: Codes
 ) -> DataFrame:
     """Outcome per source and code: ``status`` and the number of ``records``.
 
-    ``sources`` has one row per source. A status is ``ok``, ``no_detail``, ``trailer_missing`` or
-    ``header_missing``.
+    ``sources`` names the sources. A status is ``ok``, ``no_detail``, ``trailer_missing`` or, for
+    codes given as a list, ``header_missing``; otherwise only customers with a header are reported.
     """
-    wanted = sources.select("src").distinct().withColumn(
-        "code", F.explode(F.array(*[F.lit(c) for c in dict.fromkeys(codes)]))
-    )
+    if codes is None or isinstance(codes, DataFrame):
+        wanted = bounds.select("src", "code")
+    else:
+        wanted = sources.select("src").distinct().withColumn(
+            "code", F.explode(F.array(*[F.lit(c) for c in dict.fromkeys(codes)]))
+        )
     counted = records.groupBy("src", "code").agg(F.count(F.lit(1)).alias("records"))
     status = (
         F.when(F.col("start_line").isNull(), "header_missing")

@@ -106,16 +106,16 @@ export as (select src, code, cast(0 as bigint) line_no,
 
 _ONE = f"with {_FEED}, {_blocks(['BUILDING'])}"
 _MANY = f"with {_FEED}, {_blocks(_CODES)}"
-_FIELD = f"""with {_FEED},
+_FIELD_BLOCKS = f"""with {_FEED},
 marks as (select src, line_no, substr(line, 1, 2) kind, trim(substr(line, 3, 12)) code from feed
           where starts_with(line, 'CH') or starts_with(line, 'CT')),
 starts as (select src, code, min(line_no) start_line from marks where kind = 'CH' group by src, code),
 bounds as (select s.src, s.code, s.start_line, min(m.line_no) end_line from starts s
            join marks m on m.src = s.src and m.code = s.code and m.kind = 'CT'
-                       and m.line_no > s.start_line group by s.src, s.code, s.start_line)
-select f.src, b.code, f.line_no, {_HOLDER}
-from feed f join bounds b on f.src = b.src and f.line_no > b.start_line and f.line_no < b.end_line
-where {_DETAIL}"""
+                       and m.line_no > s.start_line group by s.src, s.code, s.start_line),
+details as (select f.src, b.code, f.line_no, f.line from feed f join bounds b
+            on f.src = b.src and f.line_no > b.start_line and f.line_no < b.end_line where {_DETAIL})
+"""
 
 
 def _sections(lines: str, head: int, tail: int) -> str:
@@ -238,7 +238,12 @@ SQL = {
           cast(coalesce(n, 0) as bigint) records
         from srcs cross join codes left join bounds b on b.src = srcs.src and b.code = codes.code
         left join n on n.src = srcs.src and n.code = codes.code""",
-    "customers_by_field": _FIELD,
+    "customers_by_field": f"{_FIELD_BLOCKS} select src, code, line_no, {_HOLDER} from details",
+    "customers_by_table": f"""{_FIELD_BLOCKS}, n as (select src, code, count(*) n from details group by src, code)
+        select b.src, b.code, case when n is null then 'no_detail' else 'ok' end status,
+          cast(coalesce(n, 0) as bigint) records
+        from bounds b left join n on n.src = b.src and n.code = b.code
+        where b.code in (select c_mktsegment from customer group by c_mktsegment having max(c_custkey) % 2 = 0)""",
     "split_sections": f"with {_FEED}, {_sections('feed', 2, 1)} select * from sections",
     "split_document_sections": f"with {_DOCS}, {_sections('docs', 3, 2)} select * from sections",
     "section_counts": f"""with {_DOCS} select src, cast(count(*) as bigint) "lines",

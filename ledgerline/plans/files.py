@@ -49,7 +49,7 @@ class Extract:
 
 def extract_customers(
     lines: DataFrame,
-    codes: Sequence[str],
+    codes: blocks.Codes,
     *,
     match: str = "regex",
     field: tuple[int, int] = blocks.CODE_FIELD,
@@ -79,7 +79,7 @@ def extract_customer(lines: DataFrame, code: str, **options) -> Extract:
 
 
 def extract_customer_files(
-    spark: SparkSession, mask: str, path: str, codes: Sequence[str], out: str, **options
+    spark: SparkSession, mask: str, path: str, codes: blocks.Codes, out: str, **options
 ) -> DataFrame:
     """Write each customer's records below ``out/src=.../code=.../`` and return the status."""
     read = read_counted_lines(spark, mask, path, names="relative")

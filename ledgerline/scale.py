@@ -123,6 +123,14 @@ def broadcast_if_small(staged: Staged) -> DataFrame:
     return F.broadcast(staged.df) if is_small(staged) else staged.df
 
 
+def part_of(whole: Staged, part: DataFrame, name: str) -> Staged:
+    """A table with no more rows than ``whole`` and columns of it only, staged if that is not small.
+
+    What is derived from a small table is small as well, so its size need not be measured again.
+    """
+    return Staged(part, whole.rows, whole.bytes) if is_small(whole) else stage(part, name)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> Staged:
     """Keys with many rows in ``df``, NULL included, and over how many groups to deal their rows.
 

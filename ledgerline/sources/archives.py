@@ -50,7 +50,7 @@ def zip_lines(
     ``line_no``, ``line``.
 
     The list of entries is staged when called, which gives the total size and from it the number of
-    tasks. Line ends are LF, CR and CRLF; text is UTF-8.
+    tasks. Line ends are LF, CR and CRLF; text is UTF-8, or UTF-16 with a byte order mark.
     """
     entries = stage(
         zip_entries(spark, mask, path, recursive=recursive), "zip-entries", unpacked=F.sum("bytes")

@@ -1,5 +1,6 @@
 """Small task-side helpers that stream ZIP archives. They know nothing of Spark."""
 
+import io
 import zipfile
 
 import pyarrow as pa
@@ -8,6 +9,7 @@ from pyarrow import fs
 CHUNK_BYTES = 1 << 20
 BATCH_LINES = 1 << 15
 _UTF8_BOM = b"\xef\xbb\xbf"
+_UTF16_BOMS = (b"\xff\xfe", b"\xfe\xff")
 
 
 def open_store(uri):
@@ -34,16 +36,27 @@ def files_in(archive):
     return [(i, entry) for i, entry in listed if not entry.filename.endswith("/")]
 
 
+def _chunks(stream, chunk_bytes):
+    """The stream in pieces of UTF-8, without byte order mark; a mark of UTF-16 is honoured."""
+    chunk = stream.read(chunk_bytes)
+    while len(chunk) < len(_UTF8_BOM) and (more := stream.read(chunk_bytes)):
+        chunk += more
+    if chunk.startswith(_UTF16_BOMS):
+        stream.seek(0)
+        text = io.TextIOWrapper(stream, encoding="utf-16", errors="replace", newline="")
+        while part := text.read(chunk_bytes):
+            yield part.encode("utf-8")
+        return
+    chunk = chunk.removeprefix(_UTF8_BOM) or stream.read(chunk_bytes)
+    while chunk:
+        yield chunk
+        chunk = stream.read(chunk_bytes)
+
+
 def line_blocks(stream, chunk_bytes=CHUNK_BYTES):
     """Lists of whole lines (bytes), broken at LF, CR or CRLF, from a stream read bit by bit."""
     held = []
-    start = True
-    while chunk := stream.read(chunk_bytes):
-        if start:
-            while len(chunk) < len(_UTF8_BOM) and (more := stream.read(chunk_bytes)):
-                chunk += more
-            chunk = chunk.removeprefix(_UTF8_BOM)
-            start = False
+    for chunk in _chunks(stream, chunk_bytes):
         # A CR that ends the chunk may be half of a CRLF, so it waits for the next chunk.
         cut = max(chunk.rfind(b"\n"), chunk.rfind(b"\r", 0, -1)) + 1
         if cut:

@@ -280,6 +280,16 @@ def customers_by_field(spark, sf_dir):
     )
 
 
+@query
+def customers_by_table(spark, sf_dir):
+    """Customers named in a table of codes, with their outcome."""
+    latest = fx.table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(
+        F.max("c_custkey").alias("last")
+    )
+    codes = latest.filter("last % 2 = 0").select(F.col("c_mktsegment").alias("code"))
+    return files.extract_customers(fx.feed_lines(spark, sf_dir), codes, match="field").status
+
+
 # Sections
 
 

@@ -83,6 +83,11 @@ def test_match_modes(spark):
     assert sorted((r["code"], r["start_line"], r["end_line"]) for r in bounds) == [
         ("AB", 4, 6), ("ABC", 1, 3),
     ]
+    table = spark.createDataFrame([("ABC",), ("ABC",), ("none",)], "code string")
+    done = files.extract_customers(lines, table, match="field")
+    assert [tuple(r) for r in done.status.collect()] == [("f", "ABC", "ok", 1)]
+    with pytest.raises(ValueError):
+        blocks.block_bounds(lines, table, "regex")
     with pytest.raises(ValueError):
         blocks.block_bounds(lines, None, "regex")
     with pytest.raises(ValueError):
@@ -222,3 +227,25 @@ def test_stream_lines_equal_splitlines(chunk, data):
 
     got = [line for block in line_blocks(io.BytesIO(data), chunk) for line in block]
     assert got == data.removeprefix(b"\xef\xbb\xbf").splitlines()
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 1 << 20])
+@pytest.mark.parametrize("encoding", ["utf-16", "utf-16-be"])
+def test_wide_text_with_a_byte_order_mark(chunk, encoding):
+    import io
+
+    text = "é1\r\n\n😀\rend"
+    data = (b"\xfe\xff" if encoding == "utf-16-be" else b"") + text.encode(encoding)
+    got = [line.decode() for block in line_blocks(io.BytesIO(data), chunk) for line in block]
+    assert got == text.splitlines()
+
+
+def test_lines_that_are_not_utf8(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x.txt", b"ok\n\xff\xe9x\nafter")
+        z.writestr("w.txt", "wide\nfoo".encode("utf-16"))
+    got = {(r["entry"], r["line_no"]): r["line"] for r in zip_lines(spark, "*.zip", str(tmp_path)).collect()}
+    assert got == {
+        ("x.txt", 1): "ok", ("x.txt", 2): "\ufffd\ufffdx", ("x.txt", 3): "after",
+        ("w.txt", 1): "wide", ("w.txt", 2): "foo",
+    }

@@ -41,7 +41,7 @@ def numbered(frame):
 
 
 @pytest.mark.parametrize("split_bytes", [1 << 12, 1 << 14, 128 << 20])
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_numbers_do_not_depend_on_splits(spark, settings, tmp_path, split_bytes, end, broadcast):
     settings("spark.sql.files.maxPartitionBytes", split_bytes)
@@ -98,6 +98,15 @@ def test_wide_breaks_over_many_splits(spark, settings, tmp_path):
     )
 
 
+def test_packed_files(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "a.txt.gz", "wt") as f:
+        f.write("\n".join(str(i) for i in range(5000)))
+    got = numbered(read_numbered_lines(spark, "*.gz", str(tmp_path), names="name"))
+    assert got == sorted(("a.txt.gz", i + 1, str(i)) for i in range(5000))
+
+
 def test_encoding(spark, tmp_path):
     write(tmp_path, a="é\nü".encode("latin-1"))
     frame = read_numbered_lines(spark, "*.txt", str(tmp_path), encoding="ISO-8859-1")

@@ -181,6 +181,15 @@ def test_skew_join_equals_plain_join(spark, shuffled, how):
     assert rows_of(got) == rows_of(expected)
 
 
+def test_skew_join_of_nothing(spark, shuffled):
+    left = spark.createDataFrame([], "k string, v int")
+    right = spark.createDataFrame([("a", 1)], "k string, w int")
+    assert skew_join(left, stage(right, "right"), ["k"], "left").count() == 0
+    nothing = stage(right.filter("false"), "nothing")
+    assert nothing.rows == 0
+    assert skew_join(right.withColumnRenamed("w", "v"), nothing, ["k"], "left").count() == 1
+
+
 def test_hot_keys_are_spread(spark, shuffled):
     left = spark.range(4000).selectExpr("if(id % 2 = 0, 'hot', cast(id as string)) k").repartition(8)
     spark.conf.set(HOT_ROWS[0], 300)
