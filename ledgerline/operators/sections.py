@@ -44,20 +44,22 @@ def split_sections(
     header: int = 0,
     trailer: int = 0,
     width: int = BUCKET_LINES,
-    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Lines with their ``section``: the first ``header`` lines, the last ``trailer``, the rest.
 
     A count of 0 gives an empty section. A line in header and trailer at once appears in both.
-    Only the last lines of a source need its length, so lengths are joined as line ranges.
-    ``counts`` spares counting the lines where that is known.
+    Lines that carry the length of their source as ``src_lines`` need nothing else. For others the
+    lengths are counted and joined as line ranges, as only the last lines need them.
     """
     head, tail = _sizes(header, trailer)
     in_head = F.col("line_no") <= head
-    if tail:
-        lengths = line_counts(lines) if counts is None else counts
+    if not tail:
+        in_tail = F.lit(False)
+    elif "src_lines" in lines.columns:
+        in_tail = F.col("line_no") > F.col("src_lines") - tail
+    else:
         last = F.col("lines")
-        ends = lengths.select(
+        ends = line_counts(lines).select(
             "src",
             F.greatest(last - tail + 1, F.lit(1)).alias("__first"),
             last.alias("__last"),
@@ -65,8 +67,6 @@ def split_sections(
         ranges = bucketed_ranges(ends, "__first", "__last", "section-ends", width)
         lines = join_ranges(lines, ranges, "__first", "__last", "left", width)
         in_tail = F.col("__last").isNotNull()
-    else:
-        in_tail = F.lit(False)
     sections = F.array_compact(
         F.array(
             F.when(in_head, F.lit("header")),

@@ -93,7 +93,7 @@ def split_files(
 ) -> DataFrame:
     """Write the sections of all matching files below ``out/src=.../section=.../``; return counts."""
     read = read_counted_lines(spark, mask, path, names="relative")
-    split = sections.split_sections(read.lines, header, trailer, counts=read.counts)
+    split = sections.split_sections(read.sized, header, trailer)
     write_lines(split, out, ("src", "section"))
     return sections.section_counts(read.lines, header, trailer, read.counts)
 

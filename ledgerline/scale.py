@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Settings a user may put on the session; the values here apply when they are unset.
-BROADCAST_BYTES = ("spark.ledgerline.broadcastBytes", 64 * 1024 * 1024)
+BROADCAST_BYTES = ("spark.ledgerline.broadcastBytes", 256 * 1024 * 1024)
 HOT_SHARE = ("spark.ledgerline.hotKeyShare", 0.00001)
 HOT_ROWS = ("spark.ledgerline.hotKeyRows", 1_000_000)
 

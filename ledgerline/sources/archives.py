@@ -20,18 +20,18 @@ from ledgerline.sources.lines import source_path
 # The helpers travel with the tasks, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(zipstream)
 
-ENTRIES = "archive string, entry_no bigint, entry string, bytes bigint, packed_bytes bigint"
+_RECORDS = (
+    "archive string, entry_no bigint, entry string, bytes bigint, packed_bytes bigint, "
+    "start bigint, method bigint, flags bigint, crc bigint, raw_name string"
+)
 LINES = "archive string, entry_no bigint, entry string, line_no bigint, line string"
 
 # Unpacked bytes that one task should read, about.
 TASK_BYTES = ("spark.ledgerline.archiveTaskBytes", 128 * 1024 * 1024)
 
 
-def zip_entries(
-    spark: SparkSession, mask: str, path: str, *, recursive: bool = False
-) -> DataFrame:
-    """Files in all matching archives: ``archive``, ``entry_no``, ``entry``, ``bytes``,
-    ``packed_bytes``. Folders are left out."""
+def _records(spark: SparkSession, mask: str, path: str, recursive: bool) -> DataFrame:
+    """Directory records of all files in all matching archives."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     try:
         # Only names are taken; the content column is pruned and never read.
@@ -39,8 +39,17 @@ def zip_entries(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ENTRIES)
-    return archives.mapInArrow(zipstream.entry_rows, ENTRIES)
+        return spark.createDataFrame([], _RECORDS)
+    return archives.mapInArrow(zipstream.entry_rows, _RECORDS)
+
+
+def zip_entries(
+    spark: SparkSession, mask: str, path: str, *, recursive: bool = False
+) -> DataFrame:
+    """Files in all matching archives: ``archive``, ``entry_no``, ``entry``, ``bytes``,
+    ``packed_bytes``. Folders are left out."""
+    records = _records(spark, mask, path, recursive)
+    return records.select("archive", "entry_no", "entry", "bytes", "packed_bytes")
 
 
 def zip_lines(
@@ -49,19 +58,18 @@ def zip_lines(
     """Lines of all files in all matching archives: ``archive``, ``entry_no``, ``entry``,
     ``line_no``, ``line``.
 
-    The list of entries is staged when called, which gives the total size and from it the number of
-    tasks. Line ends are LF, CR and CRLF; text is UTF-8, or UTF-16 with a byte order mark.
+    The directory records are staged when called, which gives the total size and from it the number
+    of tasks, and lets a task go straight to its entries. Line ends are LF, CR and CRLF; text is UTF-8, or UTF-16 with a byte order mark.
     """
     entries = stage(
-        zip_entries(spark, mask, path, recursive=recursive), "zip-entries", unpacked=F.sum("bytes")
+        _records(spark, mask, path, recursive), "zip-entries", unpacked=F.sum("bytes")
     )
     total = entries.metrics["unpacked"] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(least, -(-total // setting(spark, TASK_BYTES)))
     # A fixed number of partitions: the rows moved here are tiny, so they must not be coalesced.
     spread = (
-        entries.df.select("archive", "entry_no")
-        .repartition(tasks, "archive", "entry_no")
+        entries.df.repartition(tasks, "archive", "entry_no")
         .sortWithinPartitions("archive", "entry_no")
     )
     return spread.mapInArrow(zipstream.line_rows, LINES)

@@ -155,10 +155,15 @@ def pin_splits(spark: SparkSession) -> None:
 
 @dataclass(frozen=True)
 class NumberedLines:
-    """Lines with ordinals, and how many ``lines`` each source has (known from the counting pass)."""
+    """Lines with ordinals, and what the counting pass knows about their sources.
+
+    ``counts`` has the number of ``lines`` per source; ``sized`` is ``lines`` with that number on
+    each line, as ``src_lines``, without a join on the source.
+    """
 
     lines: DataFrame
     counts: DataFrame
+    sized: DataFrame
 
 
 def read_numbered_lines(
@@ -204,8 +209,9 @@ def read_counted_lines(
     pin_splits(spark)
     scanned = _scan(spark, mask, path, recursive, encoding, names)
     if scanned is None:
-        nothing = spark.createDataFrame([], LINES)
-        return NumberedLines(nothing, spark.createDataFrame([], "src string, lines bigint"))
+        sized = spark.createDataFrame([], f"{LINES}, src_lines bigint")
+        counts = spark.createDataFrame([], "src string, lines bigint")
+        return NumberedLines(sized.drop("src_lines"), counts, sized)
     return number_scanned(scanned, ["src"], ["src", "f"], ["split_start"], unicode_breaks)
 
 
@@ -229,23 +235,32 @@ def number_scanned(
         F.sum(pieces.cast("long")).alias("out"),
         F.min("pos").alias("first_pos"),
     )
-    before = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("out").over(before), F.lit(0)).cast("long")
+    source = Window.partitionBy(*within)
+    before = source.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     splits = stage(
-        per_split.select(*keep, "out", "split_key", "n", "first_pos", offset.alias("offset")),
+        per_split.select(
+            *keep,
+            "out",
+            "split_key",
+            "n",
+            "first_pos",
+            F.coalesce(F.sum("out").over(before), F.lit(0)).cast("long").alias("offset"),
+            F.sum("out").over(source).alias("src_lines"),
+        ),
         "line-counts",
     )
     if splits.df.groupBy("split_key").count().filter("count > 1").take(1):
         raise ValueError("two file splits share one key")
     counts = splits.df.groupBy(*keep).agg(F.sum("out").alias("lines"))
-    placed = splits.narrowed("split_key", "n", "first_pos", "offset")
+    placed = splits.narrowed("split_key", "n", "first_pos", "offset", "src_lines")
     joined = keyed.join(broadcast_if_small(placed), "split_key", "left")
     inside = F.col("pos") - F.col("first_pos")
     sound = (inside >= 0) & (inside < F.col("n"))
     changed = F.raise_error(F.lit("the files were cut differently in two passes")).cast("long")
     if not unicode_breaks:
         number = F.when(sound, F.col("offset") + inside + 1).otherwise(changed)
-        return NumberedLines(joined.select(*keep, number.alias("line_no"), "line"), counts)
+        sized = joined.select(*keep, number.alias("line_no"), "line", "src_lines")
+        return NumberedLines(sized.drop("src_lines"), counts, sized)
     # A running sum inside one split; the split size bounds the group.
     earlier = (
         Window.partitionBy("split_key").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -254,12 +269,12 @@ def number_scanned(
         "ahead", F.coalesce(F.sum(F.size("parts")).over(earlier), F.lit(0))
     )
     first = F.when(sound, F.col("offset") + F.col("ahead") + 1).otherwise(changed)
-    lines = (
+    sized = (
         cut.withColumn("first_no", first)
-        .select(*keep, "first_no", F.posexplode("parts").alias("at", "line"))
-        .select(*keep, (F.col("first_no") + F.col("at")).alias("line_no"), "line")
+        .select(*keep, "first_no", "src_lines", F.posexplode("parts").alias("at", "line"))
+        .select(*keep, (F.col("first_no") + F.col("at")).alias("line_no"), "line", "src_lines")
     )
-    return NumberedLines(lines, counts)
+    return NumberedLines(sized.drop("src_lines"), counts, sized)
 
 
 def explode_lines(

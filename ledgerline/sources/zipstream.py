@@ -24,16 +24,41 @@ def open_store(uri):
     return fs.FileSystem.from_uri(uri)
 
 
-def open_archive(uri):
-    """The archive, read by seeking; only its directory is loaded."""
+class EntryFile(zipfile.ZipFile):
+    """An archive opened to read entries whose directory record is known already.
+
+    A task reads some entries of an archive that may have millions; it must not load them all.
+    """
+
+    def _RealGetContents(self):
+        """Skip the directory."""
+
+
+def open_archive(uri, kind=zipfile.ZipFile):
+    """The archive, read by seeking."""
     store, path = open_store(uri)
-    return zipfile.ZipFile(store.open_input_file(path))
+    return kind(store.open_input_file(path))
 
 
-def files_in(archive):
-    """Numbered entries of an archive, folders left out."""
-    listed = enumerate(archive.infolist())
-    return [(i, entry) for i, entry in listed if not entry.filename.endswith("/")]
+# Columns that describe an entry, with the attribute of its directory record.
+RECORD = {
+    "entry": "filename",
+    "bytes": "file_size",
+    "packed_bytes": "compress_size",
+    "start": "header_offset",
+    "method": "compress_type",
+    "flags": "flag_bits",
+    "crc": "CRC",
+}
+
+
+def record_of(row):
+    """Directory record of an entry from its columns."""
+    record = zipfile.ZipInfo()
+    for column, attribute in RECORD.items():
+        setattr(record, attribute, row[column])
+    record.orig_filename = row["raw_name"]
+    return record
 
 
 def _chunks(stream, chunk_bytes):
@@ -77,59 +102,57 @@ def to_text(lines):
         return pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
 
 
+def _batch(columns):
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def entry_rows(batches):
-    """Entries of the archives named in the batches."""
+    """Entries of the archives named in the batches, folders left out."""
     for batch in batches:
         for uri in batch.column("archive").to_pylist():
             with open_archive(uri) as archive:
-                files = files_in(archive)
+                listed = list(enumerate(archive.infolist()))
+            files = [(i, entry) for i, entry in listed if not entry.filename.endswith("/")]
             for at in range(0, len(files), BATCH_LINES):
                 part = files[at:at + BATCH_LINES]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([uri] * len(part), pa.string()),
-                        pa.array([i for i, _ in part], pa.int64()),
-                        pa.array([e.filename for _, e in part], pa.string()),
-                        pa.array([e.file_size for _, e in part], pa.int64()),
-                        pa.array([e.compress_size for _, e in part], pa.int64()),
-                    ],
-                    names=["archive", "entry_no", "entry", "bytes", "packed_bytes"],
-                )
+                columns = {
+                    "archive": pa.array([uri] * len(part), pa.string()),
+                    "entry_no": pa.array([i for i, _ in part], pa.int64()),
+                }
+                for column, attribute in RECORD.items():
+                    kind = pa.string() if column == "entry" else pa.int64()
+                    columns[column] = pa.array([getattr(e, attribute) for _, e in part], kind)
+                columns["raw_name"] = pa.array([e.orig_filename for _, e in part], pa.string())
+                yield _batch(columns)
 
 
 def line_rows(batches):
-    """Lines of the entries named in the batches, numbered from 1 in each entry."""
-    opened, archive, entries = None, None, None
+    """Lines of the entries described in the batches, numbered from 1 in each entry."""
+    opened, archive = None, None
     try:
         for batch in batches:
-            wanted = zip(
-                batch.column("archive").to_pylist(), batch.column("entry_no").to_pylist()
-            )
-            for uri, entry_no in wanted:
-                if uri != opened:
+            for row in batch.to_pylist():
+                if row["archive"] != opened:
                     if archive is not None:
                         archive.close()
-                    archive, opened = open_archive(uri), uri
-                    entries = archive.infolist()
-                entry = entries[entry_no]
+                    opened = row["archive"]
+                    archive = open_archive(opened, EntryFile)
                 done = 0
-                with archive.open(entry) as stream:
+                with archive.open(record_of(row)) as stream:
                     for block in line_blocks(stream):
                         for at in range(0, len(block), BATCH_LINES):
                             part = block[at:at + BATCH_LINES]
-                            yield pa.RecordBatch.from_arrays(
-                                [
-                                    pa.array([uri] * len(part), pa.string()),
-                                    pa.array([entry_no] * len(part), pa.int64()),
-                                    pa.array([entry.filename] * len(part), pa.string()),
-                                    pa.array(
-                                        range(done + 1, done + len(part) + 1), pa.int64()
-                                    ),
-                                    to_text(part),
-                                ],
-                                names=["archive", "entry_no", "entry", "line_no", "line"],
+                            n = len(part)
+                            yield _batch(
+                                {
+                                    "archive": pa.array([opened] * n, pa.string()),
+                                    "entry_no": pa.array([row["entry_no"]] * n, pa.int64()),
+                                    "entry": pa.array([row["entry"]] * n, pa.string()),
+                                    "line_no": pa.array(range(done + 1, done + n + 1), pa.int64()),
+                                    "line": to_text(part),
+                                }
                             )
-                            done += len(part)
+                            done += n
     finally:
         if archive is not None:
             archive.close()

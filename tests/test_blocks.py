@@ -176,6 +176,34 @@ def test_file_jobs(spark, tmp_path):
     assert [(m["matches"][0]["value"], m["line_number"]) for m in found.collect()] == [("Ann   B", 2)]
 
 
+def test_entries_of_all_kinds_are_read(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("ä/ö 1.txt", "packed\n" * 500, zipfile.ZIP_DEFLATED)
+        z.writestr("same.txt", "first", zipfile.ZIP_STORED)
+        with pytest.warns(UserWarning):
+            z.writestr("same.txt", "second", zipfile.ZIP_BZIP2)
+        with z.open("big.txt", "w", force_zip64=True) as entry:
+            entry.write(b"x\ny")
+    with zipfile.ZipFile(tmp_path / "old.zip", "w") as z:
+        z.writestr("caf_.txt", "old name")
+    raw = (tmp_path / "old.zip").read_bytes().replace(b"caf_", b"caf\x82")
+    (tmp_path / "old.zip").write_bytes(raw)
+    lines = zip_lines(spark, "*.zip", str(tmp_path)).groupBy("entry_no", "entry").agg({"line": "max", "*": "count"})
+    got = sorted(tuple(r) for r in lines.collect())
+    assert got == [
+        (0, "café.txt", "old name", 1), (0, "ä/ö 1.txt", "packed", 500), (1, "same.txt", "first", 1),
+        (2, "same.txt", "second", 1), (3, "big.txt", "y", 2),
+    ]
+
+
+def test_damaged_entries_fail(spark, tmp_path):
+    make_zip(tmp_path / "a.zip")
+    raw = (tmp_path / "a.zip").read_bytes().replace(b"bar foo", b"bar fxo")
+    (tmp_path / "a.zip").write_bytes(raw)
+    with pytest.raises(Exception, match="CRC"):
+        zip_lines(spark, "*.zip", str(tmp_path)).collect()
+
+
 def make_zip(path):
     with zipfile.ZipFile(path, "w") as z:
         z.writestr("dir/", "")

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from ledgerline import fixtures as fx
 from ledgerline.operators import blocks, idmap, masking, merging, search, sections
 from ledgerline.plans.deliveries import exceptions_report
-from ledgerline.sources.lines import explode_lines, read_lines, read_numbered_lines
+from ledgerline.sources.lines import (
+    explode_lines,
+    read_counted_lines,
+    read_lines,
+    read_numbered_lines,
+)
 from ledgerline.streaming.masking import mask_stream, stream_lines
 
 SF = "/root/testdata/sf0.001"
@@ -56,6 +61,14 @@ def test_blocks_and_sections_use_equi_joins(spark, folder):
         assert "SinglePartition" not in text and "SortMergeJoin" not in text
 
 
+def test_sections_of_files_need_no_join_on_the_source(spark, folder):
+    sized = read_counted_lines(spark, "*", folder).sized
+    split = sections.split_sections(sized, 2, 1)
+    assert plan(split).split("\n\n")[0].count("Join") == 1  # that of the numbers
+    got = {(r["section"], r["count"]) for r in split.groupBy("section").count().collect()}
+    assert got == {("header", 4), ("data", 98), ("trailer", 2)}
+
+
 def test_large_ranges_are_joined_on_source_and_bucket(spark, folder):
     lines = read_numbered_lines(spark, "*", folder)
     spark.conf.set("spark.ledgerline.broadcastBytes", "0")
