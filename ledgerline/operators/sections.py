@@ -49,7 +49,8 @@ def split_sections(
 
     A count of 0 gives an empty section. A line in header and trailer at once appears in both.
     Lines that carry the length of their source as ``src_lines`` need nothing else. For others the
-    lengths are counted and joined as line ranges, as only the last lines need them.
+    lengths are counted and joined as line ranges, as only the last lines need them. A ``block``
+    column is kept.
     """
     head, tail = _sizes(header, trailer)
     in_head = F.col("line_no") <= head
@@ -74,4 +75,5 @@ def split_sections(
             F.when(in_tail, F.lit("trailer")),
         )
     )
-    return lines.select("src", "line_no", "line", F.explode(sections).alias("section"))
+    kept = [c for c in ("src", "line_no", "line", "block") if c in lines.columns]
+    return lines.select(*kept, F.explode(sections).alias("section"))

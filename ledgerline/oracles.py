@@ -249,6 +249,10 @@ SQL = {
     "section_counts": f"""with {_DOCS} select src, cast(count(*) as bigint) "lines",
         cast(least(count(*), 3) as bigint) header, cast(greatest(count(*) - 5, 0) as bigint) "data",
         cast(least(count(*), 2) as bigint) trailer from docs group by src""",
+    "section_files_in_place": f"""with {_FEED}, files as (select concat(src, '/', line_no // 1048576) src,
+          row_number() over (partition by src, line_no // 1048576 order by line_no) line_no, line from feed),
+        {_sections('files', 2, 1)} select src, section,
+        cast(row_number() over (partition by src, section order by line_no) as bigint) line_no, line from sections""",
     "section_files": f"""with {_FEED}, {_sections('feed', 2, 1)} select src, section,
         cast(row_number() over (partition by src, section order by line_no) as bigint) line_no, line from sections""",
     "search_lines": f"""with {_DOCS}, hits as (select src, line_no, line, {_MATCH} from docs

@@ -79,22 +79,39 @@ def extract_customer(lines: DataFrame, code: str, **options) -> Extract:
 
 
 def extract_customer_files(
-    spark: SparkSession, mask: str, path: str, codes: blocks.Codes, out: str, **options
+    spark: SparkSession,
+    mask: str,
+    path: str,
+    codes: blocks.Codes,
+    out: str,
+    *,
+    recursive: bool = False,
+    **options,
 ) -> DataFrame:
     """Write each customer's records below ``out/src=.../code=.../`` and return the status."""
-    read = read_counted_lines(spark, mask, path, names="relative")
+    read = read_counted_lines(spark, mask, path, recursive=recursive, names="relative")
     extract = extract_customers(read.lines, codes, sources=read.counts, **options)
     write_lines(extract.export, out, ("src", "code"))
     return extract.status
 
 
 def split_files(
-    spark: SparkSession, mask: str, path: str, out: str, header: int = 0, trailer: int = 0
+    spark: SparkSession,
+    mask: str,
+    path: str,
+    out: str,
+    header: int = 0,
+    trailer: int = 0,
+    *,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Write the sections of all matching files below ``out/src=.../section=.../``; return counts."""
-    read = read_counted_lines(spark, mask, path, names="relative")
+    """Write the sections of all matching files below ``out/src=.../section=.../``; return counts.
+
+    One pass counts the lines and a second one writes them, without a shuffle.
+    """
+    read = read_counted_lines(spark, mask, path, recursive=recursive, names="relative")
     split = sections.split_sections(read.sized, header, trailer)
-    write_lines(split, out, ("src", "section"))
+    write_scanned_lines(split, out, ("src", "section"), "line_no")
     return sections.section_counts(read.lines, header, trailer, read.counts)
 
 

@@ -43,16 +43,19 @@ def write_lines(
     )
 
 
-def write_scanned_lines(lines: DataFrame, out: str) -> None:
+def write_scanned_lines(
+    lines: DataFrame, out: str, by: Sequence[str] = ("src",), order: str = "pos"
+) -> None:
     """Write lines straight from the tasks that read them, without a shuffle.
 
-    Takes ``src``, ``block``, ``pos``, ``line`` of an unnumbered scan. Each input split becomes one
-    part file in ``out/src=.../block=.../``, the block being its first byte.
+    Takes the ``by`` columns, ``block``, ``line`` and the ``order`` of lines within a block. Each
+    input split becomes one part file in ``out/src=.../block=.../`` per folder it has lines for, the
+    block being its first byte.
     """
-    folders = ["src", "block"]
+    folders = [*by, "block"]
     (
-        lines.select("src", _padded(F.col("block")).alias("block"), "pos", "line")
-        .sortWithinPartitions(*folders, "pos")
+        lines.select(*by, _padded(F.col("block")).alias("block"), order, "line")
+        .sortWithinPartitions(*folders, order)
         .select(*folders, "line")
         .write.partitionBy(*folders)
         .text(out)
@@ -80,4 +83,5 @@ def read_written_lines(
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
     )
-    return number_scanned(scanned, by, by, ["block", "f", "split_start"]).lines
+    names = {c: F.col(c) for c in by}
+    return number_scanned(scanned, names, by, ["block", "f", "split_start"]).lines

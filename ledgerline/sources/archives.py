@@ -9,13 +9,12 @@ Archives must be reachable by path from the executors.
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.scale import setting, stage
 from ledgerline.sources import zipstream
-from ledgerline.sources.lines import source_path
+from ledgerline.sources.lines import matching_files
 
 # The helpers travel with the tasks, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(zipstream)
@@ -32,14 +31,11 @@ TASK_BYTES = ("spark.ledgerline.archiveTaskBytes", 128 * 1024 * 1024)
 
 def _records(spark: SparkSession, mask: str, path: str, recursive: bool) -> DataFrame:
     """Directory records of all files in all matching archives."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    try:
-        # Only names are taken; the content column is pruned and never read.
-        archives = reader.load(source_path(mask, path)).select(F.col("path").alias("archive"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    files = matching_files(spark.read, mask, path, recursive, "binaryFile")
+    if files is None:
         return spark.createDataFrame([], _RECORDS)
+    # Only names are taken; the content column is pruned and never read.
+    archives = files.select(F.col("path").alias("archive"))
     return archives.mapInArrow(zipstream.entry_rows, _RECORDS)
 
 

@@ -8,11 +8,11 @@ split its offset, and a second pass adds the position inside the split. Lines ar
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import EXTRA_BREAKS, text_lines
@@ -36,16 +36,30 @@ def source_path(mask: str, path: str) -> str:
     return f"{folder}/{mask}".replace("{", "\\{").replace("}", "\\}")
 
 
+def matching_files(
+    reader: DataFrameReader, mask: str, path: str, recursive: bool, source: str
+) -> DataFrame | None:
+    """Files whose name matches, read by ``source``; None if the folder does not exist.
+
+    The folder is listed as a whole and names are filtered, so a sub-folder that matches the mask is
+    not entered unless ``recursive``.
+    """
+    folder, _, name = source_path(mask, path).rpartition("/")
+    found = reader.format(source).option("pathGlobFilter", name)
+    try:
+        return found.option("recursiveFileLookup", recursive).load(folder or "/")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _decoded_path(path: Column) -> Column:
     # The metadata column percent-encodes special characters; a plus sign there is a plus sign.
     plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return F.when(path.contains("%"), plain).otherwise(path)
 
 
-def _missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 def list_files(
     spark: SparkSession, mask: str, path: str, *, recursive: bool = False
 ) -> DataFrame:
@@ -53,12 +67,8 @@ def list_files(
 
     Like every Spark file scan this leaves out empty files, and names that start with ``_`` or ``.``.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    try:
-        files = reader.load(source_path(mask, path))
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
+    files = matching_files(spark.read, mask, path, recursive, "binaryFile")
+    if files is None:
         return spark.createDataFrame([], "src string, name string, bytes bigint")
     return files.select(
         _decoded_path(F.col("_metadata.file_path")).alias("src"),
@@ -77,14 +87,14 @@ def _decoded(value: Column, encoding: str) -> Column:
 
 
 def _source_name(spark: SparkSession, names: str, folder: str) -> Column:
-    """How a source is called: full ``path``, file ``name``, or path ``relative`` to the folder.
+    """How the file ``f`` is called: full ``path``, ``name``, or path ``relative`` to the folder.
 
     Plain names repeat if files of several folders are read. A folder given as a wildcard has no
     relative paths, so full paths stand in for them.
     """
     if names == "name":
-        return _decoded_path(F.col("_metadata.file_name"))
-    full = _decoded_path(F.col("_metadata.file_path"))
+        return _decoded_path(F.substring_index("f", "/", -1))
+    full = _decoded_path(F.col("f"))
     if names == "path":
         return full
     if names != "relative":
@@ -96,26 +106,19 @@ def _source_name(spark: SparkSession, names: str, folder: str) -> Column:
 
 
 def _scan(
-    spark: SparkSession, mask: str, path: str, recursive: bool, encoding: str, names: str
+    spark: SparkSession, mask: str, path: str, recursive: bool, encoding: str
 ) -> DataFrame | None:
-    """One row per line with its split: ``src``, ``f``, ``split_start``, ``size``, ``pos``,
-    ``line``.
+    """One row per line with its split: ``f``, ``split_start``, ``size``, ``pos``, ``line``.
 
     ``pos`` grows with the line inside one split. It is taken directly on the scan, before any
     filter, so that every pass over the same files sees the same values.
     """
-    source = _source_name(spark, names, path)
-    reader = spark.read.option("recursiveFileLookup", recursive)
-    try:
-        text = reader.text(source_path(mask, path))
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
+    text = matching_files(spark.read, mask, path, recursive, "text")
+    if text is None:
         return None
     meta = F.col("_metadata")
     return text.select(
         meta["file_path"].alias("f"),
-        source.alias("src"),
         meta["file_block_start"].alias("split_start"),
         meta["file_block_length"].alias("size"),
         F.monotonically_increasing_id().alias("pos"),
@@ -137,10 +140,11 @@ def read_lines(
     One pass and no shuffle, for work that looks at each line alone. ``block`` (start byte of the
     split) and then ``pos`` give the order within a source.
     """
-    scanned = _scan(spark, mask, path, recursive, encoding, names)
+    source = _source_name(spark, names, path)
+    scanned = _scan(spark, mask, path, recursive, encoding)
     if scanned is None:
         return spark.createDataFrame([], _SCAN)
-    return scanned.select("src", F.col("split_start").alias("block"), "pos", "line")
+    return scanned.select(source.alias("src"), F.col("split_start").alias("block"), "pos", "line")
 
 
 def pin_splits(spark: SparkSession) -> None:
@@ -157,8 +161,9 @@ def pin_splits(spark: SparkSession) -> None:
 class NumberedLines:
     """Lines with ordinals, and what the counting pass knows about their sources.
 
-    ``counts`` has the number of ``lines`` per source; ``sized`` is ``lines`` with that number on
-    each line, as ``src_lines``, without a join on the source.
+    ``counts`` has the number of ``lines`` per source. ``sized`` is ``lines`` with that number on
+    each line as ``src_lines``, which takes no join on the source, and with the first byte of the
+    split that holds the line as ``block``.
     """
 
     lines: DataFrame
@@ -207,42 +212,46 @@ def read_counted_lines(
 ) -> NumberedLines:
     """``read_numbered_lines`` together with the line counts, which cost no further pass."""
     pin_splits(spark)
-    scanned = _scan(spark, mask, path, recursive, encoding, names)
+    source = _source_name(spark, names, path)
+    scanned = _scan(spark, mask, path, recursive, encoding)
     if scanned is None:
-        sized = spark.createDataFrame([], f"{LINES}, src_lines bigint")
+        sized = spark.createDataFrame([], f"{LINES}, src_lines bigint, block bigint")
         counts = spark.createDataFrame([], "src string, lines bigint")
-        return NumberedLines(sized.drop("src_lines"), counts, sized)
-    return number_scanned(scanned, ["src"], ["src", "f"], ["split_start"], unicode_breaks)
+        return NumberedLines(sized.drop("src_lines", "block"), counts, sized)
+    return number_scanned(scanned, {"src": source}, ["f"], ["split_start"], unicode_breaks)
 
 
 def number_scanned(
     scanned: DataFrame,
-    keep: Sequence[str],
+    names: Mapping[str, Column],
     within: Sequence[str],
     order: Sequence[str],
     unicode_breaks: bool = False,
 ) -> NumberedLines:
     """Number the lines of a scan ``within`` some columns, its splits taken in ``order``.
 
-    ``scanned`` has, besides these, ``f``, ``split_start``, ``size`` (the split), ``pos`` and
-    ``line``. The result has the ``keep`` columns, which are part of ``within``, ``line_no`` and
-    ``line``.
+    ``scanned`` has ``f``, ``split_start``, ``size``, ``pos``, ``line`` and may have more columns
+    that are the same for a whole file. ``names`` are the columns that name a source in the result,
+    worked out once per split in the counting pass.
     """
+    per_split = [c for c in scanned.columns if c not in ("pos", "line")]
+    named = [column.alias(name) for name, column in names.items()]
+    split_key = F.xxhash64("f", "split_start", "size").alias("split_key")
     pieces = F.size(F.split("line", EXTRA_BREAKS, -1)) if unicode_breaks else F.lit(1)
-    keyed = scanned.withColumn("split_key", F.xxhash64("f", "split_start", "size"))
-    per_split = keyed.groupBy(*dict.fromkeys([*within, *order, "split_key"])).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(pieces.cast("long")).alias("out"),
-        F.min("pos").alias("first_pos"),
-    )
     source = Window.partitionBy(*within)
     before = source.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     splits = stage(
-        per_split.select(
-            *keep,
-            "out",
-            "split_key",
+        scanned.groupBy(*per_split)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(pieces.cast("long")).alias("out"),
+            F.min("pos").alias("first_pos"),
+        )
+        .select(
+            *named,
+            split_key,
             "n",
+            "out",
             "first_pos",
             F.coalesce(F.sum("out").over(before), F.lit(0)).cast("long").alias("offset"),
             F.sum("out").over(source).alias("src_lines"),
@@ -251,30 +260,34 @@ def number_scanned(
     )
     if splits.df.groupBy("split_key").count().filter("count > 1").take(1):
         raise ValueError("two file splits share one key")
-    counts = splits.df.groupBy(*keep).agg(F.sum("out").alias("lines"))
+    counts = splits.df.groupBy(*names).agg(F.sum("out").alias("lines"))
     placed = splits.narrowed("split_key", "n", "first_pos", "offset", "src_lines")
+    keyed = scanned.select(*named, split_key, "split_start", "pos", "line")
     joined = keyed.join(broadcast_if_small(placed), "split_key", "left")
     inside = F.col("pos") - F.col("first_pos")
     sound = (inside >= 0) & (inside < F.col("n"))
     changed = F.raise_error(F.lit("the files were cut differently in two passes")).cast("long")
-    if not unicode_breaks:
+    extra = ["src_lines", F.col("split_start").alias("block")]
+    if unicode_breaks:
+        # A running sum inside one split; the split size bounds the group.
+        earlier = (
+            Window.partitionBy("split_key")
+            .orderBy("pos")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        cut = joined.withColumn("parts", F.split("line", EXTRA_BREAKS, -1)).withColumn(
+            "ahead", F.coalesce(F.sum(F.size("parts")).over(earlier), F.lit(0))
+        )
+        first = F.when(sound, F.col("offset") + F.col("ahead") + 1).otherwise(changed)
+        spread = cut.withColumn("first_no", first).select(
+            *names, "first_no", "src_lines", "split_start", F.posexplode("parts").alias("at", "line")
+        )
+        number = F.col("first_no") + F.col("at")
+        sized = spread.select(*names, number.alias("line_no"), "line", *extra)
+    else:
         number = F.when(sound, F.col("offset") + inside + 1).otherwise(changed)
-        sized = joined.select(*keep, number.alias("line_no"), "line", "src_lines")
-        return NumberedLines(sized.drop("src_lines"), counts, sized)
-    # A running sum inside one split; the split size bounds the group.
-    earlier = (
-        Window.partitionBy("split_key").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    cut = joined.withColumn("parts", F.split("line", EXTRA_BREAKS, -1)).withColumn(
-        "ahead", F.coalesce(F.sum(F.size("parts")).over(earlier), F.lit(0))
-    )
-    first = F.when(sound, F.col("offset") + F.col("ahead") + 1).otherwise(changed)
-    sized = (
-        cut.withColumn("first_no", first)
-        .select(*keep, "first_no", "src_lines", F.posexplode("parts").alias("at", "line"))
-        .select(*keep, (F.col("first_no") + F.col("at")).alias("line_no"), "line", "src_lines")
-    )
-    return NumberedLines(sized.drop("src_lines"), counts, sized)
+        sized = joined.select(*names, number.alias("line_no"), "line", *extra)
+    return NumberedLines(sized.drop("src_lines", "block"), counts, sized)
 
 
 def explode_lines(

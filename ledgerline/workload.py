@@ -309,6 +309,17 @@ def section_counts(spark, sf_dir):
     return sections.section_counts(_document_lines(spark, sf_dir), 3, 2)
 
 
+@query
+def section_files_in_place(spark, sf_dir):
+    """Every feed file split by the tasks that read it, and read back."""
+    out = new_shared_path(spark, "split-files")
+    files.split_files(spark, "*.txt", _feed_folder(spark, sf_dir), out, 2, 1, recursive=True)
+    written = read_written_lines(spark, out, ("src", "section"))
+    source = F.regexp_extract("src", "src=([^/]+)/", 1)
+    block = F.regexp_extract("src", r"/block=(\d+)/", 1).cast("long").cast("string")
+    return written.withColumn("src", F.concat_ws("/", source, block))
+
+
 @query
 def section_files(spark, sf_dir):
     """Sections written per source and read back in order."""

@@ -134,7 +134,11 @@ def test_masks_and_paths(spark, tmp_path):
     assert found("none*") == []
     assert numbered(read_numbered_lines(spark, "none*", str(tmp_path))) == []
     assert list_files(spark, "none*", str(tmp_path)).count() == 0
+    assert len(found("*")) == 5  # the sub-folder matches but is not entered
     assert len(found("*", recursive=True)) == 6
+    assert found("a[13].txt", recursive=True) == [("a1.txt", "x"), ("a3.txt", "deep")]
+    assert found("sub/*.txt") == [("a3.txt", "deep")]
+    assert read_lines(spark, "*", str(tmp_path / "nowhere")).count() == 0
     listed = list_files(spark, "a*.txt", str(tmp_path)).collect()
     assert sorted((r["name"], r["bytes"]) for r in listed) == [("a1.txt", 1), ("a2.txt", 1)]
 
