@@ -98,7 +98,7 @@ def block_bounds(
     ``end_line`` is null if no trailer follows. Stages the boundary lines (one pass over the lines),
     as they are needed more than once.
     """
-    marks = stage(boundary_lines(lines, codes, match, field), "boundary-lines")
+    marks = stage(boundary_lines(lines, codes, match, field), "boundary-lines", gather=True)
     headers = marks.df.filter(F.col("kind") == HEADER)
     starts = part_of(
         marks,

@@ -39,6 +39,7 @@ def stage_entries(id_map: DataFrame, allow_self: bool = False) -> Staged:
     staged = stage(
         entries,
         "id-map",
+        gather=True,
         no_seq=F.count_if(F.col("seq").isNull()),
         to_self=F.count_if(F.col("old_id") == F.col("new_id")),
     )

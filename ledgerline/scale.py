@@ -40,18 +40,17 @@ def setting(spark: SparkSession, option: tuple[str, Any]) -> Any:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a folder of its own.
+    Without that setting the checkpoint folder of the context is taken, and a local-mode context
+    that has none either gets one of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
+    return context.getCheckpointDir()
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
@@ -95,12 +94,16 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def stage(df: DataFrame, name: str, **metrics: Column) -> Staged:
+def stage(df: DataFrame, name: str, gather: bool = False, **metrics: Column) -> Staged:
     """Write ``df`` to the shared folder and read it back; runs one Spark job.
 
-    Rows, bytes and any extra aggregate ``metrics`` are observed during that same write.
+    Rows, bytes and any extra aggregate ``metrics`` are observed during that same write. ``gather``
+    is for little data that comes straight from a big scan: it is first rebalanced into files of
+    normal size, else every scan task would write a tiny one.
     """
     spark = df.sparkSession
+    if gather:
+        df = df.hint("rebalance")
     path = new_shared_path(spark, name)
     seen = Observation()
     extra = [column.alias(key) for key, column in metrics.items()]

@@ -58,7 +58,10 @@ def zip_lines(
     of tasks, and lets a task go straight to its entries. Line ends are LF, CR and CRLF; text is UTF-8, or UTF-16 with a byte order mark.
     """
     entries = stage(
-        _records(spark, mask, path, recursive), "zip-entries", unpacked=F.sum("bytes")
+        _records(spark, mask, path, recursive),
+        "zip-entries",
+        gather=True,
+        unpacked=F.sum("bytes"),
     )
     total = entries.metrics["unpacked"] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))

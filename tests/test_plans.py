@@ -84,6 +84,17 @@ def test_large_ranges_are_joined_on_source_and_bucket(spark, folder):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_little_data_of_many_tasks_is_written_to_few_files(spark):
+    from ledgerline.scale import stage
+
+    many = spark.range(0, 1000, 1, 60).selectExpr("id", "concat('x', id) as x")
+    staged = stage(many, "gathered", gather=True, top=F.max("id"))
+    assert (staged.rows, staged.metrics["top"]) == (1000, 999)
+    files = {r[0] for r in staged.df.select("_metadata.file_path").distinct().collect()}
+    assert len(files) == 1
+    assert staged.df.agg(F.sum("id")).first()[0] == 499500
+
+
 def test_texts_are_split_once(spark):
     text = plan(explode_lines(fx.table(spark, SF, "documents"), "doc_id", "text"))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
@@ -133,3 +144,30 @@ def test_dates_are_values(spark):
     from ledgerline.functions.dates import business_date_list
 
     assert business_date_list(spark, dt.date(2001, 7, 28), 7)[0] == dt.date(2001, 7, 23)
+
+
+class FakeSession:
+    """Just enough of a session to ask for the shared folder."""
+
+    def __init__(self, master, setting=None):
+        self.conf = self.sparkContext = self
+        self.master, self.setting, self.folder = master, setting, None
+
+    def get(self, name, default):
+        return self.setting if name == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_is_the_configured_one_and_never_a_local_one_on_a_cluster():
+    from ledgerline.scale import shared_dir
+
+    assert shared_dir(FakeSession("spark://host", "hdfs://x/check/")) == "hdfs://x/check"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(FakeSession("spark://host"))
+    local = FakeSession("local[2]")
+    assert shared_dir(local) == shared_dir(local) == local.folder
