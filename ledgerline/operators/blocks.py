@@ -16,8 +16,8 @@ from ledgerline.functions.text import collapse_whitespace, contains_code
 from ledgerline.operators.ranges import BUCKET_LINES, bucketed_ranges, join_ranges
 from ledgerline.scale import Staged, part_of, skew_join, stage
 
-# Line tags, the pattern of the detail rows to keep, the provider name, and the
-# 0-based slices (end excluded) of a detail row.
+# Line tags, the pattern of the detail rows to keep, the provider name, the 0-based
+# slices (end excluded) of a detail row, and the output columns.
 HEADER = "CH"
 TRAILER = "CT"
 DETAIL = "D10[2-9]0101"
@@ -26,7 +26,6 @@ ACCOUNT_NUMBER = (8, 17)
 ACCOUNT_HOLDER_1 = (23, 90)
 ACCOUNT_HOLDER_2 = (113, 181)
 ACCOUNT_HOLDER_OTHER = (204, 272)
-
 HOLDER_COLUMNS = (
     "account_provider_name",
     "account_number",
@@ -38,7 +37,7 @@ HOLDER_COLUMNS = (
 # Where match="field" looks for the code in a header or trailer line: 0-based start and length.
 CODE_FIELD = (2, 12)
 
-
+# A list of codes, a table with a column code, or None for all.
 Codes = Sequence[str] | DataFrame | None
 
 
