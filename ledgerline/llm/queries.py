@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe, line_dedup, mixing, sharding, topk
+from ledgerline.llm import bpe, line_dedup, mixing, ngram_join, sharding, topk
 
 QUERIES = {
     "op2_shard_documents": sharding.op2_shard_documents,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
