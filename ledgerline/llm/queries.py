@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe, line_dedup, mixing, ngram_join, sharding, topk
+from ledgerline.llm import bpe, fingerprints, line_dedup, mixing, ngram_join, sharding, topk
 
 QUERIES = {
+    "op1_fingerprint_documents": fingerprints.op1_fingerprint_documents,
     "op2_shard_documents": sharding.op2_shard_documents,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
