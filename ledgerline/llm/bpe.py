@@ -14,10 +14,10 @@ already has are replaced.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import unicodedata
 from collections.abc import Callable
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import regex
@@ -28,6 +28,16 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import Remember, documents, in_slices
 
 
+#: The word pattern of word_bpe_49k.json: no alternative matches white space.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: Distinct chunks a worker remembers in each of two generations, some 100 MB together.
+CACHE_CHUNKS = 500_000
+
+#: Separators that str.split() takes for white space and the pattern does not.
+_ODD_SPACE = regex.compile("[\x1c-\x1f]")
+
+
 def vocabulary_path(name: str) -> str:
     """Where a public tokenizer lies; read on the driver alone, executors get the content."""
     import public_tokenizers
@@ -44,30 +54,38 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Merge the pair of lowest rank, leftmost first, until no neighbours have a rank."""
-    n = len(symbols)
-    symbols = symbols[:]
+def merge_symbols(symbols: list[int], ranks: dict[int, int], merges: list[tuple[int, int, int]], size: int) -> list[int]:
+    """Merge the pair of lowest rank, leftmost first, until no neighbours have a rank.
+
+    ``ranks`` has the rank of left * size + right, ``merges`` left, right and result of each rank.
+    """
+    n, symbols = len(symbols), symbols[:]
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-    queue = [
-        (*ranks[pair], i, *pair)
-        for i in range(n - 1)
-        if (pair := (symbols[i], symbols[i + 1])) in ranks
-    ]
-    queue = [(rank, i, new, left, right) for rank, new, i, left, right in queue]
-    heapq.heapify(queue)
+    rank_of = ranks.get
+    queue = []  # rank * n + place of the left symbol
+    for i in range(n - 1):
+        rank = rank_of(symbols[i] * size + symbols[i + 1])
+        if rank is not None:
+            queue.append(rank * n + i)
+    heapify(queue)
     while queue:
-        _, i, new, left, right = heapq.heappop(queue)
+        rank, i = divmod(heappop(queue), n)
+        left, right, new = merges[rank]
         j = after[i]
-        if symbols[i] != left or j >= n or symbols[j] != right:
+        if symbols[i] != left or j == n or symbols[j] != right:
             continue  # stale: one of the two has been merged since
         symbols[i], symbols[j] = new, -1
-        after[i] = k = after[j]
+        k = after[i] = after[j]
         if k < n:
             before[k] = i
-        for a, b in ((before[i], i), (i, k)):
-            if a >= 0 and b < n and (found := ranks.get((symbols[a], symbols[b]))):
-                heapq.heappush(queue, (found[0], a, found[1], symbols[a], symbols[b]))
+            rank = rank_of(new * size + symbols[k])
+            if rank is not None:
+                heappush(queue, rank * n + i)
+        h = before[i]
+        if h >= 0:
+            rank = rank_of(symbols[h] * size + new)
+            if rank is not None:
+                heappush(queue, rank * n + h)
     return [s for s in symbols if s >= 0]
 
 
@@ -77,6 +95,7 @@ class Codec:
     def __init__(self, file: str):
         self._read(json.loads(file))
         self._words = Remember(self._encode_word)
+        self._chunks = Remember(self._encode_chunk, CACHE_CHUNKS)
 
     def _read(self, given: dict) -> None:
         model = given["model"]
@@ -88,11 +107,12 @@ class Codec:
         letters = byte_letters()
         self._inner = [vocab.get(c, -1) for c in letters]
         self._last = [vocab.get(c + suffix, -1) for c in letters]
-        self._ranks = {}
+        size = self._size = max([*vocab.values(), *(t["id"] for t in given["added_tokens"])]) + 1
+        self._merges, self._ranks = [], {}
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
-            self._ranks.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
-        size = max([*vocab.values(), *(t["id"] for t in given["added_tokens"])]) + 1
+            self._merges.append((vocab[a], vocab[b], vocab[a + b]))
+            self._ranks.setdefault(vocab[a] * size + vocab[b], rank)
         self._strings = [""] * size
         for string, i in vocab.items():
             self._strings[i] = string
@@ -106,6 +126,7 @@ class Codec:
         self._cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self._normal = [self._normaliser(n) for n in self._sequence(given.get("normalizer"), "normalizers")]
         self._find = self._pattern(self._sequence(given.get("pre_tokenizer"), "pretokenizers"))
+        self._drops_space = self._find.pattern == WORD_PATTERN
         decoder = given.get("decoder")
         if decoder and decoder["type"] != "ByteLevel":
             raise ValueError("only the byte-level decoder or none")
@@ -133,7 +154,7 @@ class Codec:
 
         kinds = [s["type"] for s in steps]
         if kinds == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]:
-            return regex.compile(steps[0]["pattern"]["Regex"])
+            return regex.compile(steps[0]["pattern"]["Regex"])  # what lies between matches is dropped
         if kinds == ["ByteLevel"] and not steps[0]["add_prefix_space"]:
             return regex.compile(PATTERN)
         raise ValueError(f"pre-tokenizer {kinds}")
@@ -141,7 +162,7 @@ class Codec:
     def _encode_word(self, word: str) -> bytes:
         data = word.encode("utf-8")
         symbols = [self._inner[b] for b in data[:-1]] + [self._last[data[-1]]]
-        return np.array(merge_symbols(symbols, self._ranks), "<u4").tobytes()
+        return np.array(merge_symbols(symbols, self._ranks, self._merges, self._size), "<u4").tobytes()
 
     def pieces(self, text: str) -> list[str]:
         """The words of a text without special tokens, as the pattern finds them."""
@@ -152,6 +173,24 @@ class Codec:
     def word_ids(self, word: str) -> bytes:
         return self._words[word]
 
+    def _encode_chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():  # a run of letters is one word
+            return self._encode_word(chunk)
+        if chunk[-1] in ".,:;!?" and chunk[:-1].isalpha():
+            return self._chunks[chunk[:-1]] + self._words[chunk[-1]]
+        return self._encode_words(chunk)
+
+    def _encode_words(self, text: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, self._find.findall(text)))
+
+    def _encode_part(self, text: str) -> bytes:
+        for step in self._normal:
+            text = step(text)
+        if self._drops_space and not _ODD_SPACE.search(text):
+            # No match of the pattern holds or sees white space, so what stands between is cut alone.
+            return b"".join(map(self._chunks.__getitem__, text.split()))
+        return self._encode_words(text)
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
@@ -161,7 +200,7 @@ class Codec:
             if part in self._special:
                 out.append(self._special[part].to_bytes(4, "little"))
             elif part:
-                out += map(self._words.__getitem__, self.pieces(part))
+                out.append(self._encode_part(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:

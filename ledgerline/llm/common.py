@@ -21,7 +21,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 #: Rows a task turns into one Arrow batch of results, and the distinct words it remembers.
 SLICE_ROWS = 512
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 SHINGLE_WORDS = 5
 
@@ -53,16 +53,21 @@ def join_measured(
 
 
 class Remember(dict):
-    """A dict that computes what it lacks and starts afresh when it has grown too large."""
+    """A dict that computes what it lacks. It keeps two generations of at most ``limit`` entries each,
+    so words in use survive when those seen once are let go."""
 
     def __init__(self, compute: Callable[[Any], Any], limit: int = CACHE_WORDS):
         super().__init__()
-        self._compute, self._limit = compute, limit
+        self._compute, self._limit, self._old = compute, limit, {}
 
     def __missing__(self, key: Any) -> Any:
+        value = self._old.get(key)
+        if value is None:
+            value = self._compute(key)
         if len(self) >= self._limit:
+            self._old = dict(self)
             self.clear()
-        value = self[key] = self._compute(key)
+        self[key] = value
         return value
 
 
