@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Remember, documents, in_slices
+from ledgerline.llm.common import Remember, ddl, documents, in_slices
 
 
 #: The word pattern of word_bpe_49k.json: no alternative matches white space.
@@ -38,6 +38,10 @@ CACHE_CHUNKS = 500_000
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
 
+#: White space that is not a single space or line feed between two other characters.
+_UNEVEN_SPACE = regex.compile(r"[^\S \n]|[\x1c-\x1f]|\s\s")
+
+
 def vocabulary_path(name: str) -> str:
     """Where a public tokenizer lies; read on the driver alone, executors get the content."""
     import public_tokenizers
@@ -96,6 +100,7 @@ class Codec:
         self._read(json.loads(file))
         self._words = Remember(self._encode_word)
         self._chunks = Remember(self._encode_chunk, CACHE_CHUNKS)
+        self._sizes = Remember(self._sizes_of, CACHE_CHUNKS)
 
     def _read(self, given: dict) -> None:
         model = given["model"]
@@ -191,6 +196,30 @@ class Codec:
             return b"".join(map(self._chunks.__getitem__, text.split()))
         return self._encode_words(text)
 
+    def _sizes_of(self, chunk: str) -> bytes:
+        pieces = self._find.findall(chunk)
+        if len(pieces) > 1:
+            return b"".join(map(self._sizes.__getitem__, pieces))
+        ids = np.frombuffer(self._encode_word(chunk), "<u4").tolist()
+        return bytes(len(self._strings[i]) for i in ids)
+
+    def token_lengths(self, text: str) -> np.ndarray:
+        """Bytes of every token of a text, special tokens taken as ordinary text. Only for files that
+        leave the text as it is, so that lengths add up to places in it."""
+        if self._normal or self._drops_space:
+            raise ValueError("tokens of this file have no places in the text")
+        sizes = self._sizes.__getitem__
+        if _UNEVEN_SPACE.search(text):
+            return np.frombuffer(b"".join(map(sizes, self._find.findall(text))), np.uint8)
+        # Single spaces and line feeds: a space belongs to the word after it, a line feed stands alone.
+        out = []
+        for i, line in enumerate(text.split("\n")):
+            if i:
+                out.append(sizes("\n"))
+            if line:
+                out += map(sizes, line.replace(" ", "\n ").split("\n"))
+        return np.frombuffer(b"".join(out), np.uint8)
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
@@ -228,14 +257,10 @@ def ship(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def _keep(df: DataFrame, text: str, new: list[str]) -> tuple[DataFrame, list[str]]:
+def _keep(df: DataFrame, column: str, new: list[str]) -> tuple[DataFrame, list[str]]:
+    """The columns that stay, and the one to work on as __given."""
     kept = [c for c in df.columns if c not in new]
-    return df.select(*kept, F.col(text).alias("__text")), kept
-
-
-def _ddl(df: DataFrame, kept: list[str]) -> str:
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return ", ".join(f"`{c}` {types[c]}" for c in kept)
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("__given")), kept
 
 
 def encode(df: DataFrame, path: str, text: str = "text", digests: bool = False) -> DataFrame:
@@ -244,23 +269,23 @@ def encode(df: DataFrame, path: str, text: str = "text", digests: bool = False)
     new = ["n_tokens", "ids"] + ["ids_sha256", "decoded_sha256"] * digests
     narrowed, kept = _keep(df, text, new)
     file = ship(df.sparkSession, path)
-    schema = f"{_ddl(df, kept)}, n_tokens bigint, ids array<int>"
+    schema = f"{ddl(df, kept)}, n_tokens bigint, ids array<int>"
     schema += ", ids_sha256 string, decoded_sha256 string" * digests
 
     def make():
         codec = codec_of(file)
 
         def work(rows):
-            packed = [codec.encode(t) for t in rows.pop("__text")]
-            rows["n_tokens"] = [len(p) // 4 for p in packed]
-            rows["ids"] = [np.frombuffer(p, "<i4") for p in packed]
-            if digests:
-                rows |= _digests(codec, packed)
-            return rows
+            packed = [codec.encode(t) for t in rows["__given"]]
+            out = {
+                "n_tokens": [len(p) // 4 for p in packed],
+                "ids": [np.frombuffer(p, "<i4") for p in packed],
+            }
+            return out | _digests(codec, packed) if digests else out
 
         return work
 
-    return in_slices(narrowed, make, schema, rows=64)
+    return in_slices(narrowed, make, schema, rows=64, use=["__given"])
 
 
 def _digests(codec: Codec, packed: list[bytes]) -> dict[str, list[str]]:
@@ -279,13 +304,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         codec = codec_of(file)
 
         def work(rows):
-            given = rows.pop("__text")
-            rows["decoded"] = [codec.decode(np.array(i or [], "<u4").tobytes()) for i in given]
-            return rows
+            given = rows["__given"]
+            return {"decoded": [codec.decode(np.array(i or [], "<u4").tobytes()) for i in given]}
 
         return work
 
-    return in_slices(narrowed, make, f"{_ddl(df, kept)}, decoded string", rows=64)
+    return in_slices(narrowed, make, f"{ddl(df, kept)}, decoded string", rows=64, use=["__given"])
 
 
 def round_trip(df: DataFrame, path: str, key: str = "doc_id") -> DataFrame:

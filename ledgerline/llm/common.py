@@ -10,6 +10,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.scale import Staged, new_shared_path, stage
 
@@ -26,7 +28,7 @@ CACHE_WORDS = 250_000
 SHINGLE_WORDS = 5
 
 __all__ = [
-    "BROADCAST_BYTES", "Remember", "Staged", "WORD", "documents", "in_slices", "join_measured",
+    "BROADCAST_BYTES", "Remember", "Staged", "WORD", "ddl", "documents", "in_slices", "join_measured",
     "new_shared_path", "shingle_hashes", "stage", "table", "word_hashes",
 ]
 
@@ -109,27 +111,33 @@ def in_slices(
     make: Callable[[], Callable[[dict[str, list]], dict[str, Iterable]]],
     schema: str,
     rows: int = SLICE_ROWS,
+    use: list[str] | None = None,
 ) -> DataFrame:
     """One Arrow pass: ``make()`` runs once per task and gives a function from columns to columns.
 
-    The function sees at most ``rows`` rows at a time as Python lists, so what a task holds is
-    bounded by a few rows and not by a partition.
+    The function sees at most ``rows`` rows at a time as Python lists (the columns ``use``, or all),
+    so what a task holds is bounded by a few rows and not by a partition. Columns of ``schema`` that
+    it does not return are passed on as they are.
     """
-    from pyspark.sql.types import StructType
-
-    target = StructType.fromDDL(schema)
+    target = T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
         arrow = to_arrow_schema(target)
         work = make()
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                out = work({n: part.column(n).to_pylist() for n in part.schema.names})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], f.type) for f in arrow], schema=arrow
-                )
+                out = work({n: part.column(n).to_pylist() for n in use or part.schema.names})
+                arrays = [
+                    pa.array(out[f.name], f.type) if f.name in out else part.column(f.name).cast(f.type)
+                    for f in arrow
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def ddl(df: DataFrame, columns: list[str]) -> str:
+    """The columns with their types, as the start of a schema."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join(f"`{c}` {types[c]}" for c in columns)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import (
     Remember,
+    ddl,
     documents,
     in_slices,
     mixed,
@@ -105,20 +106,17 @@ class MinHash:
 def fingerprints(docs: DataFrame, text: str = "text", bins: int = BINS, bits: int = BITS) -> DataFrame:
     """Adds ``fingerprint`` to the documents."""
     kept = [c for c in docs.columns if c != "fingerprint"]
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", fingerprint string"
 
     def make():
         hasher = MinHash(bins, bits)
 
         def work(rows):
             data = [None if t is None else t.encode("utf-8") for t in rows[text]]
-            rows["fingerprint"] = [hasher.pack(hasher.values(t)) for t in data]
-            return rows
+            return {"fingerprint": [hasher.pack(hasher.values(t)) for t in data]}
 
         return work
 
-    return in_slices(docs.select(*kept), make, schema)
+    return in_slices(docs.select(*kept), make, ddl(docs, kept) + ", fingerprint string", use=[text])
 
 
 def edited(text: str, following: str) -> str:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Staged, documents, in_slices, join_measured, stage
+from ledgerline.llm.common import Staged, ddl, documents, in_slices, join_measured, stage
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -182,22 +182,16 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
     """
     joined = with_bitmaps(docs, stage(keep_bitmaps(docs, **limits), "keep-bitmaps"))
     untouched = joined.filter("keep is null").select("own.*")
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {t}" for c, t in types.items())
 
     def make():
         def work(rows):
-            keeps = rows.pop("keep")
-            rows["text"] = [
-                _kept_lines(t.encode("utf-8"), k)[0].decode("utf-8")
-                for t, k in zip(rows["text"], keeps, strict=True)
-            ]
-            return rows
+            pairs = zip(rows["text"], rows["keep"], strict=True)
+            return {"text": [_kept_lines(t.encode("utf-8"), k)[0].decode("utf-8") for t, k in pairs]}
 
         return work
 
     cut = joined.filter("keep is not null").select("own.*", "keep")
-    return untouched.unionByName(in_slices(cut, make, schema))
+    return untouched.unionByName(in_slices(cut, make, ddl(docs, docs.columns), use=["text", "keep"]))
 
 
 def digest(docs: DataFrame, bitmaps: Staged, key: str = "doc_id") -> DataFrame:
@@ -228,3 +222,22 @@ def digest(docs: DataFrame, bitmaps: Staged, key: str = "doc_id") -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return digest(docs, stage(keep_bitmaps(docs), "keep-bitmaps"))
+
+
+OP6_SQL = """
+WITH lines AS (
+  SELECT doc_id, line, pos FROM (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+  ), unnest(parts) WITH ORDINALITY AS t(line, pos)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), common AS (
+  SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT doc_id, line, pos, holder IS NOT NULL AND holder <> doc_id AS dropped FROM keyed LEFT JOIN common USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
