@@ -1,9 +1,9 @@
 """Toxicity scores: boosted trees over dense features of a text, calibrated by isotonic regression.
 
 Learning reads labelled documents only, at most about ``SAMPLE_ROWS`` of them (a bound on the fit; every
-document is scored). Their ids are dealt by hash: most teach the lexicon and the trees, the rest
-the calibration. The lexicon holds words and word beginnings that occur in more toxic documents than
-chance allows, by the log-odds of their document counts, next to counts in clean ones. Features are
+document is scored). Their ids are dealt by hash: most teach the lexicon and the trees, the rest the
+calibration. The lexicon holds words and word beginnings that occur in more toxic documents than
+chance allows, by the likelihood ratio of their document counts in toxic and clean ones. Features are
 computed in one Arrow pass per document: densities of lexicon words and beginnings, their weights,
 distance to second-person words, capitals, punctuation, and letters hidden by digits or signs. Trees and
 calibration are Spark ML models, fitted and applied by Spark.
@@ -33,11 +33,14 @@ from ledgerline.llm.common import Remember, ddl, documents, in_slices, stage, ta
 
 #: Bounds of the fit.
 SAMPLE_ROWS = 20_000
-LEXICON_TERMS = 500
-#: A term needs this many toxic documents, this share of them, and this z-score of its log-odds.
-TERM_DOCS, TERM_SHARE, TERM_Z = 3, 0.005, 3.0
+LEXICON_TERMS = 300
+#: A term needs this many toxic documents, this likelihood ratio (Dunning's G2), and this share of toxic
+#: documents among those that hold it.
+TERM_DOCS, TERM_RATIO, TERM_PRECISION = 3, 15.0, 0.7
 BEGINNINGS = (4, 5, 6)
-CALIBRATION_PARTS = 4
+#: Of so many parts of the sample, which teach what.
+PARTS = 7
+LEXICON_PARTS, TREE_PARTS, CALIBRATION_PARTS = (0, 1, 2, 3, 4), (0, 1, 2, 3, 4), (5, 6)
 TREES, DEPTH = 15, 4
 THRESHOLD = 0.7
 
@@ -173,14 +176,14 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """text, toxic and part (0 teaches the calibration) of a bounded sample of labelled documents."""
+    """text, toxic and part of a bounded sample of labelled documents."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
     total = known.count()
     share = min(1.0, sample_rows / max(1, total))
     place = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1_000_000))
     sample = known.filter(place < int(share * 1_000_000)).withColumn(
-        "part", F.pmod(F.xxhash64(F.lit(77), "doc_id"), F.lit(CALIBRATION_PARTS)).cast("int")
+        "part", F.pmod(F.xxhash64(F.lit(77), "doc_id"), F.lit(PARTS)).cast("int")
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(sample), "doc_id").select("text", "toxic", "part")
@@ -206,21 +209,27 @@ def learn_lexicon(rows: DataFrame, limit: int = LEXICON_TERMS) -> Lexicon:
 
         return part.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
-    least = max(TERM_DOCS, TERM_SHARE * toxic)
-    often = counted(rows.filter("toxic = 1"), None).filter(F.col("n") >= least)
+    often = counted(rows.filter("toxic = 1"), None).filter(F.col("n") >= max(TERM_DOCS, toxic // 200))
     in_toxic = {r["term"]: r["n"] for r in often.collect()}
     in_clean = {r["term"]: r["n"] for r in counted(rows.filter("toxic = 0"), frozenset(in_toxic)).collect()}
     scored = []
     for term, t in in_toxic.items():
         c = in_clean.get(term, 0)
-        odds = math.log((t + 0.5) / (toxic - t + 0.5)) - math.log((c + 0.5) / (clean - c + 0.5))
-        z = odds / math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
-        if z >= TERM_Z:
-            scored.append((z, term, odds))
+        ratio = _likelihood_ratio(t, c, toxic, clean)
+        if ratio >= TERM_RATIO and t / (t + c) >= TERM_PRECISION:
+            odds = math.log((t + 0.5) / (toxic - t + 0.5)) - math.log((c + 0.5) / (clean - c + 0.5))
+            scored.append((ratio, term, odds))
     scored.sort(key=lambda s: (-s[0], s[1]))
     return Lexicon({term: odds for _, term, odds in scored[:limit]})
 
 
+def _likelihood_ratio(t: int, c: int, toxic: int, clean: int) -> float:
+    """G2 of a term's document counts against equal shares in toxic and clean documents."""
+    share = (t + c) / (toxic + clean)
+    cells = ((t, toxic * share), (c, clean * share), (toxic - t, toxic * (1 - share)), (clean - c, clean * (1 - share)))
+    return 2 * sum(n * math.log(n / expected) for n, expected in cells if n)
+
+
 def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """Adds ``features``, an array of numbers in the order of ``Features.NAMES``."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
@@ -256,27 +265,28 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     rows = stage(training_rows(docs, labels, sample_rows), "labelled-texts").df
-    lexicon = learn_lexicon(rows.filter("part <> 0"))
-    vectors = stage(
-        with_features(rows, lexicon).select("toxic", "part", *[F.col("features")[i].alias(n) for i, n in enumerate(Features.NAMES)]),
-        "labelled-features",
-        gather=True,
-    ).df.select("toxic", "part", array_to_vector(F.array(*Features.NAMES)).alias("features")).coalesce(2).cache()
-    counts = {(r["part"] == 0, r["toxic"]): r["n"] for r in vectors.groupBy("part", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    by_label = {label: sum(n for (_, x), n in counts.items() if x == label) for label in (0.0, 1.0)}
-    prior = (by_label[1.0] + 0.5) / (sum(by_label.values()) + 1)
-    learns = {label: any(x == label and not held for held, x in counts) for label in (0.0, 1.0)}
-    if not all(learns.values()):
-        vectors.unpersist()
+    lexicon = learn_lexicon(rows.filter(F.col("part").isin(*LEXICON_PARTS)))
+    numbers = [F.col("features")[i].alias(n) for i, n in enumerate(Features.NAMES)]
+    known = stage(with_features(rows, lexicon).select("toxic", "part", *numbers), "labelled-features", gather=True).df
+    counts = {(r["part"], r["toxic"]): r["n"] for r in known.groupBy("part", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, total = sum(n for (_, x), n in counts.items() if x == 1), sum(counts.values())
+    prior = (toxic + 0.5) / (total + 1)
+
+    def both_labels(parts) -> bool:
+        return all(any((p, x) in counts for p in parts) for x in (0.0, 1.0))
+
+    if not both_labels(TREE_PARTS):
         return Model(lexicon, prior, None)
+    # The sample is bounded, so two partitions hold it at any size of the corpus.
+    vectors = known.select("toxic", "part", array_to_vector(F.array(*Features.NAMES)).alias("features")).coalesce(2).cache()
     trees = GBTClassifier(
-        featuresCol="features", labelCol="toxic", rawPredictionCol="margins", probabilityCol="chances", predictionCol="label",
+        featuresCol="features", labelCol="toxic", predictionCol="label",
         maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=7, minInstancesPerNode=3,
-    ).fit(vectors.filter("part <> 0"))
-    calibrating = vectors.filter("part = 0")
-    chance = _chance(trees.transform(calibrating))
-    both = all(any(held and x == label for held, x in counts) for label in (0.0, 1.0))
-    isotonic = IsotonicRegression(featuresCol="chance", labelCol="toxic", predictionCol="score").fit(chance) if both else None
+    ).fit(vectors.filter(F.col("part").isin(*TREE_PARTS)))
+    isotonic = None
+    if both_labels(CALIBRATION_PARTS):
+        chances = _chance(trees.transform(vectors.filter(F.col("part").isin(*CALIBRATION_PARTS))))
+        isotonic = IsotonicRegression(featuresCol="chance", labelCol="toxic", predictionCol="score").fit(chances)
     vectors.unpersist()
     return Model(lexicon, prior, _Steps(trees, isotonic))
 
@@ -295,7 +305,7 @@ class _Steps:
 
 
 def _chance(predicted: DataFrame) -> DataFrame:
-    return predicted.withColumn("chance", vector_to_array("chances")[1])
+    return predicted.withColumn("chance", vector_to_array("probability")[1])
 
 
 def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
