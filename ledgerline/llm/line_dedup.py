@@ -185,13 +185,13 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
 
     def make():
         def work(rows):
-            pairs = zip(rows["text"], rows["keep"], strict=True)
+            pairs = zip(rows["text"], rows["__keep"], strict=True)
             return {"text": [_kept_lines(t.encode("utf-8"), k)[0].decode("utf-8") for t, k in pairs]}
 
         return work
 
-    cut = joined.filter("keep is not null").select("own.*", "keep")
-    return untouched.unionByName(in_slices(cut, make, ddl(docs, docs.columns), use=["text", "keep"]))
+    cut = joined.filter("keep is not null").select("own.*", F.col("keep").alias("__keep"))
+    return untouched.unionByName(in_slices(cut, make, ddl(docs, docs.columns), use=["text", "__keep"]))
 
 
 def digest(docs: DataFrame, bitmaps: Staged, key: str = "doc_id") -> DataFrame:
