@@ -22,6 +22,9 @@ cloudpickle.register_pickle_by_value(zippack)
 AS_OF = dt.date(2001, 7, 28)
 LOOKBACK_DAYS = 7
 DOCUMENTS_PER_ARCHIVE = 250
+# Where the feeds hold the code in header and trailer lines: 0-based start, length.
+CODE_FIELD = (2, 12)
+LONG_CODE_FIELD = (2, 40)
 _CUSTOMERS_PER_BUCKET = 1 << 16
 # Keeps the parts of the map in order for any number of customers.
 _STEP = 10**15
@@ -31,9 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_rows(spark: SparkSession, sf_dir: str, long_codes: bool = False) -> DataFrame:
     """Feed lines before numbering: a source per nation, a customer block per market segment.
 
+    Long codes begin with the name of the segment and the word SEGMENT, so many share 12 characters.
     Columns ``src``, ``code``, ``o`` (order within the block), ``line``.
     """
     people = table(spark, sf_dir, "customer").join(
@@ -41,7 +45,11 @@ def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(
         F.col("n_name").alias("src"), F.col("c_mktsegment").alias("code"), F.col("c_custkey").alias("k")
     )
-    code, key = F.rpad("code", 12, " "), F.col("k").cast("string")
+    width = CODE_FIELD[1]
+    if long_codes:
+        width = LONG_CODE_FIELD[1]
+        people = people.withColumn("code", F.concat(F.lit("SEGMENT-NAMED-"), "code", F.lit("-"), "src"))
+    code, key = F.rpad("code", width, " "), F.col("k").cast("string")
     blank = F.lit("")
     detail = F.concat(
         F.lit("D10"), (F.col("k") % 9 + 1).cast("string"), F.lit("0101"), F.lpad(key, 9, "0"),
@@ -67,10 +75,10 @@ def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.select("src", "code", F.col("k").alias("o"), detail.alias("line")).unionByName(ends)
 
 
-def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_lines(spark: SparkSession, sf_dir: str, long_codes: bool = False) -> DataFrame:
     """The feed as a lines relation."""
     bucket = F.struct("code", F.floor(F.col("o") / _CUSTOMERS_PER_BUCKET).alias("part"))
-    numbered = number_rows(feed_rows(spark, sf_dir), "src", ["code", "o"], bucket)
+    numbered = number_rows(feed_rows(spark, sf_dir, long_codes), "src", ["code", "o"], bucket)
     return numbered.select("src", "line_no", "line")
 
 
@@ -97,6 +105,29 @@ def delimited_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_files(spark: SparkSession, sf_dir: str) -> str:
+    """A text file per nation, without content for every fifth one; returns the folder."""
+    folder = new_shared_path(spark, "nations")
+    key = F.col("n_nationkey")
+    text = F.when(key % 5 == 0, "").otherwise(
+        F.concat_ws("\n", "n_name", key.cast("string"), F.repeat(F.lit("x\n"), (key % 4).cast("int")))
+    )
+    rows = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit(f"{folder}/"), "n_name", F.lit(".txt")).alias("file"), text.alias("text")
+    )
+    stage(rows.mapInArrow(zippack.write_rows, "file string"), "written")
+    return folder
+
+
+def text_ids(frame: DataFrame, salt: int, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """The frame with its id columns as texts whose case depends on the number and ``salt``."""
+    for c in columns or [c for c in frame.columns if c.endswith("GUID")]:
+        text = F.concat(F.lit("Id-"), F.col(c).cast("string"))
+        upper = (F.col(c) + salt) % 3 == 0
+        frame = frame.withColumn(c, F.when(upper, F.upper(text)).otherwise(text))
+    return frame
+
+
 def pack_documents(spark: SparkSession, sf_dir: str) -> str:
     """Pack the documents into ZIP archives, some hundred each; returns the folder.
 

@@ -35,13 +35,13 @@ HOLDER_COLUMNS = (
 )
 
 # Where match="field" looks for the code in a header or trailer line: 0-based start and length.
-CODE_FIELD = (2, 12)
+Field = tuple[int, int] | None
 
 # A list of codes, a table with a column code, or None for all.
 Codes = Sequence[str] | DataFrame | None
 
 
-def _codes(line: Column, kind: str, codes, match: str, field: tuple[int, int]) -> Column:
+def _codes(line: Column, kind: str, codes, match: str, field: Field) -> Column:
     """Array of the wanted codes that this line is a header (or trailer) of."""
     if match == "field":
         held = F.trim(F.substring(line, field[0] + 1, field[1]))
@@ -59,23 +59,30 @@ def boundary_lines(
     lines: DataFrame,
     codes: Codes,
     match: str = "regex",
-    field: tuple[int, int] = CODE_FIELD,
+    field: Field = None,
 ) -> DataFrame:
     """Header and trailer lines of the wanted customers: ``src``, ``line_no``, ``kind``, ``code``.
 
     ``match``: ``regex`` takes a code as a pattern anywhere after the tag, so AB also hits ABC;
-    ``literal`` as plain text; ``field`` compares the whole code field. With ``field`` the codes may
-    also be a table with a column ``code``, of any size, or None for all customers.
+    ``literal`` as plain text; ``field`` compares the whole code field, (0-based start, length), which
+    the caller gives. With it the codes may also be a table with a column ``code``, of any size, or
+    None for all customers. A code that is longer than the field is an error, as it never matches.
     """
+    if match == "field" and field is None:
+        raise ValueError("match='field' needs the place of the code field")
     if isinstance(codes, DataFrame):
         if match != "field":
             raise ValueError("a table of codes needs match='field'")
-        wanted = stage(codes.select("code").distinct(), "codes")
+        wanted = stage(codes.select("code").distinct(), "codes", longest=F.max(F.length("code")))
+        if (wanted.metrics["longest"] or 0) > field[1]:
+            raise ValueError(f"a code is longer than the field of {field[1]} characters")
         everyone = boundary_lines(lines, None, match, field)
         held = skew_join(everyone, wanted, ["code"], "left_semi")
         return held.select("src", "line_no", "kind", "code")
     if codes is not None:
         codes = list(dict.fromkeys(codes))
+        if match == "field" and (long := [c for c in codes if len(c) > field[1]]):
+            raise ValueError(f"codes longer than the field of {field[1]} characters: {long}")
     line = F.col("line")
     kind = F.when(line.startswith(HEADER), F.lit(HEADER)).otherwise(F.lit(TRAILER))
     hits = F.when(
@@ -90,7 +97,7 @@ def block_bounds(
     lines: DataFrame,
     codes: Codes,
     match: str = "regex",
-    field: tuple[int, int] = CODE_FIELD,
+    field: Field = None,
 ) -> DataFrame:
     """Per source and customer with a header: ``start_line`` and ``end_line``.
 

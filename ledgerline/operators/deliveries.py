@@ -14,11 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.idmap import normal_id
 from ledgerline.scale import skew_join, stage
 
 PAIR = ("brokerage", "customer")
 
 
+def _guid(frame: DataFrame, column: str, name: str) -> Column:
+    """An id column in the form in which ids are compared."""
+    return normal_id(F.col(column), frame.schema[column].dataType).alias(name)
+
+
 def _at(dates: Sequence[dt.date], frame: DataFrame, column: str) -> list[Column]:
     """The dates as literals of the type of a column, so that comparisons reach the scan."""
     return [F.lit(d).cast(frame.schema[column].dataType) for d in sorted(dates)]
@@ -38,28 +44,28 @@ def active_accounts(
 def _account_owners(
     accounts: DataFrame, dates: Sequence[dt.date], active_since: dt.date | None
 ) -> DataFrame:
-    return active_accounts(accounts, dates, active_since).select(
-        F.col("AccountGUID").alias("accountguid"), F.col("ForeignGUID").alias("owner")
+    active = active_accounts(accounts, dates, active_since)
+    return active.select(
+        _guid(active, "AccountGUID", "accountguid"), _guid(active, "ForeignGUID", "owner")
     )
 
 
 def broker_customers(brokers: DataFrame, users: DataFrame, customers: DataFrame) -> DataFrame:
     """Broker and customer names by the id that accounts refer to: ``owner``, ``brokerage``,
     ``customer``."""
-    return (
-        brokers.select(F.col("PrimaryGUID").alias("owner"), F.col("BrokerName").alias("brokerage"))
-        .join(
-            users.select(F.col("PrimaryGUID").alias("owner"), F.col("ForeignGUID").alias("firm")),
-            "owner",
-        )
-        .join(
-            customers.select(
-                F.col("PrimaryGUID").alias("firm"), F.col("CompanyName").alias("customer")
-            ),
-            "firm",
-        )
-        .select("owner", *PAIR)
+    names = brokers.select(
+        _guid(brokers, "PrimaryGUID", "owner"), F.col("BrokerName").alias("brokerage")
+    )
+    firms = users.select(_guid(users, "PrimaryGUID", "owner"), _guid(users, "ForeignGUID", "firm"))
+    companies = stage(
+        customers.select(
+            _guid(customers, "PrimaryGUID", "firm"), F.col("CompanyName").alias("customer")
+        ),
+        "companies",
+        gather=True,
     )
+    # Many users may belong to one firm, so the firm is the key that can be hot.
+    return skew_join(names.join(firms, "owner"), companies, ["firm"], "inner").select("owner", *PAIR)
 
 
 def active_broker_accounts(
@@ -99,8 +105,27 @@ def expected_deliveries(
     return pairs.select(*PAIR, F.explode(every).alias("business_date"))
 
 
+def _flags(dates: Sequence[dt.date]) -> list[str]:
+    """A column per date that tells whether there is data for it."""
+    return [f"__day{i}" for i in range(len(dates))]
+
+
+def _any(dates: Sequence[dt.date]) -> list[Column]:
+    """The flags of a group: set where one of its rows has them set."""
+    return [F.coalesce(F.bool_or(f), F.lit(False)).alias(f) for f in _flags(dates)]
+
+
+def _days(dates: Sequence[dt.date], value: bool, keep: Column | None = None) -> Column:
+    """The dates whose flag is ``value``, or all where ``keep`` holds, as an array."""
+    chosen = []
+    for flag, day in zip(_flags(dates), sorted(dates), strict=True):
+        wanted = F.col(flag) == F.lit(value)
+        chosen.append(F.when(wanted if keep is None else wanted | keep, F.lit(day)))
+    return F.array_compact(F.array(*chosen)).cast("array<date>")
+
+
 def _days_by_account(daily: DataFrame, dates: Sequence[dt.date], by_day: bool) -> DataFrame:
-    """Wanted dates with daily data: one row per account, ``days`` holding at most all dates."""
+    """One row per account with daily data on a wanted date: a flag per date."""
     moment = F.col("DateOfData")
     if not dates:
         wanted = F.lit(False)
@@ -111,23 +136,21 @@ def _days_by_account(daily: DataFrame, dates: Sequence[dt.date], by_day: bool) -
         wanted = (moment >= first) & (moment < beyond) & in_days
     else:
         wanted = moment.isin(*_at(dates, daily, "DateOfData"))
+    day = F.to_date(moment)
+    flags = [F.bool_or(day == F.lit(d)).alias(f) for f, d in zip(_flags(dates), sorted(dates), strict=True)]
+    rows = daily.filter(wanted).withColumn("__account", _guid(daily, "AccountGUID", "__account"))
     return (
-        daily.filter(wanted)
-        .select(F.col("AccountGUID").alias("accountguid"), F.to_date(moment).alias("day"))
-        .groupBy("accountguid")
-        .agg(F.collect_set("day").alias("days"))
+        rows.groupBy("__account")
+        .agg(F.count(F.lit(1)).alias("rows"), *flags)
+        .select(F.col("__account").alias("accountguid"), *_flags(dates))
     )
 
 
 def _owners_by_account(
     accounts: DataFrame, dates: Sequence[dt.date], active_since: dt.date | None
 ) -> DataFrame:
-    """Owners of the active accounts: one row per account id, so a repeated or null id stays one."""
-    return (
-        _account_owners(accounts, dates, active_since)
-        .groupBy("accountguid")
-        .agg(F.collect_set("owner").alias("owners"))
-    )
+    """Account ids with their owners, each combination once."""
+    return _account_owners(accounts, dates, active_since).distinct()
 
 
 def _named() -> Column:
@@ -148,20 +171,21 @@ def processed_deliveries(
 
     A date counts if ``DateOfData`` is exactly that midnight, or with ``by_day`` anywhere in the
     day. Expected rows are all pairs times all dates, so joining them again to the accounts of the
-    same pair only drops pairs with a null name; that is done as a filter. Both daily rows and
-    accounts shrink to one row per account id before they meet on it, and the result shrinks to
-    owner and date before names are joined, so no hot account, broker or customer is ever carried
-    row by row.
+    same pair only drops pairs with a null name; that is done as a filter. Daily rows shrink to one
+    row per account id with a flag per date before they meet the accounts, and the result to one row
+    per owner before names are joined, so no hot account, broker or customer is carried row by row.
     """
     owners = _owners_by_account(accounts, dates, active_since)
-    delivered = (
+    by_owner = (
         owners.join(_days_by_account(daily, dates, by_day), "accountguid")
-        .select(F.explode("owners").alias("owner"), "days")
-        .select("owner", F.explode("days").alias("business_date"))
-        .distinct()
+        .groupBy("owner")
+        .agg(F.count(F.lit(1)).alias("rows"), *_any(dates))
     )
     named = broker_customers(brokers, users, customers).filter(_named())
-    return delivered.join(named, "owner").select(*PAIR, "business_date").distinct()
+    by_pair = by_owner.drop("rows").join(named, "owner").groupBy(*PAIR).agg(
+        F.count(F.lit(1)).alias("rows"), *_any(dates)
+    )
+    return by_pair.select(*PAIR, F.explode(_days(dates, True)).alias("business_date"))
 
 
 def unprocessed_deliveries(expected: DataFrame, processed: DataFrame) -> DataFrame:
@@ -182,24 +206,20 @@ def missing_deliveries(
 ) -> DataFrame:
     """``expected_deliveries`` without ``processed_deliveries``, in one pass over the accounts.
 
-    Each active account brings the set of dates it has data for; sets (at most all dates) are
-    united per owner and then per pair of names, and what they lack of the dates is missing. A pair
-    with a null name is never processed.
+    Each active account brings a flag per date it has data for; flags are united per owner and then
+    per pair of names, and the dates without one are missing. A pair with a null name is never
+    processed.
     """
     owners = _owners_by_account(accounts, dates, active_since)
     by_owner = (
         owners.join(_days_by_account(daily, dates, by_day), "accountguid", "left")
-        .select(F.explode("owners").alias("owner"), "days")
-        .select("owner", F.explode_outer("days").alias("day"))
         .groupBy("owner")
-        .agg(F.collect_set("day").alias("days"))
+        .agg(F.count(F.lit(1)).alias("rows"), *_any(dates))
+        .drop("rows")
     )
     by_pair = (
         by_owner.join(broker_customers(brokers, users, customers), "owner")
-        .select(*PAIR, F.explode_outer("days").alias("day"))
         .groupBy(*PAIR)
-        .agg(F.collect_set("day").alias("days"))
+        .agg(F.count(F.lit(1)).alias("rows"), *_any(dates))
     )
-    every = F.array(*[F.lit(d) for d in sorted(dates)]).cast("array<date>")
-    lacking = F.when(_named(), F.array_except(every, F.col("days"))).otherwise(every)
-    return by_pair.select(*PAIR, F.explode(lacking).alias("business_date"))
+    return by_pair.select(*PAIR, F.explode(_days(dates, False, ~_named())).alias("business_date"))

@@ -10,6 +10,8 @@ the id it has now, and so on. Two steps make this set-based:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,6 @@ from ledgerline.scale import Staged, skew_join, stage
 
 # Entries per group when looking for the next entry; also bounds the group of one hot id.
 ROWS_PER_BUCKET = 1 << 20
-MAX_BUCKETS = 1024
 
 
 def normal_id(column: Column, kind: T.DataType) -> Column:
@@ -52,16 +53,16 @@ def stage_entries(id_map: DataFrame, allow_self: bool = False) -> Staged:
     return staged
 
 
-def _bucket(entries: Staged, rows_per_bucket: int) -> Column | None:
-    """Bucket of ``seq`` such that no bucket holds many more than ``rows_per_bucket`` entries."""
-    buckets = min(-(-entries.rows // rows_per_bucket), MAX_BUCKETS)
+def _bucketed(entries: Staged, rows_per_bucket: int) -> DataFrame | None:
+    """Entries with a ``bucket`` that grows with ``seq`` and holds about ``rows_per_bucket`` of them.
+
+    Spark's range partitioning makes the cuts; what it made is staged, so that both uses see it.
+    """
+    buckets = -(-entries.rows // rows_per_bucket)
     if buckets <= 1:
         return None
-    cuts = [i / buckets for i in range(1, buckets)]
-    # Only the cut points, at most MAX_BUCKETS numbers, come to the driver.
-    found = entries.df.select(F.percentile_approx("seq", cuts, 10 * MAX_BUCKETS)).first()[0]
-    ordered = F.array(*[F.lit(int(c)) for c in sorted(set(found))])
-    return F.size(F.filter(ordered, lambda cut: cut < F.col("seq")))
+    cut = entries.df.repartitionByRange(buckets, "seq")
+    return stage(cut.withColumn("bucket", F.spark_partition_id()), "id-buckets").df
 
 
 def _next_entries(entries: Staged, rows_per_bucket: int) -> DataFrame:
@@ -71,23 +72,23 @@ def _next_entries(entries: Staged, rows_per_bucket: int) -> DataFrame:
     (id, seq bucket), so an id with most of the entries is spread; what lies in later buckets comes
     from one row per (id, bucket).
     """
-    df = entries.df
+    bucketed = _bucketed(entries, rows_per_bucket)
+    df = entries.df if bucketed is None else bucketed
+    extra = [] if bucketed is None else ["bucket"]
+    group = ["id", *extra]
     starts = df.filter("old_id is not null").select(
-        F.col("old_id").alias("id"), "seq", F.col("seq").alias("start"), F.lit(None).alias("to")
+        F.col("old_id").alias("id"), "seq", F.col("seq").alias("start"), F.lit(None).alias("to"), *extra
     )
     asks = df.filter("new_id is not null").select(
         F.col("new_id").alias("id"),
         "seq",
         F.lit(None).cast("long").alias("start"),
         F.col("new_id").alias("to"),
+        *extra,
     )
     points = starts.withColumn("to", F.col("to").cast(df.schema["new_id"].dataType)).unionByName(
         asks
     )
-    bucket = _bucket(entries, rows_per_bucket)
-    group = ["id"] if bucket is None else ["id", "bucket"]
-    if bucket is not None:
-        points = points.withColumn("bucket", bucket)
     # Counting seq downwards, later entries come first and a running minimum stays linear.
     later = (
         Window.partitionBy(*group)
@@ -95,7 +96,7 @@ def _next_entries(entries: Staged, rows_per_bucket: int) -> DataFrame:
         .rangeBetween(Window.unboundedPreceding, -1)
     )
     found = points.withColumn("near", F.min("start").over(later)).filter("to is not null")
-    if bucket is None:
+    if bucketed is None:
         resolved = found.select("seq", F.col("near").alias("next_seq"), F.col("to").alias("final_id"))
     else:
         firsts = points.groupBy(*group).agg(F.min("start").alias("first"))
@@ -114,36 +115,49 @@ def _next_entries(entries: Staged, rows_per_bucket: int) -> DataFrame:
     return resolved.unionByName(ended)
 
 
-def _double(nodes: Staged) -> Staged:
-    """Let every pointer skip to where the entry it points at points."""
-    waiting = nodes.df.filter("next_seq is not null")
-    done = nodes.df.filter("next_seq is null")
-    targets = Staged(
-        nodes.df.select(
-            F.col("seq").alias("next_seq"),
-            F.col("next_seq").alias("__next"),
-            F.col("final_id").alias("__final"),
-        ),
-        nodes.rows,
-        nodes.bytes,
+def _halves(links: DataFrame, name: str) -> tuple[Staged, Staged]:
+    """Links that lead on, and links that have arrived, each staged once."""
+    links = stage(links, name)
+    shape = links.df.select("seq", "next_seq", "final_id")
+    return stage(shape.filter("next_seq is not null"), name), stage(
+        shape.filter("next_seq is null"), name
+    )
+
+
+def _double(waiting: Staged, done: list[DataFrame]) -> tuple[Staged, Staged]:
+    """Let every pointer skip to where the entry it points at points; only open entries move."""
+    every = reduce(DataFrame.unionByName, [waiting.df, *done])
+    targets = every.select(
+        F.col("seq").alias("next_seq"),
+        F.col("next_seq").alias("__next"),
+        F.col("final_id").alias("__final"),
     )
-    moved = skew_join(waiting, targets, ["next_seq"], "inner").select(
+    # A target is asked for by few links; those that nothing waits for stay out of the join.
+    wanted = stage(waiting.df.select("next_seq").distinct(), "id-wanted", gather=True)
+    found = stage(skew_join(targets, wanted, ["next_seq"], "left_semi"), "id-targets")
+    moved = skew_join(waiting.df, found, ["next_seq"], "inner").select(
         "seq", F.col("__next").alias("next_seq"), F.col("__final").alias("final_id")
     )
-    return stage(done.unionByName(moved), "id-chains", open=F.count("next_seq"))
+    return _halves(moved, "id-chains")
 
 
 def resolve_entries(entries: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> Staged:
-    """Staged map ``old_id`` to ``final_id``, one row per old id; the final id may be null."""
-    nodes = stage(_next_entries(entries, rows_per_bucket), "id-links", open=F.count("next_seq"))
-    while nodes.metrics["open"]:
-        nodes = _double(nodes)
+    """Staged map ``old_id`` to ``final_id``, one row per old id; the final id may be null.
+
+    Every round stages the entries that are still open; those that have arrived are kept as they are.
+    """
+    waiting, arrived = _halves(_next_entries(entries, rows_per_bucket), "id-links")
+    done = [arrived.df]
+    while waiting.rows:
+        waiting, arrived = _double(waiting, done)
+        done.append(arrived.df)
+    nodes = reduce(DataFrame.unionByName, done)
     # The first entry of an old id decides. A hot old id is combined map-side.
     firsts = (
         entries.df.filter("old_id is not null")
         .groupBy("old_id")
         .agg(F.min("seq").alias("seq"))
-        .join(nodes.df, "seq")
+        .join(nodes, "seq")
     )
     return stage(firsts.select("old_id", "final_id"), "id-final")
 

@@ -28,9 +28,14 @@ class Matched:
     key: str
 
     def with_key(self, changes: Column, keep: Column | None = None) -> DataFrame:
-        """The table in its own shape, with the final id as key where ``changes`` holds."""
-        final = F.col(_FINAL).cast(self.table.schema[self.key].dataType)
-        new = F.when(changes, final).otherwise(F.col(self.key)).alias(self.key)
+        """The table in its own shape, with the final id as key where ``changes`` holds.
+
+        Text keys come out in the form in which ids are compared, all of them, so that an id has one
+        spelling after the merge.
+        """
+        kind = self.table.schema[self.key].dataType
+        own = normal_id(F.col(self.key), kind)
+        new = F.when(changes, F.col(_FINAL).cast(kind)).otherwise(own).alias(self.key)
         kept = self.rows if keep is None else self.rows.filter(keep)
         return kept.select(*[new if c == self.key else F.col(c) for c in self.table.columns])
 

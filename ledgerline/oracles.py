@@ -138,25 +138,19 @@ _MATCH_COLUMNS = f"""v match_value,
  {_UTF16.format("v")} match_length"""
 
 _REPORT = """
-dates as (select cast(d as date) d from (select unnest(range(timestamp '2001-07-21', timestamp '2001-07-28',
-          interval 1 day)) d) where isodow(d) < 6),
-brokers as (select n_nationkey PrimaryGUID, n_name BrokerName from nation),
-accounts as (select c_custkey AccountGUID, c_nationkey ForeignGUID, max(o_orderdate) LastProcessed
-             from customer join orders on c_custkey = o_custkey group by c_custkey, c_nationkey),
-users as (select n_nationkey PrimaryGUID, n_regionkey ForeignGUID from nation),
-companies as (select r_regionkey PrimaryGUID, r_name CompanyName from region),
-daily as (select o_custkey AccountGUID, o_orderdate DateOfData from orders),
-broker_data as (select b.BrokerName brokerage, c.CompanyName customer, a.AccountGUID accountguid
-  from brokers b join accounts a on b.PrimaryGUID = a.ForeignGUID
-  join users u on a.ForeignGUID = u.PrimaryGUID join companies c on u.ForeignGUID = c.PrimaryGUID
-  where a.LastProcessed >= (select min(d) from dates)),
-expected as (select distinct brokerage, customer, d business_date from broker_data, dates),
-processed as (select distinct e.brokerage, e.customer, cast(p.DateOfData as date) business_date
-  from expected e join broker_data b on e.brokerage = b.brokerage and e.customer = b.customer
-  join daily p on b.accountguid = p.AccountGUID and e.business_date = p.DateOfData),
-missing as (select * from expected except select * from processed)
+days as (select cast(timestamp '2001-07-21' + i * interval 1 day as date) on_day from range(7) t(i)
+         where isodow(timestamp '2001-07-21' + i * interval 1 day) < 6),
+holders as (select n_name broker, r_name company, c_custkey holder
+            from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
+            where c_custkey in (select o_custkey from orders where o_orderdate >= (select min(on_day) from days))),
+wanted as (select broker, company, on_day from (select distinct broker, company from holders) cross join days),
+seen as (select w.*, exists (select 1 from holders h join orders on o_custkey = h.holder
+           where h.broker = w.broker and h.company = w.company and o_orderdate = w.on_day) sent from wanted w)
 """
 
+_EXCEPTIONS = f"""with {_REPORT} select 'server-1' ProcessServer, broker BrokerName, on_day BusinessDate,
+ company CompanyName from seen where not sent order by 3, 2, 4"""
+
 _MAP = """
 m as (
  select cast(c_custkey as bigint) seq, c_custkey old_id, c_custkey+1 new_id from customer where c_custkey%10 in (0,1)
@@ -189,6 +183,7 @@ _KEPT_DAILY = "from daily2 where not (hit and coalesce(balance = 0, false))"
 SQL = {
     "lines_from_documents": f"with {_DOCS} select src, line_no, line from docs",
     "lines_from_files": f"with {_FEED} select src, line from feed",
+    "lines_back_slash_path": f"with {_FEED} select src, line from feed",
     "lines_numbered": f"with {_FEED} select src, line_no, line from feed",
     "lines_numbered_per_file": f"""with {_FEED} select src, cast(count(*) as bigint) "lines", true sound
         from feed group by src""",
@@ -220,7 +215,7 @@ SQL = {
         cast(sum(chars) as bigint) chars_masked from n group by src""",
     "mask_round_trip": f"with {_FEED} select src, line_no, {_FIXED} line from feed",
     "mask_files_in_place": f"with {_FEED} select src, {_FIXED} line from feed",
-    "mask_streamed": f"with {_FEED} select src, {_FIXED} line from feed",
+    "mask_streamed": f"with {_FEED} select src, line_no, {_FIXED} line from feed",
     "whitespace_collapsed": f"""select page_id, {_collapse('html')} "text" from pages""",
     "filter_detail_records": f"with {_FEED} select src, line_no, line from feed where {_DETAIL}",
     "parse_holder_records": f"with {_FEED} select src, line_no, {_HOLDER} from feed where {_DETAIL}",
@@ -244,6 +239,17 @@ SQL = {
           cast(coalesce(n, 0) as bigint) records
         from bounds b left join n on n.src = b.src and n.code = b.code
         where b.code in (select c_mktsegment from customer group by c_mktsegment having max(c_custkey) % 2 = 0)""",
+    "customers_long_codes": """with c as (select n_name src, concat('SEGMENT-NAMED-', c_mktsegment, '-', n_name) code,
+          count(*) filter (where c_custkey % 9 > 0) n from customer join nation on n_nationkey = c_nationkey
+          group by all)
+        select src, code, case when n = 0 then 'no_detail' else 'ok' end status, cast(n as bigint) records from c""",
+    "split_sections_negative": f"with {_FEED}, {_sections('feed', 2, 1)} select * from sections",
+    "empty_sources": """with f as (select concat(n_name, '.txt') src, n_nationkey k,
+          case when n_nationkey % 5 = 0 then '' else concat(n_name, chr(10), n_nationkey, chr(10),
+            repeat(concat('x', chr(10)), n_nationkey % 4)) end body from nation),
+        n as (select src, strlen(body) b, case when k % 5 = 0 then 0 else 2 + k % 4 end n from f)
+        select src, cast(b as bigint) "bytes", cast(n as bigint) "lines", cast(least(n, 1) as bigint) header,
+          cast(greatest(n - 2, 0) as bigint) "data", cast(least(n, 1) as bigint) trailer from n""",
     "split_sections": f"with {_FEED}, {_sections('feed', 2, 1)} select * from sections",
     "split_document_sections": f"with {_DOCS}, {_sections('docs', 3, 2)} select * from sections",
     "section_counts": f"""with {_DOCS} select src, cast(count(*) as bigint) "lines",
@@ -258,16 +264,22 @@ SQL = {
     "search_lines": f"""with {_DOCS}, hits as (select src, line_no, line, {_MATCH} from docs
           where regexp_matches(line, '{_PATTERN}', 'i'))
         select src, line_no line_number, {_MATCH_COLUMNS} from hits""",
+    "search_files": f"""with {_FEED} select src, regexp_extract(line, 'D10[57]0101', 0) match_value,
+          cast(strpos(line, regexp_extract(line, 'D10[57]0101', 0)) - 1 as integer) match_index,
+          8 match_length, line_no line_number from feed where regexp_matches(line, 'D10[57]0101')""",
     "search_zip": f"""with {_DOCS}, hits as (select doc_id, lang, line_no, line, {_MATCH} from docs
           where regexp_matches(line, '{_PATTERN}', 'i'))
         select concat(lang, '\\', doc_id, '.txt') filename, concat('docs-', doc_id // 250, '.zip\\', lang) "path",
         line_no line_number, {_MATCH_COLUMNS} from hits""",
-    "active_broker_accounts": f"with {_REPORT} select * from broker_data",
-    "expected_deliveries": f"with {_REPORT} select * from expected",
-    "processed_deliveries": f"with {_REPORT} select * from processed",
-    "unprocessed_deliveries": f"with {_REPORT} select * from missing",
-    "exceptions_report": f"""with {_REPORT} select 'server-1' ProcessServer, brokerage BrokerName,
-        business_date BusinessDate, customer CompanyName from missing order by 3, 2, 4""",
+    "active_broker_accounts": f"""with {_REPORT} select broker brokerage, company customer, holder accountguid
+        from holders""",
+    "expected_deliveries": f"with {_REPORT} select broker brokerage, company customer, on_day business_date from wanted",
+    "processed_deliveries": f"""with {_REPORT} select broker brokerage, company customer, on_day business_date
+        from seen where sent""",
+    "unprocessed_deliveries": f"""with {_REPORT} select broker brokerage, company customer, on_day business_date
+        from seen where not sent""",
+    "exceptions_report": _EXCEPTIONS,
+    "exceptions_report_text_ids": _EXCEPTIONS,
     "id_map_resolved": f"{_MERGE} select old_id, final_id from resolved",
     "merge_trades": f"{_MERGE} select * exclude (hit) from trades2",
     "merge_daily_process": f"{_MERGE} select * exclude (hit) {_KEPT_DAILY}",
@@ -284,6 +296,15 @@ SQL = {
           cast(count(*) filter (where upd) as bigint) updated, cast(count(*) filter (where del) as bigint) deleted,
           cast(count(*) filter (where not del) as bigint) rows_out
         from t, e group by table_name, map_entries""",
+    "merge_literal_map": """select o_orderkey, case when o_custkey in (1, 2) then 3 when o_custkey = 4 then 1
+          when o_custkey = 5 then null else o_custkey end guid from orders""",
+    "merge_text_ids": f"""{_MERGE}, t as (
+          select 'trades' table_name, guid from trades2
+          union all select 'daily', guid {_KEPT_DAILY}
+          union all select 'archive', guid from archive2
+          union all select 'holdings', guid from holdings2 where not hit)
+        select table_name, cast(count(*) as bigint) "rows", cast(count(distinct guid) as bigint) "keys",
+          cast(sum(guid) as bigint) key_sum from t group by table_name""",
     "merge_committed": f"""{_MERGE}, t as (
           select 'trades' table_name, guid from trades2
           union all select 'daily', guid {_KEPT_DAILY}

@@ -52,7 +52,7 @@ def extract_customers(
     codes: blocks.Codes,
     *,
     match: str = "regex",
-    field: tuple[int, int] = blocks.CODE_FIELD,
+    field: blocks.Field = None,
     provider: str = blocks.PROVIDER,
     sources: DataFrame | None = None,
 ) -> Extract:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 # Settings a user may put on the session; the values here apply when they are unset.
 BROADCAST_BYTES = ("spark.ledgerline.broadcastBytes", 256 * 1024 * 1024)
-HOT_SHARE = ("spark.ledgerline.hotKeyShare", 0.00001)
+HOT_KEYS = ("spark.ledgerline.hotKeys", 1_000_000)
 HOT_ROWS = ("spark.ledgerline.hotKeyRows", 1_000_000)
 
 _WIDE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
@@ -137,21 +137,19 @@ def part_of(whole: Staged, part: DataFrame, name: str) -> Staged:
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> Staged:
     """Keys with many rows in ``df``, NULL included, and over how many groups to deal their rows.
 
-    A key is hot with more than a fixed share of all rows, so there are at most 1/share of them
-    whatever the size of ``df``, and at least ``HOT_ROWS`` rows, which is also the size of a group.
-    The count is combined map-side, so a hot key never travels as rows, and only counts worth a
-    second look are written.
+    A key is hot from ``HOT_ROWS`` rows on, which is also the size of a group. The heaviest ``HOT_KEYS``
+    of them are split, whatever the number of rows; only if more keys than that are hot do the
+    lightest of them stay whole. The count is combined map-side, so a hot key never travels as rows.
     """
     spark = df.sparkSession
     group = setting(spark, HOT_ROWS)
     n = F.col("__n")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    seen = Observation()
-    heavy = counts.observe(seen, F.sum("__n").alias("total")).filter(n >= group)
-    staged = stage(heavy, "key-counts")
-    floor = (seen.get["total"] or 0) * setting(spark, HOT_SHARE)
+    heavy = stage(counts.filter(n >= group), "key-counts")
+    most = setting(spark, HOT_KEYS)
+    chosen = heavy.df if heavy.rows <= most else heavy.df.orderBy(F.desc("__n")).limit(most)
     salts = F.ceil(n / group).cast("int").alias(_SALTS)
-    return stage(staged.df.filter(n > floor).select(*keys, salts), "hot-keys")
+    return stage(chosen.select(*keys, salts), "hot-keys")
 
 
 def skew_join(left: DataFrame, right: Staged, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ranges import BUCKET_LINES, bucket_of
-from ledgerline.sources.lines import number_scanned, pin_splits
+from ledgerline.sources.lines import number_scanned, of_session, split_session
 
 _DIGITS = 18
 
@@ -23,6 +23,12 @@ def _padded(number: Column) -> Column:
     return F.lpad(number.cast("string"), _DIGITS, "0")
 
 
+def _named(by: Sequence[str]) -> list[Column]:
+    """The folder columns; a null or empty name is an error, as both would become one folder."""
+    nameless = F.raise_error(F.lit("a source without a name cannot be written"))
+    return [F.when(F.length(c) > 0, F.col(c)).otherwise(nameless).alias(c) for c in by]
+
+
 def write_lines(
     lines: DataFrame, out: str, by: Sequence[str] = ("src",), width: int = BUCKET_LINES
 ) -> None:
@@ -34,7 +40,7 @@ def write_lines(
     """
     folders = [*by, "block"]
     (
-        lines.select(*by, _padded(bucket_of("line_no", width)).alias("block"), "line_no", "line")
+        lines.select(*_named(by), _padded(bucket_of("line_no", width)).alias("block"), "line_no", "line")
         .repartition(*folders)
         .sortWithinPartitions(*folders, "line_no")
         .select(*folders, "line")
@@ -44,7 +50,7 @@ def write_lines(
 
 
 def write_scanned_lines(
-    lines: DataFrame, out: str, by: Sequence[str] = ("src",), order: str = "pos"
+    lines: DataFrame, out: str, by: Sequence[str] = ("src",), order: str = "pos", mode: str = "error"
 ) -> None:
     """Write lines straight from the tasks that read them, without a shuffle.
 
@@ -54,10 +60,11 @@ def write_scanned_lines(
     """
     folders = [*by, "block"]
     (
-        lines.select(*by, _padded(F.col("block")).alias("block"), order, "line")
+        lines.select(*_named(by), _padded(F.col("block")).alias("block"), order, "line")
         .sortWithinPartitions(*folders, order)
         .select(*folders, "line")
-        .write.partitionBy(*folders)
+        .write.mode(mode)
+        .partitionBy(*folders)
         .text(out)
     )
 
@@ -70,9 +77,8 @@ def read_written_lines(
     Gives the ``by`` columns, ``line_no`` counted anew from 1 within them, and ``line``. Like all
     numbering it counts the lines per file split in a pass of its own.
     """
-    pin_splits(spark)
     columns = ["value string", *[f"{c} string" for c in by], "block bigint"]
-    text = spark.read.schema(", ".join(columns)).text(out)
+    text = split_session(spark).read.schema(", ".join(columns)).text(out)
     meta = F.col("_metadata")
     scanned = text.select(
         *by,
@@ -84,4 +90,4 @@ def read_written_lines(
         F.col("value").alias("line"),
     )
     names = {c: F.col(c) for c in by}
-    return number_scanned(scanned, names, by, ["block", "f", "split_start"]).lines
+    return number_scanned(of_session(spark, scanned), names, by, ["block", "f", "split_start"]).lines

@@ -1,8 +1,9 @@
 """Lines of files inside ZIP archives.
 
-Archives are listed by Spark, their directories are read in parallel, and the entries, not the
-archives, are spread over tasks: one huge archive is read by many tasks at once. Each entry is
-streamed, so neither an archive nor an entry is ever held in memory, and there is no size limit.
+Archives are listed by Spark and their directories are read in parallel, piece by piece. An archive is
+cut into runs of about ``TASK_BYTES`` by the places of its entries, and a run is read by one task in the
+order of the file: a huge archive is read by many tasks at once, each opening it once. Entries are
+unpacked as streams; what is held is a piece of an entry and a line, which as one value cannot be less.
 Archives must be reachable by path from the executors.
 """
 
@@ -14,24 +15,24 @@ from pyspark.sql import functions as F
 
 from ledgerline.scale import setting, stage
 from ledgerline.sources import zipstream
-from ledgerline.sources.lines import matching_files
+from ledgerline.sources.lines import listing, matching_files
 
 # The helpers travel with the tasks, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(zipstream)
 
 _RECORDS = (
     "archive string, entry_no bigint, entry string, bytes bigint, packed_bytes bigint, "
-    "start bigint, method bigint, flags bigint, crc bigint, raw_name string"
+    "start bigint, method bigint, flags bigint, crc bigint"
 )
 LINES = "archive string, entry_no bigint, entry string, line_no bigint, line string"
 
-# Unpacked bytes that one task should read, about.
+# Packed bytes of an archive that one task should read, about.
 TASK_BYTES = ("spark.ledgerline.archiveTaskBytes", 128 * 1024 * 1024)
 
 
 def _records(spark: SparkSession, mask: str, path: str, recursive: bool) -> DataFrame:
     """Directory records of all files in all matching archives."""
-    files = matching_files(spark.read, mask, path, recursive, "binaryFile")
+    files = matching_files(spark.read, listing(spark, mask, path, recursive), recursive, "binaryFile")
     if files is None:
         return spark.createDataFrame([], _RECORDS)
     # Only names are taken; the content column is pruned and never read.
@@ -54,21 +55,17 @@ def zip_lines(
     """Lines of all files in all matching archives: ``archive``, ``entry_no``, ``entry``,
     ``line_no``, ``line``.
 
-    The directory records are staged when called, which gives the total size and from it the number
-    of tasks, and lets a task go straight to its entries. Line ends are LF, CR and CRLF; text is UTF-8, or UTF-16 with a byte order mark.
+    The directory records are staged when called, which gives the number of runs and lets a task go
+    straight to its entries. Line ends are LF, CR and CRLF; text is UTF-8, or UTF-16 with a byte order
+    mark.
     """
-    entries = stage(
-        _records(spark, mask, path, recursive),
-        "zip-entries",
-        gather=True,
-        unpacked=F.sum("bytes"),
-    )
-    total = entries.metrics["unpacked"] or 0
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(least, -(-total // setting(spark, TASK_BYTES)))
+    return entry_runs(spark, mask, path, recursive).mapInArrow(zipstream.line_rows, LINES)
+
+
+def entry_runs(spark: SparkSession, mask: str, path: str, recursive: bool = False) -> DataFrame:
+    """Directory records dealt to tasks: a partition holds runs, each one stretch of one archive."""
+    place = (F.col("start") / setting(spark, TASK_BYTES)).cast("long").alias("run")
+    entries = stage(_records(spark, mask, path, recursive).select("*", place), "zip-entries", gather=True)
+    runs = entries.df.select("archive", "run").distinct().count()
     # A fixed number of partitions: the rows moved here are tiny, so they must not be coalesced.
-    spread = (
-        entries.df.repartition(tasks, "archive", "entry_no")
-        .sortWithinPartitions("archive", "entry_no")
-    )
-    return spread.mapInArrow(zipstream.line_rows, LINES)
+    return entries.df.repartition(max(1, runs), "archive", "run").sortWithinPartitions("archive", "start")

@@ -9,9 +9,8 @@ split its offset, and a second pass adds the position inside the split. Lines ar
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +20,15 @@ from ledgerline.scale import broadcast_if_small, stage
 LINES = "src string, line_no bigint, line string"
 _SCAN = "src string, block bigint, pos bigint, line string"
 _TO_END = 2147483647
-_PIN = "spark.sql.files.minPartitionNum"
-_PINS = (_PIN, "spark.sql.leafNodeDefaultParallelism")
+
+# What decides how files are cut into splits and packed into tasks.
+_SPLIT_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "134217728",
+    "spark.sql.files.openCostInBytes": "4194304",
+    "spark.sql.files.minPartitionNum": None,
+    "spark.sql.files.maxPartitionNum": None,
+}
+_GLOB_CHARACTERS = "\\{}[]*?"
 
 
 def source_path(mask: str, path: str) -> str:
@@ -36,22 +42,100 @@ def source_path(mask: str, path: str) -> str:
     return f"{folder}/{mask}".replace("{", "\\{").replace("}", "\\}")
 
 
-def matching_files(
-    reader: DataFrameReader, mask: str, path: str, recursive: bool, source: str
-) -> DataFrame | None:
-    """Files whose name matches, read by ``source``; None if the folder does not exist.
+def _escaped(path: str) -> str:
+    return "".join("\\" + c if c in _GLOB_CHARACTERS else c for c in path)
+
+
+@dataclass(frozen=True)
+class Listing:
+    """Files that match a mask: their paths as Spark writes them, and those of no content.
+
+    ``folder`` and ``name`` are the two parts of the mask, ``folders`` what the first one matches.
+    """
+
+    paths: list[str]
+    empty: list[str]
+    folder: str
+    name: str
+    folders: list[str]
+
 
-    The folder is listed as a whole and names are filtered, so a sub-folder that matches the mask is
-    not entered unless ``recursive``.
+def listing(spark: SparkSession, mask: str, path: str, recursive: bool = False) -> Listing:
+    """What a mask matches, from the store's own listing, which a file scan would cut silently.
+
+    A file scan leaves out files without content, so they are told apart here, and files whose names
+    start with ``_`` or ``.``. As in a shell, a name with a dot in front is matched by a mask with one
+    only; any other such name that matches is an error, as it cannot be read.
     """
     folder, _, name = source_path(mask, path).rpartition("/")
-    found = reader.format(source).option("pathGlobFilter", name)
-    try:
-        return found.option("recursiveFileLookup", recursive).load(folder or "/")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(folder or "/")
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in store.globStatus(place) or [] if f.isDirectory()]
+    matches = hadoop.GlobFilter(name)
+    paths, empty, hidden = [], [], []
+
+    def take(status) -> None:
+        found, file = status.getPath(), status.getPath().getName()
+        if not matches.accept(found) or (file.startswith(".") and not name.startswith(".")):
+            return
+        if file.startswith(("_", ".")):
+            hidden.append(found.toString())
+        else:
+            (paths if status.getLen() else empty).append(found.toString())
+
+    for f in folders:
+        if recursive:
+            files = store.listFiles(f, True)
+            while files.hasNext():
+                take(files.next())
+        else:
+            for status in store.listStatus(f):
+                if status.isFile():
+                    take(status)
+    if hidden:
+        raise ValueError(f"files that Spark does not read because of their names: {sorted(hidden)}")
+    return Listing(sorted(paths), sorted(empty), folder or "/", name, [f.toString() for f in folders])
+
+
+def split_session(spark: SparkSession) -> SparkSession:
+    """A session of our own for scans that are read twice.
+
+    Splits follow the settings of the session that made the scan. Here they are fixed: copied from
+    the caller's session once and independent of how many executors are alive, so neither later
+    changes of the caller's settings nor lost executors move a split, and the caller's session keeps
+    its settings.
+    """
+    own = spark.newSession()
+    for name, default in _SPLIT_SETTINGS.items():
+        value = spark.conf.get(name, default)
+        if value is None and name.endswith("minPartitionNum"):
+            value = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+            value = value or str(spark.sparkContext.defaultParallelism)
+        if value is not None:
+            own.conf.set(name, value)
+    return own
+
+
+def of_session(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A frame of another session as one of this session; the scan below keeps its own settings."""
+    return spark.createDataFrame([], df.schema).unionByName(df)
+
+
+def matching_files(reader: DataFrameReader, found: Listing, recursive: bool, source: str) -> DataFrame | None:
+    """The listed files read by ``source``; None if there are none.
+
+    Without ``recursive`` the files are named one by one, so folders beside them (an output folder,
+    say) are neither entered nor taken for partitions.
+    """
+    if not found.paths:
         return None
+    files = reader.format(source)
+    if recursive:
+        # Names are globs here too: a folder name may hold a glob character.
+        every = [_escaped(f) for f in found.folders]
+        return files.option("recursiveFileLookup", True).option("pathGlobFilter", found.name).load(every)
+    return files.load([_escaped(f) for f in found.paths])
 
 
 def _decoded_path(path: Column) -> Column:
@@ -65,16 +149,21 @@ def list_files(
 ) -> DataFrame:
     """Files that match: ``src``, ``name``, ``bytes``. No match gives no rows. No content is read.
 
-    Like every Spark file scan this leaves out empty files, and names that start with ``_`` or ``.``.
+    Files without content are listed with 0 bytes.
     """
-    files = matching_files(spark.read, mask, path, recursive, "binaryFile")
+    found = listing(spark, mask, path, recursive)
+    none = spark.createDataFrame(
+        [(f, f.rpartition("/")[2], 0) for f in found.empty], "src string, name string, bytes bigint"
+    )
+    files = matching_files(spark.read, found, recursive, "binaryFile")
     if files is None:
-        return spark.createDataFrame([], "src string, name string, bytes bigint")
-    return files.select(
+        return none
+    listed = files.select(
         _decoded_path(F.col("_metadata.file_path")).alias("src"),
         _decoded_path(F.col("_metadata.file_name")).alias("name"),
         F.col("length").alias("bytes"),
     )
+    return listed.unionByName(none)
 
 
 def _decoded(value: Column, encoding: str) -> Column:
@@ -86,15 +175,15 @@ def _decoded(value: Column, encoding: str) -> Column:
     return F.decode(value.cast("binary"), charset)
 
 
-def _source_name(spark: SparkSession, names: str, folder: str) -> Column:
+def source_name(spark: SparkSession, names: str, folder: str, f: Column, encoded: bool = True) -> Column:
     """How the file ``f`` is called: full ``path``, ``name``, or path ``relative`` to the folder.
 
     Plain names repeat if files of several folders are read. A folder given as a wildcard has no
     relative paths, so full paths stand in for them.
     """
+    full = _decoded_path(f) if encoded else f
     if names == "name":
-        return _decoded_path(F.substring_index("f", "/", -1))
-    full = _decoded_path(F.col("f"))
+        return F.substring_index(full, "/", -1)
     if names == "path":
         return full
     if names != "relative":
@@ -106,24 +195,31 @@ def _source_name(spark: SparkSession, names: str, folder: str) -> Column:
 
 
 def _scan(
-    spark: SparkSession, mask: str, path: str, recursive: bool, encoding: str
+    spark: SparkSession, found: Listing, recursive: bool, encoding: str
 ) -> DataFrame | None:
     """One row per line with its split: ``f``, ``split_start``, ``size``, ``pos``, ``line``.
 
     ``pos`` grows with the line inside one split. It is taken directly on the scan, before any
     filter, so that every pass over the same files sees the same values.
     """
-    text = matching_files(spark.read, mask, path, recursive, "text")
+    text = matching_files(split_session(spark).read, found, recursive, "text")
     if text is None:
         return None
     meta = F.col("_metadata")
-    return text.select(
+    scanned = text.select(
         meta["file_path"].alias("f"),
         meta["file_block_start"].alias("split_start"),
         meta["file_block_length"].alias("size"),
         F.monotonically_increasing_id().alias("pos"),
         _decoded(F.col("value"), encoding).alias("line"),
     )
+    return of_session(spark, scanned)
+
+
+def empty_sources(spark: SparkSession, found: Listing, path: str, names: str) -> DataFrame:
+    """``src`` of the listed files without content, named like the others."""
+    files = spark.createDataFrame([(f,) for f in found.empty], "f string")
+    return files.select(source_name(spark, names, path, F.col("f"), encoded=False).alias("src"))
 
 
 def read_lines(
@@ -140,28 +236,18 @@ def read_lines(
     One pass and no shuffle, for work that looks at each line alone. ``block`` (start byte of the
     split) and then ``pos`` give the order within a source.
     """
-    source = _source_name(spark, names, path)
-    scanned = _scan(spark, mask, path, recursive, encoding)
+    source = source_name(spark, names, path, F.col("f"))
+    scanned = _scan(spark, listing(spark, mask, path, recursive), recursive, encoding)
     if scanned is None:
         return spark.createDataFrame([], _SCAN)
     return scanned.select(source.alias("src"), F.col("split_start").alias("block"), "pos", "line")
 
 
-def pin_splits(spark: SparkSession) -> None:
-    """Keep the cutting of files into splits independent of how many executors are alive.
-
-    Spark derives the split size from the current core count unless told otherwise; numbering reads
-    the files twice and needs equal splits both times.
-    """
-    if all(spark.conf.get(name, None) is None for name in _PINS):
-        spark.conf.set(_PIN, str(spark.sparkContext.defaultParallelism))
-
-
 @dataclass(frozen=True)
 class NumberedLines:
     """Lines with ordinals, and what the counting pass knows about their sources.
 
-    ``counts`` has the number of ``lines`` per source. ``sized`` is ``lines`` with that number on
+    ``counts`` has the number of ``lines`` per source, 0 for files without content. ``sized`` is ``lines`` with that number on
     each line as ``src_lines``, which takes no join on the source, and with the first byte of the
     split that holds the line as ``block``.
     """
@@ -185,8 +271,8 @@ def read_numbered_lines(
 
     Runs one counting pass when called. Its result, a few numbers per split, is kept in the shared
     folder; it is broadcast when small, else joined on the split, whose lines are bounded by the
-    split size. Should the files be cut differently by the time the lines are read, the query fails
-    instead of numbering wrongly. ``unicode_breaks`` also breaks lines at vertical tab, form feed,
+    split size. Both passes cut the files alike, whatever happens to the caller's settings in between,
+    and read what the files held when they were listed. ``unicode_breaks`` also breaks lines at vertical tab, form feed,
     U+001C to U+001E, U+0085, U+2028 and U+2029.
     """
     return read_counted_lines(
@@ -211,14 +297,15 @@ def read_counted_lines(
     unicode_breaks: bool = False,
 ) -> NumberedLines:
     """``read_numbered_lines`` together with the line counts, which cost no further pass."""
-    pin_splits(spark)
-    source = _source_name(spark, names, path)
-    scanned = _scan(spark, mask, path, recursive, encoding)
+    source = source_name(spark, names, path, F.col("f"))
+    found = listing(spark, mask, path, recursive)
+    none = empty_sources(spark, found, path, names).withColumn("lines", F.lit(0).cast("long"))
+    scanned = _scan(spark, found, recursive, encoding)
     if scanned is None:
         sized = spark.createDataFrame([], f"{LINES}, src_lines bigint, block bigint")
-        counts = spark.createDataFrame([], "src string, lines bigint")
-        return NumberedLines(sized.drop("src_lines", "block"), counts, sized)
-    return number_scanned(scanned, {"src": source}, ["f"], ["split_start"], unicode_breaks)
+        return NumberedLines(sized.drop("src_lines", "block"), none, sized)
+    read = number_scanned(scanned, {"src": source}, ["f"], ["split_start"], unicode_breaks)
+    return replace(read, counts=read.counts.unionByName(none)) if found.empty else read
 
 
 def number_scanned(

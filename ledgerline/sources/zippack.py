@@ -1,4 +1,4 @@
-"""Small task-side helper that packs texts into ZIP archives. It knows nothing of Spark."""
+"""Small task-side helpers that write texts as files or into ZIP archives. They know nothing of Spark."""
 
 import posixpath
 import zipfile
@@ -14,6 +14,17 @@ def _open(uri):
     return zipfile.ZipFile(store.open_output_stream(path), "w", zipfile.ZIP_DEFLATED)
 
 
+def write_rows(batches):
+    """Write rows of file and text as files; yields their names."""
+    for batch in batches:
+        for uri, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            store, path = open_store(uri)
+            store.create_dir(posixpath.dirname(path), recursive=True)
+            with store.open_output_stream(path) as out:
+                out.write(text.encode("utf-8"))
+            yield pa.RecordBatch.from_arrays([pa.array([uri])], names=["file"])
+
+
 def pack_rows(batches):
     """Write rows of archive, folder, name, text, sorted by archive; yields the archive names.
 

@@ -22,6 +22,7 @@ from ledgerline.sources.archives import zip_entries, zip_lines
 from ledgerline.sources.lines import (
     explode_lines,
     list_files,
+    read_counted_lines,
     read_lines,
     read_numbered_lines,
 )
@@ -71,6 +72,14 @@ def lines_from_files(spark, sf_dir):
     return lines.select(_source_of(F.col("src")).alias("src"), "line")
 
 
+@query
+def lines_back_slash_path(spark, sf_dir):
+    """A folder named with back-slashes, one of them at its end."""
+    folder = _feed_folder(spark, sf_dir).replace("/", "\\") + "\\"
+    lines = read_lines(spark, "*.txt", folder, recursive=True)
+    return lines.select(_source_of(F.col("src")).alias("src"), "line")
+
+
 @query
 def lines_numbered(spark, sf_dir):
     return read_written_lines(spark, _feed_folder(spark, sf_dir))
@@ -203,8 +212,7 @@ def mask_streamed(spark, sf_dir):
     out = new_shared_path(spark, "masked-stream")
     writer = mask_stream(named, _layouts(), out, new_shared_path(spark, "stream-state"))
     writer.trigger(availableNow=True).start().awaitTermination()
-    masked = spark.read.schema("value string, src string").text(out)
-    return masked.select("src", F.col("value").alias("line"))
+    return read_written_lines(spark, out)
 
 
 @query
@@ -274,7 +282,7 @@ def customers_status(spark, sf_dir):
 def customers_by_field(spark, sf_dir):
     """All customers of all sources, found by the whole code field."""
     lines = fx.feed_lines(spark, sf_dir)
-    staged = blocks.stage_blocks(blocks.block_bounds(lines, None, "field"))
+    staged = blocks.stage_blocks(blocks.block_bounds(lines, None, "field", fx.CODE_FIELD))
     return blocks.parse_holder_records(
         blocks.block_lines(blocks.filter_detail_records(lines), staged)
     )
@@ -287,7 +295,14 @@ def customers_by_table(spark, sf_dir):
         F.max("c_custkey").alias("last")
     )
     codes = latest.filter("last % 2 = 0").select(F.col("c_mktsegment").alias("code"))
-    return files.extract_customers(fx.feed_lines(spark, sf_dir), codes, match="field").status
+    return files.extract_customers(fx.feed_lines(spark, sf_dir), codes, match="field", field=fx.CODE_FIELD).status
+
+
+@query
+def customers_long_codes(spark, sf_dir):
+    """All customers of a feed whose codes are longer, found by their field, with their outcome."""
+    lines = fx.feed_lines(spark, sf_dir, long_codes=True)
+    return files.extract_customers(lines, None, match="field", field=fx.LONG_CODE_FIELD).status
 
 
 # Sections
@@ -309,6 +324,22 @@ def section_counts(spark, sf_dir):
     return sections.section_counts(_document_lines(spark, sf_dir), 3, 2)
 
 
+@query
+def split_sections_negative(spark, sf_dir):
+    """A trailer count may be given as a negative number."""
+    return sections.split_sections(fx.feed_lines(spark, sf_dir), 2, -1)
+
+
+@query
+def empty_sources(spark, sf_dir):
+    """Sizes and section counts of files, those without content included."""
+    folder = fx.nation_files(spark, sf_dir)
+    sizes = list_files(spark, "*.txt", folder).select(F.col("name").alias("src"), "bytes")
+    read = read_counted_lines(spark, "*.txt", folder, names="name")
+    counts = sections.section_counts(read.lines, 1, 1, read.counts)
+    return sizes.join(counts, "src")
+
+
 @query
 def section_files_in_place(spark, sf_dir):
     """Every feed file split by the tasks that read it, and read back."""
@@ -337,6 +368,13 @@ def search_lines(spark, sf_dir):
     return search.flat_matches(search.search_lines(_document_lines(spark, sf_dir), PATTERN))
 
 
+@query
+def search_files(spark, sf_dir):
+    """Matches with line numbers in many files."""
+    found = files.search_files(spark, "*/*/*.txt", _feed_folder(spark, sf_dir), "d10[57]0101")
+    return search.flat_matches(found).withColumn("src", _source_of(F.col("src")))
+
+
 @query
 def search_zip(spark, sf_dir):
     found = files.search_zip(spark, "*.zip", fx.pack_documents(spark, sf_dir), PATTERN)
@@ -389,6 +427,15 @@ def exceptions_report(spark, sf_dir):
     )
 
 
+@query
+def exceptions_report_text_ids(spark, sf_dir):
+    """The report over text ids that differ in case from table to table."""
+    tables = {name: fx.text_ids(t, i) for i, (name, t) in enumerate(fx.report_tables(spark, sf_dir).items())}
+    return delivery_plans.exceptions_report(
+        *_names(tables), tables["daily"], fx.AS_OF, fx.LOOKBACK_DAYS, SERVER
+    )
+
+
 # Identifier merge
 
 
@@ -430,6 +477,36 @@ def merge_audit(spark, sf_dir):
     ).audit
 
 
+@query
+def merge_literal_map(spark, sf_dir):
+    """A map written out as rows, applied to all trades."""
+    entries = spark.createDataFrame(
+        [(1, 1, 2), (2, 2, 3), (3, 5, None), (4, 4, 1)], "seq long, old_id long, new_id long"
+    )
+    trades = fx.merge_tables(spark, sf_dir)["trades"].select("o_orderkey", "guid")
+    return merging.repoint(merging.match(trades, idmap.resolve_id_map(entries), "guid"))
+
+
+@query
+def merge_text_ids(spark, sf_dir):
+    """The merge over text ids in mixed case: rows and different spellings of keys per table."""
+    tables = {
+        name: fx.text_ids(t, i, ("guid",)) for i, (name, t) in enumerate(fx.merge_tables(spark, sf_dir).items())
+    }
+    entries = fx.text_ids(fx.id_map(spark, sf_dir), 7, ("old_id", "new_id"))
+    done = merge.merge_ids(**tables, id_map=entries, key="guid", balance="balance")
+    united = None
+    for name in ("trades", "daily", "archive", "holdings"):
+        one = getattr(done, name).agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_distinct("guid").alias("keys"),
+            F.sum(F.regexp_extract("guid", r"(\d+)", 1).cast("long")).alias("key_sum"),
+        )
+        united = one if united is None else united.unionByName(one)
+    return united
+
+
 @query
 def merge_committed(spark, sf_dir):
     """The merge written as one version and read back: rows and sum of keys per table."""

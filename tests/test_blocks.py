@@ -6,7 +6,7 @@ import pytest
 
 from ledgerline.operators import blocks, search, sections
 from ledgerline.plans import files
-from ledgerline.sources.archives import zip_entries, zip_lines
+from ledgerline.sources.archives import entry_runs, zip_entries, zip_lines
 from ledgerline.sources.zipstream import line_blocks
 
 
@@ -71,7 +71,7 @@ def test_match_modes(spark):
     )
 
     def accounts(code, match):
-        done = files.extract_customers(lines, [code], match=match)
+        done = files.extract_customers(lines, [code], match=match, field=(2, 12))
         return [r["account_number"] for r in done.records.collect()]
 
     assert accounts("AB", "regex") == ["1" * 9]
@@ -79,12 +79,12 @@ def test_match_modes(spark):
     assert accounts("AB", "field") == ["2" * 9]
     assert accounts("A.C", "regex") == ["1" * 9]
     assert accounts("A.C", "literal") == []
-    bounds = blocks.block_bounds(lines, None, "field").collect()
+    bounds = blocks.block_bounds(lines, None, "field", (2, 12)).collect()
     assert sorted((r["code"], r["start_line"], r["end_line"]) for r in bounds) == [
         ("AB", 4, 6), ("ABC", 1, 3),
     ]
     table = spark.createDataFrame([("ABC",), ("ABC",), ("none",)], "code string")
-    done = files.extract_customers(lines, table, match="field")
+    done = files.extract_customers(lines, table, match="field", field=(2, 12))
     assert [tuple(r) for r in done.status.collect()] == [("f", "ABC", "ok", 1)]
     with pytest.raises(ValueError):
         blocks.block_bounds(lines, table, "regex")
@@ -92,6 +92,11 @@ def test_match_modes(spark):
         blocks.block_bounds(lines, None, "regex")
     with pytest.raises(ValueError):
         blocks.block_bounds(lines, ["AB"], "exact")
+    with pytest.raises(ValueError, match="place of the code field"):
+        blocks.block_bounds(lines, ["AB"], "field")
+    for long in (["ABC", "ABCD"], spark.createDataFrame([("ABCD",)], "code string")):
+        with pytest.raises(ValueError, match="longer than the field"):
+            blocks.block_bounds(lines, long, "field", (2, 3))
 
 
 def test_only_the_first_block_counts(spark):
@@ -156,13 +161,13 @@ def test_file_jobs(spark, tmp_path):
     (folder / "empty.txt").write_text("")
     status = files.extract_customer_files(spark, "*.txt", str(folder), ["AB"], str(tmp_path / "o1"))
     assert {r["src"]: r["status"] for r in status.collect()} == {
-        "f1.txt": "ok", "f2.txt": "header_missing",
+        "f1.txt": "ok", "f2.txt": "header_missing", "empty.txt": "header_missing",
     }
     out = list((tmp_path / "o1" / "src=f1.txt" / "code=AB").glob("*/part-*"))
     assert "".join(p.read_text() for p in sorted(out)) == f"{TITLE}\nvendor|123456789|Ann B||\n"
     counts = files.split_files(spark, "*.txt", str(folder), str(tmp_path / "o2"), 1, 1)
     assert sorted(tuple(r) for r in counts.collect()) == [
-        ("f1.txt", 3, 1, 1, 1), ("f2.txt", 1, 1, 0, 1),
+        ("empty.txt", 0, 0, 0, 0), ("f1.txt", 3, 1, 1, 1), ("f2.txt", 1, 1, 0, 1),
     ]
     made = (tmp_path / "o2" / "src=f1.txt" / "section=header").glob("*/part-*")
     assert [p.read_text() for p in made] == ["CH AB\n"]
@@ -235,15 +240,38 @@ def test_archives_over_the_content_limit_are_read(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
-def test_entries_of_one_archive_go_to_many_tasks(spark, tmp_path):
-    with zipfile.ZipFile(tmp_path / "hot.zip", "w") as z:
-        for i in range(200):
-            z.writestr(f"{i}.txt", f"line of {i}\n" * 50)
-    lines = zip_lines(spark, "*.zip", str(tmp_path))
+def test_archives_are_read_in_runs(spark, tmp_path):
+    """A run is opened once: tasks and archives meet about as often as the bytes ask for."""
     from pyspark.sql import functions as F
 
-    spread = lines.select(F.spark_partition_id().alias("p")).distinct().count()
-    assert spread > 4 and lines.count() == 10000
+    for a in range(4):
+        with zipfile.ZipFile(tmp_path / f"hot{a}.zip", "w") as z:
+            for i in range(200):
+                z.writestr(f"{i}.txt", f"line of {i}\n" * 50)
+    total = sum(f.stat().st_size for f in tmp_path.iterdir())
+    spark.conf.set("spark.ledgerline.archiveTaskBytes", 20_000)
+    try:
+        runs = entry_runs(spark, "*.zip", str(tmp_path))
+        pairs = runs.select("archive", F.spark_partition_id().alias("p")).distinct()
+        assert 20 < pairs.count() <= total // 20_000 + 8
+        lines = zip_lines(spark, "*.zip", str(tmp_path))
+        assert lines.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+        assert lines.count() == 40_000
+    finally:
+        spark.conf.unset("spark.ledgerline.archiveTaskBytes")
+
+
+def test_wide_directory_and_other_methods(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 4)
+    monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 2)
+    for method in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2):
+        with zipfile.ZipFile(tmp_path / f"m{method}.zip", "w", method) as z:
+            for i in range(5):
+                with z.open(f"{i}.txt", "w", force_zip64=True) as f:
+                    f.write(f"{i}\n".encode() * 90_000)
+            z.comment = b"PK\x05\x06 not the end"
+    found = zip_lines(spark, "*.zip", str(tmp_path)).groupBy("archive", "entry").count().collect()
+    assert len(found) == 15 and {r["count"] for r in found} == {90_000}
 
 
 @pytest.mark.parametrize("chunk", [1, 2, 3, 7, 1 << 20])

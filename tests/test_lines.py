@@ -11,6 +11,7 @@ from ledgerline.sources.lines import (
     explode_lines,
     list_files,
     number_rows,
+    read_counted_lines,
     read_lines,
     read_numbered_lines,
     source_path,
@@ -64,14 +65,59 @@ def test_numbers_do_not_depend_on_splits(spark, settings, tmp_path, split_bytes,
     )
 
 
-def test_changed_splits_are_an_error_not_wrong_numbers(spark, settings, tmp_path):
-    write(tmp_path, a="\n".join("x" * 50 for _ in range(2000)))
+def test_changed_settings_do_not_move_numbers(spark, settings, tmp_path):
+    for name in "abc":
+        write(tmp_path, **{name: "\n".join(f"{i} fail" if i % 7 == 0 else f"{i}" for i in range(1, 601))})
     settings("spark.sql.files.openCostInBytes", 1)
-    settings("spark.sql.files.maxPartitionBytes", 1 << 13)
+    settings("spark.sql.files.maxPartitionBytes", 3600)
     frame = read_numbered_lines(spark, "*.txt", str(tmp_path))
-    settings("spark.sql.files.maxPartitionBytes", 1 << 15)
-    with pytest.raises(Exception, match="cut differently"):
-        frame.agg(F.max("line_no")).collect()
+    for split_bytes in (5500, 1 << 20, 700):
+        settings("spark.sql.files.maxPartitionBytes", split_bytes)
+        settings("spark.sql.files.openCostInBytes", split_bytes)
+        found = frame.filter("line like '%fail'").collect()
+        assert len(found) == 255 and all(r["line"].split()[0] == str(r["line_no"]) for r in found)
+        assert all(r["line"].split()[0] == str(r["line_no"]) for r in frame.filter("line like '%fail'").limit(5).collect())
+        assert frame.agg(F.sum("line_no")).first()[0] == 3 * 600 * 601 // 2
+
+
+def test_reading_leaves_no_setting_behind(spark, tmp_path):
+    write(tmp_path, a="x")
+    before = spark.conf.getAll
+    read_numbered_lines(spark, "*.txt", str(tmp_path)).collect()
+    assert spark.conf.getAll == before
+
+
+def test_files_without_content_and_hidden_names(spark, tmp_path):
+    write(tmp_path, a="x\ny", empty="")
+    write(tmp_path, **{".hidden": "h"})
+    listed = {r["name"]: r["bytes"] for r in list_files(spark, "*.txt", str(tmp_path)).collect()}
+    assert listed == {"a.txt": 3, "empty.txt": 0}
+    counts = read_counted_lines(spark, "*.txt", str(tmp_path), names="name").counts
+    assert {r["src"]: r["lines"] for r in counts.collect()} == {"a.txt": 2, "empty.txt": 0}
+    names = read_counted_lines(spark, "*.txt", str(tmp_path), names="path").counts
+    assert len({r["src"].rpartition("/")[0] for r in names.collect()}) == 1
+    with pytest.raises(ValueError, match="hidden"):
+        list_files(spark, ".*", str(tmp_path))
+    write(tmp_path, _feed="u")
+    with pytest.raises(ValueError, match="_feed"):
+        read_lines(spark, "*.txt", str(tmp_path))
+    assert read_lines(spark, "a*", str(tmp_path)).count() == 2
+    only = tmp_path / "only"
+    only.mkdir()
+    write(only, empty="")
+    read = read_counted_lines(spark, "*.txt", str(only), names="name")
+    assert read.lines.count() == 0 and [tuple(r) for r in read.counts.collect()] == [("empty.txt", 0)]
+
+
+def test_folders_beside_the_files_are_left_alone(spark, tmp_path):
+    write(tmp_path, **{"a [1]": "x\ny"})
+    for sub in ("out/src=a/block=1", "out/src=b", "k=1"):
+        folder = tmp_path / sub
+        folder.mkdir(parents=True)
+        write(folder, z="no")
+    assert numbered(read_numbered_lines(spark, "*.txt", str(tmp_path), names="name")) == [
+        ("a [1].txt", 1, "x"), ("a [1].txt", 2, "y"),
+    ]
 
 
 def test_line_breaks(spark, tmp_path):

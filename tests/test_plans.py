@@ -15,6 +15,7 @@ from ledgerline.sources.lines import (
     read_lines,
     read_numbered_lines,
 )
+from ledgerline.sinks.text import read_written_lines
 from ledgerline.streaming.masking import mask_stream, stream_lines
 
 SF = "/root/testdata/sf0.001"
@@ -126,18 +127,25 @@ def test_streamed_masking_handles_each_file_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
 
     def run():
-        lines = stream_lines(spark, inbox)
-        named = lines.withColumn("src", F.regexp_extract("src", "([^/]+)$", 1))
-        writer = mask_stream(named, [masking.fixed([(0, 1)])], out, state)
+        lines = stream_lines(spark, inbox, names="name")
+        writer = mask_stream(lines, [masking.fixed([(0, 1)], src_pattern="^my feed|^b")], out, state)
         writer.trigger(availableNow=True).start().awaitTermination()
-        rows = spark.read.schema("value string, src string").text(out).collect()
-        return sorted((r["src"], r["value"]) for r in rows)
+        rows = read_written_lines(spark, out).collect()
+        return sorted((r["src"], r["line_no"], r["line"]) for r in rows)
 
-    (tmp_path / "in" / "a.txt").write_text("abc\n12")
-    assert run() == [("a.txt", "99"), ("a.txt", "XXc")]
+    (tmp_path / "in" / "my feed.txt").write_text("abc\n12\n" + "z\n" * 50 + "y")
+    first = [("my feed.txt", 1, "XXc"), ("my feed.txt", 2, "99")] + [("my feed.txt", i, "X") for i in range(3, 54)]
+    assert run() == first
     (tmp_path / "in" / "b.txt").write_text("q")
-    assert run() == [("a.txt", "99"), ("a.txt", "XXc"), ("b.txt", "X")]
-    assert run() == [("a.txt", "99"), ("a.txt", "XXc"), ("b.txt", "X")]
+    assert run() == [("b.txt", 1, "X"), *first]
+    assert run() == [("b.txt", 1, "X"), *first]
+
+
+def test_the_report_holds_no_arrays_of_rows(spark):
+    tables = fx.report_tables(spark, SF)
+    names = [tables[n] for n in ("brokers", "accounts", "users", "customers")]
+    text = plan(exceptions_report(*names, tables["daily"], fx.AS_OF, fx.LOOKBACK_DAYS))
+    assert "ObjectHashAggregate" not in text and "SortAggregate" not in text
 
 
 def test_dates_are_values(spark):
