@@ -170,12 +170,23 @@ def parse_holder_records(lines: DataFrame, provider: str = PROVIDER) -> DataFram
     )
 
 
-def export_lines(records: DataFrame, bounds: DataFrame, delimiter: str = "|") -> DataFrame:
+def export_lines(
+    records: DataFrame, bounds: DataFrame, delimiter: str = "|", quote: str | None = None
+) -> DataFrame:
     """Holder records as text: ``src``, ``code``, ``line_no``, ``line``.
 
     Each closed block gets one line with the column names at ordinal 0, also if it has no records.
-    Values are not escaped.
+    Values are written as they are, unless a ``quote`` is given: then those that hold it or the
+    delimiter are put in quotes, a quote inside being doubled.
     """
+
+    def value(name: str) -> Column:
+        if not quote:
+            return F.col(name)
+        inner = F.replace(F.col(name), F.lit(quote), F.lit(quote * 2))
+        odd = F.contains(F.col(name), F.lit(delimiter)) | F.contains(F.col(name), F.lit(quote))
+        return F.when(odd, F.concat(F.lit(quote), inner, F.lit(quote))).otherwise(F.col(name))
+
     titles = bounds.filter(F.col("end_line").isNotNull()).select(
         "src",
         "code",
@@ -183,7 +194,7 @@ def export_lines(records: DataFrame, bounds: DataFrame, delimiter: str = "|") ->
         F.lit(delimiter.join(HOLDER_COLUMNS)).alias("line"),
     )
     rows = records.select(
-        "src", "code", "line_no", F.concat_ws(delimiter, *HOLDER_COLUMNS).alias("line")
+        "src", "code", "line_no", F.concat_ws(delimiter, *map(value, HOLDER_COLUMNS)).alias("line")
     )
     return titles.unionByName(rows)
 

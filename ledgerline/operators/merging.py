@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.operators.idmap import normal_id
@@ -83,6 +83,17 @@ def audit(matched: Matched, name: str, change: str, balance: str = "Balance") ->
 
     ``change`` is ``repoint``, ``balances`` or ``remove``.
     """
+    counted = matched.rows.agg(*_counts(change, balance))
+    return counted.select(
+        F.lit(name).alias("table_name"),
+        "rows_in",
+        "updated",
+        "deleted",
+        (F.col("rows_in") - F.col("deleted")).alias("rows_out"),
+    )
+
+
+def _counts(change: str, balance: str) -> list[Column]:
     hit = F.col(_HIT)
     never = F.lit(False)
     updated, deleted = {
@@ -90,15 +101,14 @@ def audit(matched: Matched, name: str, change: str, balance: str = "Balance") ->
         "balances": (hit & _not_zero(balance), hit & _zero(balance)),
         "remove": (never, hit),
     }[change]
-    counted = matched.rows.agg(
+    return [
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(updated).alias("updated"),
         F.count_if(deleted).alias("deleted"),
-    )
-    return counted.select(
-        F.lit(name).alias("table_name"),
-        "rows_in",
-        "updated",
-        "deleted",
-        (F.col("rows_in") - F.col("deleted")).alias("rows_out"),
-    )
+    ]
+
+
+def observed(matched: Matched, change: str, balance: str = "Balance") -> tuple[Matched, Observation]:
+    """The same rows, counted like ``audit`` while whatever is made of them is written."""
+    seen = Observation()
+    return replace(matched, rows=matched.rows.observe(seen, *_counts(change, balance))), seen

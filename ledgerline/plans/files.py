@@ -55,11 +55,13 @@ def extract_customers(
     field: blocks.Field = None,
     provider: str = blocks.PROVIDER,
     sources: DataFrame | None = None,
+    quote: str | None = None,
 ) -> Extract:
     """Blocks of the customers in ``codes`` from numbered feed ``lines``, parsed.
 
     ``records`` has ``src``, ``code``, ``line_no`` and the holder columns. ``sources`` (one row per
-    ``src``) also lists sources without any line in ``status``.
+    ``src``) also lists sources without any line in ``status``. With ``quote`` exported values that
+    hold the delimiter or the quote itself are quoted.
     """
     bounds = blocks.block_bounds(lines, codes, match, field)
     staged = blocks.stage_blocks(bounds)
@@ -68,7 +70,7 @@ def extract_customers(
     return Extract(
         bounds=bounds,
         records=records,
-        export=blocks.export_lines(records, bounds),
+        export=blocks.export_lines(records, bounds, quote=quote),
         status=blocks.block_status(lines if sources is None else sources, bounds, details, codes),
     )
 
@@ -86,10 +88,17 @@ def extract_customer_files(
     out: str,
     *,
     recursive: bool = False,
+    encoding: str = "UTF-8",
+    unicode_breaks: bool = False,
     **options,
 ) -> DataFrame:
-    """Write each customer's records below ``out/src=.../code=.../`` and return the status."""
-    read = read_counted_lines(spark, mask, path, recursive=recursive, names="relative")
+    """Write each customer's records below ``out/src=.../code=.../`` and return the status.
+
+    ``options`` are those of ``extract_customers``.
+    """
+    read = read_counted_lines(
+        spark, mask, path, recursive=recursive, encoding=encoding, names="relative", unicode_breaks=unicode_breaks
+    )
     extract = extract_customers(read.lines, codes, sources=read.counts, **options)
     write_lines(extract.export, out, ("src", "code"))
     return extract.status
@@ -104,20 +113,36 @@ def split_files(
     trailer: int = 0,
     *,
     recursive: bool = False,
+    encoding: str = "UTF-8",
+    unicode_breaks: bool = False,
 ) -> DataFrame:
     """Write the sections of all matching files below ``out/src=.../section=.../``; return counts.
 
     One pass counts the lines and a second one writes them, without a shuffle.
     """
-    read = read_counted_lines(spark, mask, path, recursive=recursive, names="relative")
+    read = read_counted_lines(
+        spark, mask, path, recursive=recursive, encoding=encoding, names="relative", unicode_breaks=unicode_breaks
+    )
     split = sections.split_sections(read.sized, header, trailer)
     write_scanned_lines(split, out, ("src", "section"), "line_no")
     return sections.section_counts(read.lines, header, trailer, read.counts)
 
 
-def search_files(spark: SparkSession, mask: str, path: str, pattern: str) -> DataFrame:
+def search_files(
+    spark: SparkSession,
+    mask: str,
+    path: str,
+    pattern: str,
+    *,
+    recursive: bool = False,
+    encoding: str = "UTF-8",
+    unicode_breaks: bool = False,
+) -> DataFrame:
     """Matches in the lines of all matching files."""
-    return search.search_lines(read_numbered_lines(spark, mask, path), pattern)
+    lines = read_numbered_lines(
+        spark, mask, path, recursive=recursive, encoding=encoding, unicode_breaks=unicode_breaks
+    )
+    return search.search_lines(lines, pattern)
 
 
 def search_zip(

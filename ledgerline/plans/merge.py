@@ -84,14 +84,22 @@ def merge_ids(
         name: merging.match(table, resolved, key)
         for name, table in zip(CHANGES, (trades, daily, archive, holdings))
     }
-    tables = {
-        "trades": merging.repoint(matched["trades"]),
-        "daily": merging.repoint_balances(matched["daily_process"], balance),
-        "archive": merging.repoint(matched["archive"]),
-        "holdings": merging.remove(matched["holdings"]),
-    }
-    counts = merge_audit(matched, entries.rows, balance)
-    version = write_version(tables, out) if commit else None
+    tables = _changed(matched, balance)
+    version = None
+    if commit:
+        # What is written is counted on its way, so the tables are joined to the map once.
+        watched = {name: merging.observed(m, CHANGES[name], balance) for name, m in matched.items()}
+        version = write_version(_changed({n: m for n, (m, _) in watched.items()}, balance), out)
+        rows = [
+            (name, entries.rows, seen.get["rows_in"], seen.get["updated"], seen.get["deleted"])
+            for name, (_, seen) in watched.items()
+        ]
+        schema = "table_name string, map_entries long, rows_in long, updated long, deleted long"
+        counts = trades.sparkSession.createDataFrame(rows, schema).withColumn(
+            "rows_out", F.col("rows_in") - F.col("deleted")
+        )
+    else:
+        counts = merge_audit(matched, entries.rows, balance)
     return MergeResult(
         **tables,
         audit=counts,
@@ -99,3 +107,12 @@ def merge_ids(
         result=COMMITTED if commit else NOT_COMMITTED,
         version=version,
     )
+
+
+def _changed(matched: Mapping[str, Matched], balance: str) -> dict[str, DataFrame]:
+    return {
+        "trades": merging.repoint(matched["trades"]),
+        "daily": merging.repoint_balances(matched["daily_process"], balance),
+        "archive": merging.repoint(matched["archive"]),
+        "holdings": merging.remove(matched["holdings"]),
+    }

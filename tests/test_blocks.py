@@ -153,6 +153,28 @@ def test_negative_header_is_refused(spark):
         sections.split_sections(feed(spark, f=["a"]), -1, 0)
 
 
+def test_exports_are_quoted_on_demand(spark):
+    line = "D1020101" + "1" * 9 + " " * 6 + 'A|n "B"'.ljust(67)
+    lines = feed(spark, f=["CH AB", line, "CT AB"])
+    for quote, name in ((None, 'A|n "B"'), ('"', '"A|n ""B"""')):
+        rows = files.extract_customers(lines, ["AB"], quote=quote).export.collect()
+        assert [r["line"] for r in rows if r["line_no"]] == [f"vendor|111111111|{name}||"]
+
+
+def test_jobs_take_encoding_and_wide_breaks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "f.txt").write_bytes("h\x0bé\x85t\n".encode("latin-1"))
+    options = dict(encoding="ISO-8859-1", unicode_breaks=True)
+    counts = files.split_files(spark, "*.txt", str(folder), str(tmp_path / "o"), 1, 1, **options)
+    assert [tuple(r) for r in counts.collect()] == [("f.txt", 3, 1, 1, 1)]
+    found = files.search_files(spark, "*.txt", str(folder), "É", **options).collect()
+    assert [r["line_number"] for r in found] == [2]
+    (folder / "f.txt").write_bytes(("CH AB\x0b" + detail(2) + "\x85CT AB\n").encode("latin-1"))
+    status = files.extract_customer_files(spark, "*.txt", str(folder), ["AB"], str(tmp_path / "e"), **options)
+    assert [tuple(r) for r in status.collect()] == [("f.txt", "AB", "ok", 1)]
+
+
 def test_file_jobs(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

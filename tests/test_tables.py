@@ -280,6 +280,14 @@ def test_report_equals_the_direct_joins(spark, by_day):
     assert (("b2", 8) in missing) is not by_day
 
 
+def test_a_commit_counts_what_it_writes(spark, tmp_path):
+    dry = merge_ids(**merge_inputs(spark), id_map=entries(spark, *MERGE_MAP))
+    done = merge_ids(**merge_inputs(spark), id_map=entries(spark, *MERGE_MAP), commit=True, out=str(tmp_path / "v"))
+    assert done.audit.columns == dry.audit.columns
+    assert rows_of(done.audit) == rows_of(dry.audit)
+    assert rows_of(done.trades) == rows_of(dry.trades)
+
+
 def test_ids_ignore_case_everywhere(spark):
     brokers = spark.createDataFrame([("ABC", "b")], "PrimaryGUID string, BrokerName string")
     accounts = spark.createDataFrame([("Acc", "abc", D(2024, 1, 9))], "AccountGUID string, ForeignGUID string, LastProcessed timestamp")
