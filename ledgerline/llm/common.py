@@ -7,7 +7,6 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +25,12 @@ SLICE_ROWS = 512
 CACHE_WORDS = 250_000
 
 SHINGLE_WORDS = 5
+#: Texts are hashed together up to so many bytes; a longer text is hashed alone.
+SHINGLE_BYTES = 256 * 1024
 
 __all__ = [
-    "BROADCAST_BYTES", "Remember", "Staged", "WORD", "ddl", "documents", "in_slices", "join_measured",
-    "new_shared_path", "shingle_hashes", "stage", "table", "word_hashes",
+    "BROADCAST_BYTES", "Remember", "Shingles", "Staged", "WORD", "ddl", "documents", "in_slices", "join_measured",
+    "new_shared_path", "stage", "table",
 ]
 
 
@@ -73,10 +74,6 @@ class Remember(dict):
         return value
 
 
-def word_hashes() -> Remember:
-    return Remember(xxhash.xxh3_64_intdigest)
-
-
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -89,21 +86,85 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_hashes(text: bytes | None, known: Remember) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the five-word shingles of a text.
+def _letter_values() -> np.ndarray:
+    return mixed(np.arange(1, 257, dtype=np.uint64) * _STEP)
+
 
-    A-Z are lower-cased. Fewer than five words form one shingle; no words give an empty array.
+class Shingles:
+    """Sets of shingle hashes of many texts at a time.
+
+    A word's hash is the sum of a fixed random number per byte, weighted by powers of an odd number
+    and so by place, modulo 2^64. Running sums over all bytes give it for every word at once: the
+    difference at the word's ends, moved to place 0 by the inverse power.
     """
-    words = text.lower().split() if text else []
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
-    k = min(n, SHINGLE_WORDS)
-    total = h[: n - k + 1] + np.uint64(k)
-    for i in range(1, k):
-        total = total * _STEP + h[i : n - k + 1 + i]
-    return np.unique(mixed(total))
+
+    _FACTOR = 0xD6E8FEB86659FD93
+    _SPACE = np.zeros(256, bool)
+    _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+    def __init__(self) -> None:
+        self._values = _letter_values()
+        self._powers = self._inverses = np.ones(1, np.uint64)
+
+    def _places(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self._powers) < n:
+            def powers(x):
+                return np.r_[np.uint64(1), np.cumprod(np.full(n - 1, x, np.uint64))]
+
+            self._powers = powers(self._FACTOR)
+            self._inverses = powers(pow(self._FACTOR, -1, 1 << 64))
+        return self._powers[:n], self._inverses[:n]
+
+    def _words(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of every word of lower-case data that ends in a space."""
+        codes = np.frombuffer(data, np.uint8)
+        space = self._SPACE[codes]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if not space[0]:
+            edges = np.r_[0, edges]
+        starts, ends = edges[0::2], edges[1::2]
+        powers, inverses = self._places(len(codes))
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(self._values[codes] * powers, out=sums[1:])
+        return starts, mixed((sums[ends] - sums[starts]) * inverses[starts])
+
+    def of(self, texts: Iterable[bytes | None]) -> list[np.ndarray]:
+        """Sorted distinct 64-bit hashes of the five-word shingles of each text.
+
+        A-Z are lower-cased. Fewer than five words form one shingle; no words give an empty array.
+        """
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(text or b"")
+            size += len(held[-1])
+            if size >= SHINGLE_BYTES:
+                out += self._sets(held)
+                held, size = [], 0
+        return out + self._sets(held) if held else out
+
+    def _sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        data = (b"\n".join(texts) + b"\n").lower()
+        starts, hashes = self._words(data)
+        lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+        edges = np.searchsorted(starts, np.r_[0, np.cumsum(lengths)])
+        totals = self._joined(hashes, SHINGLE_WORDS)
+        out = []
+        for at, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            n = end - at
+            if n >= SHINGLE_WORDS:
+                h = np.sort(totals[at : end - SHINGLE_WORDS + 1])
+                out.append(h[np.r_[True, h[1:] != h[:-1]]])
+            else:
+                out.append(self._joined(hashes[at:end], n) if n else np.empty(0, np.uint64))
+        return out
+
+    @staticmethod
+    def _joined(hashes: np.ndarray, k: int) -> np.ndarray:
+        m = max(0, len(hashes) - k + 1)
+        total = hashes[:m] + np.uint64(k)
+        for i in range(1, k):
+            total = total * _STEP + hashes[i : m + i]
+        return mixed(total)
 
 
 def in_slices(

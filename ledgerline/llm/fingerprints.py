@@ -32,13 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import (
-    Remember,
+    Shingles,
     ddl,
     documents,
     in_slices,
     mixed,
-    shingle_hashes,
-    word_hashes,
 )
 
 BINS = 512
@@ -62,24 +60,26 @@ class MinHash:
         self.bins, self.bits = bins, bits
         self._shift = np.uint64(64 - (bins.bit_length() - 1))
         self._rank = probe_order(bins, seed)
-        self._words: Remember = word_hashes()
+        # A value that several bins hold gets other bits in each, else few shingles agree by chance in all.
+        self._salts = mixed(np.arange(1, bins + 1, dtype=np.uint64))
+        self._shingles = Shingles()
 
-    def values(self, text: bytes | None) -> np.ndarray | None:
-        """Low-order bits of the minimum of every bin; None for an empty set."""
-        hashes = shingle_hashes(text, self._words)
-        if not len(hashes):
-            return None
+    def all_values(self, texts: list[bytes | None]) -> list[np.ndarray | None]:
+        """Per text the low-order bits of the minimum of every bin; None for an empty set."""
+        return [self._values(h) if len(h) else None for h in self._shingles.of(texts)]
+
+    def _values(self, hashes: np.ndarray) -> np.ndarray:
         where = hashes >> self._shift  # sorted hashes: the first of each bin is its minimum
         first = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
         full = where[first].astype(np.int64)
-        low = np.zeros(self.bins, np.uint8)
-        low[full] = (hashes[first] & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
+        least = np.zeros(self.bins, np.uint64)
+        least[full] = hashes[first]
         if len(full) < self.bins:
             empty = np.ones(self.bins, bool)
             empty[full] = False
             probes = self._rank[np.flatnonzero(empty)[:, None], full]
-            low[empty] = low[full[np.argmin(probes, axis=1)]]
-        return low
+            least[empty] = least[full[np.argmin(probes, axis=1)]]
+        return (mixed(least + self._salts) & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
 
     def pack(self, values: np.ndarray | None) -> str:
         if values is None:
@@ -112,7 +112,7 @@ def fingerprints(docs: DataFrame, text: str = "text", bins: int = BINS, bits: in
 
         def work(rows):
             data = [None if t is None else t.encode("utf-8") for t in rows[text]]
-            return {"fingerprint": [hasher.pack(hasher.values(t)) for t in data]}
+            return {"fingerprint": [hasher.pack(v) for v in hasher.all_values(data)]}
 
         return work
 
@@ -168,32 +168,29 @@ def compare_neighbours(docs: DataFrame, bins: int = BINS, bits: int = BITS, buck
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(bins, bits)
-        held = None
+        held = None  # bucket, id, text and values of the row that waits for its successor
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        out: list[tuple] = []
-
-        def flush():
-            columns = zip(*out, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                for doc, text, bucket, guest in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+            for at in range(0, batch.num_rows, 256):
+                ids, texts, buckets, guests = (c.to_pylist() for c in batch.slice(at, 256).columns)
+                own = hasher.all_values([t.encode("utf-8") for t in texts])
+                pairs = []
+                for doc, text, bucket, guest, values in zip(ids, texts, buckets, guests, own, strict=True):
                     if held is not None and held[0] == bucket:
-                        values = hasher.values(text.encode("utf-8")) if held[1] is not None else None
-                        if held[1] is not None:
-                            out.append(_row(hasher, *held[1:], text, values))
-                    else:
-                        values = hasher.values(text.encode("utf-8"))
-                    # After the first guest nothing of this bucket is left.
-                    held = (bucket, None, None, None) if guest else (bucket, text, values, doc)
-                if len(out) >= 512:
-                    yield flush()
-                    out = []
-        if out:
-            yield flush()
+                        pairs.append((*held[1:], edited(held[2], text).encode("utf-8"), values))
+                    # After the first guest nothing of its bucket is left to do.
+                    held = None if guest else (bucket, doc, text, values)
+                changed = hasher.all_values([p[3] for p in pairs])
+                rows = [
+                    (
+                        doc, len(text), hashlib.sha256(new).hexdigest(), hasher.pack(values), hasher.pack(new_values),
+                        hasher.likeness(values, new_values), hasher.likeness(values, next_values),
+                    )
+                    for (doc, text, values, new, next_values), new_values in zip(pairs, changed, strict=True)
+                ]
+                columns = zip(*rows, strict=True) if rows else [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     sent = with_successors(docs, bucket_rows)
     return sent.select("doc_id", "text", "bucket", "guest").mapInArrow(
@@ -203,19 +200,5 @@ def compare_neighbours(docs: DataFrame, bins: int = BINS, bits: int = BITS, buck
     )
 
 
-def _row(hasher: MinHash, text: str, values, doc, following: str, next_values) -> tuple:
-    changed = edited(text, following).encode("utf-8")
-    edited_values = hasher.values(changed)
-    return (
-        doc,
-        len(text),
-        hashlib.sha256(changed).hexdigest(),
-        hasher.pack(values),
-        hasher.pack(edited_values),
-        hasher.likeness(values, edited_values),
-        hasher.likeness(values, next_values),
-    )
-
-
 def op1_fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(documents(spark, sf_dir))
