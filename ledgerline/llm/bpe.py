@@ -31,8 +31,9 @@ from ledgerline.llm.common import Remember, ddl, documents, in_slices
 #: The word pattern of word_bpe_49k.json: no alternative matches white space.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-#: Distinct chunks a worker remembers in each of two generations, some 100 MB together.
-CACHE_CHUNKS = 500_000
+#: Distinct chunks a worker remembers in each of two generations, some 60 MB together; they stay from
+#: task to task, beside whatever the worker does next.
+CACHE_CHUNKS = 150_000
 
 #: Separators that str.split() takes for white space and the pattern does not.
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
