@@ -218,7 +218,8 @@ class Codec:
             if i:
                 out.append(sizes("\n"))
             if line:
-                out += map(sizes, line.replace(" ", "\n ").split("\n"))
+                # A space before the first word of a text leaves an empty chunk in front.
+                out += map(sizes, filter(None, line.replace(" ", "\n ").split("\n")))
         return np.frombuffer(b"".join(out), np.uint8)
 
     def encode(self, text: str | None) -> bytes:

@@ -59,6 +59,25 @@ def test_spans_that_cut_tokens(spark):
     assert sum(got[len(cases) - 1]["crossing"]) == 1
 
 
+def test_texts_that_begin_with_one_space(spark):
+    texts = [" abc", " ", " abc def\nghi jkl", " \nx"]
+    spans = [[(0, 1), (1, len(t))] for t in texts]
+    rows = [(i, t, [(int(a), int(b)) for a, b in s]) for i, (t, s) in enumerate(zip(texts, spans, strict=True))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<start:int,end:int>>")
+    got = {r["doc_id"]: r for r in token_counts.count_spans(df, PATH).collect()}
+    for i, text in enumerate(texts):
+        assert (got[i]["tokens"], got[i]["outside"]) == plain(text, spans[i])
+    lines = token_counts.count_lines(df.select("doc_id", "text"), PATH).collect()
+    for i, text in enumerate(texts):
+        mine = sorted((r["start_char"], r["end_char"], r["n_tokens"]) for r in lines if r["doc_id"] == i)
+        assert [n for _, _, n in mine] == plain(text, [(a, b) for a, b, _ in mine])[0]
+    fields = spark.createDataFrame([(1, " A title", "The body."), (2, " ", None)], "doc_id long, title string, body string")
+    counted = token_counts.count_fields(fields, PATH, ["title", "body"]).collect()
+    got = {(r["doc_id"], r["field"]): r["n_tokens"] for r in counted}
+    assert [got[1, f] for f in ("title", "body")] == plain(" A title\nThe body.", [(0, 8), (9, 18)])[0]
+    assert [got[2, f] for f in ("title", "body")] == plain(" \n", [(0, 1), (2, 2)])[0]
+
+
 def test_allocation_rule():
     chosen, crosses = token_counts.allocate(np.array([4, 2, 5]), np.array([0, 5, 5, 9]), np.array([5, 5, 9, 10]))
     # 0-4 in the first; 4-6 half in each of two: the earlier; 6-11: most in the third
