@@ -170,7 +170,9 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", mixture: M
 
 
 def _first_words(text: Column, n: Column) -> Column:
-    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})")), 1, n.cast("int")), " ")
+    """The text up to the end of its n-th word, as it is written."""
+    spaced = F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORD})"))
+    return F.array_join(F.slice(spaced, 1, n.cast("int")), "")
 
 
 def _narrow_with(docs: DataFrame, own: Column, source: str, key: str) -> DataFrame:

@@ -67,6 +67,19 @@ def test_mix_rows(spark):
     assert positions == sorted(positions) and 0 <= positions[0] and positions[-1] <= 1
 
 
+def test_cut_documents_keep_their_spaces(spark):
+    text = "  one two\n\n\tthree   four\r\nfive six \n"
+    docs = spark.createDataFrame([(i, text, s) for i in range(5) for s in "abc"], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs).collect()
+    cut = [r for r in mixed if r["words"] < 6]
+    assert cut and all(text.startswith(r["text"]) and len(r["text"].split()) == r["words"] for r in cut)
+    assert any("\n" in r["text"] for r in cut)
+    assert all(r["text"] == text for r in mixed if r["words"] == 6)
+    long = spark.createDataFrame([("a\n b  " * 50_000, 99_999)], "text string, n long")
+    got = long.select(mixing._first_words(long["text"], long["n"]).alias("t")).first()["t"]
+    assert got == ("a\n b  " * 50_000)[: 49_999 * 6 + 1]
+
+
 def test_curriculum_inverts_demand(spark):
     from pyspark.sql import functions as F
 
