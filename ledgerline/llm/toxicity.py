@@ -54,12 +54,19 @@ STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7"
 
 _CAPS, _SECOND, _HIDDEN, _WORD, _START, _BARED, _LETTERS = (1 << i for i in range(7))
 _TERM, _UPPER, _SIGNS, _SIZE = 8, 24, 34, 44
+#: A token whose numbers do not fit beside the flags; they are counted where it occurs.
+_LONG = 1 << 60
 
 
 def _letters(token: str) -> str:
     return "".join(c for c in token if c.isalpha())
 
 
+def _numbers(token: str) -> tuple[int, int, int]:
+    """Capitals, signs and characters."""
+    return sum(map(str.isupper, token)), sum(not c.isalnum() for c in token), len(token)
+
+
 def _plain(token: str) -> str:
     """Letters of a token, small, without the accents and format characters put between them."""
     return _letters(unicodedata.normalize("NFC", token)).lower()
@@ -102,8 +109,7 @@ class Features:
 
     def _code(self, token: str) -> int:
         letters = sum(map(str.isalpha, token))
-        upper = sum(map(str.isupper, token))
-        signs = sum(not c.isalnum() for c in token)
+        upper, signs, size = _numbers(token)
         core = token.strip(".,;:!?\"'()[]-")
         hidden = any(c.isalpha() for c in core) and not all(c.isalpha() or c in "'’-" for c in core)
         plain = _plain(token)
@@ -113,13 +119,10 @@ class Features:
         if hidden and not term:
             term, kind = self._term(_bared(core))
             flags |= _BARED * (term > 0) | kind
-        return (
-            flags
-            | term << _TERM
-            | min(upper, 1023) << _UPPER
-            | min(signs, 1023) << _SIGNS
-            | min(len(token), 65535) << _SIZE
-        )
+        flags |= term << _TERM
+        if upper > 0x3FF or signs > 0x3FF or size > 0xFFFF:
+            return flags | _LONG
+        return flags | upper << _UPPER | signs << _SIGNS | size << _SIZE
 
     NAMES = (
         "words", "hits", "hit_density", "distinct_hits", "word_density", "start_density", "weight_density",
@@ -145,7 +148,10 @@ class Features:
             right = np.abs(second[np.minimum(after, len(second) - 1)] - places)
             left = np.abs(second[np.maximum(after - 1, 0)] - places)
             near = float(np.mean(1.0 / (1.0 + np.minimum(left, right))))
-        size = int((code >> _SIZE & 0xFFFF).sum())
+        upper, signs, size = (int((code >> at & most).sum()) for at, most in ((_UPPER, 0x3FF), (_SIGNS, 0x3FF), (_SIZE, 0xFFFF)))
+        for i in np.flatnonzero(code & _LONG).tolist():
+            more = _numbers(tokens[i])
+            upper, signs, size = upper + more[0], signs + more[1], size + more[2]
         share = lambda flag: float(np.count_nonzero(code & flag)) / n
         return [
             math.log1p(n),
@@ -160,8 +166,8 @@ class Features:
             near,
             share(_SECOND),
             share(_CAPS),
-            float((code >> _UPPER & 0x3FF).sum()) / size,
-            float((code >> _SIGNS & 0x3FF).sum()) / size,
+            upper / size,
+            signs / size,
             share(_HIDDEN),
             (text or "").count("!") / size,
             1.0 - share(_LETTERS),

@@ -74,3 +74,17 @@ def test_features():
     assert got["second_density"] == pytest.approx(1 / 5) and got["near_second"] == pytest.approx((1 / 2 + 1 / 3) / 2)
     assert got["capital_words"] == pytest.approx(1 / 5) and got["hidden_rate"] == pytest.approx(1 / 5)
     assert dict(zip(names, features.of("scou"), strict=True))["hits"] == 0
+
+
+def test_rates_of_very_long_tokens():
+    features = toxicity.Features(toxicity.Lexicon({}))
+
+    def rates(text):
+        got = dict(zip(toxicity.Features.NAMES, features.of(text), strict=True))
+        return [got[n] for n in ("capital_rate", "sign_rate", "exclamations")]
+
+    for n in (1023, 1024, 65_536, 70_000):
+        assert rates("A" * n) == [1.0, 0.0, 0.0]
+        assert rates("!" * n) == [0.0, 1.0, 1.0]
+    assert rates("ab " + "A" * 1998 + " " + "A" * 1998 + "??") == pytest.approx([3996 / 4000, 2 / 4000, 0.0])
+    assert rates("a" * 70_000 + " B!") == pytest.approx([1 / 70_002, 1 / 70_002, 1 / 70_002])
