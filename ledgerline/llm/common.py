@@ -7,7 +7,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -29,8 +29,8 @@ SHINGLE_WORDS = 5
 SHINGLE_BYTES = 256 * 1024
 
 __all__ = [
-    "BROADCAST_BYTES", "Remember", "Shingles", "Staged", "WORD", "ddl", "documents", "in_slices", "join_measured",
-    "new_shared_path", "stage", "table",
+    "BROADCAST_BYTES", "Remember", "Shingles", "Staged", "Substrings", "WORD", "ddl", "documents", "in_slices",
+    "join_measured", "new_shared_path", "placed", "stage", "table",
 ]
 
 
@@ -55,6 +55,23 @@ def join_measured(
     return left.join(right.df.hint("merge"), keys, how)
 
 
+def placed(df: DataFrame, order: list[Column], name: str, place: str = "place") -> tuple[DataFrame, Staged]:
+    """The rows of a table of plain columns with their place (from 0, gapless) in a total order.
+
+    One range shuffle: every partition is sorted and staged with the place inside it, and a running sum
+    over partitions (one row each) adds what lies before. A range can be cut anywhere between unequal
+    rows, so ``order`` should tell all rows apart. The second result is the staged table behind it.
+    """
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stage(rows.withColumn("__part", F.spark_partition_id()).withColumn("__inside", inside), name)
+    parts = rows.df.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = parts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    numbered = rows.df.join(F.broadcast(offsets), "__part")
+    return numbered.withColumn(place, F.col("__before") + F.col("__inside")).select(*df.columns, place), rows
+
+
 class Remember(dict):
     """A dict that computes what it lacks. It keeps two generations of at most ``limit`` entries each,
     so words in use survive when those seen once are let go."""
@@ -90,6 +107,33 @@ def _letter_values() -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
 
+class Substrings:
+    """64-bit hash of any run of bytes of a text, from two running sums over the text."""
+
+    _FACTOR = 0xA0761D6478BD642F
+
+    def __init__(self) -> None:
+        self._values = _letter_values()
+        self._powers = self._inverses = np.ones(1, np.uint64)
+
+    def load(self, codes: np.ndarray) -> None:
+        n = len(codes)
+        if len(self._powers) < n + 1:
+            self._powers = np.r_[np.uint64(1), np.cumprod(np.full(n, self._FACTOR, np.uint64))]
+            inverse = pow(self._FACTOR, -1, 1 << 64)
+            self._inverses = np.r_[np.uint64(1), np.cumprod(np.full(n, inverse, np.uint64))]
+        self._sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self._values[codes] * self._powers[:n], out=self._sums[1:])
+
+    def every(self, length: int) -> np.ndarray:
+        """Hash of the run of ``length`` bytes at every place that has one."""
+        n = len(self._sums) - length
+        return mixed((self._sums[length:] - self._sums[:n]) * self._inverses[:n])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((self._sums[ends] - self._sums[starts]) * self._inverses[starts])
+
+
 class Shingles:
     """Sets of shingle hashes of many texts at a time.
 

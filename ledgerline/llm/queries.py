@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from ledgerline.llm import (
     bpe,
+    collocations,
     fingerprints,
+    importance,
     line_dedup,
     mixing,
     ngram_join,
     packages,
     sharding,
+    suffix_dedup,
     token_counts,
     topk,
     toxicity,
@@ -26,10 +29,16 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_top_k": topk.op9_top_k,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_importance_resampling": importance.op11_importance_resampling,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
 }
 
 SQL = {
     "op3_pages_round_trip": packages.OP3_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op9_top_k": topk.OP9_SQL,
+    "op11_importance_resampling": importance.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
+    "op13_suffix_dedup": suffix_dedup.OP13_SQL,
 }
