@@ -3,8 +3,8 @@
 A byte goes if it lies in a string of ``length`` bytes that also starts earlier in the corpus. Equal
 strings are found by naming: Spark sorts rows (name of the first part, name of the part at the next
 offset, position), so equal strings lie together in the order of their positions; a position whose first
-part is unique goes no further. With half = length / 2 the offsets are 0 and length - half, and the second
-sort is past the threshold.
+part is unique goes no further. With half = length / 2, rounded up, the offsets are 0 and length - half,
+and the second sort is past the threshold.
 
 *Sampled positions.* In every window of ``length`` bytes the smallest hash of a half-length string marks
 one place, by content alone, so equal windows mark the same place. Windows that follow each other and
@@ -59,7 +59,7 @@ class Places:
     """How a position is packed in one number that sorts: document, offset, windows less one."""
 
     def __init__(self, documents: int, longest: int, length: int):
-        self.n_bits = (length - length // 2).bit_length()
+        self.n_bits = (length // 2 + 1).bit_length()
         self.at_bits = max(1, longest.bit_length())
         if max(1, documents.bit_length()) + self.at_bits + self.n_bits > 63:
             raise ValueError("documents times the longest text leave 63 bits")
@@ -98,13 +98,15 @@ def _texts(docs: DataFrame, numbers: Staged, id_column: str = "doc_id") -> DataF
     return join_measured(rows, numbers, ["id", "tid"]).select("doc", "text", "own")
 
 
-def _segments(docs: Iterable[int], texts: Iterable[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+def _segments(
+    docs: Iterable[int], texts: Iterable[bytes], length: int, segment: int
+) -> Iterator[list[tuple[int, int, bytes]]]:
     """Groups of (doc, offset, bytes) of bounded size; windows of a long text are dealt over segments."""
     held, size = [], 0
     for doc, text in zip(docs, texts, strict=True):
-        for at in range(0, len(text) - length + 1, SEGMENT):
-            part = text[at : at + SEGMENT + length - 1]
-            if held and size + len(part) > SEGMENT + length:
+        for at in range(0, len(text) - length + 1, segment):
+            part = text[at : at + segment + length - 1]
+            if held and size + len(part) > segment + length:
                 yield held
                 held, size = [], 0
             held.append((doc, at, part))
@@ -136,16 +138,17 @@ def _spread(group: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray
     return codes, doc, np.arange(len(codes)) + shift, np.repeat(ends, sizes)
 
 
-def intervals(texts: DataFrame, places: Places, length: int = LENGTH) -> DataFrame:
-    """r1, r2, pos of all intervals of windows that mark the same place."""
-    half = length // 2
+def intervals(texts: DataFrame, places: Places, length: int = LENGTH, segment: int = SEGMENT) -> DataFrame:
+    """r1, r2, pos of all intervals of windows that mark the same place, once per document and task."""
+    half = (length + 1) // 2
 
     def make():
-        runs = Substrings()
+        runs, seen = Substrings(), set()
 
         def work(rows):
             out = ([], [], [])
-            for group in _segments(rows["doc"], rows["text"], length):
+            new = [(d, t) for d, t in zip(rows["doc"], rows["text"], strict=True) if d not in seen and not seen.add(d)]
+            for group in _segments([d for d, _ in new], [t for _, t in new], length, segment):
                 codes, doc, offset, end = _spread(group)
                 runs.load(codes)
                 names = runs.every(half)
@@ -174,23 +177,26 @@ def _columns(out) -> dict[str, np.ndarray]:
     return {"r1": r1.view(np.int64), "r2": r2.view(np.int64), "pos": pos.astype(np.int64)}
 
 
-def open_windows(texts: DataFrame, places: Places, length: int = LENGTH) -> DataFrame:
+def open_windows(texts: DataFrame, places: Places, length: int = LENGTH, segment: int = SEGMENT) -> DataFrame:
     """r1, r2, pos of every single window in the packed open intervals ``runs`` of a document."""
-    half = length // 2
+    half = (length + 1) // 2
     second = length - half
 
     def make():
-        hashes = Substrings()
+        hashes, seen = Substrings(), set()
 
         def work(rows):
             out = ([], [], [])
             for doc, text, packed in zip(rows["doc"], rows["text"], rows["runs"], strict=True):
+                if doc in seen:
+                    continue
+                seen.add(doc)
                 at, n = unpack(packed, places.n_bits)
-                for low in range(0, len(text) - length + 1, SEGMENT):
-                    here = (at >= low) & (at < low + SEGMENT)
+                for low in range(0, len(text) - length + 1, segment):
+                    here = (at >= low) & (at < low + segment)
                     if not here.any():
                         continue
-                    hashes.load(np.frombuffer(text[low : low + SEGMENT + length - 1], np.uint8))
+                    hashes.load(np.frombuffer(text[low : low + segment + length - 1], np.uint8))
                     count = n[here]
                     start = np.repeat(at[here] - low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
                     out[0].append(hashes.of(start, start + half))
@@ -230,12 +236,18 @@ def _judged(batches: Iterator[pa.RecordBatch], firsts: bool) -> Iterator[pa.Reco
     for the summary to decide. Without ``firsts`` only the task's first row is passed on.
     """
     part = TaskContext.get().partitionId()
-    last = start = None
+    last = start = before = None
     edge, count, start_count, held = True, 0, 0, np.empty(0, np.int64)
     for batch in batches:
-        if not batch.num_rows:
-            continue
         r1, r2, pos = (batch.column(i).to_numpy() for i in range(3))
+        if not len(pos):
+            continue
+        # Equal rows are one document that came from several tasks, and lie in one task here.
+        new = np.r_[before != (r1[0], r2[0], pos[0]), (pos[1:] != pos[:-1]) | (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])]
+        before = (r1[-1], r2[-1], pos[-1])
+        r1, r2, pos = r1[new], r2[new], pos[new]
+        if not len(pos):
+            continue
         new_run = np.r_[last is not None and last[0] != r1[0], r1[1:] != r1[:-1]]
         first = new_run | np.r_[last is None or last[1] != r2[0], r2[1:] != r2[:-1]]
         yield _found(part, SETTLED, pos[~first])
@@ -322,15 +334,15 @@ def by_document(positions: DataFrame, places: Places, name: str) -> Staged:
 
 
 def repeated_runs(
-    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id"
+    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", segment: int = SEGMENT
 ) -> tuple[DataFrame, Staged, Places]:
     """doc, text, own of all rows; and the packed runs of windows that start earlier as well, by doc."""
     numbers, places = numbered(docs, length, id_column)
     texts = _texts(docs, numbers, id_column)
-    settled, undecided = sorted_names(intervals(texts, places, length), "interval-names", firsts=True)
+    settled, undecided = sorted_names(intervals(texts, places, length, segment), "interval-names", firsts=True)
     undecided = by_document(undecided, places, "open-intervals")
     asked = join_measured(texts, undecided, ["doc"])
-    repeated, _ = sorted_names(open_windows(asked, places, length), "window-names", firsts=False)
+    repeated, _ = sorted_names(open_windows(asked, places, length, segment), "window-names", firsts=False)
     return texts, by_document(settled.unionByName(repeated), places, "repeated-windows"), places
 
 
@@ -350,9 +362,9 @@ def _cut(text: bytes, packed: bytes | None, n_bits: int, length: int) -> tuple[b
     return b"".join([text[a:b] for a, b in edges]), int((ends - starts).sum()), len(starts)
 
 
-def with_kept(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id") -> DataFrame:
+def with_kept(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", segment: int = SEGMENT) -> DataFrame:
     """own (all columns), kept (the bytes that stay), n_bytes, n_removed, n_spans of every row."""
-    texts, runs, places = repeated_runs(docs, length, id_column)
+    texts, runs, places = repeated_runs(docs, length, id_column, segment)
     n_bits = places.n_bits
 
     def make():

@@ -10,13 +10,17 @@ dropped bits change a score by a known bound, every row within that bound of it
 and those alone are scored exactly. k rows per query and block go to the final ranking.
 
 Every block meets every block of queries, one pair per task row: the stated query set against all
-rows, in blocks. Broadcast of the queries only below a measured size.
+rows, in blocks. The queries are broadcast only below a measured size; beyond it blocks of both sides are
+dealt over (query deal, vector deal), so no join key holds more than a part of either.
 
-Defined cases: vectors that are null, empty or hold a null, a component that is not finite or is
-beyond 2^17 (scores would leave 64 bits), or have a null id take no part. Vectors of another length
-than the query are no candidates of it. Rows that share an id are no candidates of each other; each
-is a query and a candidate of its own, and equal scores and ids are ranked among themselves in any
-order. Other columns are ignored.
+Vectors whose products could leave 62 bits are *wide*: they have blocks of their own, and pairs with one
+are scored by Python integers. A score beyond 64 bits is ranked as it is and shown as the nearest long.
+
+Defined cases: vectors that are null, empty or hold a null or a component that is not finite, or have a
+null id, take no part; all others do. Vectors of another length than the query are no candidates of it.
+Only the query's own row is no candidate: rows that share its id are, and of rows equal in id and vector
+one counts as the query's own. Equal scores and ids are ranked among themselves in any order. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,20 +40,34 @@ TOP = 10
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 DROPPED_BITS = 3
-_LIMIT = 2.0**17
+#: Bytes of query blocks that one join key holds, where they are too many to broadcast.
+DEAL_BYTES = 8 * 1024 * 1024
+_LONG = 2**63 - 1
+_BLOCK = "dim int, wide boolean, ids binary, data binary"
 
 
 def quantised(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """id, dim and x: the vectors that take part, as integers floor(1024 * component)."""
+    """id, dim and x: the vectors that take part, as whole numbers floor(1024 * component)."""
     x = F.col(vector)
-    sound = F.forall(x, lambda v: v.isNotNull() & (F.abs(v.cast("double")) < F.lit(_LIMIT)))
+    sound = F.forall(x, lambda v: v.isNotNull() & (F.abs(v.cast("double")) < F.lit(float("inf"))))
     taking = df.filter(F.col(key).isNotNull() & x.isNotNull() & (F.size(x) > 0) & sound)
-    whole = F.transform(x, lambda v: F.floor(v.cast("double") * SCALE).cast("int"))
-    return taking.select(F.col(key).cast("long").alias("id"), F.size(x).alias("dim"), whole.alias("x"))
+
+    def whole(v):  # from 2^53 on every double is whole; times 1024 it could leave the doubles
+        v = v.cast("double")
+        return F.when(F.abs(v) < F.lit(2.0**52), F.rint(v * SCALE - F.pmod(v * SCALE, F.lit(1.0)))).otherwise(v)
+
+    # What is stored for 2^52 and more is the component itself: ``_integers`` scales it.
+    return taking.select(F.col(key).cast("long").alias("id"), F.size(x).alias("dim"), F.transform(x, whole).alias("x"))
+
+
+def _integers(x: np.ndarray) -> np.ndarray:
+    """Python integers of quantised components."""
+    out = [int(v) for v in x.ravel().tolist()]
+    return np.array(out, object).reshape(x.shape)
 
 
 def blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """dim, ids, data: up to ``rows`` vectors of one length as two packed arrays."""
+    """dim, wide, ids, data: up to ``rows`` vectors of one length as two packed arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
