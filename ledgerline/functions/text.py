@@ -24,7 +24,6 @@ _SPACES = r"(?U)[\s\x1c-\x1f]+"
 # Line ends of a text file, and the further ones some readers also break at.
 _LINE_END = r"\r\n|\n|\r"
 _WIDE_LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-EXTRA_BREAKS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 _TO_END = 2147483647
 

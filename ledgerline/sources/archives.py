@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.scale import setting, stage
 from ledgerline.sources import zipstream
-from ledgerline.sources.lines import listing, matching_files
+from ledgerline.sources.listing import listing
 
 # The helpers travel with the tasks, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(zipstream)
@@ -26,18 +26,19 @@ _RECORDS = (
 )
 LINES = "archive string, entry_no bigint, entry string, line_no bigint, line string"
 
+_MOST_TASKS = 10_000
+
 # Packed bytes of an archive that one task should read, about.
 TASK_BYTES = ("spark.ledgerline.archiveTaskBytes", 128 * 1024 * 1024)
 
 
 def _records(spark: SparkSession, mask: str, path: str, recursive: bool) -> DataFrame:
     """Directory records of all files in all matching archives."""
-    files = matching_files(spark.read, listing(spark, mask, path, recursive), recursive, "binaryFile")
-    if files is None:
-        return spark.createDataFrame([], _RECORDS)
-    # Only names are taken; the content column is pruned and never read.
-    archives = files.select(F.col("path").alias("archive"))
-    return archives.mapInArrow(zipstream.entry_rows, _RECORDS)
+    found = listing(spark, mask, path, recursive)
+    archives = found.files.filter("bytes > 0").select(F.col("path").alias("archive"))
+    # Directories lie at the ends of archives; a task reads a few of them.
+    tasks = max(1, min(found.plain + found.odd, _MOST_TASKS))
+    return archives.repartition(tasks).mapInArrow(zipstream.entry_rows, _RECORDS)
 
 
 def zip_entries(
@@ -65,7 +66,10 @@ def zip_lines(
 def entry_runs(spark: SparkSession, mask: str, path: str, recursive: bool = False) -> DataFrame:
     """Directory records dealt to tasks: a partition holds runs, each one stretch of one archive."""
     place = (F.col("start") / setting(spark, TASK_BYTES)).cast("long").alias("run")
-    entries = stage(_records(spark, mask, path, recursive).select("*", place), "zip-entries", gather=True)
+    entries = stage(_records(spark, mask, path, recursive).select("*", place), "zip-entries", gather=True, packed=F.sum("packed_bytes"))
     runs = entries.df.select("archive", "run").distinct().count()
-    # A fixed number of partitions: the rows moved here are tiny, so they must not be coalesced.
-    return entries.df.repartition(max(1, runs), "archive", "run").sortWithinPartitions("archive", "start")
+    # A fixed number of partitions: the rows moved here are tiny, so they must not be coalesced. Small
+    # archives share tasks, as many as their bytes ask for, or as can work at once.
+    asked = -(-(entries.metrics["packed"] or 0) // setting(spark, TASK_BYTES))
+    tasks = max(1, min(runs, max(2 * asked, spark.sparkContext.defaultParallelism)))
+    return entries.df.repartition(tasks, "archive", "run").sortWithinPartitions("archive", "start")

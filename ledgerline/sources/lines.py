@@ -4,18 +4,24 @@ Text files are read by Spark's text source and split at its usual block size, so
 spread over many tasks. Line numbers are worked out from per-split counts: a first pass counts the
 lines of every split, a running sum over those counts (one row per split, not per line) gives each
 split its offset, and a second pass adds the position inside the split. Lines are not shuffled.
+
+What that scan cannot read is read by byte ranges, cut to the same size: files with names it leaves out,
+encodings with several bytes per character, and lines that also end at further Unicode breaks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import EXTRA_BREAKS, text_lines
+from ledgerline.functions.text import text_lines
 from ledgerline.scale import broadcast_if_small, stage
+from ledgerline.sources import rangeread
+from ledgerline.sources.listing import Listing, listing
 
 LINES = "src string, line_no bigint, line string"
 _SCAN = "src string, block bigint, pos bigint, line string"
@@ -46,58 +52,6 @@ def _escaped(path: str) -> str:
     return "".join("\\" + c if c in _GLOB_CHARACTERS else c for c in path)
 
 
-@dataclass(frozen=True)
-class Listing:
-    """Files that match a mask: their paths as Spark writes them, and those of no content.
-
-    ``folder`` and ``name`` are the two parts of the mask, ``folders`` what the first one matches.
-    """
-
-    paths: list[str]
-    empty: list[str]
-    folder: str
-    name: str
-    folders: list[str]
-
-
-def listing(spark: SparkSession, mask: str, path: str, recursive: bool = False) -> Listing:
-    """What a mask matches, from the store's own listing, which a file scan would cut silently.
-
-    A file scan leaves out files without content, so they are told apart here, and files whose names
-    start with ``_`` or ``.``. As in a shell, a name with a dot in front is matched by a mask with one
-    only; any other such name that matches is an error, as it cannot be read.
-    """
-    folder, _, name = source_path(mask, path).rpartition("/")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(folder or "/")
-    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = [f.getPath() for f in store.globStatus(place) or [] if f.isDirectory()]
-    matches = hadoop.GlobFilter(name)
-    paths, empty, hidden = [], [], []
-
-    def take(status) -> None:
-        found, file = status.getPath(), status.getPath().getName()
-        if not matches.accept(found) or (file.startswith(".") and not name.startswith(".")):
-            return
-        if file.startswith(("_", ".")):
-            hidden.append(found.toString())
-        else:
-            (paths if status.getLen() else empty).append(found.toString())
-
-    for f in folders:
-        if recursive:
-            files = store.listFiles(f, True)
-            while files.hasNext():
-                take(files.next())
-        else:
-            for status in store.listStatus(f):
-                if status.isFile():
-                    take(status)
-    if hidden:
-        raise ValueError(f"files that Spark does not read because of their names: {sorted(hidden)}")
-    return Listing(sorted(paths), sorted(empty), folder or "/", name, [f.toString() for f in folders])
-
-
 def split_session(spark: SparkSession) -> SparkSession:
     """A session of our own for scans that are read twice.
 
@@ -122,20 +76,24 @@ def of_session(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame([], df.schema).unionByName(df)
 
 
-def matching_files(reader: DataFrameReader, found: Listing, recursive: bool, source: str) -> DataFrame | None:
-    """The listed files read by ``source``; None if there are none.
+def matching_files(
+    reader: DataFrameReader, found: Listing, mask: str, path: str, recursive: bool, source: str
+) -> DataFrame | None:
+    """The listed files that Spark can scan, read by ``source``; None if there are none.
 
     Without ``recursive`` the files are named one by one, so folders beside them (an output folder,
     say) are neither entered nor taken for partitions.
     """
-    if not found.paths:
+    if not found.plain:
         return None
     files = reader.format(source)
     if recursive:
         # Names are globs here too: a folder name may hold a glob character.
-        every = [_escaped(f) for f in found.folders]
-        return files.option("recursiveFileLookup", True).option("pathGlobFilter", found.name).load(every)
-    return files.load([_escaped(f) for f in found.paths])
+        every = [_escaped(r["path"]) for r in found.folders.collect()]
+        name = source_path(mask, path).rpartition("/")[2]
+        return files.option("recursiveFileLookup", True).option("pathGlobFilter", name).load(every)
+    plain = found.files.filter("bytes > 0 and not odd").select("path").orderBy("path")
+    return files.load([_escaped(r["path"]) for r in plain.collect()])
 
 
 def _decoded_path(path: Column) -> Column:
@@ -145,34 +103,23 @@ def _decoded_path(path: Column) -> Column:
 
 
 def list_files(
-    spark: SparkSession, mask: str, path: str, *, recursive: bool = False
+    spark: SparkSession, mask: str, path: str, *, recursive: bool = False, hidden: bool = False
 ) -> DataFrame:
     """Files that match: ``src``, ``name``, ``bytes``. No match gives no rows. No content is read.
 
     Files without content are listed with 0 bytes.
     """
-    found = listing(spark, mask, path, recursive)
-    none = spark.createDataFrame(
-        [(f, f.rpartition("/")[2], 0) for f in found.empty], "src string, name string, bytes bigint"
-    )
-    files = matching_files(spark.read, found, recursive, "binaryFile")
-    if files is None:
-        return none
-    listed = files.select(
-        _decoded_path(F.col("_metadata.file_path")).alias("src"),
-        _decoded_path(F.col("_metadata.file_name")).alias("name"),
-        F.col("length").alias("bytes"),
-    )
-    return listed.unionByName(none)
+    return listing(spark, mask, path, recursive, hidden).files.select(F.col("path").alias("src"), "name", "bytes")
 
 
 def _decoded(value: Column, encoding: str) -> Column:
     charset = encoding.upper()
-    if charset in ("UTF-8", "UTF8"):
-        return value
-    if charset.startswith(("UTF-16", "UTF-32")):
-        raise ValueError("files are cut at single-byte line ends; convert wide encodings first")
-    return F.decode(value.cast("binary"), charset)
+    return value if charset in ("UTF-8", "UTF8") else F.decode(value.cast("binary"), charset)
+
+
+def _is_wide(encoding: str) -> bool:
+    """Whether characters have several bytes each, so that line ends are no single bytes."""
+    return encoding.upper().replace("_", "-").startswith(("UTF-16", "UTF-32", "UTF16", "UTF32"))
 
 
 def source_name(spark: SparkSession, names: str, folder: str, f: Column, encoded: bool = True) -> Column:
@@ -195,14 +142,14 @@ def source_name(spark: SparkSession, names: str, folder: str, f: Column, encoded
 
 
 def _scan(
-    spark: SparkSession, found: Listing, recursive: bool, encoding: str
+    spark: SparkSession, found: Listing, mask: str, path: str, recursive: bool, encoding: str
 ) -> DataFrame | None:
     """One row per line with its split: ``f``, ``split_start``, ``size``, ``pos``, ``line``.
 
     ``pos`` grows with the line inside one split. It is taken directly on the scan, before any
     filter, so that every pass over the same files sees the same values.
     """
-    text = matching_files(split_session(spark).read, found, recursive, "text")
+    text = matching_files(split_session(spark).read, found, mask, path, recursive, "text")
     if text is None:
         return None
     meta = F.col("_metadata")
@@ -216,10 +163,68 @@ def _scan(
     return of_session(spark, scanned)
 
 
-def empty_sources(spark: SparkSession, found: Listing, path: str, names: str) -> DataFrame:
-    """``src`` of the listed files without content, named like the others."""
-    files = spark.createDataFrame([(f,) for f in found.empty], "f string")
-    return files.select(source_name(spark, names, path, F.col("f"), encoded=False).alias("src"))
+@dataclass(frozen=True)
+class Ranges:
+    """Byte ranges of files: ``src``, ``f``, ``bytes``, ``packed``, ``start``, ``end``, and in how many
+    tasks they are read."""
+
+    df: DataFrame
+    tasks: int
+
+
+def byte_ranges(spark: SparkSession, files: DataFrame, source: Column) -> Ranges:
+    """Files with content cut like splits of a scan. Packed files are one range, as they have no
+    places to begin at."""
+
+    def bytes_of(name: str) -> int:
+        return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+            spark.conf.get(name, _SPLIT_SETTINGS[name])
+        )
+
+    size = max(4, bytes_of("spark.sql.files.maxPartitionBytes") // 4 * 4)  # whole units of any encoding
+    endings = "|".join(e[1:] for e in rangeread.PACKED)
+    packed = F.lower("path").rlike(rf"\.({endings})$")
+    starts = F.when(packed, F.array(F.lit(0).cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(size).cast("long"))
+    )
+    ranges = files.filter("bytes > 0").select(
+        source.alias("src"), F.col("path").alias("f"), "bytes", packed.alias("packed"), F.explode(starts).alias("start")
+    )
+    end = F.when(F.col("packed"), F.col("bytes")).otherwise(F.least(F.col("start") + size, F.col("bytes")))
+    staged = stage(ranges.withColumn("end", end), "line-ranges", gather=True, total=F.sum(end - F.col("start")))
+    cost = (staged.metrics["total"] or 0) + staged.rows * bytes_of("spark.sql.files.openCostInBytes")
+    tasks = max(-(-cost // size), spark.sparkContext.defaultParallelism)
+    return Ranges(staged.df, max(1, min(staged.rows, tasks)))
+
+
+def _range_lines(ranges: Ranges, encoding: str, wide: bool, numbered: bool = False) -> DataFrame:
+    """Lines of the ranges, each task reading its part of them; only the ranges are moved."""
+    columns = "src string, block bigint, pos bigint, line string"
+    columns += ", line_no bigint, src_lines bigint" * numbered
+    rows = partial(rangeread.line_rows, encoding=encoding, wide=wide, numbered=numbered)
+    return ranges.df.repartition(ranges.tasks).mapInArrow(rows, columns)
+
+
+def _number_ranges(ranges: Ranges, encoding: str, wide: bool) -> NumberedLines:
+    """Numbered lines of the ranges: one pass counts the lines of every range, a running sum over the
+    ranges of a file gives offsets, which the reading tasks add."""
+    schema = "src string, f string, bytes bigint, packed boolean, start bigint, end bigint, n bigint"
+    rows = partial(rangeread.count_rows, encoding=encoding, wide=wide)
+    counted = ranges.df.repartition(ranges.tasks).mapInArrow(rows, schema)
+    file = Window.partitionBy("f")
+    before = file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    placed = stage(
+        counted.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn(
+            "src_lines", F.sum("n").over(file)
+        ),
+        "range-counts",
+        gather=True,
+    )
+    sized = _range_lines(Ranges(placed.df, ranges.tasks), encoding, wide, numbered=True).select(
+        "src", "line_no", "line", "src_lines", "block"
+    )
+    counts = placed.df.groupBy("src", "f").agg(F.sum("n").alias("lines")).select("src", "lines")
+    return NumberedLines(sized.drop("src_lines", "block"), counts, sized)
 
 
 def read_lines(
@@ -230,17 +235,26 @@ def read_lines(
     recursive: bool = False,
     encoding: str = "UTF-8",
     names: str = "path",
+    hidden: bool = False,
 ) -> DataFrame:
     """Lines of all matching files without ordinals: ``src``, ``block``, ``pos``, ``line``.
 
-    One pass and no shuffle, for work that looks at each line alone. ``block`` (start byte of the
-    split) and then ``pos`` give the order within a source.
+    One pass and no shuffle of lines, for work that looks at each line alone. ``block`` (start byte of
+    the split) and then ``pos`` give the order within a source. Spark's text scan reads what it can;
+    names it leaves out and wide encodings are read by byte ranges.
     """
     source = source_name(spark, names, path, F.col("f"))
-    scanned = _scan(spark, listing(spark, mask, path, recursive), recursive, encoding)
-    if scanned is None:
-        return spark.createDataFrame([], _SCAN)
-    return scanned.select(source.alias("src"), F.col("split_start").alias("block"), "pos", "line")
+    by_range = source_name(spark, names, path, F.col("path"), encoded=False)
+    found = listing(spark, mask, path, recursive, hidden)
+    wide = _is_wide(encoding)
+    scanned = None if wide else _scan(spark, found, mask, path, recursive, encoding)
+    parts = []
+    if scanned is not None:
+        parts.append(scanned.select(source.alias("src"), F.col("split_start").alias("block"), "pos", "line"))
+    if found.odd or (wide and found.plain):
+        files = found.files if wide else found.files.filter("odd")
+        parts.append(_range_lines(byte_ranges(spark, files, by_range), encoding, False))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], _SCAN)
 
 
 @dataclass(frozen=True)
@@ -266,6 +280,7 @@ def read_numbered_lines(
     encoding: str = "UTF-8",
     names: str = "path",
     unicode_breaks: bool = False,
+    hidden: bool = False,
 ) -> DataFrame:
     """Lines of all matching files with ordinals: ``src``, ``line_no``, ``line``.
 
@@ -273,7 +288,7 @@ def read_numbered_lines(
     folder; it is broadcast when small, else joined on the split, whose lines are bounded by the
     split size. Both passes cut the files alike, whatever happens to the caller's settings in between,
     and read what the files held when they were listed. ``unicode_breaks`` also breaks lines at vertical tab, form feed,
-    U+001C to U+001E, U+0085, U+2028 and U+2029.
+    U+001C to U+001E, U+0085, U+2028 and U+2029; such files are read by byte ranges.
     """
     return read_counted_lines(
         spark,
@@ -283,6 +298,7 @@ def read_numbered_lines(
         encoding=encoding,
         names=names,
         unicode_breaks=unicode_breaks,
+        hidden=hidden,
     ).lines
 
 
@@ -295,17 +311,24 @@ def read_counted_lines(
     encoding: str = "UTF-8",
     names: str = "path",
     unicode_breaks: bool = False,
+    hidden: bool = False,
 ) -> NumberedLines:
     """``read_numbered_lines`` together with the line counts, which cost no further pass."""
     source = source_name(spark, names, path, F.col("f"))
-    found = listing(spark, mask, path, recursive)
-    none = empty_sources(spark, found, path, names).withColumn("lines", F.lit(0).cast("long"))
-    scanned = _scan(spark, found, recursive, encoding)
-    if scanned is None:
+    by_range = source_name(spark, names, path, F.col("path"), encoded=False)
+    found = listing(spark, mask, path, recursive, hidden)
+    empty = found.files.filter("bytes = 0").select(by_range.alias("src"), F.lit(0).cast("long").alias("lines"))
+    ranged = unicode_breaks or _is_wide(encoding)
+    scanned = None if ranged else _scan(spark, found, mask, path, recursive, encoding)
+    parts = [] if scanned is None else [number_scanned(scanned, {"src": source}, ["f"], ["split_start"])]
+    if found.odd or (ranged and found.plain):
+        files = found.files if ranged else found.files.filter("odd")
+        parts.append(_number_ranges(byte_ranges(spark, files, by_range), encoding, unicode_breaks))
+    if not parts:
         sized = spark.createDataFrame([], f"{LINES}, src_lines bigint, block bigint")
-        return NumberedLines(sized.drop("src_lines", "block"), none, sized)
-    read = number_scanned(scanned, {"src": source}, ["f"], ["split_start"], unicode_breaks)
-    return replace(read, counts=read.counts.unionByName(none)) if found.empty else read
+        return NumberedLines(sized.drop("src_lines", "block"), empty, sized)
+    lines, sized = (reduce(DataFrame.unionByName, [getattr(p, n) for p in parts]) for n in ("lines", "sized"))
+    return NumberedLines(lines, reduce(DataFrame.unionByName, [*[p.counts for p in parts], empty]), sized)
 
 
 def number_scanned(
@@ -313,7 +336,6 @@ def number_scanned(
     names: Mapping[str, Column],
     within: Sequence[str],
     order: Sequence[str],
-    unicode_breaks: bool = False,
 ) -> NumberedLines:
     """Number the lines of a scan ``within`` some columns, its splits taken in ``order``.
 
@@ -324,30 +346,27 @@ def number_scanned(
     per_split = [c for c in scanned.columns if c not in ("pos", "line")]
     named = [column.alias(name) for name, column in names.items()]
     split_key = F.xxhash64("f", "split_start", "size").alias("split_key")
-    pieces = F.size(F.split("line", EXTRA_BREAKS, -1)) if unicode_breaks else F.lit(1)
     source = Window.partitionBy(*within)
     before = source.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     splits = stage(
         scanned.groupBy(*per_split)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(pieces.cast("long")).alias("out"),
             F.min("pos").alias("first_pos"),
         )
         .select(
             *named,
             split_key,
             "n",
-            "out",
             "first_pos",
-            F.coalesce(F.sum("out").over(before), F.lit(0)).cast("long").alias("offset"),
-            F.sum("out").over(source).alias("src_lines"),
+            F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("offset"),
+            F.sum("n").over(source).alias("src_lines"),
         ),
         "line-counts",
     )
     if splits.df.groupBy("split_key").count().filter("count > 1").take(1):
         raise ValueError("two file splits share one key")
-    counts = splits.df.groupBy(*names).agg(F.sum("out").alias("lines"))
+    counts = splits.df.groupBy(*names).agg(F.sum("n").alias("lines"))
     placed = splits.narrowed("split_key", "n", "first_pos", "offset", "src_lines")
     keyed = scanned.select(*named, split_key, "split_start", "pos", "line")
     joined = keyed.join(broadcast_if_small(placed), "split_key", "left")
@@ -355,25 +374,8 @@ def number_scanned(
     sound = (inside >= 0) & (inside < F.col("n"))
     changed = F.raise_error(F.lit("the files were cut differently in two passes")).cast("long")
     extra = ["src_lines", F.col("split_start").alias("block")]
-    if unicode_breaks:
-        # A running sum inside one split; the split size bounds the group.
-        earlier = (
-            Window.partitionBy("split_key")
-            .orderBy("pos")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        cut = joined.withColumn("parts", F.split("line", EXTRA_BREAKS, -1)).withColumn(
-            "ahead", F.coalesce(F.sum(F.size("parts")).over(earlier), F.lit(0))
-        )
-        first = F.when(sound, F.col("offset") + F.col("ahead") + 1).otherwise(changed)
-        spread = cut.withColumn("first_no", first).select(
-            *names, "first_no", "src_lines", "split_start", F.posexplode("parts").alias("at", "line")
-        )
-        number = F.col("first_no") + F.col("at")
-        sized = spread.select(*names, number.alias("line_no"), "line", *extra)
-    else:
-        number = F.when(sound, F.col("offset") + inside + 1).otherwise(changed)
-        sized = joined.select(*names, number.alias("line_no"), "line", *extra)
+    number = F.when(sound, F.col("offset") + inside + 1).otherwise(changed)
+    sized = joined.select(*names, number.alias("line_no"), "line", *extra)
     return NumberedLines(sized.drop("src_lines", "block"), counts, sized)
 
 

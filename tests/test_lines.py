@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,12 +97,17 @@ def test_files_without_content_and_hidden_names(spark, tmp_path):
     assert {r["src"]: r["lines"] for r in counts.collect()} == {"a.txt": 2, "empty.txt": 0}
     names = read_counted_lines(spark, "*.txt", str(tmp_path), names="path").counts
     assert len({r["src"].rpartition("/")[0] for r in names.collect()}) == 1
-    with pytest.raises(ValueError, match="hidden"):
-        list_files(spark, ".*", str(tmp_path))
     write(tmp_path, _feed="u")
-    with pytest.raises(ValueError, match="_feed"):
-        read_lines(spark, "*.txt", str(tmp_path))
+    assert sorted(r["src"] for r in read_lines(spark, "*.txt", str(tmp_path), names="name").collect()) == [
+        "_feed.txt", "a.txt", "a.txt",
+    ]
     assert read_lines(spark, "a*", str(tmp_path)).count() == 2
+    assert numbered(read_numbered_lines(spark, ".*", str(tmp_path), names="name")) == [(".hidden.txt", 1, "h")]
+    every = read_counted_lines(spark, "*", str(tmp_path), names="name", hidden=True)
+    assert {r["src"]: r["lines"] for r in every.counts.collect()} == {
+        ".hidden.txt": 1, "_feed.txt": 1, "a.txt": 2, "empty.txt": 0,
+    }
+    assert len(numbered(every.lines)) == 4
     only = tmp_path / "only"
     only.mkdir()
     write(only, empty="")
@@ -157,8 +163,72 @@ def test_encoding(spark, tmp_path):
     write(tmp_path, a="é\nü".encode("latin-1"))
     frame = read_numbered_lines(spark, "*.txt", str(tmp_path), encoding="ISO-8859-1")
     assert [r[2] for r in numbered(frame)] == ["é", "ü"]
-    with pytest.raises(ValueError):
-        read_lines(spark, "*.txt", str(tmp_path), encoding="utf-16")
+
+
+@pytest.mark.parametrize("split_bytes", [64, 128 << 20])
+@pytest.mark.parametrize("encoding", ["utf-16", "utf-16-le", "utf-16-be", "utf-32", "UTF-32BE"])
+def test_wide_encodings(spark, settings, tmp_path, split_bytes, encoding):
+    settings("spark.sql.files.maxPartitionBytes", split_bytes)
+    settings("spark.sql.files.openCostInBytes", 1)
+    made = {"a": "é\nü\r\n\n日本\r𝄞 x\u0a0a\u0d0d\n", "b": "\n".join(str(i) * (i % 30) for i in range(200)), "c": "\n"}
+    write(tmp_path, **{n: t.encode(encoding) for n, t in made.items()})
+    frame = read_numbered_lines(spark, "*.txt", str(tmp_path), encoding=encoding, names="name")
+    wanted = [(f"{n}.txt", i, v) for n, t in made.items() for i, v in enumerate(re.split("\r\n|\n|\r", t.removesuffix("\n")), 1)]
+    assert numbered(frame) == sorted(wanted)
+    lines = read_lines(spark, "*.txt", str(tmp_path), encoding=encoding, names="name")
+    assert sorted((r["src"], r["line"]) for r in lines.collect()) == sorted((n, v) for n, _, v in wanted)
+
+
+@pytest.mark.parametrize("split_bytes", [4, 36, 1000])
+def test_byte_ranges_share_and_lose_no_line(spark, settings, tmp_path, split_bytes):
+    """Every kind of line end at every place of a range, lines longer than ranges, and no end at the end."""
+    settings("spark.sql.files.maxPartitionBytes", split_bytes)
+    settings("spark.sql.files.openCostInBytes", 1)
+    rng = random.Random(split_bytes)
+    ends = ["\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x85", "\u2028", "\u2029", "\r\r\n"]
+    texts = {}
+    for i in range(12):
+        size = 40 if split_bytes == 4 else 150
+        text = "".join("x€é"[rng.randrange(3)] * rng.choice([0, 1, 2, 9, 60]) + rng.choice(ends) for _ in range(rng.randint(1, size // 3)))
+        texts[f"f{i}"] = text + rng.choice(["", "last", "\x0b", "\r"])
+    texts["g"] = "abc\x0b"
+    write(tmp_path, **texts)
+    frame = read_numbered_lines(spark, "*.txt", str(tmp_path), names="name", unicode_breaks=True)
+    wanted = [(f"{n}.txt", i, v) for n, t in texts.items() for i, v in enumerate(t.splitlines(), 1)]
+    assert numbered(frame) == sorted(wanted)
+    counts = read_counted_lines(spark, "*.txt", str(tmp_path), names="name", unicode_breaks=True)
+    assert {r["src"]: r["lines"] for r in counts.counts.collect()} == {f"{n}.txt": len(t.splitlines()) for n, t in texts.items()}
+
+
+def test_hidden_folders_are_listed_and_read(spark, tmp_path):
+    for sub in ("_x", ".x", "y", "y/_z"):
+        os.makedirs(tmp_path / sub, exist_ok=True)
+        write(tmp_path / sub, a=f"in {sub}\n")
+    for options in ({}, {"names": "relative"}):
+        lines = read_lines(spark, "*.txt", str(tmp_path), recursive=True, **options)
+        assert sorted(r["line"] for r in lines.collect()) == ["in .x", "in _x", "in y", "in y/_z"]
+    assert list_files(spark, "*.txt", str(tmp_path), recursive=True).count() == 4
+    found = read_counted_lines(spark, "*/*.txt", str(tmp_path), names="relative")
+    assert sorted((r["src"].split("/")[-2], r["lines"]) for r in found.counts.collect()) == [("_x", 1), ("y", 1)]
+    sizes = list_files(spark, "*/*.txt", str(tmp_path), hidden=True).collect()
+    assert sorted(r["bytes"] for r in sizes) == [5, 6, 6]
+
+
+def test_packed_and_marked_files_by_ranges(spark, settings, tmp_path):
+    import bz2
+    import gzip
+
+    settings("spark.sql.files.maxPartitionBytes", 16)
+    text = "\n".join(f"{i}\x0b" for i in range(300))
+    (tmp_path / "a.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "b.bz2").write_bytes(bz2.compress(text.encode()))
+    (tmp_path / "_c.txt").write_bytes(b"\xef\xbb\xbffirst\nbad \xff byte")
+    wide = read_numbered_lines(spark, "?.*2", str(tmp_path), names="name", unicode_breaks=True)
+    packed = read_numbered_lines(spark, "*.gz", str(tmp_path), names="name", unicode_breaks=True)
+    for name, frame in (("b.bz2", wide), ("a.gz", packed)):
+        assert numbered(frame) == sorted((name, i, v) for i, v in enumerate(text.splitlines(), 1))
+    odd = read_numbered_lines(spark, "_*", str(tmp_path), names="name").selectExpr("line_no", "hex(line) h").collect()
+    assert sorted((r[0], bytes.fromhex(r[1])) for r in odd) == [(1, b"first"), (2, b"bad \xff byte")]
 
 
 def test_masks_and_paths(spark, tmp_path):
