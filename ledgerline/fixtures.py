@@ -7,6 +7,7 @@ feeds, chained and repeated map entries, zero and null balances, archives of tex
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -105,20 +106,73 @@ def delimited_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_files(spark: SparkSession, sf_dir: str) -> str:
-    """A text file per nation, without content for every fifth one; returns the folder."""
-    folder = new_shared_path(spark, "nations")
-    key = F.col("n_nationkey")
-    text = F.when(key % 5 == 0, "").otherwise(
-        F.concat_ws("\n", "n_name", key.cast("string"), F.repeat(F.lit("x\n"), (key % 4).cast("int")))
-    )
-    rows = table(spark, sf_dir, "nation").select(
-        F.concat(F.lit(f"{folder}/"), "n_name", F.lit(".txt")).alias("file"), text.alias("text")
-    )
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """Text files of ten documents each, and one without content for every fourth of them.
+
+    Names are ``<number>.txt`` and ``_<number>.txt`` in turn, ``.<number>.txt`` for the empty ones.
+    """
+    folder = new_shared_path(spark, "documents")
+    number = F.expr("doc_id div 10")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda d: d["text"])
+    full = table(spark, sf_dir, "documents").groupBy(number.alias("k")).agg(F.array_join(texts, "\n").alias("text"))
+    name = F.concat(F.when(F.col("k") % 2 == 1, "_").otherwise(""), F.col("k").cast("string"))
+    empty = full.filter("k % 4 = 0").select(F.concat(F.lit("."), F.col("k").cast("string")).alias("name"), F.lit("").alias("text"))
+    rows = full.select(name.alias("name"), "text").unionByName(empty)
+    rows = rows.select(F.concat(F.lit(f"{folder}/"), "name", F.lit(".txt")).alias("file"), "text")
     stage(rows.mapInArrow(zippack.write_rows, "file string"), "written")
     return folder
 
 
+def wide_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The feed in UTF-16, one file per source, each written by a task from its lines in order."""
+    folder = new_shared_path(spark, "wide-feed")
+    lines = feed_lines(spark, sf_dir)
+    rows = lines.select(F.concat(F.lit(f"{folder}/"), "src", F.lit(".txt")).alias("file"), "line_no", "line")
+    ordered = rows.repartition("file").sortWithinPartitions("file", "line_no").select("file", "line")
+    stage(ordered.mapInArrow(partial(zippack.write_lines, encoding="utf-16-le"), "file string"), "written")
+    return folder
+
+
+def code_patterns(spark: SparkSession, sf_dir: str, plain: bool = False) -> DataFrame:
+    """Table of codes for the feed with long codes: some of each customer block, some of none.
+
+    Patterns begin with five letters of the segment, or are in parentheses; plain texts are parts of codes.
+    """
+    people = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    segment, nation = F.col("c_mktsegment"), F.col("n_name")
+    if plain:
+        codes = F.array(F.concat(segment, F.lit("-"), nation), F.col("c_name"))
+    else:
+        open_end = F.concat(F.substring(segment, 1, 5), F.lit(".*-"), nation)
+        codes = F.array(open_end, F.concat(F.lit("("), segment, F.lit(")-"), nation), F.concat(F.lit("No.+"), "c_name"))
+    return people.select(F.explode(codes).alias("code"))
+
+
+def layout_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mask layouts: a delimited one per order status, then a fixed one per market segment for all others."""
+    statuses = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("s")).distinct()
+    ranges = F.array(F.struct(F.lit(9).alias("first"), F.lit(16).alias("last")), F.struct(F.lit(7).alias("first"), F.lit(11).alias("last")))
+    columns = F.array(*[F.lit(i) for i in (8, 5, 6, 7)])
+    text, numbers = F.lit(None).cast("string"), F.lit(None).cast("array<int>")
+    delimited = statuses.select(
+        F.ascii("s").cast("long").alias("seq"), F.concat(F.lit("^"), "s", F.lit("$")).alias("src_pattern"),
+        F.lit("d").alias("kind"), F.lit(None).cast(ranges_type()).alias("ranges"), F.lit("|").alias("delimiter"),
+        columns.alias("columns"), F.lit("D1").alias("row_prefix"),
+    )
+    segments = table(spark, sf_dir, "customer").select(F.length("c_mktsegment").alias("n")).distinct()
+    fixed = segments.select(
+        (F.lit(1000) + F.col("n")).cast("long").alias("seq"), F.lit("^.").alias("src_pattern"), F.lit("F").alias("kind"),
+        ranges.cast(ranges_type()).alias("ranges"), text.alias("delimiter"), numbers.alias("columns"), text.alias("row_prefix"),
+    )
+    return fixed.unionByName(delimited)
+
+
+def ranges_type() -> str:
+    return "array<struct<first: int, last: int>>"
+
+
 def text_ids(frame: DataFrame, salt: int, columns: tuple[str, ...] | None = None) -> DataFrame:
     """The frame with its id columns as texts whose case depends on the number and ``salt``."""
     for c in columns or [c for c in frame.columns if c.endswith("GUID")]:

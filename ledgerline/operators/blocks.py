@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import collapse_whitespace, contains_code
 from ledgerline.operators.ranges import BUCKET_LINES, bucketed_ranges, join_ranges
-from ledgerline.scale import Staged, part_of, skew_join, stage
+from ledgerline.scale import Staged, is_small, part_of, skew_join, stage
 
 # Line tags, the pattern of the detail rows to keep, the provider name, the 0-based
 # slices (end excluded) of a detail row, and the output columns.
@@ -55,6 +55,85 @@ def _codes(line: Column, kind: str, codes, match: str, field: Field) -> Column:
     return F.array_compact(F.array(*tests))
 
 
+# Length of the pieces of codes by which lines are looked up, and patterns tried on a line at a time.
+GRAM = 3
+PATTERNS_PER_BLOCK = 64
+
+# What a pattern without certain plain text has, and the parts of others that are not certain.
+_NO_PLAIN_TEXT = r"[|()\[\]{}^$]|\\[A-Za-z0-9]"
+_REPEATED = r"(\\[^A-Za-z0-9]|[^\\])[*+?]+"
+_CUT = "\x01"
+_ESCAPED = r"\\[^A-Za-z0-9]"
+
+
+def _plain_runs(code: Column, match: str) -> Column:
+    """Pieces of plain text that every line with the code holds; none if that cannot be told."""
+    if match == "literal":
+        return F.filter(F.array(code), lambda r: r != "")
+    runs = F.regexp_replace(F.regexp_replace(code, _REPEATED, _CUT), _ESCAPED, _CUT)
+    runs = F.filter(F.split(F.translate(runs, ".", _CUT), _CUT, -1), lambda r: r != "")
+    return F.when(code.rlike(_NO_PLAIN_TEXT), F.array().cast("array<string>")).otherwise(runs)
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """All pieces of ``size`` characters of a text."""
+    last = F.length(text) - size + 1
+    pieces = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, size))
+    return F.when(last >= 1, pieces).otherwise(F.array().cast("array<string>"))
+
+
+def _lines_of_codes(lines: DataFrame, codes: Staged, match: str) -> DataFrame:
+    """Header and trailer lines of a table of codes that are patterns or plain text.
+
+    A code is known by its rarest piece of ``GRAM`` characters (fewer, if it has none so long) among the
+    pieces of all header and trailer lines, and meets only lines with that piece, by an equi-join; hits
+    are verified. A code with a piece that no line holds meets none. Patterns without certain plain text
+    are tried in blocks on every header and trailer line.
+    """
+    line, code = F.col("line"), F.col("code")
+    tag = F.substring("line", 1, len(HEADER)).alias("kind")
+    tagged = lines.filter(line.startswith(HEADER) | line.startswith(TRAILER)).select("src", "line_no", tag, "line")
+    tagged = stage(tagged, "tagged-lines", gather=True).df
+    body = F.substring(line, len(HEADER) + 1, F.length(line))
+    found = F.contains(body, code) if match == "literal" else _has_code(code)
+
+    named = codes.df.select("code", _plain_runs(code, match).alias("runs"))
+    longest = F.array_max(F.transform("runs", lambda r: F.length(r)))
+    sized = named.withColumn("size", F.least(F.coalesce(longest, F.lit(0)), F.lit(GRAM)))
+    pieces = F.array_distinct(F.flatten(F.transform("runs", lambda r: _grams(r, F.col("size")))))
+    keys = stage(
+        sized.filter("size > 0").select("code", "size", F.explode(pieces).alias("gram")),
+        "code-grams",
+        sizes=F.expr("bit_or(shiftleft(1, size))"),
+    )
+    out = tagged.select("src", "line_no", "kind", F.lit(None).cast("string").alias("code")).limit(0)
+    if keys.rows:
+        sizes = F.array(*[F.lit(n) for n in range(1, GRAM + 1) if keys.metrics["sizes"] >> n & 1])
+        every = F.array_distinct(F.flatten(F.transform(sizes, lambda n: _grams(body, n))))
+        held = tagged.withColumn("gram", F.explode(every))
+        counts = stage(held.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "line-grams")
+        known = skew_join(keys.df, counts, ["gram"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        rarest = known.groupBy("code").agg(F.min(F.struct("n", "gram")).alias("best")).filter("best.n > 0")
+        rarest = stage(rarest.select("code", F.col("best.gram").alias("gram")), "code-keys")
+        hits = skew_join(held, rarest, ["gram"], "inner").filter(found)
+        out = out.unionByName(hits.select("src", "line_no", "kind", "code"))
+    others = stage(sized.filter("size = 0").select("code"), "codes-without-grams")
+    if others.rows:
+        n = -(-others.rows // PATTERNS_PER_BLOCK)
+        blocks = others.df.groupBy(F.pmod(F.xxhash64("code"), F.lit(n)).alias("block")).agg(F.collect_list("code").alias("codes"))
+        spread = tagged.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+        blocks = F.broadcast(blocks) if is_small(others) else blocks
+        test = (lambda c: F.contains(body, c)) if match == "literal" else _has_code
+        tried = spread.join(blocks, "block").withColumn("code", F.explode(F.filter("codes", test)))
+        out = out.unionByName(tried.select("src", "line_no", "kind", "code"))
+    return out
+
+
+def _has_code(code: Column) -> Column:
+    # As in ``contains_code``, with the code as a column.
+    return F.rlike(F.col("line"), F.concat(F.lit("(?d)^"), F.col("kind"), F.lit(".*"), code))
+
+
 def boundary_lines(
     lines: DataFrame,
     codes: Codes,
@@ -65,15 +144,19 @@ def boundary_lines(
 
     ``match``: ``regex`` takes a code as a pattern anywhere after the tag, so AB also hits ABC;
     ``literal`` as plain text; ``field`` compares the whole code field, (0-based start, length), which
-    the caller gives. With it the codes may also be a table with a column ``code``, of any size, or
-    None for all customers. A code that is longer than the field is an error, as it never matches.
+    the caller gives. With it the codes may also be None for all customers; a code that is longer than
+    the field is an error, as it never matches. Codes may be a table with a column ``code``, of any size,
+    repeated and null ones counting once and not at all.
     """
     if match == "field" and field is None:
         raise ValueError("match='field' needs the place of the code field")
     if isinstance(codes, DataFrame):
+        if match not in ("field", "regex", "literal"):
+            raise ValueError(f"unknown match mode: {match}")
+        distinct = codes.select(F.col("code").cast("string").alias("code")).filter("code is not null").distinct()
+        wanted = stage(distinct, "codes", longest=F.max(F.length("code")))
         if match != "field":
-            raise ValueError("a table of codes needs match='field'")
-        wanted = stage(codes.select("code").distinct(), "codes", longest=F.max(F.length("code")))
+            return _lines_of_codes(lines, wanted, match)
         if (wanted.metrics["longest"] or 0) > field[1]:
             raise ValueError(f"a code is longer than the field of {field[1]} characters")
         everyone = boundary_lines(lines, None, match, field)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.scale import Staged, skew_join, stage
+from ledgerline.scale import BROADCAST_BYTES, Staged, setting, skew_join, stage
 
 # Entries per group when looking for the next entry; also bounds the group of one hot id.
 ROWS_PER_BUCKET = 1 << 20
@@ -115,43 +115,56 @@ def _next_entries(entries: Staged, rows_per_bucket: int) -> DataFrame:
     return resolved.unionByName(ended)
 
 
-def _halves(links: DataFrame, name: str) -> tuple[Staged, Staged]:
-    """Links that lead on, and links that have arrived, each staged once."""
-    links = stage(links, name)
-    shape = links.df.select("seq", "next_seq", "final_id")
-    return stage(shape.filter("next_seq is not null"), name), stage(
-        shape.filter("next_seq is null"), name
-    )
+def _open(links: Staged) -> Staged:
+    """The links of a staged table that lead on."""
+    waiting = links.df.filter("next_seq is not null")
+    return Staged(waiting, links.metrics["open"], links.bytes, links.metrics)
+
+
+def _links(df: DataFrame, name: str) -> Staged:
+    shape = df.select("seq", "next_seq", "final_id")
+    return stage(shape, name, open=F.count_if(F.col("next_seq").isNotNull()))
 
 
-def _double(waiting: Staged, done: list[DataFrame]) -> tuple[Staged, Staged]:
-    """Let every pointer skip to where the entry it points at points; only open entries move."""
-    every = reduce(DataFrame.unionByName, [waiting.df, *done])
-    targets = every.select(
+def _double(links: list[Staged], small: bool) -> Staged:
+    """Let every open pointer skip to where the entry it points at points; only open entries move.
+
+    The last of ``links`` holds the open ones; what has arrived lies in it and in those before. All of
+    them together are no more than the map, so if that is small they are broadcast, and a round is one
+    write.
+    """
+    waiting = _open(links[-1])
+    arrived = [part.df.filter("next_seq is null") for part in links]
+    targets = reduce(DataFrame.unionByName, [waiting.df, *arrived]).select(
         F.col("seq").alias("next_seq"),
         F.col("next_seq").alias("__next"),
         F.col("final_id").alias("__final"),
     )
-    # A target is asked for by few links; those that nothing waits for stay out of the join.
-    wanted = stage(waiting.df.select("next_seq").distinct(), "id-wanted", gather=True)
-    found = stage(skew_join(targets, wanted, ["next_seq"], "left_semi"), "id-targets")
-    moved = skew_join(waiting.df, found, ["next_seq"], "inner").select(
-        "seq", F.col("__next").alias("next_seq"), F.col("__final").alias("final_id")
+    if small:
+        moved = waiting.df.join(F.broadcast(targets), "next_seq")
+    else:
+        # A target is asked for by few links; those that nothing waits for stay out of the join.
+        wanted = stage(waiting.df.select("next_seq").distinct(), "id-wanted", gather=True)
+        found = stage(skew_join(targets, wanted, ["next_seq"], "left_semi"), "id-targets")
+        moved = skew_join(waiting.df, found, ["next_seq"], "inner")
+    return _links(
+        moved.select("seq", F.col("__next").alias("next_seq"), F.col("__final").alias("final_id")), "id-chains"
     )
-    return _halves(moved, "id-chains")
 
 
 def resolve_entries(entries: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> Staged:
     """Staged map ``old_id`` to ``final_id``, one row per old id; the final id may be null.
 
-    Every round stages the entries that are still open; those that have arrived are kept as they are.
+    Every round stages the entries that were still open, once; those that have arrived are kept as they
+    are.
     """
-    waiting, arrived = _halves(_next_entries(entries, rows_per_bucket), "id-links")
-    done = [arrived.df]
-    while waiting.rows:
-        waiting, arrived = _double(waiting, done)
-        done.append(arrived.df)
-    nodes = reduce(DataFrame.unionByName, done)
+    links = [_links(_next_entries(entries, rows_per_bucket), "id-links")]
+    # The pointers of an entry take no more room than the entry and one number.
+    spark = entries.df.sparkSession
+    small = entries.bytes + 16 * entries.rows <= setting(spark, BROADCAST_BYTES)
+    while links[-1].metrics["open"]:
+        links.append(_double(links, small))
+    nodes = reduce(DataFrame.unionByName, [part.df.filter("next_seq is null") for part in links])
     # The first entry of an old id decides. A hot old id is combined map-side.
     firsts = (
         entries.df.filter("old_id is not null")

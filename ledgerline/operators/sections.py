@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.ranges import BUCKET_LINES, bucketed_ranges, join_ranges
 
+# The names of the sections.
+SECTIONS = ("header", "data", "trailer")
+
 
 def _sizes(header: int, trailer: int) -> tuple[int, int]:
     header, trailer = int(header), abs(int(trailer))

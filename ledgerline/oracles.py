@@ -51,6 +51,23 @@ docs as (select src, doc_id, lang, cast(unnest(range(1, len(parts) + 1)) as bigi
 """
 
 
+def _files(breaks: str) -> str:
+    """Files of ten documents each, some empty ones, and their lines."""
+    return rf"""
+f0 as (select doc_id // 10 k, coalesce(string_agg(text, chr(10) order by doc_id), '') body from documents group by 1),
+f1 as (select concat(case when k % 2 = 1 then '_' else '' end, k, '.txt') src, body from f0
+       union all select concat('.', k, '.txt'), '' from f0 where k % 4 = 0),
+f2 as (select src, body, string_split_regex(body, '{breaks}') parts from f1),
+f3 as (select src, body, case when parts[len(parts)] = '' then parts[1:len(parts) - 1] else parts end parts from f2),
+flines as (select src, cast(unnest(range(1, len(parts) + 1)) as bigint) line_no, unnest(parts) line from f3)
+"""
+
+
+_FILES = _files(r"\r\n|\n|\r")
+_WIDE_FILES = _files(r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]")
+_MARK = "cast(concat('0x', substr(md5(concat(line_no, '|', line)), 1, 8)) as bigint)"
+
+
 def _fixed(line: str, ranges) -> str:
     parts, at = [], 0
     for start, end in ranges:
@@ -137,6 +154,11 @@ _MATCH_COLUMNS = f"""v match_value,
  {_UTF16.format("substr(line, 1, strpos(line, v) - 1)")} match_index,
  {_UTF16.format("v")} match_length"""
 
+_LONG_BLOCKS = """with n as (select n_name src, c_mktsegment seg, count(*) filter (where c_custkey % 9 > 0) n
+    from customer join nation on n_nationkey = c_nationkey group by all),
+c as (select src, seg, case when n = 0 then 'no_detail' else 'ok' end status, cast(n as bigint) records from n),
+hit as (select c.src, c.seg, c.status, c.records, d.src nation from c join c d on c.seg = d.seg and starts_with(c.src, d.src))"""
+
 _REPORT = """
 days as (select cast(timestamp '2001-07-21' + i * interval 1 day as date) on_day from range(7) t(i)
          where isodow(timestamp '2001-07-21' + i * interval 1 day) < 6),
@@ -244,12 +266,30 @@ SQL = {
           group by all)
         select src, code, case when n = 0 then 'no_detail' else 'ok' end status, cast(n as bigint) records from c""",
     "split_sections_negative": f"with {_FEED}, {_sections('feed', 2, 1)} select * from sections",
-    "empty_sources": """with f as (select concat(n_name, '.txt') src, n_nationkey k,
-          case when n_nationkey % 5 = 0 then '' else concat(n_name, chr(10), n_nationkey, chr(10),
-            repeat(concat('x', chr(10)), n_nationkey % 4)) end body from nation),
-        n as (select src, strlen(body) b, case when k % 5 = 0 then 0 else 2 + k % 4 end n from f)
-        select src, cast(b as bigint) "bytes", cast(n as bigint) "lines", cast(least(n, 1) as bigint) header,
-          cast(greatest(n - 2, 0) as bigint) "data", cast(least(n, 1) as bigint) trailer from n""",
+    "empty_sources": f"""with {_FILES} select src, cast(strlen(body) as bigint) "bytes", cast(len(parts) as bigint) "lines",
+          cast(least(len(parts), 1) as bigint) header, cast(greatest(len(parts) - 2, 0) as bigint) "data",
+          cast(least(len(parts), 1) as bigint) trailer from f3""",
+    "masked_copies_named": f"""with {_FILES}, m as (select src, line_no, {_FIXED} line from flines),
+        s as (select src, count(*) n, sum(strlen(line)) b, sum({_MARK}) marks from m group by src)
+        select concat('m_', src) src, cast(coalesce(b + n - case when body[-1] in (chr(10), chr(13)) then 0 else 1 end, 0)
+          as bigint) "bytes", cast(coalesce(n, 0) as bigint) "lines", cast(coalesce(marks, 0) as bigint) marks
+        from f3 left join s using (src)""",
+    "section_files_named": f"""with {_FILES}, {_sections('flines', 2, 1)},
+        every as (select src, unnest(['header', 'data', 'trailer']) section from f3),
+        p as (select src, section, list(line order by line_no) parts from sections group by all),
+        q as (select src, section, parts, case when parts[len(parts)] = '' then parts[1:len(parts) - 1] else parts end kept from p),
+        l as (select src, section, cast(unnest(range(1, len(kept) + 1)) as bigint) line_no, unnest(kept) line from q),
+        s as (select src, section, count(*) n, sum({_MARK}) marks from l group by all)
+        select concat(src, '.', section, '.txt') src, cast(coalesce(strlen(array_to_string(parts, chr(10))), 0) as bigint) "bytes",
+          cast(coalesce(n, 0) as bigint) "lines", cast(coalesce(marks, 0) as bigint) marks
+        from every left join q using (src, section) left join s using (src, section)""",
+    "lines_wide_encoding": f"with {_FEED} select concat(src, '.txt') src, line_no, line from feed",
+    "lines_unicode_breaks": f"with {_WIDE_FILES} select src, line_no, line from flines",
+    "customers_by_pattern": f"""{_LONG_BLOCKS} select src, code, status, records from hit, unnest([
+          concat(substr(seg, 1, 5), '.*-', nation), concat('(', seg, ')-', nation)]) as u(code)""",
+    "customers_by_plain_text": f"{_LONG_BLOCKS} select src, concat(seg, '-', nation) code, status, records from hit",
+    "mask_by_layout_table": f"""{_MIXED} select src, line_no,
+        case when src in ('F', 'O', 'P') then {_FIELDS} else {_FIXED} end line from mixed""",
     "split_sections": f"with {_FEED}, {_sections('feed', 2, 1)} select * from sections",
     "split_document_sections": f"with {_DOCS}, {_sections('docs', 3, 2)} select * from sections",
     "section_counts": f"""with {_DOCS} select src, cast(count(*) as bigint) "lines",

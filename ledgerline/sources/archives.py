@@ -26,7 +26,7 @@ _RECORDS = (
 )
 LINES = "archive string, entry_no bigint, entry string, line_no bigint, line string"
 
-_MOST_TASKS = 10_000
+_ARCHIVES_PER_TASK = 16
 
 # Packed bytes of an archive that one task should read, about.
 TASK_BYTES = ("spark.ledgerline.archiveTaskBytes", 128 * 1024 * 1024)
@@ -37,7 +37,8 @@ def _records(spark: SparkSession, mask: str, path: str, recursive: bool) -> Data
     found = listing(spark, mask, path, recursive)
     archives = found.files.filter("bytes > 0").select(F.col("path").alias("archive"))
     # Directories lie at the ends of archives; a task reads a few of them.
-    tasks = max(1, min(found.plain + found.odd, _MOST_TASKS))
+    n = found.plain + found.odd
+    tasks = max(1, min(n, max(-(-n // _ARCHIVES_PER_TASK), spark.sparkContext.defaultParallelism)))
     return archives.repartition(tasks).mapInArrow(zipstream.entry_rows, _RECORDS)
 
 

@@ -23,7 +23,7 @@ cloudpickle.register_pickle_by_value(rangeread)
 cloudpickle.register_pickle_by_value(zipstream)
 
 _FOUND = "path string, name string, bytes bigint, folder boolean, odd boolean"
-_MOST_TASKS = 10_000
+_FOLDERS_PER_TASK = 16
 _WILD = re.compile(r"[*?\[]")
 
 
@@ -76,7 +76,8 @@ class Listing:
 def _listed(folders: DataFrame, n: int, mask: str, files: bool, inner: str, dots: bool, name: str) -> Staged:
     dealt = folders.select("path", "odd")
     if n > 1:
-        dealt = dealt.repartition(min(n, _MOST_TASKS))
+        asked = max(-(-n // _FOLDERS_PER_TASK), folders.sparkSession.sparkContext.defaultParallelism)
+        dealt = dealt.repartition(min(n, asked))
     rows = partial(
         rangeread.folder_rows, wanted=name_pattern(mask), files=files, folders=inner, dots=dots or mask.startswith(".")
     )

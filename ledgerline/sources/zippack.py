@@ -25,6 +25,24 @@ def write_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array([uri])], names=["file"])
 
 
+def write_lines(batches, encoding):
+    """Write rows of file and line, sorted by file, as files of lines with a byte order mark; yields their names."""
+    out, opened = None, None
+    for batch in batches:
+        for uri, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if uri != opened:
+                if out is not None:
+                    out.close()
+                store, path = open_store(uri)
+                store.create_dir(posixpath.dirname(path), recursive=True)
+                out, opened = store.open_output_stream(path), uri
+                out.write("\ufeff".encode(encoding))
+                yield pa.RecordBatch.from_arrays([pa.array([uri])], names=["file"])
+            out.write((line + "\n").encode(encoding))
+    if out is not None:
+        out.close()
+
+
 def pack_rows(batches):
     """Write rows of archive, folder, name, text, sorted by archive; yields the archive names.
 

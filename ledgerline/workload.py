@@ -13,6 +13,7 @@ from ledgerline import fixtures as fx
 from ledgerline.functions.dates import business_date_list, business_dates
 from ledgerline.functions.text import collapse_whitespace
 from ledgerline.operators import blocks, deliveries, idmap, masking, merging, search, sections
+from ledgerline.operators.layouts import mask_by_table
 from ledgerline.plans import deliveries as delivery_plans
 from ledgerline.plans import files, merge
 from ledgerline.scale import new_shared_path
@@ -179,6 +180,14 @@ def mask_by_layout(spark, sf_dir):
     return masking.mask_by_layout(_mixed_lines(spark, sf_dir), _layouts())
 
 
+@query
+def mask_by_layout_table(spark, sf_dir):
+    """The layouts as a table: one per order status, the rest by one for all nations."""
+    lines = _mixed_lines(spark, sf_dir)
+    sources = lines.select("src").distinct()
+    return mask_by_table(lines, fx.layout_table(spark, sf_dir), sources)
+
+
 @query
 def mask_audit(spark, sf_dir):
     return masking.mask_audit(_mixed_lines(spark, sf_dir), _layouts())
@@ -305,6 +314,23 @@ def customers_long_codes(spark, sf_dir):
     return files.extract_customers(lines, None, match="field", field=fx.LONG_CODE_FIELD).status
 
 
+def _long_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.feed_lines(spark, sf_dir, long_codes=True)
+
+
+@query
+def customers_by_pattern(spark, sf_dir):
+    """Customers found by a table of patterns: with certain plain text, without it, and of no customer."""
+    return files.extract_customers(_long_feed(spark, sf_dir), fx.code_patterns(spark, sf_dir)).status
+
+
+@query
+def customers_by_plain_text(spark, sf_dir):
+    """Customers found by a table of plain texts, one per customer account."""
+    codes = fx.code_patterns(spark, sf_dir, plain=True)
+    return files.extract_customers(_long_feed(spark, sf_dir), codes, match="literal").status
+
+
 # Sections
 
 
@@ -332,14 +358,57 @@ def split_sections_negative(spark, sf_dir):
 
 @query
 def empty_sources(spark, sf_dir):
-    """Sizes and section counts of files, those without content included."""
-    folder = fx.nation_files(spark, sf_dir)
-    sizes = list_files(spark, "*.txt", folder).select(F.col("name").alias("src"), "bytes")
-    read = read_counted_lines(spark, "*.txt", folder, names="name")
+    """Sizes and section counts of files, those without content and with hidden names included."""
+    folder = fx.document_files(spark, sf_dir)
+    sizes = list_files(spark, "*.txt", folder, hidden=True).select(F.col("name").alias("src"), "bytes")
+    read = read_counted_lines(spark, "*.txt", folder, names="name", hidden=True)
     counts = sections.section_counts(read.lines, 1, 1, read.counts)
     return sizes.join(counts, "src")
 
 
+@query
+def masked_copies_named(spark, sf_dir):
+    """Masked copies of files under names of their own: sizes and lines of every copy."""
+    folder, out = fx.document_files(spark, sf_dir), new_shared_path(spark, "copies")
+    files.mask_files(spark, "*.txt", folder, [masking.fixed()], out, named=True)
+    return _written_files(spark, out)
+
+
+@query
+def section_files_named(spark, sf_dir):
+    """Sections of every file under names of their own, empty ones too: sizes and lines."""
+    folder, out = fx.document_files(spark, sf_dir), new_shared_path(spark, "sections-named")
+    files.split_files(spark, "*.txt", folder, out, 2, 1, hidden=True, named=True)
+    return _written_files(spark, out)
+
+
+def _written_files(spark: SparkSession, out: str) -> DataFrame:
+    """Per file below a folder: its bytes, its lines, and a hash of each line with its number, added up."""
+    sizes = list_files(spark, "*", out, hidden=True).select(F.col("name").alias("src"), "bytes")
+    lines = read_numbered_lines(spark, "*", out, names="name", hidden=True)
+    mark = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("line_no").cast("string"), "line")), 1, 8), 16, 10)
+    sums = lines.groupBy("src").agg(F.count(F.lit(1)).alias("lines"), F.sum(mark.cast("long")).alias("marks"))
+    none = F.lit(0).cast("long")
+    return sizes.join(sums, "src", "left").select(
+        "src", "bytes", F.coalesce("lines", none).alias("lines"), F.coalesce("marks", none).alias("marks")
+    )
+
+
+@query
+def lines_wide_encoding(spark, sf_dir):
+    """The feed in UTF-16, written whole per source, read back by byte ranges."""
+    folder = fx.wide_feed(spark, sf_dir)
+    return read_numbered_lines(spark, "*.txt", folder, encoding="UTF-16", names="name")
+
+
+@query
+def lines_unicode_breaks(spark, sf_dir):
+    """Lines of files that also end at further Unicode breaks."""
+    return read_numbered_lines(
+        spark, "*.txt", fx.document_files(spark, sf_dir), names="name", unicode_breaks=True, hidden=True
+    )
+
+
 @query
 def section_files_in_place(spark, sf_dir):
     """Every feed file split by the tasks that read it, and read back."""
