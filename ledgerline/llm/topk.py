@@ -25,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import join_measured, stage, table
+from ledgerline.llm.common import BROADCAST_BYTES, Staged, stage, table
 
 SCALE = 1024
 EVERY = 100
@@ -47,52 +48,64 @@ _BLOCK = "dim int, wide boolean, ids binary, data binary"
 
 
 def quantised(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """id, dim and x: the vectors that take part, as whole numbers floor(1024 * component)."""
-    x = F.col(vector)
-    sound = F.forall(x, lambda v: v.isNotNull() & (F.abs(v.cast("double")) < F.lit(float("inf"))))
+    """id, dim and x: the vectors that take part, their components as doubles."""
+    x = F.col(vector).cast("array<double>")
+    sound = F.forall(x, lambda v: v.isNotNull() & (F.abs(v) < F.lit(float("inf"))))
     taking = df.filter(F.col(key).isNotNull() & x.isNotNull() & (F.size(x) > 0) & sound)
+    return taking.select(F.col(key).cast("long").alias("id"), F.size(x).alias("dim"), x.alias("x"))
 
-    def whole(v):  # from 2^53 on every double is whole; times 1024 it could leave the doubles
-        v = v.cast("double")
-        return F.when(F.abs(v) < F.lit(2.0**52), F.rint(v * SCALE - F.pmod(v * SCALE, F.lit(1.0)))).otherwise(v)
 
-    # What is stored for 2^52 and more is the component itself: ``_integers`` scales it.
-    return taking.select(F.col(key).cast("long").alias("id"), F.size(x).alias("dim"), F.transform(x, whole).alias("x"))
-
-
-def _integers(x: np.ndarray) -> np.ndarray:
-    """Python integers of quantised components."""
-    out = [int(v) for v in x.ravel().tolist()]
-    return np.array(out, object).reshape(x.shape)
+def integers(x: np.ndarray) -> np.ndarray:
+    """floor(1024 * component) as Python integers; from 2^53 on every double is whole."""
+    out = np.empty(x.size, object)
+    out[:] = [int(v) * SCALE if abs(v) >= 2.0**53 else math.floor(v * SCALE) for v in x.ravel().tolist()]
+    return out.reshape(x.shape)
 
 
 def blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """dim, wide, ids, data: up to ``rows`` vectors of one length as two packed arrays."""
+    """dim, wide, ids, data: up to ``rows`` vectors of one length as two packed arrays.
+
+    Vectors that are not wide are packed as quantised 32-bit integers, wide ones as they are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[tuple[int, bool], list[tuple[np.ndarray, np.ndarray]]] = {}
 
-        def packed(dim):
-            ids = np.concatenate([i for i, _ in held[dim]])
-            data = np.concatenate([x for _, x in held.pop(dim)])
-            return pa.RecordBatch.from_pydict({"dim": pa.array([dim], pa.int32()), "ids": [ids.tobytes()], "data": [data.tobytes()]})
+        def packed(key):
+            ids = np.concatenate([i for i, _ in held[key]])
+            data = np.concatenate([x for _, x in held.pop(key)])
+            columns = [pa.array([key[0]], pa.int32()), pa.array([key[1]]), [ids.tobytes()], [data.tobytes()]]
+            return pa.RecordBatch.from_pydict(dict(zip(("dim", "wide", "ids", "data"), columns, strict=True)))
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             ids, dims = batch.column("id").to_numpy(), batch.column("dim").to_numpy()
             flat, at = batch.column("x").flatten().to_numpy(), np.r_[0, np.cumsum(dims)]
-            for dim in np.unique(dims).tolist():
-                rest = np.flatnonzero(dims == dim)
+            with np.errstate(over="ignore"):
+                whole = np.floor(flat * SCALE)
+            # Two vectors below the limit have products that add up to less than 2^62.
+            size = np.maximum.reduceat(np.abs(whole), at[:-1])
+            wide = size >= np.minimum(2.0**30, 2.0**31 / np.sqrt(dims))
+            for dim, is_wide in sorted(set(zip(dims.tolist(), wide.tolist(), strict=True))):
+                key, rest = (dim, is_wide), np.flatnonzero((dims == dim) & (wide == is_wide))
                 while len(rest):
-                    room = rows - sum(len(i) for i, _ in held.get(dim, []))
+                    room = rows - sum(len(i) for i, _ in held.get(key, []))
                     mine, rest = rest[:room], rest[room:]
-                    x = flat[at[mine][:, None] + np.arange(dim)].astype(np.int32)
-                    held.setdefault(dim, []).append((ids[mine], x))
+                    places = at[mine][:, None] + np.arange(dim)
+                    x = flat[places] if is_wide else whole[places].astype(np.int32)
+                    held.setdefault(key, []).append((ids[mine], x))
                     if len(mine) == room:
-                        yield packed(dim)
-        for dim in list(held):
-            yield packed(dim)
+                        yield packed(key)
+        for key in list(held):
+            yield packed(key)
+
+    return vectors.mapInArrow(run, _BLOCK)
+
 
-    return vectors.mapInArrow(run, "dim int, ids binary, data binary")
+def _unpacked(ids: bytes, data: bytes, dim: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(data, np.float64 if wide else np.int32).reshape(-1, dim)
+    return np.frombuffer(ids, np.int64), integers(x) if wide else x
 
 
 class SlicedIndex:
@@ -172,52 +185,87 @@ class SlicedIndex:
                 equal = equal & ~sums[j]
         return above | equal
 
-    def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and exact scores of the k best rows, ties to the smaller id; not the query's own id."""
+    def top(self, query: np.ndarray, k: int) -> np.ndarray:
+        """The k best rows, ties to the smaller id."""
         query = query.astype(np.int64)
-        others = self._packed((self.ids != own)[None].astype(np.uint8), len(self.all) * 64)[0]
-        if int(np.bitwise_count(others).sum()) <= k or not query.any():
-            rows = self.rows_of(others)
+        if self.n <= k or not query.any():
+            rows = np.arange(self.n)
         else:
             lost = int(np.abs(query).sum()) * ((1 << self.dropped) - 1)
             slack = -(-lost // (1 << self.dropped))
-            rows = self.rows_of(self.boundary(self.sums(query), others, k, slack))
-        scores = self.x[rows] @ query
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows][best], scores[best]
+            rows = self.rows_of(self.boundary(self.sums(query), self.all, k, slack))
+        return rows[np.lexsort((self.ids[rows], -(self.x[rows] @ query)))[:k]]
+
+
+def _sortable(score: int) -> bytes:
+    """A whole number as bytes that sort like it."""
+    size = abs(score)
+    body = size.to_bytes((size.bit_length() + 7) // 8, "big")
+    body = len(body).to_bytes(4, "big") + body
+    return b"\1" + body if score >= 0 else b"\0" + bytes(255 - b for b in body)
 
 
 def _answers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """k + 1 best rows of a block per query, as one of them may be the query's own."""
     for batch in batches:
         for row in batch.to_pylist():
             dim = row["dim"]
-            index = SlicedIndex(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["data"], np.int32).reshape(-1, dim))
-            query_ids = np.frombuffer(row["q_ids"], np.int64)
-            queries = np.frombuffer(row["q_data"], np.int32).reshape(-1, dim)
-            out = {"chunk": [], "query": [], "query_id": [], "vec_id": [], "score": []}
+            ids, x = _unpacked(row["ids"], row["data"], dim, row["wide"])
+            query_ids, queries = _unpacked(row["q_ids"], row["q_data"], dim, row["q_wide"])
+            exact = row["wide"] or row["q_wide"]
+            index = None if exact else SlicedIndex(ids, x)
+            if exact:
+                x, queries = x.astype(object), queries.astype(object)
+            out = {n: [] for n in ("chunk", "query", "query_id", "vec_id", "score", "beyond", "same")}
             for i, (own, query) in enumerate(zip(query_ids.tolist(), queries, strict=True)):
-                ids, scores = index.top(own, query, k)
-                out["chunk"] += [row["chunk"]] * len(ids)
-                out["query"] += [i] * len(ids)
-                out["query_id"] += [own] * len(ids)
-                out["vec_id"] += ids.tolist()
-                out["score"] += scores.tolist()
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                if exact:
+                    scores = x @ query
+                    rows = sorted(range(len(ids)), key=lambda r: (-scores[r], ids[r]))[: k + 1]  # noqa: B023
+                    scores = [scores[r] for r in rows]
+                else:
+                    rows = index.top(query, k + 1)
+                    scores = (index.x[rows] @ query.astype(np.int64)).tolist()
+                out["chunk"] += [row["chunk"]] * len(rows)
+                out["query"] += [i] * len(rows)
+                out["query_id"] += [own] * len(rows)
+                out["vec_id"] += ids[rows].tolist()
+                out["score"] += [min(max(s, -_LONG), _LONG) for s in scores]
+                out["beyond"] += [_sortable(s) if abs(s) >= _LONG else None for s in scores]
+                out["same"] += [bool(ids[r] == own and (x[r] == query).all()) for r in rows]
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
             yield pa.RecordBatch.from_pydict({n: pa.array(v, t) for (n, v), t in zip(out.items(), types, strict=True)})
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
+def _met(vectors: DataFrame, asked: Staged, limit: int) -> DataFrame:
+    """Every block of vectors with every block of queries of its length."""
+    if asked.bytes <= limit:
+        return vectors.join(F.broadcast(asked.df), "dim")
+    deals = -(-asked.bytes // DEAL_BYTES)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long")))
+    left = vectors.withColumn("vd", F.pmod(F.monotonically_increasing_id(), F.lit(deals))).withColumn("qd", every)
+    right = asked.df.withColumn("qd", F.pmod(F.xxhash64("chunk"), F.lit(deals))).withColumn("vd", every)
+    return left.join(right.hint("merge"), ["dim", "qd", "vd"])
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, limit: int = BROADCAST_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score of the k best vectors of every query; both sides as ``quantised``."""
     asked = blocks(queries, QUERY_ROWS).select(
-        "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.monotonically_increasing_id().alias("chunk")
+        "dim", F.col("wide").alias("q_wide"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
+        F.monotonically_increasing_id().alias("chunk"),
     )
-    asked = stage(asked, "query-blocks", gather=True)
-    pairs = join_measured(blocks(vectors, BLOCK_ROWS), asked, ["dim"])
-    schema = "chunk bigint, query int, query_id bigint, vec_id bigint, score bigint"
-    found = pairs.select("dim", "ids", "data", "q_ids", "q_data", "chunk").mapInArrow(lambda b: _answers(b, k), schema)
-    order = Window.partitionBy("chunk", "query", "query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    pairs = _met(blocks(vectors, BLOCK_ROWS), stage(asked, "query-blocks", gather=True), limit)
+    schema = "chunk bigint, query int, query_id bigint, vec_id bigint, score bigint, beyond binary, same boolean"
+    columns = ["dim", "wide", "ids", "data", "q_wide", "q_ids", "q_data", "chunk"]
+    found = pairs.select(*columns).mapInArrow(lambda b: _answers(b, k), schema)
+    query = ["chunk", "query", "query_id"]
+    order = [F.desc("score"), F.desc("beyond"), F.asc("vec_id")]
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy(*query).orderBy(*order)))
+    best = best.filter(F.col("rank") <= k + 1)
+    # One row that is equal to the query in id and vector is the query's own.
+    own = F.row_number().over(Window.partitionBy(*query, "same").orderBy("rank"))
+    others = best.withColumn("own", own).filter(~F.col("same") | (F.col("own") > 1))
+    ranked = others.withColumn("rank", F.row_number().over(Window.partitionBy(*query).orderBy("rank")))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,17 +274,17 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.n, q.vec_id AS query_id, c.vec_id AS vec_id,
     list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.n <> c.n AND len(q.x) = len(c.x)
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s
 )
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 10
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(greatest(least(score, 9223372036854775807), -9223372036854775807) AS BIGINT) AS score FROM r WHERE rank <= 10
 """
