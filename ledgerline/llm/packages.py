@@ -1,7 +1,7 @@
 """WARC records in ZIP packages: written by tasks, read back by byte ranges.
 
 A package is a ZIP archive whose members are stored: ``archive/data.warc`` with the records and
-``indexes/index.cdxj`` with one line per record (place in the member, length, digests). The reader
+``indexes/index.cdxj`` with one line per record (page id, place in the member, length). The reader
 parses the end record, the ZIP64 locator and end record, and the central directory itself, finds
 where a stored member begins, and then reads ranges: the index in pieces, and records in runs of
 about ``RUN_BYTES``. Nothing is extracted and no member is read whole. Packages of others can be
@@ -46,6 +46,9 @@ INDEX = "indexes/index.cdxj"
 PACKAGE_BYTES = 64 * 1024 * 1024
 RUN_BYTES = 4 * 1024 * 1024
 MIN_BYTES = 0
+#: Bytes that one task reads back, and the bytes of a package that its index weighs like.
+TASK_BYTES = 64 * 1024 * 1024
+INDEX_SHARE = 16
 
 # Fixed values of the ZIP format.
 _END, _END_SIZE = b"PK\x05\x06", 22
@@ -284,7 +287,7 @@ def write_packages(typed: DataFrame, folder: str, package_bytes: int = PACKAGE_B
         )
 
     columns = typed.select("page_id", "url", "payload", "refers_to")
-    return stage(columns.mapInArrow(run, "uri string, records bigint, bytes bigint"), "package-manifest")
+    return stage(columns.mapInArrow(run, "uri string, records bigint, bytes bigint"), "package-manifest", total=F.sum("bytes"))
 
 
 def record_runs(manifest: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
@@ -313,8 +316,13 @@ def record_runs(manifest: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
                     names=["uri", "start", "length"],
                 )
 
-    spread = manifest.select("uri").hint("rebalance", "uri")
-    return spread.mapInArrow(run, "uri string, start bigint, length bigint")
+    return manifest.select("uri").mapInArrow(run, "uri string, start bigint, length bigint")
+
+
+def dealt(rows: DataFrame, size: int) -> DataFrame:
+    """Rows that point to ``size`` bytes, dealt to tasks by those bytes and not by their own."""
+    parallel = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, -(-size // TASK_BYTES), min(parallel, -(-size // RUN_BYTES))))
 
 
 def read_records(runs: DataFrame, payloads: bool = True) -> DataFrame:
@@ -361,7 +369,9 @@ def _append(out: dict[str, list], fields: dict[str, str], block: bytes) -> None:
 def op3_pages_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     manifest = write_packages(with_types(pages), new_shared_path(spark, "packages"))
-    return read_records(record_runs(manifest.df).hint("rebalance"), payloads=False)
+    size = manifest.metrics["total"] or 0
+    runs = record_runs(dealt(manifest.df, size // INDEX_SHARE))
+    return read_records(dealt(runs, size), payloads=False)
 
 
 OP3_SQL = """

@@ -107,3 +107,11 @@ def test_small_payloads_and_repeated_rows(spark):
 def test_empty_table(spark):
     manifest, _, got = round_trip(spark, [])
     assert manifest.rows == 0 and got == []
+
+
+def test_tasks_follow_the_bytes_that_ranges_point_to(spark):
+    few = spark.range(100).selectExpr("'u' as uri", "id as start", "1L as length")
+    assert packages.dealt(few, 40 * packages.TASK_BYTES).rdd.getNumPartitions() == 40
+    assert packages.dealt(few, 10).rdd.getNumPartitions() == 1
+    parallel = spark.sparkContext.defaultParallelism
+    assert packages.dealt(few, 3 * packages.TASK_BYTES).rdd.getNumPartitions() == parallel
