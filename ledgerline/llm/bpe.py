@@ -64,14 +64,13 @@ def merge_symbols(symbols: list[int], ranks: dict[int, int], merges: list[tuple[
 
     ``ranks`` has the rank of left * size + right, ``merges`` left, right and result of each rank.
     """
-    n, symbols = len(symbols), symbols[:]
+    n, rank_of = len(symbols), ranks.get
+    found = [rank_of(a * size + b) for a, b in zip(symbols, symbols[1:], strict=False)]
+    queue = [rank * n + i for i, rank in enumerate(found) if rank is not None]  # place of the left symbol
+    if not queue:
+        return symbols
+    symbols = symbols[:]
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-    rank_of = ranks.get
-    queue = []  # rank * n + place of the left symbol
-    for i in range(n - 1):
-        rank = rank_of(symbols[i] * size + symbols[i + 1])
-        if rank is not None:
-            queue.append(rank * n + i)
     heapify(queue)
     while queue:
         rank, i = divmod(heappop(queue), n)
@@ -128,6 +127,7 @@ class Codec:
                 raise ValueError("only plain added tokens are read")
             self._special[t["content"]] = t["id"]
             self._strings[t["id"]] = t["content"]
+        self._lengths = [len(string) for string in self._strings]
         special = sorted(self._special, key=len, reverse=True)
         self._cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self._normal = [self._normaliser(n) for n in self._sequence(given.get("normalizer"), "normalizers")]
@@ -165,10 +165,13 @@ class Codec:
             return regex.compile(PATTERN)
         raise ValueError(f"pre-tokenizer {kinds}")
 
-    def _encode_word(self, word: str) -> bytes:
+    def _ids_of(self, word: str) -> list[int]:
         data = word.encode("utf-8")
         symbols = [self._inner[b] for b in data[:-1]] + [self._last[data[-1]]]
-        return np.array(merge_symbols(symbols, self._ranks, self._merges, self._size), "<u4").tobytes()
+        return merge_symbols(symbols, self._ranks, self._merges, self._size)
+
+    def _encode_word(self, word: str) -> bytes:
+        return np.array(self._ids_of(word), "<u4").tobytes()
 
     def pieces(self, text: str) -> list[str]:
         """The words of a text without special tokens, as the pattern finds them."""
@@ -198,11 +201,11 @@ class Codec:
         return self._encode_words(text)
 
     def _sizes_of(self, chunk: str) -> bytes:
-        pieces = self._find.findall(chunk)
-        if len(pieces) > 1:
-            return b"".join(map(self._sizes.__getitem__, pieces))
-        ids = np.frombuffer(self._encode_word(chunk), "<u4").tolist()
-        return bytes(len(self._strings[i]) for i in ids)
+        if not (chunk[1:] if chunk[0] == " " else chunk).isalpha():  # a run of letters is one piece
+            pieces = self._find.findall(chunk)
+            if len(pieces) > 1:
+                return b"".join(map(self._sizes.__getitem__, pieces))
+        return bytes(map(self._lengths.__getitem__, self._ids_of(chunk)))
 
     def token_lengths(self, text: str) -> np.ndarray:
         """Bytes of every token of a text, special tokens taken as ordinary text. Only for files that
