@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -29,8 +30,8 @@ SHINGLE_WORDS = 5
 SHINGLE_BYTES = 256 * 1024
 
 __all__ = [
-    "BROADCAST_BYTES", "Remember", "Shingles", "Staged", "Substrings", "WORD", "ddl", "documents", "in_slices",
-    "join_measured", "new_shared_path", "placed", "stage", "table",
+    "BROADCAST_BYTES", "Remember", "Shingles", "Staged", "Substrings", "WORD", "ddl", "documents",
+    "give_memory_back", "in_slices", "join_measured", "new_shared_path", "placed", "row_hash", "stage", "table",
 ]
 
 
@@ -229,19 +230,39 @@ def in_slices(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(target)
         work = make()
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
-                out = work({n: part.column(n).to_pylist() for n in use or part.schema.names})
-                arrays = [
-                    pa.array(out[f.name], f.type) if f.name in out else part.column(f.name).cast(f.type)
-                    for f in arrow
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, rows):
+                    part = batch.slice(at, rows)
+                    out = work({n: part.column(n).to_pylist() for n in use or part.schema.names})
+                    arrays = [
+                        pa.array(out[f.name], f.type) if f.name in out else part.column(f.name).cast(f.type)
+                        for f in arrow
+                    ]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        finally:
+            del work
+            give_memory_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_memory_back() -> None:
+    """Hand memory that a task has freed back to the system: workers live on and wait beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row; maps, which have no hash, go in as text."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    maps = [F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in df.schema.fields if "map<" in f.dataType.simpleString()]
+    return F.xxhash64(*plain, *maps)
+
+
 def ddl(df: DataFrame, columns: list[str]) -> str:
     """The columns with their types, as the start of a schema."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}

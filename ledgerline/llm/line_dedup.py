@@ -181,17 +181,19 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
     A text that loses nothing keeps its null; one that loses all lines becomes empty.
     """
     joined = with_bitmaps(docs, stage(keep_bitmaps(docs, **limits), "keep-bitmaps"))
-    untouched = joined.filter("keep is null").select("own.*")
+    own = [F.col("own").getField(c).alias(c) for c in docs.columns]
 
     def make():
         def work(rows):
-            pairs = zip(rows["text"], rows["__keep"], strict=True)
-            return {"text": [_kept_lines(t.encode("utf-8"), k)[0].decode("utf-8") for t, k in pairs]}
+            pairs = zip(rows["given"], rows["keep"], strict=True)
+            return {"kept": [_kept_lines(t.encode("utf-8"), k)[0].decode("utf-8") for t, k in pairs]}
 
         return work
 
-    cut = joined.filter("keep is not null").select("own.*", F.col("keep").alias("__keep"))
-    return untouched.unionByName(in_slices(cut, make, ddl(docs, docs.columns), use=["text", "__keep"]))
+    cut = joined.filter("keep is not null").select("own", F.col("own.text").alias("given"), "keep")
+    cut = in_slices(cut, make, f"{ddl(cut, ['own'])}, kept string", use=["given", "keep"])
+    new = [F.col("kept").alias(c) if c == "text" else x for c, x in zip(docs.columns, own, strict=True)]
+    return joined.filter("keep is null").select(own).unionByName(cut.select(new))
 
 
 def digest(docs: DataFrame, bitmaps: Staged, key: str = "doc_id") -> DataFrame:

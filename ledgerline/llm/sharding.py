@@ -12,7 +12,8 @@ with a third of all rows spread over all buckets of their shard.
 
 Defined cases: a null id hashes like one id of its own; a null text has size 1 and the checksum of
 no bytes; repeated rows get slots of their own; an empty table gives an empty result. Other columns
-travel with their rows in ``shards_of``; names of internal columns start with two underscores.
+of any type travel with their rows in ``shards_of``; its own ``shard`` and ``slot`` take the place of
+columns of that name.
 """
 
 from __future__ import annotations
@@ -52,11 +53,19 @@ def scatter(df: DataFrame, shards: int, key: str, seed: int, bucket_bytes: int)
 
 def write_shuffled(scattered: DataFrame, path: str, seed: int) -> DataFrame:
     """Pass 2: shuffles every bucket and writes it; gives back what was written, with __pos."""
-    entry = F.struct("__hash", "__row")
+    rows = F.collect_list(F.struct("__hash", "__row"))
+    if "map<" in scattered.schema["__row"].dataType.simpleString():  # maps have no order
+
+        def by_hash(a: Column, b: Column) -> Column:
+            return F.when(a["__hash"] < b["__hash"], -1).when(a["__hash"] > b["__hash"], 1).otherwise(0)
+
+        ordered = F.array_sort(rows, by_hash)
+    else:
+        ordered = F.sort_array(rows, asc=True)
     gathered = (
         scattered.repartition("__shard", "__bucket")
         .groupBy("__shard", "__bucket")
-        .agg(F.sort_array(F.collect_list(entry), asc=True).alias("__rows"))
+        .agg(ordered.alias("__rows"))
         .sortWithinPartitions("__shard", "__bucket")
     )
     shuffled = gathered.withColumn("__rows", F.shuffle("__rows", seed))
@@ -79,8 +88,9 @@ def shards_of(
     counts = written.groupBy("__shard", "__bucket").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__shard", "__bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    own = [F.col("__row").getField(c).alias(c) for c in df.columns if c not in ("shard", "slot")]
     return join_measured(written, stage(offsets, "bucket-offsets", gather=True), ["__shard", "__bucket"]).select(
-        "__row.*", F.col("__shard").alias("shard"), (F.col("__before") + F.col("__pos")).alias("slot")
+        *own, F.col("__shard").alias("shard"), (F.col("__before") + F.col("__pos")).alias("slot")
     )
 
 

@@ -67,3 +67,14 @@ def test_four_documents_are_too_few_and_empty_table(spark):
 def test_bitmaps():
     packed = line_dedup.pack([1, 9], 11)
     assert line_dedup.unpack(packed, 11).tolist() == [i not in (1, 9) for i in range(11)]
+
+
+def test_clashing_and_map_columns_and_a_long_text(spark):
+    line = "a line of at least forty characters, so it counts"
+    long = "\n".join([line, *(f"own line {i}" for i in range(40_000))])
+    rows = [(i, f"{line}\nown {i}", "x", 1, {"a": i}) for i in range(5)] + [(9, long, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __keep string, kept int, keep map<string,int>")
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[9]["text"] == long and got[3]["text"] == "own 3" and got[3]["keep"] == {"a": 3} and got[3]["kept"] == 1

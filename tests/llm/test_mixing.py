@@ -9,14 +9,79 @@ from ledgerline.llm import mixing
 SCHEMA = "doc_id long, text string, source string, epoch int"
 
 
-def test_targets_by_weight_with_excess_reshared():
-    mixture = mixing.Mixture()
-    assert mixture.targets([100, 100, 100]) == pytest.approx([187.5, 75, 37.5])
-    small = mixture.targets([10, 100, 100])  # the first may give 30, not 131
-    assert small == pytest.approx([30, 120, 60])
-    assert mixture.targets([10, 10, 1000]) == pytest.approx([30, 30, 960])
-    assert mixture.targets([]) == [] and mixture.targets([0, 0]) == [0.0, 0.0]
-    assert sum(mixture.targets([5, 0, 7, 1, 1])) == pytest.approx(14)
+def targets_of(sizes, weights=mixing.WEIGHTS, most=mixing.MAX_REPEATS):
+    """Targets round by round, source by source."""
+    weight = [weights[i % len(weights)] for i in range(len(sizes))]
+    target, left, free = [0.0] * len(sizes), float(sum(sizes)), [i for i, n in enumerate(sizes) if n > 0]
+    while free:
+        whole = sum(weight[i] for i in free)
+        over = [i for i in free if left * weight[i] / whole > most * sizes[i]]
+        for i in over or free:
+            target[i] = float(most * sizes[i]) if over else left * weight[i] / whole
+        left -= sum(target[i] for i in over)
+        free = [i for i in free if i not in over] if over else []
+    return target
+
+
+def spark_targets(spark, sizes):
+    names = [f"s{i:06d}" for i in range(len(sizes))]
+    groups = spark.createDataFrame([(n, s, 1) for n, s in zip(names, sizes, strict=True)], "__source string, __size long, __n long")
+    rows = mixing.source_targets(groups, mixing.Mixture()).df.collect()
+    got = {r["__source"]: r["target"] for r in rows}
+    return [got[n] for n in names]
+
+
+@pytest.mark.parametrize("sizes", [[100, 100, 100], [10, 100, 100], [10, 10, 1000], [], [0, 0], [5, 0, 7, 1, 1], [1, 2, 4, 8, 16, 32, 64, 5000]])
+def test_targets_by_weight_with_excess_reshared(spark, sizes):
+    got = spark_targets(spark, sizes)
+    assert got == pytest.approx(targets_of(sizes)) and sum(got) == pytest.approx(sum(sizes))
+
+
+def test_a_hundred_thousand_sources(spark):
+    sizes = [(i * 7919) % 1000 for i in range(100_000)]
+    groups = spark.range(100_000).selectExpr("format_string('s%06d', id) as __source", "id * 7919 % 1000 as __size", "1L as __n")
+    rows = mixing.source_targets(groups, mixing.Mixture()).df.orderBy("__source").collect()
+    assert [r["target"] for r in rows] == pytest.approx(targets_of(sizes))
+
+
+def test_many_equal_rows_and_columns_of_all_kinds(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 1000)
+    base = spark.range(30_000).selectExpr(
+        "if(id % 3 > 0, 5, id) as doc_id", "if(id % 3 > 0, 'a b c', concat('w', id)) as text", "if(id % 3 > 0, 'x', 'y') as source",
+        "1 as position", "2 as words", "3 as epoch", "4 as __from", "map('k', 1) as m",
+    )
+    got = mixing.plan(base.select("doc_id", "text", "source")).groupBy("__id").agg({"*": "count", "__from": "max"})
+    hot = got.filter("__id = 5").first()
+    assert hot["count(1)"] == 20_000 and hot["max(__from)"] >= 3 * 19_999
+    mixed = mixing.mix(base)
+    assert sorted(mixed.columns) == sorted(base.columns)
+    taken = mixing.plan(base).agg({"taken": "sum"}).first()[0]
+    assert mixed.agg({"words": "sum"}).first()[0] == taken == 70_000
+    kept = mixing.mix_rows(base).select("own.*")
+    assert kept.columns == base.columns and {tuple(r) for r in kept.select("position", "words", "epoch").distinct().collect()} == {(1, 2, 3)}
+
+
+def test_taken_per_document(spark):
+    """Every document's words by walking each source in hash order."""
+    from pyspark.sql import functions as F
+
+    _, docs = corpus(spark)
+    docs = docs.select("doc_id", "source", "text")
+    groups = mixing._groups(docs, "source", "doc_id").df
+    order = F.xxhash64(F.lit(mixing.SEED), "__source", "__id", "__print").alias("o")
+    rows = groups.select("*", order).collect()
+    want = Counter()
+    sources = sorted({r["__source"] for r in rows}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(r["__size"] * r["__n"] for r in rows if r["__source"] == s) for s in sources]
+    for s, size, target in zip(sources, sizes, targets_of(sizes), strict=True):
+        left = round(target) - round(target) // max(size, 1) * size
+        for r in sorted((r for r in rows if r["__source"] == s), key=lambda r: (r["o"], r["__id"], r["__size"])):
+            for _ in range(r["__n"]):
+                more = min(left, r["__size"])
+                want[s, r["__id"], r["__size"], round(target) // max(size, 1) * r["__size"] + more] += 1
+                left -= more
+    got = Counter((r["__source"], r["__id"], r["__size"], r["taken"]) for r in mixing.plan(docs).collect())
+    assert got == want
 
 
 def corpus(spark):
@@ -32,7 +97,7 @@ def test_plan_takes_the_target(spark):
     sizes = Counter()
     for _, text, source, _ in rows:
         sizes[source] += len((text or "").split())
-    want = dict(zip(["a", "b", "ä", None], mixing.Mixture().targets([sizes[s] for s in ("a", "b", "ä", None)]), strict=True))
+    want = dict(zip(["a", "b", "ä", None], targets_of([sizes[s] for s in ("a", "b", "ä", None)]), strict=True))
     for source, target in want.items():
         mine = [r for r in got if r["__source"] == source]
         assert {r["source_size"] for r in mine} == {sizes[source]}

@@ -52,3 +52,23 @@ def test_empty_table_and_plan(spark):
     assert sharding.shards_of(docs).count() == 0
     plan = sharding.scatter(docs_of(spark, [(1, "a", "x")]), 16, "doc_id", 1, 100)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_and_map_columns(spark):
+    rows = [(i % 40, f"t{i % 11}", "x", {"a": i}, i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string, m map<string,int>, __hash int")
+    got = sharding.shards_of(docs, bucket_bytes=200).collect()
+    checked(got, 300)
+    assert sorted((r["m"]["a"], r["__hash"]) for r in got) == [(i, i) for i in range(300)]
+    assert {f for r in got for f in r.asDict()} == {"doc_id", "text", "m", "__hash", "shard", "slot"}
+
+
+def test_query_equals_the_law(spark, tmp_path):
+    rows = [(i if i % 9 else None, [None, "", "é", f"text {i}"][i % 4]) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sharding.op2_shard_documents(spark, str(tmp_path)).collect()
+    assert got[0].asDict().keys() == {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()), "key") for i, t in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"], r["law"]) for r in got) == want
+    checked(got, 200)
+    assert all(r["grown_shard"] in (r["shard"], 16) for r in got)
