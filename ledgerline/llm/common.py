@@ -229,7 +229,9 @@ def in_slices(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(target)
+        give_memory_back()  # of the task that this worker did before
         work = make()
+        give_memory_back()
         try:
             for batch in batches:
                 for at in range(0, batch.num_rows, rows):
