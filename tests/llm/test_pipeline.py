@@ -85,5 +85,5 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
 def test_query_names():
     from ledgerline.llm import queries
 
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert ngram_join.PERCENT == 75

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     want = con.sql(queries.SQL[name])
     got = queries.QUERIES[name](spark, FOLDER)
