@@ -8,6 +8,9 @@ and read again as the next one's docs. All but the last return the columns of do
 Documents that a stage does not reject are kept, empty ones included; the mix takes a document as often
 as its source's target asks for, and not at all beyond it. Nulls, repeated rows and empty tables have
 the results that the operators define.
+
+All stages share executors whose workers live on, so what Spark hands to Python at a time is held to
+``ARROW_BYTES`` (a larger text goes alone), unless the session has a bound of its own.
 """
 
 from __future__ import annotations
@@ -19,6 +22,13 @@ from ledgerline.llm import bpe, line_dedup, mixing, ngram_join, toxicity
 from ledgerline.llm.common import documents, new_shared_path, table
 
 VOCABULARY = "word_bpe_49k.json"
+ARROW_BYTES = 2 * 1024 * 1024
+_ARROW_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_ARROW_BOUND, None) is None:
+        spark.conf.set(_ARROW_BOUND, str(ARROW_BYTES))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -27,23 +37,28 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     scored = toxicity.with_scores(docs, table(spark, sf_dir, "labels"))
     return scored.filter("predicted = 0").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return _counted(line_dedup.dedup_lines(docs))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return ngram_join.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return _counted(mixing.mix_rows(docs).select("own.*"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     encoded = bpe.encode(docs, bpe.vocabulary_path(VOCABULARY), digests=True)
     return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
