@@ -9,13 +9,15 @@ with the probability of their similarity (optimal densification). Of each bin's
 Two unrelated bins still agree with probability 2^-BITS, so the share m of equal bins estimates the
 Jaccard similarity as (m - 2^-BITS) / (1 - 2^-BITS), held within 0 and 1.
 
-The edited text of a document needs its successor in descending order of ids. Ids are cut at quantiles
-into buckets of about ``BUCKET_ROWS`` rows; the first document of each bucket is also sent to the
-bucket before it, so one shuffle of the texts lets every bucket stream its pairs of neighbours.
+The edited text of a document needs its successor in descending order of ids. Texts move once, to ranges
+of (id descending, hash of the text, number of the row), so rows of one id, or many equal rows, spread over
+ranges. A task streams the neighbours inside its range and hands its first and its last row on; what it
+makes is staged, and the last row of every range meets the first of the next one in a second, small pass
+over two rows per range. There are at most ``MOST_RANGES`` ranges, as long as they need to be.
 
 Defined cases: a null text is empty; a text without words has an empty set and the empty string as
 fingerprint, like another of them by 1 and like any other by 0; fewer than five words are one shingle.
-A null id comes last in descending order. Rows that share an id follow each other by text; repeated
+A null id comes last in descending order. Rows that share an id follow each other by hash of text; repeated
 rows have equal fingerprints. A single document is its own successor. An empty table gives an empty
 result. Other columns are ignored.
 """
@@ -26,10 +28,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.llm.common import (
     Shingles,
@@ -37,12 +40,14 @@ from ledgerline.llm.common import (
     documents,
     in_slices,
     mixed,
+    stage,
 )
 
 BINS = 512
 BITS = 4
 SEED = 1
-BUCKET_ROWS = 2048
+BUCKET_ROWS = 8192
+MOST_RANGES = 50_000
 
 
 def probe_order(bins: int = BINS, seed: int = SEED) -> np.ndarray:
@@ -81,12 +86,15 @@ class MinHash:
             least[empty] = least[full[np.argmin(probes, axis=1)]]
         return (mixed(least + self._salts) & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
 
-    def pack(self, values: np.ndarray | None) -> str:
+    def packed(self, values: np.ndarray | None) -> bytes:
         if values is None:
-            return ""
+            return b""
         per = 8 // self.bits
         shifts = np.arange(0, 8, self.bits, dtype=np.uint8)
-        return np.bitwise_or.reduce(values.reshape(-1, per) << shifts, axis=1).astype(np.uint8).tobytes().hex()
+        return np.bitwise_or.reduce(values.reshape(-1, per) << shifts, axis=1).astype(np.uint8).tobytes()
+
+    def pack(self, values: np.ndarray | None) -> str:
+        return self.packed(values).hex()
 
     def unpack(self, fingerprint: str) -> np.ndarray | None:
         if not fingerprint:
@@ -125,79 +133,101 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def with_successors(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows in runs: sorted by bucket and place, each bucket ends with the first row of the next.
-
-    Columns: doc_id, text, bucket, guest (true for that last row, which belongs to another bucket).
-    """
+def in_ranges(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """doc_id and text in sorted ranges of about ``bucket_rows`` rows."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.count()
-    parts = max(1, -(-rows // bucket_rows))
-    cuts = texts.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    cuts = sorted({int(c) for c in cuts})
-    shared = docs.sparkSession.sparkContext.broadcast(np.array(cuts, np.int64))
-
-    @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        """Bucket 0 holds the largest ids; nulls come after all of them."""
-        known = ids.fillna(np.iinfo(np.int64).min).astype("int64").to_numpy()
-        return pd.Series(len(shared.value) - np.searchsorted(shared.value, known, "left")).astype("int32")
-
-    placed = texts.withColumn("bucket", bucket_of("doc_id"))
-    firsts = placed.select("bucket", "doc_id").groupBy("bucket").agg(F.max("doc_id").alias("first"))
-    found = sorted((r["bucket"], r["first"]) for r in firsts.collect())
-    before = {b: found[i - 1][0] for i, (b, _) in enumerate(found)}
-    table = docs.sparkSession.createDataFrame(
-        [(b, before[b], first) for b, first in found] or [(0, 0, None)], "bucket int, guest_of int, first long"
-    )
-    joined = placed.join(F.broadcast(table), "bucket")
-    is_first = F.col("doc_id").eqNullSafe(F.col("first"))
-    homes = F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("guest")))
-    both = F.array(
-        F.struct(F.col("bucket").alias("b"), F.lit(False).alias("guest")),
-        F.struct(F.col("guest_of").alias("b"), F.lit(True).alias("guest")),
-    )
-    sent = joined.select("doc_id", "text", F.explode(F.when(is_first, both).otherwise(homes)).alias("to"))
-    dealt = sent.select("doc_id", "text", F.col("to.b").alias("bucket"), F.col("to.guest").alias("guest"))
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", F.desc_nulls_last("doc_id"), "text")
+    parts = min(MOST_RANGES, max(1, -(-texts.count() // bucket_rows)))
+    # Equal rows are told apart by a number, whatever it is: their results are the same in any order.
+    numbered = texts.withColumn("__hash", F.xxhash64("text")).withColumn("__row", F.monotonically_increasing_id())
+    order = [F.desc_nulls_last("doc_id"), F.asc("__hash"), F.asc("__row")]
+    ranges = numbered.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return ranges.select("doc_id", "text", F.spark_partition_id().alias("range"))
 
 
-def compare_neighbours(docs: DataFrame, bins: int = BINS, bits: int = BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Per document: its fingerprint, that of its edited text, and their likeness, and that to the
-    next document's fingerprint."""
+_FOUND = (
+    "doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
+    "near_edited double, near_next double"
+)
+
+
+def _compared(hasher: MinHash, pairs: list[tuple]) -> list[tuple]:
+    """A row of _FOUND for every (id, text, values, next text, values of the next text)."""
+    changed = [edited(text, after).encode("utf-8") for _, text, _, after, _ in pairs]
+    return [
+        (
+            doc, len(text), hashlib.sha256(new).digest(), hasher.packed(values), hasher.packed(new_values),
+            hasher.likeness(values, new_values), hasher.likeness(values, next_values),
+        )
+        for (doc, text, values, _, next_values), new, new_values
+        in zip(pairs, changed, hasher.all_values(changed), strict=True)
+    ]
+
+
+def _batch(rows: list[tuple], target: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(target)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+
+
+def _inside_ranges(ranges: DataFrame, bins: int, bits: int) -> DataFrame:
+    """_FOUND for every row but the last of each range; with ``edge`` 1 and 2 the first and the last row
+    of the range as they are."""
+    schema = T.StructType.fromDDL(_FOUND + ", range int, edge int, text string")
+    blank = (None,) * 6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = MinHash(bins, bits)
-        held = None  # bucket, id, text and values of the row that waits for its successor
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        hasher, arrow = MinHash(bins, bits), to_arrow_schema(schema)
+        held = None  # id, text and values of the row that waits for its successor
+        at_range = None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                ids, texts, buckets, guests = (c.to_pylist() for c in batch.slice(at, 256).columns)
+                ids, texts, numbers = (c.to_pylist() for c in batch.slice(at, 256).columns)
                 own = hasher.all_values([t.encode("utf-8") for t in texts])
-                pairs = []
-                for doc, text, bucket, guest, values in zip(ids, texts, buckets, guests, own, strict=True):
-                    if held is not None and held[0] == bucket:
-                        pairs.append((*held[1:], edited(held[2], text).encode("utf-8"), values))
-                    # After the first guest nothing of its bucket is left to do.
-                    held = None if guest else (bucket, doc, text, values)
-                changed = hasher.all_values([p[3] for p in pairs])
-                rows = [
-                    (
-                        doc, len(text), hashlib.sha256(new).hexdigest(), hasher.pack(values), hasher.pack(new_values),
-                        hasher.likeness(values, new_values), hasher.likeness(values, next_values),
-                    )
-                    for (doc, text, values, new, next_values), new_values in zip(pairs, changed, strict=True)
-                ]
-                columns = zip(*rows, strict=True) if rows else [()] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-    sent = with_successors(docs, bucket_rows)
-    return sent.select("doc_id", "text", "bucket", "guest").mapInArrow(
-        run,
-        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double",
-    )
+                pairs, edges = [], []
+                for doc, text, number, values in zip(ids, texts, numbers, own, strict=True):
+                    if held is None:
+                        at_range = number
+                        edges.append((doc, *blank, number, 1, text))
+                    else:
+                        pairs.append((*held, text, values))
+                    held = doc, text, values
+                yield _batch([(*r, at_range, 0, None) for r in _compared(hasher, pairs)] + edges, arrow)
+        if held is not None:
+            yield _batch([(held[0], *blank, at_range, 2, held[1])], arrow)
+
+    return ranges.mapInArrow(run, schema)
+
+
+def _across_ranges(edges: DataFrame, bins: int, bits: int) -> DataFrame:
+    """_FOUND for the last row of every range; the last of all is followed by the first of all."""
+    names = T.StructType.fromDDL(_FOUND).names
+    firsts, lasts = edges.filter("edge = 1"), edges.filter("edge = 2")
+    whole = Window.orderBy("range")  # a row per range
+    following = F.coalesce(F.lead("range").over(whole), F.first("range").over(whole))
+    turns = firsts.select("range", following.alias("following"))
+    after = firsts.select(F.col("range").alias("following"), F.col("text").alias("after"))
+    pairs = lasts.select("range", "doc_id", "text").join(turns, "range").join(after, "following")
+
+    def make():
+        hasher = MinHash(bins, bits)
+
+        def work(rows):
+            own, others = (hasher.all_values([t.encode("utf-8") for t in rows[c]]) for c in ("text", "after"))
+            found = _compared(hasher, list(zip(rows["doc_id"], rows["text"], own, rows["after"], others, strict=True)))
+            return dict(zip(names, zip(*found, strict=True), strict=True))
+
+        return work
+
+    return in_slices(pairs.select("doc_id", "text", "after"), make, _FOUND, rows=64)
+
+
+def compare_neighbours(docs: DataFrame, bins: int = BINS, bits: int = BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Per document: its fingerprint, that of its edited text, and their likeness, and that to the
+    next document's fingerprint."""
+    found = stage(_inside_ranges(in_ranges(docs, bucket_rows), bins, bits), "fingerprints").df
+    names = T.StructType.fromDDL(_FOUND).names
+    rows = found.filter("edge = 0").select(*names).unionByName(_across_ranges(found, bins, bits))
+    as_hex = {"edited_sha256", "fingerprint", "edited_fingerprint"}
+    return rows.select(*[F.lower(F.hex(n)).alias(n) if n in as_hex else F.col(n) for n in names])
 
 
 def op1_fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

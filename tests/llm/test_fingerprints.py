@@ -8,6 +8,8 @@ import pytest
 from ledgerline.llm import fingerprints
 from ledgerline.llm.common import Shingles
 
+FOLDER = "/root/testdata/sf0.001"
+
 
 def shingles(text):
     w = (text or "").encode().lower().split()
@@ -86,6 +88,34 @@ def test_ties_nulls_and_small_tables(spark):
     assert fingerprints.compare_neighbours(empty).count() == 0 and fingerprints.fingerprints(empty).count() == 0
 
 
+def test_hot_ids_and_equal_rows_spread(spark):
+    rows = [(7, f"a{i} b c d e f") for i in range(600)] + [(3, "same same text")] * 600 + [(i, str(i)) for i in range(100, 700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sizes = [r["count"] for r in fingerprints.in_ranges(docs, bucket_rows=100).groupBy("range").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 300
+    got = fingerprints.compare_neighbours(docs, bucket_rows=100).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in rows)
+    same = "same same text"
+    alike = hashlib.sha256((same[:7] + same[:7]).encode()).hexdigest()
+    last = hashlib.sha256((same[:7] + "699").encode()).hexdigest()
+    found = [r["edited_sha256"] for r in got if r["doc_id"] == 3]
+    assert sorted(found) == sorted([alike] * 599 + [last])
+
+
+def test_registered_query(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    ordered = sorted(((r["doc_id"], r["text"] or "") for r in docs), reverse=True)
+    want = {}
+    for k, (doc, text) in enumerate(ordered):
+        after = ordered[(k + 1) % len(ordered)][1]
+        half = len(text) // 2
+        new = text[: len(text) - half] + after[:half]
+        want[doc] = (len(text), hashlib.sha256(new.encode()).hexdigest(), jaccard(shingles(text), shingles(new)))
+    got = fingerprints.op1_fingerprint_documents(spark, FOLDER).collect()
+    assert {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in got} == {d: w[:2] for d, w in want.items()}
+    assert all(abs(r["near_edited"] - want[r["doc_id"]][2]) < 0.15 for r in got)
+
+
 def test_fingerprint_column(spark):
     df = spark.createDataFrame([("a b c d e f", 1, "old"), (None, 2, "old")], "text string, `x y` int, fingerprint string")
     got = fingerprints.fingerprints(df).collect()
