@@ -18,6 +18,7 @@ from ledgerline.operators import blocks, masking, search, sections
 from ledgerline.operators.layouts import audit_by_table, mask_by_table
 from ledgerline.operators.masking import Layout
 from ledgerline.operators.ranges import bucket_of
+from ledgerline.scale import stage
 from ledgerline.sinks.named import prefixed, write_files
 from ledgerline.sinks.text import write_lines, write_scanned_lines
 from ledgerline.sources import rangeread
@@ -98,16 +99,20 @@ def extract_customers(
     provider: str = blocks.PROVIDER,
     sources: DataFrame | None = None,
     quote: str | None = None,
+    staged: bool = False,
 ) -> Extract:
     """Blocks of the customers in ``codes`` from numbered feed ``lines``, parsed.
 
     ``records`` has ``src``, ``code``, ``line_no`` and the holder columns. ``sources`` (one row per
     ``src``) also lists sources without any line in ``status``. With ``quote`` exported values that
-    hold the delimiter or the quote itself are quoted.
+    hold the delimiter or the quote itself are quoted. ``staged`` writes the detail rows of the blocks to
+    the shared folder, so that export and status, both needed, do not read the feed again.
     """
     bounds = blocks.block_bounds(lines, codes, match, field)
-    staged = blocks.stage_blocks(bounds)
-    details = blocks.block_lines(blocks.filter_detail_records(lines), staged)
+    held = blocks.stage_blocks(bounds)
+    details = blocks.block_lines(blocks.filter_detail_records(lines), held)
+    if staged:
+        details = stage(details, "block-records").df  # tasks without such rows write no file
     records = blocks.parse_holder_records(details, provider)
     return Extract(
         bounds=bounds,
@@ -138,13 +143,14 @@ def extract_customer_files(
 ) -> DataFrame:
     """Write each customer's records below ``out/src=.../code=.../`` and return the status.
 
+    The feed is read three times: for line counts, for the bounds of blocks and for what lies in them.
     With ``named`` they are the plain files ``<file>.<code>.txt``. ``options`` are those of
     ``extract_customers``.
     """
     read = read_counted_lines(
         spark, mask, path, recursive=recursive, encoding=encoding, names="relative", unicode_breaks=unicode_breaks, hidden=hidden
     )
-    extract = extract_customers(read.lines, codes, sources=read.counts, **options)
+    extract = extract_customers(read.lines, codes, sources=read.counts, staged=True, **options)
     if named:
         plain = F.when(~F.col("code").contains("/"), F.col("code"))  # a code with a slash is no file name
         file = F.concat("src", F.lit("."), plain, F.lit(".txt")).alias("file")

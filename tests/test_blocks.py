@@ -185,6 +185,8 @@ def test_file_jobs(spark, tmp_path):
     assert {r["src"]: r["status"] for r in status.collect()} == {
         "f1.txt": "ok", "f2.txt": "header_missing", "empty.txt": "header_missing",
     }
+    plan = status._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "Scan text" not in plan and "BatchScan" not in plan  # the feed is not read again
     out = list((tmp_path / "o1" / "src=f1.txt" / "code=AB").glob("*/part-*"))
     assert "".join(p.read_text() for p in sorted(out)) == f"{TITLE}\nvendor|123456789|Ann B||\n"
     counts = files.split_files(spark, "*.txt", str(folder), str(tmp_path / "o2"), 1, 1)
