@@ -35,12 +35,24 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: task to task, beside whatever the worker does next.
 CACHE_CHUNKS = 150_000
 
+#: Symbols up to which a word is merged without a queue.
+SHORT_WORD = 32
+
+_MARKS = frozenset(".,:;!?")
+
 #: Separators that str.split() takes for white space and the pattern does not.
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
 
 #: White space that is not a single space or line feed between two other characters.
 _UNEVEN_SPACE = regex.compile(r"[^\S \n]|[\x1c-\x1f]|\s\s")
+_UNEVEN_ASCII = ("  ", "\n ", " \n", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+
+
+def _has_uneven_space(text: str) -> bool:
+    if text.isascii():  # a look for each of these is quicker than one for the pattern
+        return any(s in text for s in _UNEVEN_ASCII)
+    return _UNEVEN_SPACE.search(text) is not None
 
 
 def vocabulary_path(name: str) -> str:
@@ -59,11 +71,34 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _merge_short(symbols: list[int], ranks: dict[int, int], merges: list[tuple[int, int, int]], size: int) -> list[int]:
+    """``merge_symbols`` for few symbols, where a look at all ranks is quicker than a queue of them."""
+    none, rank_of = len(merges), ranks.get
+    found = [rank_of(a * size + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+    found.append(none)  # after the last symbol
+    lowest = min(found)
+    if lowest == none:
+        return symbols
+    symbols = symbols[:]
+    while lowest < none:
+        i = found.index(lowest)
+        new = symbols[i] = merges[lowest][2]
+        del symbols[i + 1], found[i]
+        if i + 1 < len(symbols):
+            found[i] = rank_of(new * size + symbols[i + 1], none)
+        if i:
+            found[i - 1] = rank_of(symbols[i - 1] * size + new, none)
+        lowest = min(found)
+    return symbols
+
+
 def merge_symbols(symbols: list[int], ranks: dict[int, int], merges: list[tuple[int, int, int]], size: int) -> list[int]:
     """Merge the pair of lowest rank, leftmost first, until no neighbours have a rank.
 
     ``ranks`` has the rank of left * size + right, ``merges`` left, right and result of each rank.
     """
+    if len(symbols) <= SHORT_WORD:
+        return _merge_short(symbols, ranks, merges, size)
     n, rank_of = len(symbols), ranks.get
     found = [rank_of(a * size + b) for a, b in zip(symbols, symbols[1:], strict=False)]
     queue = [rank * n + i for i, rank in enumerate(found) if rank is not None]  # place of the left symbol
@@ -185,7 +220,7 @@ class Codec:
     def _encode_chunk(self, chunk: str) -> bytes:
         if chunk.isalpha():  # a run of letters is one word
             return self._encode_word(chunk)
-        if chunk[-1] in ".,:;!?" and chunk[:-1].isalpha():
+        if chunk[-1] in _MARKS and chunk[:-1].isalpha():
             return self._chunks[chunk[:-1]] + self._words[chunk[-1]]
         return self._encode_words(chunk)
 
@@ -201,7 +236,10 @@ class Codec:
         return self._encode_words(text)
 
     def _sizes_of(self, chunk: str) -> bytes:
-        if not (chunk[1:] if chunk[0] == " " else chunk).isalpha():  # a run of letters is one piece
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if not word.isalpha():  # a run of letters is one piece
+            if word[-1:] in _MARKS and word[:-1].isalpha():
+                return self._sizes[chunk[:-1]] + self._sizes[chunk[-1]]
             pieces = self._find.findall(chunk)
             if len(pieces) > 1:
                 return b"".join(map(self._sizes.__getitem__, pieces))
@@ -213,7 +251,7 @@ class Codec:
         if self._normal or self._drops_space:
             raise ValueError("tokens of this file have no places in the text")
         sizes = self._sizes.__getitem__
-        if _UNEVEN_SPACE.search(text):
+        if _has_uneven_space(text):
             return np.frombuffer(b"".join(map(sizes, self._find.findall(text))), np.uint8)
         # Single spaces and line feeds: a space belongs to the word after it, a line feed stands alone.
         out = []

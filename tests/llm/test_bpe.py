@@ -74,3 +74,22 @@ def test_cache_forgets_only_what_is_old():
     known = bpe.Remember(str.upper, limit=2)
     assert [known[x] for x in "abcabc"] == list("ABCABC")
     assert len(known) <= 2
+
+
+def test_short_words_merge_as_with_the_queue(codecs, monkeypatch):
+    codec, rng = codecs[BYTES], np.random.default_rng(10)
+    for n in range(bpe.SHORT_WORD + 1):
+        for _ in range(20):
+            symbols = [codec._inner[b] for b in rng.choice(list(b"aeeinst rth"), n)]
+            short = bpe._merge_short(symbols, codec._ranks, codec._merges, codec._size)
+            with monkeypatch.context() as m:
+                m.setattr(bpe, "SHORT_WORD", -1)
+                assert short == bpe.merge_symbols(symbols, codec._ranks, codec._merges, codec._size)
+
+
+def test_spaces_are_told_as_by_the_pattern(codecs):
+    letters = [" ", "\n", "a", ".", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "é"]
+    for text in (a + b + c for a in letters for b in letters for c in letters):
+        assert bpe._has_uneven_space(text) == bool(bpe._UNEVEN_SPACE.search(text))
+        pieces = codecs[BYTES]._find.findall(text)
+        assert codecs[BYTES].token_lengths(text).sum() == sum(len(p.encode()) for p in pieces)
