@@ -1,8 +1,9 @@
 """Writing lines as plain files with names of their own.
 
-Tasks write blocks of lines to the shared folder and report them; the report, one row per block, is the
-manifest. Then one task per file copies the blocks of a file in order, so only the making of one file is
-sequential. Files without lines are written empty. Blocks are removed when all files are there.
+Tasks write blocks of lines to the shared folder, all blocks of a task into one file, and report them; the
+report, one row per block, is the manifest. Then one task per file copies the blocks of a file in order, so
+only the making of one file is sequential. Files without lines are written empty. Blocks are removed when
+all files are there.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from ledgerline.sources.listing import qualified
 
 cloudpickle.register_pickle_by_value(filewrite)
 
-_BLOCKS = "file string, block bigint, path string, bytes bigint"
+_BLOCKS = "file string, block bigint, path string, at bigint, bytes bigint"
 
 
 def prefixed(src: Column, prefix: str) -> Column:
@@ -34,8 +35,8 @@ def _checked(file: Column) -> Column:
 
 
 def _tasks(spark: SparkSession, files: int, size: int | None) -> int:
-    """Tasks for so many files of so many bytes in all: a file is about as much work as 2 MB."""
-    asked = -(-((size or 0) + files * (2 << 20)) // (128 << 20))
+    """Tasks for so many files of so many bytes in all: a file is about as much work as 256 KB."""
+    asked = -(-((size or 0) + files * (256 << 10)) // (128 << 20))
     return max(1, min(files, max(asked, spark.sparkContext.defaultParallelism)))
 
 
@@ -53,17 +54,18 @@ def write_files(lines: DataFrame, files: DataFrame, out: str, order: str = "pos"
     rows = rows.sortWithinPartitions("file", "block", order).select("file", "block", "line")
     manifest = stage(rows.mapInArrow(partial(filewrite.block_rows, folder=blocks), _BLOCKS), "block-manifest", gather=True, total=F.sum("bytes"))
     parts = manifest.df.groupBy("file").agg(
-        F.array_sort(F.collect_list(F.struct("block", "path", "bytes"))).alias("blocks")
+        F.array_sort(F.collect_list(F.struct("block", "path", "at", "bytes"))).alias("blocks")
     )
     wanted = files.select(_checked(F.col("file")).alias("file"), "cut").join(parts, "file", "left")
     n = files.count()
-    made = wanted.repartition(_tasks(spark, n, manifest.metrics["total"])).mapInArrow(
+    dealt = wanted.repartition(_tasks(spark, n, manifest.metrics["total"]))
+    made = dealt.sortWithinPartitions(F.get("blocks", F.lit(0))["path"]).mapInArrow(
         partial(filewrite.file_rows, folder=qualified(spark, out)), "file string, bytes bigint"
     )
     written = stage(made, "written-files", gather=True)
     if written.rows != n or (written.df.agg(F.count_distinct("file")).first()[0] != n):
         raise ValueError("two files share one name")
     if manifest.rows:
-        gone = manifest.df.select("path").repartition(_tasks(spark, manifest.rows, 0))
+        gone = manifest.df.select("path").distinct()
         stage(gone.mapInArrow(filewrite.removed_rows, "path string"), "removed-blocks", gather=True)
     return written.df

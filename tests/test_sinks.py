@@ -144,3 +144,24 @@ def test_ten_thousand_codes_need_no_nested_loop(spark):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
         assert found.count() == len([i for i in range(3000) if i * 7 < 10_000])
+
+
+def test_blocks_of_a_task_share_one_file(tmp_path):
+    import pyarrow as pa
+
+    from ledgerline.sinks import filewrite
+
+    n = filewrite.REPORT_ROWS + 10
+    rows = pa.RecordBatch.from_pydict(
+        {"file": [f"f{i // 2:06d}" for i in range(n)], "block": pa.array([i % 2 for i in range(n)], pa.int64()), "line": [f"é{i}" for i in range(n)]}
+    )
+    batches = [rows.slice(at, 999) for at in range(0, n, 999)]
+    found = [r for b in filewrite.block_rows(batches, f"{tmp_path}/blocks") for r in b.to_pylist()]
+    assert len(found) == n and len({r["path"] for r in found}) == 1
+    assert sum(r["bytes"] for r in found) == len(open(found[0]["path"], "rb").read())
+    wanted = [{"file": "a/x", "cut": True, "blocks": found[7:9]}, {"file": "a/y", "cut": False, "blocks": found[-2:]}, {"file": "z", "cut": True, "blocks": None}]
+    written = pa.RecordBatch.from_pylist(wanted)
+    made = [r for b in filewrite.file_rows([written], f"{tmp_path}/out") for r in b.to_pylist()]
+    text = {r["file"]: open(f"{tmp_path}/out/{r['file']}", encoding="utf-8").read() for r in made}
+    assert text == {"a/x": "é7\né8", "a/y": f"é{n - 2}\né{n - 1}\n", "z": ""}
+    assert [r["bytes"] for r in made] == [len(text[r["file"]].encode()) for r in made]
