@@ -63,14 +63,15 @@ class Listing:
     """Files that match a mask.
 
     ``files`` has ``path``, ``name``, ``bytes`` and ``odd`` (a scan of Spark would leave the file out
-    because of its name or that of a folder). ``plain`` and ``odd`` count those with content. ``folders``
-    has the ``path`` of the folders that the folder part of the mask matches.
+    because of its name or that of a folder). ``plain`` and ``odd`` count those with content, ``coded`` the
+    plain ones in a packing that only Spark reads. ``folders`` has the ``path`` of the folders that the folder part of the mask matches.
     """
 
     files: DataFrame
     folders: DataFrame
     plain: int
     odd: int
+    coded: int = 0
 
 
 def _listed(folders: DataFrame, n: int, mask: str, files: bool, inner: str, dots: bool, name: str) -> Staged:
@@ -89,6 +90,7 @@ def _listed(folders: DataFrame, n: int, mask: str, files: bool, inner: str, dots
         inner=F.count_if("folder"),
         plain=F.count_if(full & ~F.col("odd")),
         odd=F.count_if(full & F.col("odd")),
+        coded=F.count_if(full & ~F.col("odd") & F.lower("name").rlike(r"\.(deflate|lz4|snappy)$")),
     )
 
 
@@ -112,5 +114,5 @@ def listing(
         below = parts[-1].df.filter("folder")
         parts.append(_listed(below, parts[-1].metrics["inner"], name, True, "all", hidden, "files"))
     files = reduce(DataFrame.unionByName, [p.df for p in parts]).filter("not folder").drop("folder")
-    plain, odd = (sum(p.metrics[k] or 0 for p in parts) for k in ("plain", "odd"))
-    return Listing(files, top, plain, odd)
+    plain, odd, coded = (sum(p.metrics[k] or 0 for p in parts) for k in ("plain", "odd", "coded"))
+    return Listing(files, top, plain, odd, coded)
