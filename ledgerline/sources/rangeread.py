@@ -16,6 +16,10 @@ from ledgerline.sources.zipstream import open_store
 
 CHUNK = 8 << 20
 LOOK = 64 << 10
+#: Rows of a listing, ranges, and bytes of lines of small files that a task holds at a time.
+LISTED_ROWS = 8192
+SLICE_ROWS = 256
+GATHER_BYTES = 1 << 20
 
 _MARKS = {
     "utf-8": [(codecs.BOM_UTF8, "utf-8")],
@@ -39,13 +43,15 @@ def folder_rows(batches, wanted, files, folders, dots):
     "wanted" or "all". Odd is what Spark would not read because of its name or that of a folder.
     """
     matches = re.compile(wanted, re.DOTALL).fullmatch
+    out = []
     for batch in batches:
-        out = []
         for uri, odd in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             store, path = open_store(uri)
             if store.get_file_info(path).type != fs.FileType.Directory:
                 continue
-            for info in store.get_file_info(fs.FileSelector(path)):
+            infos = store.get_file_info(fs.FileSelector(path))
+            while infos:  # each is let go when it is looked at, for a folder may hold very many
+                info = infos.pop()
                 name, is_folder = info.base_name, info.type == fs.FileType.Directory
                 if not is_folder and (info.type != fs.FileType.File or not files):
                     continue
@@ -54,11 +60,18 @@ def folder_rows(batches, wanted, files, folders, dots):
                     continue
                 row = (f"{uri.rstrip('/')}/{name}", name, None if is_folder else info.size, is_folder)
                 out.append((*row, odd or hidden_from_spark(name)))
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        types = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["path", "name", "bytes", "folder", "odd"]
-        )
+                if len(out) == LISTED_ROWS:
+                    yield _found(out)
+                    out = []
+    yield _found(out)
+
+
+def _found(rows):
+    columns = list(zip(*rows, strict=True)) or [()] * 5
+    types = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["path", "name", "bytes", "folder", "odd"]
+    )
 
 
 class Units:
@@ -212,34 +225,63 @@ def split_lines(data, wide):
     return pa.StringArray.from_buffers(len(stops), pa.py_buffer(offsets.tobytes()), pa.py_buffer(kept.tobytes()))
 
 
+def _rows_of(batches):
+    """The rows as dicts, a few of them at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield from batch.slice(at, SLICE_ROWS).to_pylist()
+
+
+def _gathered(batches):
+    """Small batches put together, so that one of few lines does not travel alone."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHER_BYTES:
+            yield from _joined(held)
+            held, size = [], 0
+    if held:
+        yield from _joined(held)
+
+
+def _joined(held):
+    if len(held) == 1:
+        return held
+    return pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def line_rows(batches, encoding, wide, numbered):
     """Lines of the ranges: src, block, pos, line; numbered ones also with line_no and src_lines."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            n = 0
-            for data in range_texts(row, encoding):
-                lines = split_lines(data, wide)
-                count = len(lines)
-                pos = np.arange(n, n + count)
-                columns = {
-                    "src": pa.repeat(pa.scalar(row["src"], pa.string()), count),
-                    "block": pa.array(np.full(count, row["start"])),
-                    "pos": pa.array(pos),
-                    "line": lines,
-                }
-                if numbered:
-                    columns["line_no"] = pa.array(row["offset"] + pos + 1)
-                    columns["src_lines"] = pa.array(np.full(count, row["src_lines"]))
-                yield pa.RecordBatch.from_pydict(columns)
-                n += count
-            if numbered and n != row["n"]:
-                raise ValueError(f"{row['f']} changed between two passes")
+    return _gathered(_line_rows(batches, encoding, wide, numbered))
+
+
+def _line_rows(batches, encoding, wide, numbered):
+    for row in _rows_of(batches):
+        n = 0
+        for data in range_texts(row, encoding):
+            lines = split_lines(data, wide)
+            count = len(lines)
+            pos = np.arange(n, n + count)
+            columns = {
+                "src": pa.repeat(pa.scalar(row["src"], pa.string()), count),
+                "block": pa.array(np.full(count, row["start"])),
+                "pos": pa.array(pos),
+                "line": lines,
+            }
+            if numbered:
+                columns["line_no"] = pa.array(row["offset"] + pos + 1)
+                columns["src_lines"] = pa.array(np.full(count, row["src_lines"]))
+            yield pa.RecordBatch.from_pydict(columns)
+            n += count
+        if numbered and n != row["n"]:
+            raise ValueError(f"{row['f']} changed between two passes")
 
 
 def count_rows(batches, encoding, wide):
     """The ranges with n, the number of their lines."""
     for batch in batches:
-        counts = [sum(count_lines(d, wide) for d in range_texts(row, encoding)) for row in batch.to_pylist()]
+        counts = [sum(count_lines(d, wide) for d in range_texts(row, encoding)) for row in _rows_of([batch])]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(counts, pa.int64())], names=[*batch.schema.names, "n"]
         )
@@ -249,7 +291,7 @@ def ended_rows(batches, encoding):
     """Whether the last line of each file (src, f, bytes) has a line end: src, ended."""
     for batch in batches:
         ended = []
-        for row in batch.to_pylist():
+        for row in _rows_of([batch]):
             store, path = open_store(row["f"])
             with store.open_input_file(path) as file:
                 units = Units(encoding, file.read_at(4, 0))

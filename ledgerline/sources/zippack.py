@@ -8,6 +8,9 @@ import pyarrow as pa
 from ledgerline.sources.zipstream import open_store
 
 
+SLICE_ROWS = 64
+
+
 def _open(uri):
     store, path = open_store(uri)
     store.create_dir(posixpath.dirname(path), recursive=True)
@@ -15,14 +18,19 @@ def _open(uri):
 
 
 def write_rows(batches):
-    """Write rows of file and text as files; yields their names."""
+    """Write rows of file and text as files; yields their names. A few texts at a time are Python's."""
+    known = set()
     for batch in batches:
-        for uri, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            store, path = open_store(uri)
-            store.create_dir(posixpath.dirname(path), recursive=True)
-            with store.open_output_stream(path) as out:
-                out.write(text.encode("utf-8"))
-            yield pa.RecordBatch.from_arrays([pa.array([uri])], names=["file"])
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(at, SLICE_ROWS)
+            for uri, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                store, path = open_store(uri)
+                if posixpath.dirname(path) not in known:
+                    store.create_dir(posixpath.dirname(path), recursive=True)
+                    known.add(posixpath.dirname(path))
+                with store.open_output_stream(path) as out:
+                    out.write(text.encode("utf-8"))
+            yield pa.RecordBatch.from_arrays([part.column(0)], names=["file"])
 
 
 def write_lines(batches, encoding):

@@ -336,3 +336,39 @@ def test_scanned_lines_are_copied_without_shuffle_and_in_order(spark, settings,
     assert numbered(back) == sorted([*expected, ("b.txt", 1, "x"), ("b.txt", 2, "y")])
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_many_files_are_read_by_ranges(spark, tmp_path, monkeypatch):
+    from ledgerline.sources import lines as module
+
+    for i in range(12):
+        start = "﻿" if i == 5 else ""
+        (tmp_path / f"{'_' * (i % 3 == 1)}f{i}.txt").write_bytes((start + "é a\r\n\rb\n" * i + "end" * (i % 2)).encode())
+    (tmp_path / "bad.txt").write_bytes(b"a\xffb\nc")
+
+    def seen():
+        numbered = read_counted_lines(spark, "*.txt", str(tmp_path), names="name")
+        plain = read_lines(spark, "*.txt", str(tmp_path), names="name").selectExpr("src", "block", "hex(line)")
+        return [sorted(map(tuple, d.collect())) for d in (numbered.lines.selectExpr("src", "line_no", "hex(line)"), numbered.counts, plain)]
+
+    scanned = seen()
+    monkeypatch.setattr(module, "SCANNED_FILES", 3)
+    monkeypatch.setattr(module, "matching_files", None)  # the scan is not asked
+    assert seen() == scanned and len(scanned[0]) > 100
+
+
+def test_small_files_are_handled_a_few_at_a_time(tmp_path):
+    import pyarrow as pa
+
+    from ledgerline.sources import rangeread, zippack
+
+    n = rangeread.LISTED_ROWS + 5
+    rows = pa.RecordBatch.from_pydict({"file": [f"{tmp_path}/d/{i}.txt" for i in range(n)], "text": [f"x\n{i}" for i in range(n)]})
+    assert max(b.num_rows for b in zippack.write_rows([rows])) <= zippack.SLICE_ROWS
+    folder = pa.RecordBatch.from_pydict({"path": [f"{tmp_path}/d"], "odd": [False]})
+    listed = list(rangeread.folder_rows([folder], ".*", True, "none", False))
+    assert [b.num_rows for b in listed] == [rangeread.LISTED_ROWS, 5]
+    asked = [{"src": r["name"], "f": r["path"], "bytes": r["bytes"], "packed": False, "start": 0, "end": r["bytes"]} for b in listed for r in b.to_pylist()]
+    lines = list(rangeread.line_rows([pa.RecordBatch.from_pylist(asked)], "UTF-8", True, False))
+    assert len(lines) < 10 and sum(b.num_rows for b in lines) == 2 * n
+    assert {(r["src"], r["pos"], r["line"]) for b in lines for r in b.to_pylist()} == {x for i in range(n) for x in ((f"{i}.txt", 0, "x"), (f"{i}.txt", 1, str(i)))}
