@@ -15,8 +15,9 @@ Running sums never pass through one task: hash order is cut into buckets of abou
 rows, sums over the buckets (a few rows) give each its start, and a window runs inside a bucket.
 Repeated rows are counted first and take consecutive places; many equal rows are told apart in parts of
 ``COPIES``. Sources and their targets are a staged table, and each round of resharing is one aggregate
-over it. Texts do not take part in any of this: they meet their places at the end and move once more, to
-the range of places that a task writes.
+over it. Texts do not take part in any of this, and move once, straight to the range of places that a task
+writes: in a source and epoch, places follow hash order but for documents without words, so a few hashes per
+range tell a text where it may be due. There it meets its places, which were sent to the same range.
 
 Defined cases: a null text has no words; a null source is a source of its own and comes last; a null
 id is one more id; a document without words takes none and has the position of its place; equal
@@ -117,13 +118,16 @@ def source_targets(groups: DataFrame, mixture: Mixture) -> Staged:
     )
 
 
+def _order(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "__source", "__id", "__print")
+
+
 def places(groups: DataFrame, targets: Staged, seed: int) -> DataFrame:
     """Every group of equal rows with __from, the words of its source before it in hash order."""
-    order = F.xxhash64(F.lit(seed), "__source", "__id", "__print")
     asked = targets.df.withColumnRenamed("__source", "__asked")
     asked = F.broadcast(asked) if targets.bytes <= BROADCAST_BYTES else asked.hint("merge")
     known = groups.join(asked, groups["__source"].eqNullSafe(asked["__asked"])).drop("__asked")
-    placed = known.withColumn("__order", order).withColumn(
+    placed = known.withColumn("__order", _order(seed)).withColumn(
         "__bucket", F.expr("shiftright(shiftright(__order, 1) + shiftleft(1L, 62), 63 - bits)")
     )
     words = F.col("__size") * F.col("__n")
@@ -192,6 +196,36 @@ def _texts(docs: DataFrame, groups: Staged, source: str, key: str) -> DataFrame:
     return single.unionByName(equal.groupBy(*_KEYS).agg(F.first("__own").alias("__own")))
 
 
+def _sent(texts: DataFrame, spots: DataFrame, parts: int, seed: int) -> DataFrame:
+    """The texts, once for each epoch and part that may hold them: every one that does, and at the edges of
+    parts some that do not.
+
+    What a part holds of a source in an epoch is told by the first and last hash and id in each bucket of
+    hash order. Documents without words have the position of others and are by id there, so they are told
+    apart.
+    """
+    bits = max(1, (parts - 1).bit_length())
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("__order", _order(seed)).withColumn("__wordless", F.col("__size") == 0)
+        return rows.withColumn("__bucket", F.shiftright("__order", 64 - bits))
+
+    key, order = F.col("__id"), F.col("__order")
+    cuts = hashed(spots).groupBy(
+        F.col("__source").alias("__cut"), F.col("__bucket").alias("__in"), F.col("__wordless").alias("__no_words"), "epoch", "__part"
+    ).agg(
+        F.min(order).alias("__first"), F.max(order).alias("__last"),
+        F.min(key).alias("__low"), F.max(key).alias("__high"), F.bool_or(key.isNull()).alias("__null"),
+    )
+    cuts = stage(cuts, "mix-cuts", gather=True)
+    held = F.broadcast(cuts.df) if cuts.bytes <= BROADCAST_BYTES else cuts.df.hint("merge")
+    same = F.col("__source").eqNullSafe(F.col("__cut")) & (F.col("__bucket") == F.col("__in"))
+    same &= F.col("__wordless") == F.col("__no_words")
+    inside = order.between(F.col("__first"), F.col("__last"))
+    inside &= F.when(key.isNull(), F.col("__null")).otherwise(key.between(F.col("__low"), F.col("__high")))
+    return hashed(texts).join(held, same & inside).select(*_KEYS, "__own", "epoch", "__part")
+
+
 def mix_rows(
     docs: DataFrame, source: str = "source", key: str = "doc_id", mixture: Mixture | None = None, seed: int = SEED
 ) -> DataFrame:
@@ -219,15 +253,20 @@ def mix_rows(
     parallel = docs.sparkSession.sparkContext.defaultParallelism
     parts = max(1, -(-size // PART_BYTES), min(parallel, staged.rows))
     part = F.floor(F.col("__place") * parts / max(1, staged.rows)).cast("int")
-    spot = taken.select(*[F.col(k).alias(f"{k}2") for k in _KEYS], "epoch", "position", "words", "__place", part.alias("__part"))
-    spot = F.broadcast(spot) if staged.bytes <= BROADCAST_BYTES else spot.hint("merge")
-    texts = _texts(docs, groups, source, key)
-    joined = texts.join(spot, [texts[k].eqNullSafe(spot[f"{k}2"]) for k in _KEYS])
+    spots = taken.withColumn("__part", part)
+    sent = _sent(_texts(docs, groups, source, key), spots, parts, seed).repartitionById(parts, F.col("__part"))
+    keys = [*_KEYS, "epoch", "__part"]
+    spots = spots.select(*[F.col(k).alias(f"{k}2") for k in keys], "position", "words", "__place")
+    # Both sides lie by part already, so this join moves nothing.
+    spots = spots.repartitionById(parts, F.col("__part2")).hint("merge")
+    met = F.col("__part") == F.col("__part2")
+    for k in keys[:-1]:
+        met &= F.col(k).eqNullSafe(F.col(f"{k}2"))
+    joined = sent.join(spots, met)
     text = F.col("__own").getField("text")
     cut = F.when(F.col("words") < F.col("__size"), _first_words(text, F.col("words"))).otherwise(text)
     own = F.struct(*[(cut if c == "text" else F.col("__own").getField(c)).alias(c) for c in docs.columns])
-    moved = joined.select("__own", "__size", "epoch", "words", "position", "__place", "__part")
-    ranged = moved.repartitionById(parts, F.col("__part")).sortWithinPartitions("__place")
+    ranged = joined.select("__own", "__size", "epoch", "words", "position", "__place").sortWithinPartitions("__place")
     return ranged.select(own.alias("own"), "epoch", "words", "position")
 
 

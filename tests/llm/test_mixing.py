@@ -161,3 +161,37 @@ def test_empty_tables(spark):
     wordless = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert [r["taken"] for r in mixing.plan(wordless).collect()] == [0, 0]
     assert mixing.mix(wordless).count() == 0
+
+
+def odd_corpus(spark):
+    """Null and repeated ids, equal rows, and a source whose documents have no words but for a few."""
+    return spark.range(3000).selectExpr(
+        "if(id % 7 = 0, null, id % 1100) as doc_id",
+        "case when id % 3 = 2 and id % 100 > 1 then '' when id % 5 = 0 then null when id % 11 = 0 then '  '"
+        " when id % 13 = 0 then 'a b c' else repeat(concat('w', id % 40, ' '), cast(id % 60 as int)) end as text",
+        "element_at(array('x', null, 'bare'), cast(id % 3 + 1 as int)) as source",
+    )
+
+
+def test_the_mix_is_the_same_whatever_the_parts(spark, monkeypatch):
+    docs = odd_corpus(spark)
+    whole = [repr(r) for r in mixing.mix(docs).collect()]
+    assert len(whole) > 3000
+    monkeypatch.setattr(mixing, "PART_BYTES", 5000)
+    small = mixing.mix(docs)
+    assert small.rdd.getNumPartitions() > 20 and [repr(r) for r in small.collect()] == whole
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
+    assert [repr(r) for r in mixing.mix(docs).collect()] == whole
+
+
+def test_texts_move_once_when_places_are_too_many_to_broadcast(spark, monkeypatch):
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat('some words ', id) as text", "concat('s', id % 2) as source")
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 100_000)
+    plan = mixing.mix_rows(docs)._jdf.queryExecution().executedPlan()
+    nodes, moves = [plan.inputPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if "Exchange" in node.nodeName() and "__own" in node.output().mkString(" "):
+            moves.append(node.nodeName())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert moves == ["Exchange"]
