@@ -188,7 +188,7 @@ def test_texts_move_once_when_places_are_too_many_to_broadcast(spark, monkeypatc
     docs = spark.range(4000).selectExpr("id as doc_id", "concat('some words ', id) as text", "concat('s', id % 2) as source")
     monkeypatch.setattr(mixing, "BROADCAST_BYTES", 100_000)
     plan = mixing.mix_rows(docs)._jdf.queryExecution().executedPlan()
-    nodes, moves = [plan.inputPlan()], []
+    nodes, moves = [plan.initialPlan()], []
     while nodes:
         node = nodes.pop()
         if "Exchange" in node.nodeName() and "__own" in node.output().mkString(" "):
